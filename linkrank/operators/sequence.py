@@ -1,0 +1,71 @@
+"""Successor of each row inside its group, without one task per group.
+
+``lead(value) over (partition by group order by ...)`` sends a whole group to a
+single task; a group holding a third of the table would then be processed by one
+core. Here the rows are range-partitioned on ``(group, order)`` instead, so a
+large group is cut across many partitions, each partition is numbered in order,
+and the successor is the next row of the same partition or, for a partition's
+last row, the first row of the next non-empty partition.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from linkrank.session import default_partitions, ensure_checkpoint_dir
+
+
+def next_in_group(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    src: str = "src",
+    dst: str = "dst",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Pairs ``(group..., src, dst)``: a row's ``value`` and the ``value`` of the row after it.
+
+    Rows are ordered by ``order`` inside each ``group``; the last row of a group has
+    no pair. Rows that tie on every ``order`` column keep an arbitrary relative
+    order, as with SQL ``lead``; choose ``order`` so that ties carry equal values.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    g, o = list(group), list(order)
+    n = num_partitions or default_partitions(spark)
+    ordered = (
+        df.select(*g, *[c for c in o if c not in g], value)
+        .repartitionByRange(n, *g, *o)
+        .sortWithinPartitions(*g, *o)
+        .withColumn("_pos", F.monotonically_increasing_id())
+    )
+    # The range bounds come from a sample; pin the numbering once so that every
+    # later read sees the same partitions (and an executor loss cannot renumber).
+    ordered = ordered.checkpoint(eager=True)
+    ordered = ordered.withColumn("_part", F.shiftright("_pos", 33))
+    row = F.struct(*[F.col(c) for c in g], F.col(value).alias("_v"))
+
+    # First row of every partition, and for each partition the head of the next
+    # non-empty one: one row per partition, so the window below is tiny.
+    heads = ordered.groupBy("_part").agg(F.min_by(row, F.col("_pos")).alias("_head"))
+    after = heads.select(
+        "_part", F.lead("_head").over(Window.orderBy("_part")).alias("_after")
+    )
+
+    in_part = Window.partitionBy("_part").orderBy("_pos")
+    succ = ordered.select(
+        *g, F.col(value).alias(src), "_part", F.lead(row).over(in_part).alias("_next")
+    )
+    succ = succ.join(F.broadcast(after), "_part", "left").select(
+        *g, src, F.coalesce("_next", "_after").alias("_next")
+    )
+    same = F.lit(True)
+    for c in g:
+        same = same & (F.col(f"_next.{c}") == F.col(c))
+    return succ.filter(F.col("_next").isNotNull() & same).select(
+        *g, src, F.col("_next._v").alias(dst)
+    )
