@@ -3,7 +3,8 @@
 from linkrank.functions.columns import (
     hash_order,
     ratio_or_zero,
+    round_to,
     strip_ws,
 )
 
-__all__ = ["hash_order", "ratio_or_zero", "strip_ws"]
+__all__ = ["hash_order", "ratio_or_zero", "round_to", "strip_ws"]

@@ -25,3 +25,14 @@ def ratio_or_zero(num: Column, den: Column) -> Column:
 def strip_ws(c: Column) -> Column:
     """Remove leading and trailing whitespace of every kind (``trim`` only drops spaces)."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
+def round_to(c: Column | str, digits: int) -> Column:
+    """``floor(x * 10^digits + 0.5) / 10^digits``: half-up rounding done in binary arithmetic.
+
+    Unlike ``round`` (which rounds the decimal form of the double) this is the same
+    IEEE computation in any engine, so values on a rounding tie agree exactly.
+    """
+    scale = float(10**digits)
+    col = F.col(c) if isinstance(c, str) else c
+    return F.floor(col * F.lit(scale) + F.lit(0.5)) / F.lit(scale)

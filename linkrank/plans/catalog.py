@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkrank.functions.columns import round_to
 from linkrank.operators import batch as B
 from linkrank.operators import compare as C
 from linkrank.operators import generate as G
@@ -52,7 +53,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], objec
 
 
 def _rounded(df: DataFrame, col: str = "rank", digits: int = O.RANK_DIGITS) -> DataFrame:
-    return df.withColumn(col, F.round(col, digits))
+    return df.withColumn(col, round_to(col, digits))
 
 
 # ------------------------------------------------------------------ graphs
@@ -183,12 +184,13 @@ def q_inflow(spark, sf_dir):
 
 
 def q_rank_step(spark, sf_dir):
-    return _rounded(_rank_returns(spark, sf_dir, max_iter=1).ranks)
+    # One-step ranks are short exact decimals; 12 digits keeps them off rounding ties.
+    return _rounded(_rank_returns(spark, sf_dir, max_iter=1).ranks, digits=O.SMALL_DIGITS)
 
 
 def q_l1_change(spark, sf_dir):
     log = _rank_returns(spark, sf_dir, max_iter=1).iterations
-    return log.select(F.round("l1_diff", O.SMALL_DIGITS).alias("l1_diff"))
+    return log.select(round_to("l1_diff", O.SMALL_DIGITS).alias("l1_diff"))
 
 
 def q_dangling_mass(spark, sf_dir):
@@ -196,7 +198,7 @@ def q_dangling_mass(spark, sf_dir):
     ranks1 = _rank_returns(spark, sf_dir, max_iter=1).ranks
     dangling = V.dangling_ranks(ranks1, nodes, edges)
     return dangling.agg(
-        F.round(F.coalesce(F.sum("rank"), F.lit(0.0)), O.SMALL_DIGITS).alias("dangling_mass")
+        round_to(F.coalesce(F.sum("rank"), F.lit(0.0)), O.SMALL_DIGITS).alias("dangling_mass")
     )
 
 
@@ -222,8 +224,8 @@ def q_iteration_log(spark, sf_dir):
     log = _rank_returns(spark, sf_dir).iterations
     return log.select(
         "iteration",
-        F.round("l1_diff", O.LOG_DIGITS).alias("l1_diff"),
-        F.round("dangling_mass", O.LOG_DIGITS).alias("dangling_mass"),
+        round_to("l1_diff", O.LOG_DIGITS).alias("l1_diff"),
+        round_to("dangling_mass", O.LOG_DIGITS).alias("dangling_mass"),
     )
 
 

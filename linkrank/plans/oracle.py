@@ -124,7 +124,8 @@ final as (select {kcols}, id, rank from pr
 
 
 def _round(col: str, digits: int = RANK_DIGITS) -> str:
-    return f"round({col}, {digits})"
+    """Half-up rounding in binary arithmetic, the same computation as the Spark side."""
+    return f"(floor(({col}) * 1e{digits} + 0.5) / 1e{digits})"
 
 
 def _ranks(cte: str, keys: tuple[str, ...] = ()) -> str:
@@ -233,7 +234,7 @@ def statements() -> dict[str, str]:
        count(*) filter (where d.c is null) as n_dangling
   from ({r_n}) n left join ({deg}) d on d.src = n.id"""
     q["clean_edges"] = f"select distinct src, dst from ({r_e}) e where src <> dst"
-    q["weighted_edges"] = f"""select p.src, p.dst, p.m as multiplicity, round(p.m::double / d.c, {SMALL_DIGITS}) as weight
+    q["weighted_edges"] = f"""select p.src, p.dst, p.m as multiplicity, {_round('p.m::double / d.c', SMALL_DIGITS)} as weight
   from (select src, dst, count(*) as m from ({r_e}) e group by src, dst) p
   join ({deg}) d on d.src = p.src"""
     q["random_graph_sparse"] = f"""with params as (
@@ -267,7 +268,7 @@ qualify row_number() over (order by {_hash("src::VARCHAR || ':' || dst::VARCHAR
   from wts w join pr p on p.id = w.src and p.iter = 0 group by w.src, w.dst"""
     q["inflow"] = f"""{_returns(max_iter=0)}select w.dst as id, {_round('sum(w.w * p.rank)', SMALL_DIGITS)} as inflow
   from wts w join pr p on p.id = w.src and p.iter = 0 group by w.dst"""
-    q["rank_step"] = f"{one_step}select id, {_round('rank')} as rank from one"
+    q["rank_step"] = f"{one_step}select id, {_round('rank', SMALL_DIGITS)} as rank from one"
     q["l1_change"] = f"{one_step}select {_round('sum(abs(rank - old_rank))', SMALL_DIGITS)} as l1_diff from one"
     q["dangling_mass"] = f"""{one_step}select {_round('coalesce(sum(rank), 0)', SMALL_DIGITS)} as dangling_mass
   from one where outdeg = 0"""
@@ -295,7 +296,7 @@ select s.id, exists (select 1 from nodes n where n.id = s.id) as known
     q["validation"] = f"""{_returns()}select count(*) as rank_count, (select count(*) from ({r_n}) n) as node_count,
        count(*) filter (where rank < 0) as negative_count,
        count(*) filter (where rank < 0) = 0 as all_non_negative,
-       round(sum(rank), 6) as sum_of_ranks,
+       (floor(sum(rank) * 1e6 + 0.5) / 1e6) as sum_of_ranks,
        abs(sum(rank) - 1.0) < 1e-4 as sum_valid,
        count(*) = (select count(*) from ({r_n}) n) as count_matches,
        count(*) filter (where rank < 0) = 0 and abs(sum(rank) - 1.0) < 1e-4
