@@ -42,7 +42,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,8 @@ EPSILON = 1e-6
 CHECKPOINT_INTERVAL = 3
 # A source needs at least this many distinct out-edges to be treated as a hub.
 MIN_HUB_FANOUT = 10_000
+# Up to this many graphs, per-graph scalars are inlined as a CASE expression.
+MAX_CASE_GRAPHS = 64
 
 
 @dataclass
@@ -182,7 +184,7 @@ class _Loop:
             F.sum("fanout").alias("n_pairs"),
             F.max("fanout").alias("max_fanout"),
         ).collect()
-        if not stats:
+        if not stats or any(r["n"] == 0 for r in stats):
             raise ValueError("graph has no nodes")
 
         raw_seeds: dict[tuple, int] = {}
@@ -306,18 +308,45 @@ class _Loop:
         self.held.append(self.prop)
 
     # ------------------------------------------------------------------ loop
+    def _base(self) -> Column | None:
+        """Per-graph ``(1 - d) + d * D`` as an expression, or None when a join is needed.
+
+        One graph: a literal. Up to ``MAX_CASE_GRAPHS`` graphs: a CASE over the key
+        columns. More graphs: None, and the values travel in a broadcast table with
+        one row per graph.
+        """
+        d = self.d
+        active = [(key, r) for key, r in self.runs.items() if not r["converged"]]
+        if not self.k:
+            return F.lit((1.0 - d) + d * self.runs[()]["dmass"])
+        if len(active) > MAX_CASE_GRAPHS:
+            return None
+        expr = None
+        for key, r in active:
+            cond = F.lit(True)
+            for c, v in zip(self.k, key):
+                cond = cond & (F.col(c) == F.lit(v))
+            value = F.lit((1.0 - d) + d * r["dmass"])
+            expr = F.when(cond, value) if expr is None else expr.when(cond, value)
+        return expr
+
     def _step(self, state: DataFrame, hub_ranks: DataFrame | None, keep_unknown: bool) -> DataFrame:
-        """One update, as few DataFrame operations as possible (each one is analyzed)."""
+        """One update, in as few DataFrame operations as possible (each one is analyzed).
+
+        Output columns avoid the names of ``prop`` so the result can be joined again
+        without a projection: ``(keys..., id, rank, prev, tp, dng, hb)``.
+        """
         k, d = self.k, self.d
         left = state
-        if k:
+        base = self._base()
+        if base is None:
             base_rows = [
                 (*key, (1.0 - d) + d * r["dmass"])
                 for key, r in self.runs.items()
                 if not r["converged"]
             ]
             base_df = self._runs_frame(base_rows, [T.StructField("base", T.DoubleType())])
-            # Inner join: drops graphs that have converged already.
+            # One row per graph still running; the inner join also drops finished graphs.
             left = state.join(F.broadcast(base_df), k)
         j = left.hint("shuffle_hash").join(self.prop, [*k, "id"])
         node_row = F.col("node_row")
@@ -331,7 +360,7 @@ class _Loop:
                 "dangling",
                 "hub",
             ]
-            if k:
+            if base is None:
                 cols.append(F.when(node_row, F.col("base")).alias("base"))
             hub_c = self.prop_hub.join(F.broadcast(hub_ranks), [*k, "id"]).select(
                 *k,
@@ -341,7 +370,7 @@ class _Loop:
                 F.lit(None).cast("double").alias("t"),
                 F.lit(None).cast("boolean").alias("dangling"),
                 F.lit(None).cast("boolean").alias("hub"),
-                *([F.lit(None).cast("double").alias("base")] if k else []),
+                *([F.lit(None).cast("double").alias("base")] if base is None else []),
             )
             j = j.select(*cols).unionByName(hub_c)
             contribution, own = F.col("c"), F.col("rank")
@@ -350,28 +379,26 @@ class _Loop:
             own = F.when(node_row, F.col("rank"))
         aggs = [
             F.sum(contribution).alias("inc"),
-            F.max(own).alias("old"),
-            F.max("t").alias("t"),
-            F.max("dangling").alias("dangling"),
-            F.max("hub").alias("hub"),
+            F.max(own).alias("prev"),
+            F.max("t").alias("tp"),
+            F.max("dangling").alias("dng"),
+            F.max("hub").alias("hb"),
         ]
-        if k:
+        if base is None:
             aggs.append(F.max("base").alias("base"))
             base = F.col("base")
-        else:
-            base = F.lit((1.0 - d) + d * self.runs[()]["dmass"])
         g = j.groupBy(*k, "dst").agg(*aggs)
         if not keep_unknown:
             # Contributions to ids that are not nodes are lost, as in the update rule.
-            g = g.filter(F.col("t").isNotNull())
+            g = g.filter(F.col("tp").isNotNull())
         return g.select(
             *k,
             F.col("dst").alias("id"),
-            (F.col("t") * base + F.lit(d) * F.col("inc")).alias("rank"),
-            "old",
-            "t",
-            "dangling",
-            "hub",
+            (F.col("tp") * base + F.lit(d) * F.col("inc")).alias("rank"),
+            "prev",
+            "tp",
+            "dng",
+            "hb",
         )
 
     def _hub_frame(self, rows) -> DataFrame:
@@ -407,14 +434,14 @@ class _Loop:
             # later iterations need no filter.
             new = self._step(state, hub_ranks, keep_unknown=self.validate).persist()
             aggs = [
-                F.sum(F.abs(F.col("rank") - F.col("old"))).alias("diff"),
-                F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dmass"),
+                F.sum(F.abs(F.col("rank") - F.col("prev"))).alias("diff"),
+                F.coalesce(F.sum(F.when(F.col("dng"), F.col("rank"))), F.lit(0.0)).alias("dmass"),
                 F.count(F.lit(1)).alias("n"),
-                F.count_if(F.col("t").isNull()).alias("unknown"),
+                F.count_if(F.col("tp").isNull()).alias("unknown"),
             ]
             if self.has_hubs:
                 aggs.append(
-                    F.collect_list(F.when(F.col("hub"), F.struct("id", "rank"))).alias("hubs")
+                    F.collect_list(F.when(F.col("hb"), F.struct("id", "rank"))).alias("hubs")
                 )
             rows = self._grouped(new).agg(*aggs).collect()
             if it == 1:
@@ -445,31 +472,33 @@ class _Loop:
             if not active or it == self.max_iter:
                 state = new
                 break
+            state = new
             if done:
-                # Set finished graphs aside on reliable storage; they leave the loop.
-                done_df = self._runs_frame([key for key in done], [])
+                # Finished graphs go to reliable storage and leave the loop; the
+                # filter tables have one row per graph.
+                done_df = self._runs_frame(list(done), [])
                 frozen.append(
                     new.join(F.broadcast(done_df), k).select(*k, "id", "rank").checkpoint(eager=True)
                 )
-            state = new.select(*k, "id", "rank")
+                state = new.join(F.broadcast(done_df), k, "left_anti")
             if it % self.interval == 0:
-                state = state.checkpoint(eager=True)
+                state = state.select(*k, "id", "rank").checkpoint(eager=True)
                 new.unpersist()
                 cached_state = None
             if self.has_hubs:
                 hub_ranks = self._hub_frame(rows)
-        final = state.select(*k, "id", "rank")
-        if cached_state is not None:
-            self.held.append(cached_state)
-        ranks = final
+        # The result goes to reliable storage: it survives executor loss, frees the
+        # cache, and later joins or unions with tables of the same lineage cannot
+        # fall back to recomputing the loop.
+        ranks = state.select(*k, "id", "rank").checkpoint(eager=True)
         for part in frozen:
-            ranks = part.unionByName(ranks)
-        if self.max_iter > 0:
-            # The final vector no longer needs the edge tables.
-            for df in (self.prop, getattr(self, "prop_hub", None)):
-                if df is not None:
-                    df.unpersist()
-            self.held = [h for h in self.held if h is cached_state]
+            ranks = ranks.unionByName(part)
+        if cached_state is not None:
+            cached_state.unpersist()
+        for df in (self.prop, getattr(self, "prop_hub", None), *self.setup_cache):
+            if df is not None:
+                df.unpersist()
+        self.held = []
         return self._result(ranks, log, time.time() - started)
 
     def _result(self, ranks, log, seconds) -> RankResult:
