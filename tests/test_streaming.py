@@ -1,0 +1,25 @@
+import os
+
+from brute import brute_rank
+from linkrank.streaming.edge_files import rank_arriving_files
+
+
+def test_arriving_edge_files_are_ranked_per_file(spark, tmp_dir):
+    inbox, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(inbox)
+    graphs = {"a.txt": [(0, 1), (1, 2), (2, 0), (2, 1)], "b.txt": [(5, 6), (6, 5), (6, 7)]}
+    for name, edges in graphs.items():
+        with open(os.path.join(inbox, name), "w") as f:
+            f.write("# graph\n" + "".join(f"{s} {d}\n" for s, d in edges) + "bad line here\n")
+    q = rank_arriving_files(spark, inbox, out, checkpoint_location=os.path.join(tmp_dir, "ck"))
+    q.awaitTermination(300)
+    for s in spark.streams.active:
+        s.awaitTermination(300)
+    ranks = spark.read.parquet(os.path.join(out, "ranks")).collect()
+    for name, edges in graphs.items():
+        got = {r.id: r.rank for r in ranks if r.file.endswith(name)}
+        want, _, _ = brute_rank({x for e in edges for x in e}, edges)
+        assert set(got) == set(want)
+        assert max(abs(got[k] - want[k]) for k in want) < 1e-12
+    rejects = spark.read.parquet(os.path.join(out, "rejects")).collect()
+    assert len(rejects) == 2 and all(r.line == "bad line here" for r in rejects)
