@@ -76,6 +76,7 @@ class RankResult:
     n_iterations: int
     converged: bool
     total_seconds: float
+    phase_seconds: dict = field(default_factory=dict)
     _held: list = field(default_factory=list, repr=False)
 
     def unpersist(self) -> None:
@@ -144,6 +145,13 @@ class _Loop:
         )
         self.seeds = seeds
         self.held: list[DataFrame] = []
+        self.phases: dict[str, float] = {}
+        self._clock = time.time()
+
+    def _lap(self, name: str) -> None:
+        now = time.time()
+        self.phases[name] = round(self.phases.get(name, 0.0) + now - self._clock, 4)
+        self._clock = now
 
     # ----------------------------------------------------------------- setup
     def _key(self, row) -> tuple:
@@ -158,7 +166,12 @@ class _Loop:
         deg = pairs.groupBy(*k, "src").agg(
             F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("fanout")
         )
-        info = self.nodes.join(deg.withColumnRenamed("src", "id"), [*k, "id"], "left")
+        # With validation the join is full outer, so sources missing from the node
+        # table are counted in the same pass as the statistics below.
+        known = self.nodes.withColumn("_known", F.lit(True))
+        info = known.join(
+            deg.withColumnRenamed("src", "id"), [*k, "id"], "full" if self.validate else "left"
+        )
         personalized = self.seeds is not None
         if personalized:
             s = (
@@ -173,19 +186,26 @@ class _Loop:
             F.coalesce("outdeg", F.lit(0)).cast("bigint").alias("outdeg"),
             F.coalesce("fanout", F.lit(0)).cast("bigint").alias("fanout"),
             (F.coalesce("is_seed", F.lit(False)) if personalized else F.lit(False)).alias("is_seed"),
+            F.coalesce("_known", F.lit(False)).alias("_known"),
         )
         pairs, info = pairs.persist(), info.persist()
         self.setup_cache = [pairs, info]
 
+        is_node = F.col("_known")
         stats = self._grouped(info).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("outdeg") == 0).alias("n_dangling"),
-            F.count_if("is_seed").alias("n_seeds"),
+            F.count_if(is_node).alias("n"),
+            F.count_if(is_node & (F.col("outdeg") == 0)).alias("n_dangling"),
+            F.count_if(is_node & F.col("is_seed")).alias("n_seeds"),
             F.sum("fanout").alias("n_pairs"),
             F.max("fanout").alias("max_fanout"),
+            F.count_if(~is_node).alias("unknown_src"),
         ).collect()
+        self._lap("setup_stats")
+        if any(r["unknown_src"] for r in stats):
+            raise ValueError("edges start at ids that are not in the node table")
         if not stats or any(r["n"] == 0 for r in stats):
             raise ValueError("graph has no nodes")
+        info = info.filter(is_node)
 
         raw_seeds: dict[tuple, int] = {}
         if personalized:
@@ -194,13 +214,6 @@ class _Loop:
             if not k and raw_seeds.get((), 0) == 0:
                 raise ValueError("seed set is empty")
 
-        if self.validate:
-            unknown_src = deg.select(*k, F.col("src").alias("id")).join(
-                self.nodes, [*k, "id"], "left_anti"
-            )
-            if not unknown_src.isEmpty():
-                raise ValueError("edges start at ids that are not in the node table")
-
         self.runs = {}
         for r in stats:
             key = self._key(r)
@@ -427,6 +440,7 @@ class _Loop:
         cached_state: DataFrame | None = None
         frozen: list[DataFrame] = []
         log = []
+        self._lap("setup")
         for it in range(1, self.max_iter + 1):
             t0 = time.time()
             check = self.validate and it == 1
@@ -490,6 +504,7 @@ class _Loop:
         # The result goes to reliable storage: it survives executor loss, frees the
         # cache, and later joins or unions with tables of the same lineage cannot
         # fall back to recomputing the loop.
+        self._lap("iterations")
         ranks = state.select(*k, "id", "rank").checkpoint(eager=True)
         for part in frozen:
             ranks = ranks.unionByName(part)
@@ -499,6 +514,7 @@ class _Loop:
             if df is not None:
                 df.unpersist()
         self.held = []
+        self._lap("result")
         return self._result(ranks, log, time.time() - started)
 
     def _result(self, ranks, log, seconds) -> RankResult:
@@ -531,6 +547,7 @@ class _Loop:
             n_iterations=max((r["iterations"] for r in self.runs.values()), default=0),
             converged=all(r["converged"] for r in self.runs.values()),
             total_seconds=seconds,
+            phase_seconds=dict(self.phases),
             _held=list(self.held),
         )
 

@@ -1,9 +1,12 @@
-"""Successor of each row inside its group, without one task per group.
+"""Successor of each row inside its group, without one task per large group.
 
 ``lead(value) over (partition by group order by ...)`` sends a whole group to a
 single task; a group holding a third of the table would then be processed by one
-core. Here the rows are range-partitioned on ``(group, order)`` instead, so a
-large group is cut across many partitions, each partition is numbered in order,
+core. Groups are therefore counted first (map-side partial counts). Groups up to
+about one partition's share of the rows use the plain window. Larger ("hot")
+groups — fewer than the number of partitions by construction, so their key list
+is a bounded broadcast — are range-partitioned on ``(group, order)`` instead: a
+hot group is cut across many partitions, each partition is numbered in order,
 and the successor is the next row of the same partition or, for a partition's
 last row, the first row of the next non-empty partition.
 """
@@ -18,6 +21,10 @@ from pyspark.sql import functions as F
 from linkrank.session import default_partitions, ensure_checkpoint_dir
 
 
+# Fixed value: groups up to this many rows always take the window path.
+MIN_SPLIT_ROWS = 100_000
+
+
 def next_in_group(
     df: DataFrame,
     group: Sequence[str],
@@ -26,19 +33,48 @@ def next_in_group(
     src: str = "src",
     dst: str = "dst",
     num_partitions: int | None = None,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Pairs ``(group..., src, dst)``: a row's ``value`` and the ``value`` of the row after it.
 
     Rows are ordered by ``order`` inside each ``group``; the last row of a group has
     no pair. Rows that tie on every ``order`` column keep an arbitrary relative
     order, as with SQL ``lead``; choose ``order`` so that ties carry equal values.
+    ``max_group_rows`` (default: rows / partitions, at least ``MIN_SPLIT_ROWS``)
+    is the group size above which a group is split across partitions.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     g, o = list(group), list(order)
     n = num_partitions or default_partitions(spark)
+    rows = df.select(*g, *[c for c in o if c not in g], value)
+    counts = rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    stat = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("biggest")).first()
+    if not stat["total"]:
+        return _window_successor(rows, g, o, value, src, dst)
+    limit = max_group_rows or max(-(-stat["total"] // n), MIN_SPLIT_ROWS)
+    if stat["biggest"] <= limit:
+        return _window_successor(rows, g, o, value, src, dst)
+    # Fewer than total / limit <= n groups are above the limit: a bounded broadcast.
+    hot = F.broadcast(counts.filter(F.col("_n") > limit).select(*g))
+    cold = rows.join(hot, g, "left_anti")
+    warm = rows.join(hot, g, "left_semi")
+    return _window_successor(cold, g, o, value, src, dst).unionByName(
+        _range_successor(warm, g, o, value, src, dst, n)
+    )
+
+
+def _window_successor(rows, g, o, value, src, dst) -> DataFrame:
+    w = Window.partitionBy(*g).orderBy(*o)
+    return (
+        rows.select(*g, F.col(value).alias(src), F.lead(value).over(w).alias(dst))
+        .filter(F.col(dst).isNotNull())
+    )
+
+
+def _range_successor(rows, g, o, value, src, dst, n) -> DataFrame:
+    ensure_checkpoint_dir(rows.sparkSession)
     ordered = (
-        df.select(*g, *[c for c in o if c not in g], value)
+        rows
         .repartitionByRange(n, *g, *o)
         .sortWithinPartitions(*g, *o)
         .withColumn("_pos", F.monotonically_increasing_id())

@@ -38,7 +38,12 @@ def test_next_in_group_matches_lead_with_a_hot_group(spark):
     # One group holds most rows; the result must equal a per-group lead.
     rows = [(1, i, i * 7 % 13) for i in range(300)] + [(g, i, g + i) for g in range(2, 40) for i in range(3)]
     df = spark.createDataFrame(rows, "g long, o long, v long")
-    got = sorted((r.g, r.src, r.dst) for r in next_in_group(df, ["g"], ["o"], "v", num_partitions=7).collect())
+    got = sorted(
+        (r.g, r.src, r.dst)
+        for r in next_in_group(df, ["g"], ["o"], "v", num_partitions=7, max_group_rows=50).collect()
+    )
+    plain = sorted((r.g, r.src, r.dst) for r in next_in_group(df, ["g"], ["o"], "v").collect())
+    assert plain == got
     want = []
     by = {}
     for g, o, v in rows:
