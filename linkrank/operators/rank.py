@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -147,6 +148,7 @@ class _Loop:
         self.held: list[DataFrame] = []
         self.phases: dict[str, float] = {}
         self._clock = time.time()
+        self.tables: list[str] = []
 
     def _lap(self, name: str) -> None:
         now = time.time()
@@ -264,7 +266,7 @@ class _Loop:
                 "dst",
                 (F.col("mult") / F.col("outdeg")).alias("w"),
             )
-            self.prop_hub = prop_hub.persist()
+            self.prop_hub = self._write_table(prop_hub, "hub", bucketed=False).persist()
             self.held.append(self.prop_hub)
 
         rows = regular.select(
@@ -317,8 +319,33 @@ class _Loop:
             F.when(node_row, F.col("is_hub")).alias("hub"),
             "node_row",
         )
-        self.prop = prop.persist()
+        self.prop = self._write_table(prop, "prop", bucketed=True).persist()
         self.held.append(self.prop)
+        for c in self.setup_cache:
+            c.unpersist()
+        self.setup_cache = []
+
+    def _write_table(self, df: DataFrame, role: str, bucketed: bool) -> DataFrame:
+        """Write a loop input once to the checkpoint folder and read it back.
+
+        The read-back table is a short plan (each iteration re-analyzes it), does not
+        depend on the inputs any more, and survives executor loss. ``bucketed``
+        keeps the hash layout by ``(keys, id)`` with the loop's width, so the join
+        with the rank table needs no exchange.
+        """
+        name = f"linkrank_{role}_{uuid.uuid4().hex[:16]}"
+        path = ensure_checkpoint_dir(self.spark).rstrip("/") + "/" + name
+        writer = df.write.option("path", path)
+        if bucketed:
+            writer = writer.bucketBy(self.width, *self.k, "id")
+        writer.saveAsTable(name)
+        self.tables.append(name)
+        return self.spark.table(name)
+
+    def drop_tables(self) -> None:
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables = []
 
     # ------------------------------------------------------------------ loop
     def _base(self) -> Column | None:
@@ -426,6 +453,15 @@ class _Loop:
         )
 
     def run(self) -> RankResult:
+        try:
+            return self._run()
+        finally:
+            # Results are checkpointed, so the written loop inputs can go.
+            for df in self.held:
+                df.unpersist()
+            self.drop_tables()
+
+    def _run(self) -> RankResult:
         started = time.time()
         self._setup()
         k = self.k

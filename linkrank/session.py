@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 _AQE = "spark.sql.adaptive.enabled"
 _SHUFFLE = "spark.sql.shuffle.partitions"
+_BUCKETING = "spark.sql.sources.bucketing.enabled"
+_AUTO_BUCKETED_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -48,12 +50,17 @@ def loop_settings(spark: SparkSession, num_partitions: int):
     The rank loop keeps the edge table and the rank table hash-partitioned the
     same way, so the propagation join needs no exchange. Adaptive execution would
     coalesce the aggregation output and break that co-partitioning; skew is
-    handled explicitly instead (hub sources, partial aggregation). The caller's
-    values are restored on exit.
+    handled explicitly instead (hub sources, partial aggregation). The edge table
+    is a bucketed table whose bucketed scan must be kept even where Spark would
+    judge it useless (a plain cached scan). The caller's values are restored on
+    exit.
     """
-    saved = {k: spark.conf.get(k, None) for k in (_AQE, _SHUFFLE)}
+    keys = (_AQE, _SHUFFLE, _BUCKETING, _AUTO_BUCKETED_SCAN)
+    saved = {k: spark.conf.get(k, None) for k in keys}
     spark.conf.set(_AQE, "false")
     spark.conf.set(_SHUFFLE, str(num_partitions))
+    spark.conf.set(_BUCKETING, "true")
+    spark.conf.set(_AUTO_BUCKETED_SCAN, "false")
     try:
         yield
     finally:
