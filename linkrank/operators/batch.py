@@ -21,6 +21,8 @@ STANDARD = "standard"
 PERSONALIZED = "personalized"
 # Defaults of the experiment.
 SEEDS_PER_GRAPH = 5
+# A report row lists a graph's seeds; longer seed sets stay in ``Comparison.seeds``.
+MAX_REPORTED_SEEDS = 10_000
 TOP_K = 10
 SAMPLE_SEED = 42
 
@@ -106,9 +108,16 @@ def compare_rankings(
 def experiment_details(cmp: Comparison, keys: Sequence[str]) -> DataFrame:
     """One row per graph: ``keys..., seeds, std_top_k, ppr_top_k, overlap_score``.
 
-    Lists are bounded by ``k`` and the seed count, so per-graph collection is safe.
+    The top-k lists hold ``k`` entries; the seed list is checked against
+    ``MAX_REPORTED_SEEDS`` first, so no row gathers an unbounded group.
     """
     keys = list(keys)
+    per_graph = cmp.seeds.groupBy(*keys).count() if keys else cmp.seeds.groupBy().count()
+    longest = per_graph.agg(F.max("count")).first()[0] or 0
+    if longest > MAX_REPORTED_SEEDS:
+        raise ValueError(
+            f"a graph has {longest} seeds; report rows list at most {MAX_REPORTED_SEEDS}"
+        )
     single = not keys
     if single:
         # One graph: group and join on a constant key instead of a cross join.

@@ -41,9 +41,13 @@ def out_degree(
 def dangling_nodes(
     nodes: DataFrame, edges: DataFrame, keys: Sequence[str] | None = None
 ) -> DataFrame:
-    """Nodes without out-edges: ``nodes`` anti-joined with edge sources."""
+    """Nodes without out-edges: ``nodes`` anti-joined with the distinct edge sources.
+
+    Sources are made distinct first (map-side partial aggregation), so a source
+    with a huge out-degree is one row, not a hot join key.
+    """
     k = _k(keys)
-    srcs = edges.select(*k, F.col("src").alias("id"))
+    srcs = edges.select(*k, F.col("src").alias("id")).distinct()
     return nodes.select(*k, "id").join(srcs, [*k, "id"], "left_anti")
 
 
