@@ -65,10 +65,11 @@ MAX_CASE_GRAPHS = 64
 class RankResult:
     """Outcome of :func:`pagerank`.
 
-    ``ranks``: ``(keys..., id, rank)`` for every node. ``iterations``: ``(keys...,
-    iteration, l1_diff, dangling_mass, seconds)``, where ``dangling_mass`` is the
-    mass of the vector the update started from. ``runs``: ``(keys..., n_nodes,
-    iterations, converged)``.
+    ``ranks``: ``(keys..., id, rank)`` for every node, read from reliable
+    storage. ``iterations``: ``(keys..., iteration, l1_diff, dangling_mass,
+    seconds)``, where ``dangling_mass`` is the mass of the vector the update
+    started from. ``runs``: ``(keys..., n_nodes, iterations, converged)``.
+    ``phase_seconds``: wall time of setup, iterations and result on the driver.
     """
 
     ranks: DataFrame
@@ -335,7 +336,7 @@ class _Loop:
         """
         name = f"linkrank_{role}_{uuid.uuid4().hex[:16]}"
         path = ensure_checkpoint_dir(self.spark).rstrip("/") + "/" + name
-        writer = df.write.option("path", path)
+        writer = df.write.format("parquet").option("path", path)
         if bucketed:
             writer = writer.bucketBy(self.width, *self.k, "id")
         writer.saveAsTable(name)
