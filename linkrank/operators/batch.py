@@ -146,3 +146,44 @@ def experiment_details(cmp: Comparison, keys: Sequence[str]) -> DataFrame:
         .select(*keys, "seeds", "std_top_k", "ppr_top_k", F.col("overlap").alias("overlap_score"))
     )
     return out.drop("_one") if single else out
+
+
+def random_graphs(
+    spark, count: int, n: int, e: int, first_seed: int = SAMPLE_SEED
+) -> tuple[DataFrame, DataFrame]:
+    """``count`` generated graphs keyed by ``graph_id`` 0..count-1, generator seeds ``first_seed + i``."""
+    from linkrank.operators.generate import random_graph
+
+    nodes = edges = None
+    for i in range(count):
+        gn, ge = random_graph(spark, n, e, seed=first_seed + i)
+        gid = F.lit(i).cast("bigint").alias("graph_id")
+        gn, ge = gn.select(gid, "id"), ge.select(gid, "src", "dst")
+        nodes = gn if nodes is None else nodes.unionByName(gn)
+        edges = ge if edges is None else edges.unionByName(ge)
+    return nodes, edges
+
+
+def run_experiment(
+    spark,
+    num_graphs: int = 10,
+    n: int = 1000,
+    e: int = 5000,
+    k: int = TOP_K,
+    n_seeds: int = SEEDS_PER_GRAPH,
+    first_seed: int = SAMPLE_SEED,
+    **rank_options,
+) -> tuple[DataFrame, DataFrame]:
+    """Standard against personalized ranking on ``num_graphs`` generated graphs, in one batched loop.
+
+    Returns ``(details, summary)`` as :func:`experiment_details` and
+    :func:`linkrank.operators.compare.mean_overlap`; write them with
+    :func:`linkrank.sources.writers.write_experiment`.
+    """
+    if num_graphs <= 0:
+        raise ValueError(f"num_graphs must be positive, got {num_graphs}")
+    nodes, edges = random_graphs(spark, num_graphs, n, e, first_seed)
+    cmp = compare_rankings(
+        nodes, edges, keys=["graph_id"], k=k, n_seeds=n_seeds, seed=first_seed, **rank_options
+    )
+    return experiment_details(cmp, ["graph_id"]), cmp.summary

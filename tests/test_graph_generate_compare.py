@@ -117,3 +117,26 @@ def test_compare_rankings_batch(spark):
     details = experiment_details(cmp, ["g"]).collect()
     assert len(details) == 2 and all(len(r.std_top_k) == 5 for r in details)
     assert cmp.summary.collect()[0].num_graphs == 2
+
+
+def test_run_experiment_matches_brute_force(spark):
+    from linkrank.operators.batch import run_experiment
+    from linkrank.operators.generate import random_graph
+
+    details, summary = run_experiment(spark, num_graphs=2, n=30, e=120, k=5)
+    rows = {r.graph_id: r for r in details.collect()}
+    assert sorted(rows) == [0, 1]
+    overlaps = []
+    for gid, r in rows.items():
+        _, ge = random_graph(spark, 30, 120, seed=42 + gid)
+        edges = [(x.src, x.dst) for x in ge.collect()]
+        std, _, _ = brute_rank(range(30), edges)
+        ppr, _, _ = brute_rank(range(30), edges, seeds=list(r.seeds))
+        top = lambda w: sorted(w, key=lambda i: (-round(w[i], 9), i))[:5]
+        assert [x.id for x in r.std_top_k] == top(std)
+        assert [x.id for x in r.ppr_top_k] == top(ppr)
+        a, b = set(top(std)), set(top(ppr))
+        assert r.overlap_score == pytest.approx(len(a & b) / len(a | b))
+        overlaps.append(r.overlap_score)
+    s = summary.collect()[0]
+    assert s.num_graphs == 2 and s.average_overlap == pytest.approx(sum(overlaps) / 2)
