@@ -13,10 +13,12 @@ TIME_DIGITS = 4
 
 
 def rank_summary(result: RankResult, k: int = 10) -> DataFrame:
-    """One row: ``top_k array<struct<id, rank>>, iterations, total_time, converged, iteration_times``.
+    """One row: ``top_k array<struct<id, rank>>, iterations, total_time, converged,
+    iteration_times, mean_iteration_time``.
 
-    The lists are at most ``k`` and ``max_iter`` long, so gathering them into one
-    row is bounded.
+    ``mean_iteration_time`` is ``total_time / iterations`` (setup included), NULL
+    when no iteration ran. The lists are at most ``k`` and ``max_iter`` long, so
+    gathering them into one row is bounded.
     """
     spark = result.ranks.sparkSession
     best = top_k(result.ranks, k).agg(
@@ -46,6 +48,10 @@ def rank_summary(result: RankResult, k: int = 10) -> DataFrame:
             "total_time",
             "converged",
             F.coalesce("iteration_times", F.array()).alias("iteration_times"),
+            F.round(
+                F.col("total_time") / F.when(F.col("iterations") > 0, F.col("iterations")),
+                TIME_DIGITS,
+            ).alias("mean_iteration_time"),
         )
     )
 

@@ -96,6 +96,9 @@ def test_rank_summary_and_writer(spark, tmp_dir):
     row = rank_summary(res, 2).collect()[0]
     assert [x.id for x in row.top_k] == [1, 0]
     assert row.iterations == res.n_iterations and len(row.iteration_times) == res.n_iterations
+    assert row.mean_iteration_time is not None
+    zero = rank_summary(pagerank(e, max_iter=0), 2).collect()[0]
+    assert zero.iterations == 0 and zero.mean_iteration_time is None and zero.iteration_times == []
     write_rank_result(res, os.path.join(tmp_dir, "out"), k=2)
     back = spark.read.parquet(os.path.join(tmp_dir, "out", "ranks"))
     assert back.count() == 3
