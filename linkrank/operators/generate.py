@@ -47,7 +47,8 @@ def smallest(
     if n <= 0:
         return df.limit(0)
     width = max(1, -(-(hi - lo + 1) // _BUCKETS))
-    bucket = F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("bigint")
+    # Integer division: bucket bounds must agree exactly with the filters below.
+    bucket = F.expr(f"(`{key}` - {int(lo)}) div {int(width)}")
     counts = sorted(
         (r["b"], r["c"]) for r in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()
     )
@@ -71,8 +72,8 @@ def smallest(
 
 
 def decode_pairs(pairs: DataFrame, n: int, index: str = "k") -> DataFrame:
-    """Pair index -> ``(src, dst)`` without self-loops."""
-    src = F.floor(F.col(index) / F.lit(n - 1)).cast("bigint")
+    """Pair index -> ``(src, dst)`` without self-loops (integer arithmetic, exact for any BIGINT)."""
+    src = F.expr(f"`{index}` div {int(n - 1)}")
     c = F.pmod(F.col(index), F.lit(n - 1))
     return pairs.select(
         src.alias("src"), (c + F.when(c >= src, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias("dst")
