@@ -140,3 +140,22 @@ def test_run_experiment_matches_brute_force(spark):
         overlaps.append(r.overlap_score)
     s = summary.collect()[0]
     assert s.num_graphs == 2 and s.average_overlap == pytest.approx(sum(overlaps) / 2)
+
+
+def test_check_graph_reports_each_problem(spark):
+    nodes = spark.createDataFrame([(0,), (1,), (1,)], "id long")
+    edges = spark.createDataFrame([(0, 1), (5, 0), (1, 7)], "src long, dst long")
+    got = {r.problem: r.n for r in GR.check_graph(nodes, edges).collect()}
+    assert got == {"duplicate node id": 1, "unknown source": 1, "unknown target": 1}
+
+
+def test_seed_membership_and_teleport(spark):
+    from linkrank.operators.seeding import all_known, seed_check, teleport
+
+    nodes = spark.createDataFrame([(0,), (1,), (2,), (3,)], "id long")
+    seeds = spark.createDataFrame([(1,), (3,), (9,)], "id long")
+    assert {r.id: r.known for r in seed_check(seeds, nodes).collect()} == {1: True, 3: True, 9: False}
+    assert not all_known(seeds, nodes) and all_known(seeds.filter("id < 5"), nodes)
+    t = {r.id: r.teleport for r in teleport(nodes, seeds).collect()}
+    assert t == {0: 0.0, 1: 0.5, 2: 0.0, 3: 0.5}
+    assert {r.teleport for r in teleport(nodes).collect()} == {0.25}
