@@ -181,3 +181,18 @@ def test_argument_and_graph_errors(spark):
     for bad in (dict(damping=1.5), dict(max_iter=-1), dict(epsilon=-1.0)):
         with pytest.raises(ValueError):
             pagerank(e, n, **bad)
+
+
+def test_many_graphs_path_with_broadcast_scalars(spark, monkeypatch):
+    from linkrank.operators import rank as R
+
+    monkeypatch.setattr(R, "MAX_CASE_GRAPHS", 0)
+    graphs = {g: random_edges(20, 70, 10 + g) + [(1, j) for j in range(20)] for g in range(3)}
+    e = spark.createDataFrame(
+        [(g, s, t) for g, es in graphs.items() for s, t in es], "g long, src long, dst long"
+    )
+    res = pagerank(e, keys=["g"], hub_threshold=6)
+    got = ranks_of(res, ["g"])
+    for g, es in graphs.items():
+        want, iters, _ = brute_rank({x for p in es for x in p}, es)
+        assert max(abs(got[(g, k)] - v) for k, v in want.items()) < 1e-12
