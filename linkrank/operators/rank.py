@@ -43,7 +43,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -483,7 +483,7 @@ class _Loop:
             check = self.validate and it == 1
             # With validation, unknown targets stop the run at iteration 1, so
             # later iterations need no filter.
-            new = self._step(state, hub_ranks, keep_unknown=self.validate).persist()
+            step = self._step(state, hub_ranks, keep_unknown=self.validate)
             aggs = [
                 F.sum(F.abs(F.col("rank") - F.col("prev"))).alias("diff"),
                 F.coalesce(F.sum(F.when(F.col("dng"), F.col("rank"))), F.lit(0.0)).alias("dmass"),
@@ -494,7 +494,16 @@ class _Loop:
                 aggs.append(
                     F.collect_list(F.when(F.col("hb"), F.struct("id", "rank"))).alias("hubs")
                 )
-            rows = self._grouped(new).agg(*aggs).collect()
+            if k:
+                new = step.persist()
+                rows = self._grouped(new).agg(*aggs).collect()
+            else:
+                # One graph: the sums are observed while the new vector is cached
+                # (a no-op write materializes it), so no separate aggregate job runs.
+                obs = Observation(f"linkrank_{uuid.uuid4().hex}")
+                new = step.observe(obs, *aggs).persist()
+                new.write.format("noop").mode("overwrite").save()
+                rows = [obs.get]
             if it == 1:
                 for c in self.setup_cache:
                     c.unpersist()
