@@ -442,12 +442,39 @@ class _Loop:
             "hb",
         )
 
-    def _hub_frame(self, rows) -> DataFrame:
-        hub_rows = []
-        for r in rows:
-            key = self._key(r)
-            for h in r["hubs"] or []:
-                hub_rows.append((*key, h["id"], h["rank"]))
+    def _observe(self, step: DataFrame, keys: list[tuple]) -> tuple[list[dict], list[tuple]]:
+        """Cache ``step`` and collect per-graph sums with one observed no-op write."""
+        k = self.k
+        rank, prev = F.col("rank"), F.col("prev")
+        aggs = []
+        for i, key in enumerate(keys):
+            cond = F.lit(True)
+            for c, v in zip(k, key):
+                cond = cond & (F.col(c) == F.lit(v))
+            aggs += [
+                F.sum(F.when(cond, F.abs(rank - prev))).alias(f"diff_{i}"),
+                F.coalesce(F.sum(F.when(cond & F.col("dng"), rank)), F.lit(0.0)).alias(f"dmass_{i}"),
+                F.count_if(cond).alias(f"n_{i}"),
+                F.count_if(cond & F.col("tp").isNull()).alias(f"unknown_{i}"),
+            ]
+        if self.has_hubs:
+            aggs.append(
+                F.collect_list(F.when(F.col("hb"), F.struct(*k, "id", "rank"))).alias("hubs")
+            )
+        obs = Observation(f"linkrank_{uuid.uuid4().hex}")
+        self._observed = step.observe(obs, *aggs).persist()
+        self._observed.write.format("noop").mode("overwrite").save()
+        m = obs.get
+        rows = []
+        for i, key in enumerate(keys):
+            row = {c: v for c, v in zip(k, key)}
+            for name in ("diff", "dmass", "n", "unknown"):
+                row[name] = m[f"{name}_{i}"]
+            rows.append(row)
+        hubs = [tuple(h[c] for c in k) + (h["id"], h["rank"]) for h in (m.get("hubs") or [])]
+        return rows, hubs
+
+    def _hub_frame(self, hub_rows: list[tuple]) -> DataFrame:
         return self._runs_frame(
             hub_rows,
             [T.StructField("id", T.LongType()), T.StructField("rank", T.DoubleType())],
@@ -494,16 +521,19 @@ class _Loop:
                 aggs.append(
                     F.collect_list(F.when(F.col("hb"), F.struct("id", "rank"))).alias("hubs")
                 )
-            if k:
+            active_keys = [key for key, r in self.runs.items() if not r["converged"]]
+            if k and len(active_keys) > MAX_CASE_GRAPHS:
                 new = step.persist()
                 rows = self._grouped(new).agg(*aggs).collect()
+                hubs = [
+                    (*self._key(r), h["id"], h["rank"]) for r in rows for h in (r["hubs"] or [])
+                ]
             else:
-                # One graph: the sums are observed while the new vector is cached
-                # (a no-op write materializes it), so no separate aggregate job runs.
-                obs = Observation(f"linkrank_{uuid.uuid4().hex}")
-                new = step.observe(obs, *aggs).persist()
-                new.write.format("noop").mode("overwrite").save()
-                rows = [obs.get]
+                # The sums are observed while the new vector is cached (a no-op write
+                # materializes it), so no separate aggregate job runs. With a few
+                # graphs every sum is conditional on the graph's key.
+                rows, hubs = self._observe(step, active_keys)
+                new = self._observed
             if it == 1:
                 for c in self.setup_cache:
                     c.unpersist()
@@ -546,7 +576,7 @@ class _Loop:
                 new.unpersist()
                 cached_state = None
             if self.has_hubs:
-                hub_ranks = self._hub_frame(rows)
+                hub_ranks = self._hub_frame(hubs)
         # The result goes to reliable storage: it survives executor loss, frees the
         # cache, and later joins or unions with tables of the same lineage cannot
         # fall back to recomputing the loop.
