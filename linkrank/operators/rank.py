@@ -59,6 +59,9 @@ CHECKPOINT_INTERVAL = 3
 MIN_HUB_FANOUT = 10_000
 # Up to this many graphs, per-graph scalars are inlined as a CASE expression.
 MAX_CASE_GRAPHS = 64
+# Up to this many graphs, per-iteration sums are observed (one conditional sum per
+# graph, evaluated on every row); beyond it they are one grouped aggregate.
+MAX_OBSERVED_GRAPHS = 8
 
 
 @dataclass
@@ -522,7 +525,7 @@ class _Loop:
                     F.collect_list(F.when(F.col("hb"), F.struct("id", "rank"))).alias("hubs")
                 )
             active_keys = [key for key, r in self.runs.items() if not r["converged"]]
-            if k and len(active_keys) > MAX_CASE_GRAPHS:
+            if k and len(active_keys) > MAX_OBSERVED_GRAPHS:
                 new = step.persist()
                 rows = self._grouped(new).agg(*aggs).collect()
                 hubs = [

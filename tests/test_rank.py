@@ -187,6 +187,7 @@ def test_many_graphs_path_with_broadcast_scalars(spark, monkeypatch):
     from linkrank.operators import rank as R
 
     monkeypatch.setattr(R, "MAX_CASE_GRAPHS", 0)
+    monkeypatch.setattr(R, "MAX_OBSERVED_GRAPHS", 0)
     graphs = {g: random_edges(20, 70, 10 + g) + [(1, j) for j in range(20)] for g in range(3)}
     e = spark.createDataFrame(
         [(g, s, t) for g, es in graphs.items() for s, t in es], "g long, src long, dst long"
