@@ -197,3 +197,12 @@ def test_many_graphs_path_with_broadcast_scalars(spark, monkeypatch):
     for g, es in graphs.items():
         want, iters, _ = brute_rank({x for p in es for x in p}, es)
         assert max(abs(got[(g, k)] - v) for k, v in want.items()) < 1e-12
+
+
+def test_checkpoint_interval_does_not_change_results(spark):
+    edges = random_edges(40, 160, 11)
+    n, e = graph(spark, edges, list(range(40)))
+    base = ranks_of(pagerank(e, n, checkpoint_interval=3))
+    for interval in (1, 50):
+        res = pagerank(e, n, checkpoint_interval=interval)
+        assert ranks_of(res) == base
