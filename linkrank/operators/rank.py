@@ -123,6 +123,11 @@ def pagerank(
     error. With ``keys``, a graph without seed rows is ranked with uniform
     teleport. ``validate`` rejects duplicate node ids and edges whose endpoints
     are not nodes (only checked when ``nodes`` is given).
+
+    ``num_partitions`` (default ``spark.sql.shuffle.partitions``) is the loop's
+    width: the edge table is bucketed and the rank table hashed into that many
+    partitions. ``hub_threshold`` (default: distinct edges / width, at least
+    ``MIN_HUB_FANOUT``) is the out-fanout above which a source is a hub.
     """
     _check_args(damping, max_iter, epsilon, checkpoint_interval)
     spark = edges.sparkSession
