@@ -102,3 +102,18 @@ def test_rank_summary_and_writer(spark, tmp_dir):
     write_rank_result(res, os.path.join(tmp_dir, "out"), k=2)
     back = spark.read.parquet(os.path.join(tmp_dir, "out", "ranks"))
     assert back.count() == 3
+
+
+def test_experiment_report_round_trip(spark, tmp_dir):
+    from linkrank.operators.batch import run_experiment
+    from linkrank.sources.writers import write_experiment
+
+    details, summary = run_experiment(spark, num_graphs=2, n=20, e=60, k=3)
+    out = os.path.join(tmp_dir, "experiment")
+    write_experiment(details, summary, out)
+    back = spark.read.json(os.path.join(out, "details")).collect()
+    assert sorted(r.graph_id for r in back) == [0, 1]
+    assert all(len(r.std_top_k) == 3 and len(r.seeds) == 5 for r in back)
+    s = spark.read.json(os.path.join(out, "summary")).collect()[0]
+    assert s.num_graphs == 2
+    assert abs(s.average_overlap - sum(r.overlap_score for r in back) / 2) < 1e-12
