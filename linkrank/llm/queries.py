@@ -30,6 +30,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights=(3.0, 1.0, 2.0), share=1.5, cap=2.0)
 
 
+def op7_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.paragraph_dedup import paragraph_dedup
+
+    return paragraph_dedup(table(spark, sf_dir, "documents"), threshold=0.8, min_words=20)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.url_filter import url_verdicts
 
@@ -42,11 +48,19 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.ngram_join import ngram_classes
+
+    return ngram_classes(table(spark, sf_dir, "documents"), threshold=0.8, n=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op7_paragraph_dedup": op7_paragraph_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 # Operators that SQL can express over whole tables.
