@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from linkrank.llm.common import table
 
+TOKENIZER = "word_bpe_49k.json"
+
 # Fixed values of the URL query.
 URL_RULES = [
     ("block", "net/"),
@@ -18,6 +20,13 @@ URL_RULES = [
 ]
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.vector_dedup import near_vectors
 
@@ -30,6 +39,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights=(3.0, 1.0, 2.0), share=1.5, cap=2.0)
 
 
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
+
+
 def op7_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.paragraph_dedup import paragraph_dedup
 
@@ -57,6 +72,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op7_paragraph_dedup": op7_paragraph_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_nearest_neighbours": op9_nearest_neighbours,
