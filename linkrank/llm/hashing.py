@@ -87,11 +87,11 @@ def text_blocks(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, n
 
 
 class Words:
-    """The words of a block: runs of bytes other than space and ``\\t`` to ``\\r``."""
+    """The words of a block: runs of bytes other than space and ``\\t`` to ``\\r`` (or ``gaps``)."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE):
         n = len(data)
-        inside = ~SPACE[data]
+        inside = ~gaps[data]
         begin = inside.copy()
         begin[1:] &= ~inside[:-1]
         firsts = offsets[:-1][offsets[:-1] < n]
@@ -100,8 +100,8 @@ class Words:
         stop = inside.copy()
         stop[:-1] &= ~inside[1:] | begin[1:]
         self.end = np.flatnonzero(stop) + 1
-        prefix = prefix_hash(BYTE_VALUE[data], BYTES)
-        self.hash = range_hash(prefix, self.start, self.end, BYTES)
+        self.prefix = prefix_hash(BYTE_VALUE[data], BYTES)
+        self.hash = range_hash(self.prefix, self.start, self.end, BYTES)
         self.first = np.searchsorted(self.start, offsets[:-1])  # of each text
         self.last = np.append(self.first[1:], len(self.start))
         self.data = data

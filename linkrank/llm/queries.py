@@ -27,6 +27,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents"), min_words=5, near_words=10)
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.vector_dedup import near_vectors
 
@@ -45,6 +51,12 @@ def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op7_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.paragraph_dedup import paragraph_dedup
 
@@ -70,9 +82,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
+    "op6_toxicity": op6_toxicity,
     "op7_paragraph_dedup": op7_paragraph_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_nearest_neighbours": op9_nearest_neighbours,
