@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Scratch:
+    """Tables of one run as Parquet in the shared checkpoint folder, until :meth:`release`."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
+        self._n = 0
+
+    def store(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        self._n += 1
+        path = f"{self.root}/{self._n}"
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def release(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def null_safe_key(col: str) -> Column:
     """A non-null string that differs for every value of ``col``, null included."""
     return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit(""))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import cut
+from linkrank.llm.common import cut, fresh
 
 BREAK = "\n"
 
@@ -151,29 +151,34 @@ def one_edit(a: str, b: str) -> Column:
 
 
 def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` with the repeated lines taken out of ``text``; ``__lines`` and ``__removed`` count them."""
-    gone = (
-        repeated_lines(docs, **options).groupBy("doc_id", "version")
-        .agg(F.collect_set("no").alias("__gone"))
-        .withColumnsRenamed({"doc_id": "__id", "version": "__version"})
-    )
-    joined = docs.withColumn("__v", F.xxhash64("text")).join(
-        gone, (F.col("doc_id") == F.col("__id")) & (F.col("__v") == F.col("__version")), "left"
+    """The rows and columns of ``docs`` with the repeated lines taken out of ``text``."""
+    return _cleaned(docs, **options)[0].select(docs.columns)
+
+
+def _cleaned(docs: DataFrame, **options) -> tuple[DataFrame, str]:
+    """``docs`` without the repeated lines, and the name of a further column with their number."""
+    own, version, gone = (fresh(docs, c) for c in ("line_doc", "line_version", "line_gone"))
+    removed = (
+        repeated_lines(docs, **options)
+        .groupBy(F.col("doc_id").alias(own), F.col("version").alias(version))
+        .agg(F.collect_set("no").alias(gone))
     )
-    lines = F.split("text", BREAK)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone")
-    kept = F.array_join(F.transform(stay, lambda i: F.element_at(F.col("__all"), i + 1)), BREAK)
-    joined = joined.withColumn("__all", F.when(F.col("__gone").isNotNull(), lines))
-    text = F.when(F.col("__gone").isNotNull(), kept).otherwise(F.col("text"))
-    return joined.select(
-        *[text.alias(c) if c == "text" else docs[c] for c in docs.columns],
-        F.coalesce(F.regexp_count("text", F.lit(BREAK)) + 1, F.lit(0)).cast("long").alias("__lines"),
-        F.coalesce(F.when(F.size("__gone") > 0, F.size("__gone")), F.lit(0)).cast("long").alias("__removed"),
+    joined = docs.join(
+        removed, (docs["doc_id"] == removed[own]) & (F.xxhash64(docs["text"]) == removed[version]), "left"
     )
+    lines = F.split(docs["text"], BREAK)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    # Sorting the kept numbers is not needed: array_except keeps their order.
+    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), BREAK)
+    text = F.when(F.col(gone).isNotNull(), kept).otherwise(docs["text"])
+    columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
+    count = F.when(F.col(gone).isNull(), 0).otherwise(F.size(F.col(gone))).cast("long")
+    return joined.select(*columns, count.alias(gone)), gone
 
 
 def line_dedup(docs: DataFrame, **options) -> DataFrame:
     """``(doc_id, n_lines, n_removed, text)``, a row per row of ``docs``; ``text`` is what stays."""
-    return drop_repeated_lines(docs.select("doc_id", "text"), **options).select(
-        "doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), "text"
-    )
+    lines = F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit(BREAK), F.lit(""))) + 1, F.lit(0))
+    texts = docs.select("doc_id", "text", lines.cast("long").alias("n_lines"))
+    cleaned, removed = _cleaned(texts, **options)
+    return cleaned.select("doc_id", "n_lines", F.col(removed).alias("n_removed"), "text")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import cut, null_safe_key
+from linkrank.llm.common import cut, fresh, null_safe_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -193,15 +193,20 @@ def _corrections(chosen: DataFrame, cap: float, per_stretch: int = 4) -> DataFra
     sums = chosen.groupBy("key").agg(
         (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("left")
     )
-    up = (F.col("left") > 0) & (F.col("copies") + 1 <= cap)
-    down = (F.col("left") < 0) & (F.col("copies") >= 1)
-    able = chosen.join(sums, "key").filter(
-        (F.col("size") > 0) & (F.col("size") <= F.abs("left")) & (up | down)
-    ).withColumn("stretch", F.floor(F.log2(F.col("size") + 1) * 8))
+    # A few rows of each size class that could take a copy more, and a few that could give one.
+    ways = F.filter(
+        F.array(
+            F.when(F.col("copies") + 1 <= cap, F.lit(1)), F.when(F.col("copies") >= 1, F.lit(-1))
+        ),
+        lambda x: x.isNotNull(),
+    )
+    able = chosen.filter("size > 0").select("key", "size", "slot", "turn", F.explode(ways).alias("change"))
+    able = able.withColumn("stretch", F.floor(F.log2(F.col("size") + 1) * 8))
     place = F.row_number().over(
-        W.partitionBy("key", "stretch").orderBy(F.desc("size"), "slot", "turn")
+        W.partitionBy("key", "change", "stretch").orderBy(F.desc("size"), "slot", "turn")
     )
-    few = able.withColumn("place", place).filter(F.col("place") <= per_stretch)
+    few = able.withColumn("place", place).filter(F.col("place") <= per_stretch).join(sums, "key")
+    few = few.filter(F.col("change") == F.signum("left"))
     item = F.struct("size", "slot", "turn")
     lists = few.groupBy("key").agg(
         F.first("left").alias("left"), F.sort_array(F.collect_list(item), asc=False).alias("items")
@@ -227,17 +232,14 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
 
     Rows equal in id, source and size share the larger of their decisions.
     """
+    doc, key, size, copies = (fresh(docs, f"mix_{c}") for c in ("id", "key", "size", "copies"))
     decided = (
         mix(docs, **options)
-        .groupBy("doc_id", null_safe_key("source").alias("__key"), F.col("size").alias("__size"))
-        .agg(F.max("copies").alias("__copies"))
-        .filter(F.col("__copies") > 0)
-        .withColumnRenamed("doc_id", "__id")
-    )
-    sized = docs.withColumn("__key", null_safe_key("source")).withColumn("__size", text_size())
-    joined = sized.join(
-        decided, (F.col("doc_id").eqNullSafe(F.col("__id"))) & (sized["__key"] == decided["__key"])
-        & (sized["__size"] == decided["__size"]),
+        .groupBy(F.col("doc_id").alias(doc), null_safe_key("source").alias(key), F.col("size").alias(size))
+        .agg(F.max("copies").alias(copies))
+        .filter(F.col(copies) > 0)
     )
-    again = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
-    return joined.select(*[docs[c] for c in docs.columns], again.alias("__copy")).drop("__copy")
+    same = docs["doc_id"].eqNullSafe(decided[doc]) & (null_safe_key("source") == decided[key])
+    joined = docs.join(decided, same & (text_size() == decided[size]))
+    again = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copies)
+    return joined.select(*[docs[c] for c in docs.columns], again).drop(copies)

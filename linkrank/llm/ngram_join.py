@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import cut
+from linkrank.llm.common import cut, fresh
 from linkrank.llm.hashing import Words, as_long, band_keys, bands_for, text_blocks
 from linkrank.llm.similar import arrow_rows, candidate_components, classes, verified
 
@@ -112,7 +112,8 @@ def _repeated(digests: DataFrame, docs: DataFrame) -> bool:
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document stays: one of each class; a repeated doc_id keeps one row."""
-    kept = ngram_classes(docs, **options).filter("kept").select(F.col("doc_id").alias("__id"))
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
-    known = out.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return known.unionByName(out.filter(F.col("doc_id").isNull()))
+    own = fresh(docs, "kept_id")
+    kept = ngram_classes(docs, **options).filter(F.col("kept") & F.col("doc_id").isNotNull())
+    kept = kept.select(F.col("doc_id").alias(own))
+    known = docs.join(kept, docs["doc_id"] == kept[own]).drop(own).dropDuplicates(["doc_id"])
+    return known.unionByName(docs.filter(F.col("doc_id").isNull()))

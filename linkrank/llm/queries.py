@@ -33,6 +33,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"), min_words=5, near_words=10)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.suffix_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"), written=True)
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.vector_dedup import near_vectors
 
@@ -81,8 +87,15 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents"), threshold=0.8, n=5)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
@@ -91,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "pipeline": pipeline,
 }
 
 # Operators that SQL can express over whole tables.
