@@ -1,11 +1,12 @@
-"""Session-level helpers: checkpoint folder and the settings the rank loop needs."""
+"""Session-level helpers: the shared folder, tables kept there, and the settings the rank loop needs."""
 
 from __future__ import annotations
 
 import contextlib
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _AQE = "spark.sql.adaptive.enabled"
 _SHUFFLE = "spark.sql.shuffle.partitions"
@@ -39,6 +40,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in any store that Spark can write to."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def delete_checkpoint(df: DataFrame) -> None:
+    """Delete the files behind a DataFrame that ``checkpoint()`` returned and nobody reads any more."""
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        delete_path(df.sparkSession, file.get())
+
+
+class Scratch:
+    """Tables of one run as Parquet in the shared checkpoint folder, until :meth:`release`."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
+        self._n = 0
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def store(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        self._n += 1
+        path = self.path(str(self._n))
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        delete_path(self.spark, self.root)
+
+
 def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get(_SHUFFLE))
 
