@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
-import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.session import ensure_checkpoint_dir
+from linkrank.session import Scratch, ensure_checkpoint_dir
+
+__all__ = ["Scratch", "components", "cut", "fresh", "null_safe_key", "table", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,27 +24,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-class Scratch:
-    """Tables of one run as Parquet in the shared checkpoint folder, until :meth:`release`."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
-        self._n = 0
-
-    def store(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        self._n += 1
-        path = f"{self.root}/{self._n}"
-        writer = df.write.partitionBy(partition_by) if partition_by else df.write
-        writer.parquet(path)
-        return self.spark.read.parquet(path)
-
-    def release(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
@@ -59,16 +41,20 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def components(edges: DataFrame, seed: int = 7) -> DataFrame:
+FINISH_EDGES = 200_000
+
+
+def components(edges: DataFrame, seed: int = 7, finish: int = FINISH_EDGES) -> DataFrame:
     """Connected components of ``edges(src, dst)`` (longs): ``(node, component)``, the smallest node id.
 
     Rounds of contraction: every node points to the smallest of itself and its
     neighbours in an order that changes with the round (ids XOR a random constant),
     and edges are redrawn between the nodes pointed to. A constant share of the
     nodes goes away in each round, so the rounds grow with the logarithm of the
-    graph whatever its shape. The pointers are then followed backwards. Each step
-    is a grouped minimum (partial sums first) or a join with one row per node on
-    one side. Self-loops and null ends are ignored; nodes without edges have no row.
+    graph whatever its shape. What is left of at most ``finish`` edges (a few MB) is
+    solved in one task, and the pointers are followed backwards. Each step is a grouped
+    minimum (partial sums first) or a join with one row per node on one side.
+    Self-loops and null ends are ignored; nodes without edges have no row.
     """
     rng = random.Random(seed)
     e = cut(
@@ -77,7 +63,7 @@ def components(edges: DataFrame, seed: int = 7) -> DataFrame:
         .distinct()
     )
     pointers: list[DataFrame] = []
-    while not e.isEmpty():
+    while e.count() > finish:
         c = F.lit(rng.getrandbits(63))
         both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         nearest = both.groupBy("src").agg(F.min(F.col("dst").bitwiseXOR(c)).alias("m"))
@@ -95,14 +81,32 @@ def components(edges: DataFrame, seed: int = 7) -> DataFrame:
             .filter(F.col("src") != F.col("dst"))
             .distinct()
         )
-    if not pointers:
-        return e.select(F.col("src").alias("node"), F.col("dst").alias("component")).limit(0)
-    roots = pointers[-1]
-    for pointer in reversed(pointers[:-1]):
+    roots = e.repartition(1).mapInPandas(_solve, "node long, to long")
+    for pointer in reversed(pointers):
         after = roots.select(F.col("node").alias("to"), F.col("to").alias("root"))
-        roots = pointer.join(after, "to", "left").select(
-            "node", F.coalesce("root", "to").alias("to")
-        )
+        roots = pointer.join(after, "to", "left").select("node", F.coalesce("root", "to").alias("to"))
     roots = cut(roots)
+    if not pointers:
+        return roots.withColumnRenamed("to", "component")
     least = roots.groupBy("to").agg(F.min("node").alias("component"))
     return roots.join(least, "to").select("node", "component")
+
+
+def _solve(batches):
+    """Components of the edges of one task."""
+    parts = [b[["src", "dst"]].to_numpy("i8") for b in batches]
+    if not parts or not sum(map(len, parts)):
+        return
+    ends, at = np.unique(np.concatenate(parts), return_inverse=True)
+    src, dst = at.reshape(-1, 2).T
+    root = np.arange(len(ends))
+    while True:
+        low = np.minimum(root[src], root[dst])
+        before = root.copy()
+        np.minimum.at(root, root[src], low)
+        np.minimum.at(root, root[dst], low)
+        while (up := root[root]).tolist() != root.tolist():
+            root = up
+        if (before == root).all():
+            break
+    yield pd.DataFrame({"node": ends, "to": ends[root]})
