@@ -107,5 +107,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
+_HOST = "translate(regexp_extract({u}, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({u}, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
+_NODE = f"nullif({_HOST}, '') || {_PATH} || regexp_extract({{u}}, '^(?s:.*?)://[^/?#]*[^?#]*([^#]*)', 1)"
+
+
+def _url_sql() -> str:
+    """The rules as a CASE, longest first; aliases by a recursive union over declared links."""
+    cases = []
+    for kind, text in sorted(URL_RULES, key=lambda r: (-len(r[1]), r[0] != "allow")):
+        host, _, path = text.partition("/")
+        cases.append((f"(host = '{host}' or host like '%.{host}') and path like '/{path}%'", text, kind))
+    rule = "case " + " ".join(f"when {c} then '{t}'" for c, t, _ in cases) + " end"
+    kind = "case " + " ".join(f"when {c} then '{k}'" for c, _, k in cases) + " end"
+    return f"""with recursive
+tags as (select url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) as tag from pages
+         where url is not null and regexp_matches(html, '(?i)canonical|http-equiv')),
+hrefs as (select url, case
+    when regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?canonical\\b') then regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)
+    when regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b') then regexp_extract(tag, '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)
+    end as t from tags),
+links as (select url, case when contains(t, '://') then t when t like '//%' then 'x:' || t
+    when t like '/%' then 'x://' || {_HOST.format(u="url")} || t end as target from hrefs where t <> ''),
+edges as (select {_NODE.format(u="url")} as a, {_NODE.format(u="target")} as b from links where target is not null),
+known as (select {_NODE.format(u="u")} as node, {_HOST.format(u="u")} as host, {_PATH.format(u="u")} as path
+  from (select url as u from pages union all select target from links)),
+blocked(node) as (
+  select node from known where node is not null and {kind} = 'block'
+  union select case when e.a = r.node then e.b else e.a end from blocked r join edges e on r.node in (e.a, e.b)
+  where e.a is not null and e.b is not null),
+judged as (select page_id, coalesce({_HOST.format(u="url")}, '') as host, coalesce({_PATH.format(u="url")}, '') as path,
+  {_NODE.format(u="url")} as node from pages)
+select page_id, host, path, {rule} as rule,
+  coalesce({kind}, case when node in (select node from blocked where node is not null) then 'block' end, 'allow') as verdict
+from judged"""
+
+
 # Operators that SQL can express over whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_url_filter": _url_sql()}
