@@ -9,10 +9,10 @@ single spaces after tabs, ``\\v``, ``\\f`` and ``\\r`` have become spaces and th
    share no half with another line have no neighbour and need no variants; that leaves
    a small part of the lines for the next step and loses no pair.
 3. Every remaining line emits its deletion neighbourhood: for each word the hash of the
-   line without it. Two lines with an equal variant at the same place differ by a
-   replaced word; a variant equal to a whole line differs from it by that one word. Per
-   key only the earliest line matters, so keys are joined by grouped minima, never as
-   pairs within a group.
+   line without it, as far as the halves it shares leave that word open. Two lines with
+   an equal variant at the same place differ by a replaced word; a variant equal to a
+   whole line differs from it by that one word. Per key only the earliest line matters,
+   so keys are joined by grouped minima, never as pairs within a group.
 4. The edit distance of each line and its candidates is verified on the words. A line
    with a verified earlier neighbour goes, with all its copies.
 
@@ -36,8 +36,12 @@ from linkrank.llm.common import cut, fresh
 BREAK = "\n"
 
 
-def normal(line: str) -> Column:
-    return F.trim(F.translate(F.col(line), "\t\v\f\r", "    "))
+def all_spaces(text: str) -> Column:
+    """``\\t``, ``\\v``, ``\\f`` and ``\\r`` become spaces (byte by byte, much faster than ``translate``)."""
+    out = F.col(text)
+    for c in "\t\v\f\r":
+        out = F.replace(out, F.lit(c), F.lit(" "))
+    return out
 
 
 def n_words(line: str) -> Column:
@@ -49,9 +53,9 @@ def all_lines(docs: DataFrame) -> DataFrame:
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     lines = known.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"),
-        F.posexplode(F.split("text", BREAK)).alias("no", "line"),
+        F.posexplode(F.split(all_spaces("text"), BREAK)).alias("no", "line"),
     )
-    return lines.withColumn("line", normal("line"))
+    return lines.withColumn("line", F.trim("line"))
 
 
 def _words(line: str, count: Column) -> Column:
@@ -83,17 +87,16 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) ->
     place = F.struct("doc_id", "no")
     firsts = cut(lines.groupBy("id").agg(F.min(place).alias("first")))
 
-    # Lines that share a half with another line.
-    halves = lines.filter("halves is not null").select("id", F.explode("halves").alias("key"))
+    # Lines that share a half with another line, and which halves.
+    halves = lines.filter("halves is not null").select("id", F.posexplode("halves").alias("half", "key"))
     shared = halves.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a != b")
-    able = halves.join(shared.select("key"), "key", "left_semi").select("id").distinct()
-    able = able.join(firsts, "id").select("id", "first.doc_id", "first.no")
-    texts = all_lines(docs).filter(n_words("line") >= near_words)
+    able = halves.join(shared.select("key"), "key", "left_semi")
+    able = able.groupBy("id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("half"))).alias("halves"))
+    able = cut(able.join(firsts, "id").select("id", "halves", "first.doc_id", "first.no"))
     # One text per line, from its first occurrence; a repeated row brings it twice.
-    texts = cut(
-        texts.withColumn("id", F.xxhash64("line")).join(able, ["id", "doc_id", "no"])
-        .select("id", "doc_id", "no", "line").dropDuplicates(["id"])
-    )
+    texts = _may_contain(all_lines(docs), able, "doc_id", "no").filter(n_words("line") >= near_words)
+    texts = texts.select("doc_id", "no", F.xxhash64("line").alias("id"), "line")
+    texts = cut(texts.join(able, ["id", "doc_id", "no"]).dropDuplicates(["id"]))
     gone = cut(_near(texts).withColumn("near", F.lit(True)))
 
     judged = lines.select("doc_id", "version", "no", "id").join(firsts, "id").join(gone, "id", "left")
@@ -101,33 +104,66 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) ->
     return judged.filter(F.col("near") | again).select("doc_id", "version", "no")
 
 
+def _may_contain(rows: DataFrame, wanted: DataFrame, *key: str, bits: int = 26) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``wanted``.
+
+    A bitmap of ``2 ** bits`` hash values, 8 MB however many rows are wanted, is broadcast in
+    slices of 4 KB.
+    """
+    place = F.pmod(F.xxhash64(F.lit("bit"), *key), F.lit(1 << bits)) + 1
+    maps = wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("slice"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bitmap", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("getbit", byte, at.bitwiseAND(F.lit(7)).cast("int"))
+    found = rows.withColumn("slice", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "slice")
+    return found.filter(bit == 1).select(rows.columns)
+
+
 def _near(texts: DataFrame) -> DataFrame:
-    """``(id)`` of the lines ``texts(id, doc_id, no, line)`` that have an earlier line one word edit away."""
-    words = texts.select("id", F.posexplode(F.split("line", " ")).alias("at", "word"))
+    """``(id)`` of the lines ``texts(id, doc_id, no, line, halves)`` that have an earlier line one word edit away."""
+    words = texts.select("id", "halves", F.posexplode(F.split("line", " ")).alias("at", "word"))
     # Hashes of words at places, combined by XOR: a prefix keeps its places, a suffix moves up by one.
     here, moved = F.xxhash64("at", "word"), F.xxhash64(F.col("at") - 1, F.col("word"))
-    order = W.partitionBy("id").orderBy("at")
-    before = F.coalesce(F.bit_xor(here).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    after = F.coalesce(F.bit_xor(moved).over(order.rowsBetween(1, W.unboundedFollowing)), F.lit(0))
-    size = F.count(F.lit(1)).over(W.partitionBy("id"))
-    cutout = words.select("id", "at", size.alias("n"), before.bitwiseXOR(after).alias("rest"))
-    whole = words.groupBy("id").agg(F.bit_xor(here).alias("rest"), F.count(F.lit(1)).alias("n"))
-
-    replaced = cutout.select("id", F.xxhash64(F.lit("replaced"), "n", "at", "rest").alias("key"), F.lit(False).alias("whole"))
-    without = cutout.select("id", F.xxhash64(F.lit("added"), F.col("n") - 1, "rest").alias("key"), F.lit(False).alias("whole"))
-    entire = whole.select("id", F.xxhash64(F.lit("added"), "n", "rest").alias("key"), F.lit(True).alias("whole"))
+    whole_line = W.partitionBy("id")
+    upto = whole_line.orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    words = words.select(
+        "id", "halves", "at", F.count(F.lit(1)).over(whole_line).alias("n"),
+        F.bit_xor(here).over(whole_line).alias("all"),
+        F.bit_xor(here).over(upto).bitwiseXOR(here)
+        .bitwiseXOR(F.bit_xor(moved).over(upto)).bitwiseXOR(F.bit_xor(moved).over(whole_line)).alias("rest"),
+    )
+
+    def key(kind: str, when: Column, n: Column, *hashed: Column) -> Column:
+        of = F.struct(F.xxhash64(n, *hashed).alias("key"), F.lit(kind).alias("kind"))
+        return F.when(when, of)
+
+    def has(half: int) -> Column:
+        return F.col("halves").bitwiseAND(F.lit(1 << half)) != 0
+
+    n, at = F.col("n"), F.col("at")
+    same, shorter = F.floor(n / 2), F.floor((n - 1) / 2)
+    # The word in question lies in the half that is not shared.
+    replaced = (has(0) & (at >= same)) | (has(1) & (at < same))
+    missing = (has(2) & (at >= shorter)) | (has(3) & (at <= shorter))
+    keys = F.array(
+        key("replaced", replaced, n, at, F.col("rest")), key("added", missing, n - 1, F.col("rest")),
+        key("whole", at == 0, n, F.col("all")),
+    )
+    rows = words.select("id", F.explode(F.array_compact(keys)).alias("k")).select("id", "k.key", "k.kind")
+    # A whole line meets the variants that lack a word: same key, other kind.
+    joint = F.when(F.col("kind") == "replaced", F.lit("replaced")).otherwise(F.lit("added"))
+    rows = cut(rows.select("id", F.xxhash64(joint, "key").alias("key"), (F.col("kind") == "whole").alias("whole"),
+                           (F.col("kind") == "replaced").alias("replaced")))
+    met = rows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a != b").select("key")
     order_of = texts.select("id", F.struct("doc_id", "no", "id").alias("place"))
-    added = without.unionByName(entire).withColumn("kind", F.lit("added"))
-    rows = replaced.withColumn("kind", F.lit("replaced")).unionByName(added).distinct()
-    rows = cut(rows.join(order_of, "id"))
-
+    rows = cut(rows.join(met, "key", "left_semi").distinct().join(order_of, "id"))
     least = rows.groupBy("key").agg(
-        F.min("place").alias("any"), F.min(F.when(F.col("whole"), F.col("place"))).alias("full"),
-        F.count(F.lit(1)).alias("members"),
-    ).filter("members > 1").drop("members")
+        F.min("place").alias("any"), F.min(F.when(F.col("whole"), F.col("place"))).alias("full")
+    )
     met = rows.join(least, "key")
     # In an "added" group the whole line neighbours all others, they only it.
-    partner = F.when((F.col("kind") == "replaced") | F.col("whole"), F.col("any")).otherwise(F.col("full"))
+    partner = F.when(F.col("replaced") | F.col("whole"), F.col("any")).otherwise(F.col("full"))
     pairs = met.select("id", "place", partner.alias("partner")).filter("partner < place")
     pairs = pairs.select("id", F.col("partner.id").alias("other")).distinct()
     mine = texts.select("id", F.split("line", " ").alias("a"))
