@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def hash_order(*parts, seed: int) -> Column:
+def hash_order(*parts, seed: int | Column) -> Column:
     """Deterministic 60-bit pseudo-random key of ``concat(parts..., ':', seed)``.
 
     The first 15 hex digits of the MD5 digest, read as a non-negative BIGINT. Any
     SQL engine with ``md5`` reproduces it, which is what makes generated graphs
     and sampled seeds checkable against an independent engine.
     """
-    text = F.concat_ws(":", *[F.col(p) if isinstance(p, str) else p for p in parts], F.lit(str(seed)))
+    tail = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    text = F.concat_ws(":", *[F.col(p) if isinstance(p, str) else p for p in parts], tail)
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 

@@ -1,8 +1,7 @@
 """Standard against personalized ranking, for one graph or many graphs in one job.
 
-Every graph is ranked twice in the same loop — ``mode = 'standard'`` and ``mode =
-'personalized'`` are just one more key column — then the two top-k lists of each
-graph are compared by position and by Jaccard overlap.
+Every graph is ranked twice in one loop over one edge table, then the two top-k lists
+of each graph are compared by position and by Jaccard overlap.
 """
 
 from __future__ import annotations
@@ -15,14 +14,11 @@ from pyspark.sql import functions as F
 
 from linkrank.functions.columns import hash_order
 from linkrank.operators.compare import jaccard, mean_overlap, side_by_side, top_k
-from linkrank.operators.rank import RankResult, pagerank
+from linkrank.operators.generate import random_graphs
+from linkrank.operators.rank import PERSONALIZED, STANDARD, RankResult, pagerank_both
 
-STANDARD = "standard"
-PERSONALIZED = "personalized"
 # Defaults of the experiment.
 SEEDS_PER_GRAPH = 5
-# A report row lists a graph's seeds; longer seed sets stay in ``Comparison.seeds``.
-MAX_REPORTED_SEEDS = 10_000
 TOP_K = 10
 SAMPLE_SEED = 42
 
@@ -66,38 +62,28 @@ def compare_rankings(
     k: int = TOP_K,
     n_seeds: int = SEEDS_PER_GRAPH,
     seed: int = SAMPLE_SEED,
-    digits: int | None = None,
+    scale_digits: int | None = None,
     **rank_options,
 ) -> Comparison:
     """Rank each graph with uniform and with seeded teleport, then compare the top-k lists.
 
     ``seeds(keys..., id)`` defaults to :func:`sample_seeds` over ``nodes``.
+    ``scale_digits`` replaces a rank by ``rank * N`` rounded to so many decimals, which
+    is comparable between engines at any graph size.
     """
     keys = list(keys)
     if seeds is None:
         seeds = sample_seeds(nodes, keys, n_seeds, seed)
-    run_keys = [*keys, "mode"]
-
-    def modes(df: DataFrame) -> DataFrame:
-        return df.withColumn("mode", F.lit(STANDARD)).unionByName(
-            df.withColumn("mode", F.lit(PERSONALIZED))
-        )
-
-    res = pagerank(
-        modes(edges.select(*keys, "src", "dst")),
-        nodes=modes(nodes.select(*keys, "id")),
-        seeds=seeds.select(*keys, "id").withColumn("mode", F.lit(PERSONALIZED)),
-        keys=run_keys,
-        **rank_options,
-    )
-    top = top_k(res.ranks, k, run_keys, digits)
+    res = pagerank_both(edges, nodes, seeds.select(*keys, "id"), keys, **rank_options)
+    ranks = res.ranks if scale_digits is None else scaled(res, scale_digits)
+    top = top_k(ranks, k, res.keys)
     std = top.filter(F.col("mode") == STANDARD).drop("mode")
     ppr = top.filter(F.col("mode") == PERSONALIZED).drop("mode")
     overlap = jaccard(std, ppr, keys)
     return Comparison(
         result=res,
         seeds=seeds,
-        ranks=res.ranks,
+        ranks=ranks,
         top=top,
         pairs=side_by_side(std, ppr, keys),
         overlap=overlap,
@@ -105,63 +91,41 @@ def compare_rankings(
     )
 
 
+def scaled(result: RankResult, digits: int) -> DataFrame:
+    """``(keys..., id, rank)`` with ``rank * N`` rounded to ``digits`` decimals: a mean rank is 1 at any size."""
+    from linkrank.functions.columns import round_to
+
+    if not result.keys:
+        n = result.runs.first()["n_nodes"]
+        return result.ranks.withColumn("rank", round_to(F.col("rank") * F.lit(float(n)), digits))
+    sizes = result.runs.select(*result.keys, "n_nodes")
+    return result.ranks.join(sizes, result.keys).select(
+        *result.keys, "id", round_to(F.col("rank") * F.col("n_nodes").cast("double"), digits).alias("rank")
+    )
+
+
 def experiment_details(cmp: Comparison, keys: Sequence[str]) -> DataFrame:
-    """One row per graph: ``keys..., seeds, std_top_k, ppr_top_k, overlap_score``.
+    """One row per graph: ``keys..., std_top_k, ppr_top_k, overlap_score``.
 
-    The top-k lists hold ``k`` entries; the seed list is checked against
-    ``MAX_REPORTED_SEEDS`` first, so no row gathers an unbounded group.
+    The top-k lists hold ``k`` entries. The seeds are a table of their own,
+    ``cmp.seeds``, as their number is not bounded.
     """
     keys = list(keys)
-    per_graph = cmp.seeds.groupBy(*keys).count() if keys else cmp.seeds.groupBy().count()
-    longest = per_graph.agg(F.max("count")).first()[0] or 0
-    if longest > MAX_REPORTED_SEEDS:
-        raise ValueError(
-            f"a graph has {longest} seeds; report rows list at most {MAX_REPORTED_SEEDS}"
-        )
-    single = not keys
-    if single:
-        # One graph: group and join on a constant key instead of a cross join.
-        keys = ["_one"]
-        one = F.lit(1).alias("_one")
-        cmp = Comparison(
-            cmp.result, cmp.seeds.select(one, "*"), cmp.ranks, cmp.top.select(one, "*"),
-            cmp.pairs, cmp.overlap.select(one, "*"), cmp.summary,
-        )
+    on = keys or ["_one"]
 
-    def lists(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
+    def lists(mode: str, name: str) -> DataFrame:
+        top = cmp.top.filter(F.col("mode") == mode)
+        top = top if keys else top.withColumn("_one", F.lit(1))
+        return top.groupBy(*on).agg(
             F.transform(
                 F.sort_array(F.collect_list(F.struct("position", "id", "rank"))),
                 lambda s: F.struct(s["id"].alias("id"), s["rank"].alias("rank")),
             ).alias(name)
         )
 
-    std = lists(cmp.top.filter(F.col("mode") == STANDARD), "std_top_k")
-    ppr = lists(cmp.top.filter(F.col("mode") == PERSONALIZED), "ppr_top_k")
-    seeds = cmp.seeds.groupBy(*keys).agg(F.sort_array(F.collect_list("id")).alias("seeds"))
-    out = (
-        seeds.join(std, keys, "full")
-        .join(ppr, keys, "full")
-        .join(cmp.overlap, keys, "full")
-        .select(*keys, "seeds", "std_top_k", "ppr_top_k", F.col("overlap").alias("overlap_score"))
-    )
-    return out.drop("_one") if single else out
-
-
-def random_graphs(
-    spark, count: int, n: int, e: int, first_seed: int = SAMPLE_SEED
-) -> tuple[DataFrame, DataFrame]:
-    """``count`` generated graphs keyed by ``graph_id`` 0..count-1, generator seeds ``first_seed + i``."""
-    from linkrank.operators.generate import random_graph
-
-    nodes = edges = None
-    for i in range(count):
-        gn, ge = random_graph(spark, n, e, seed=first_seed + i)
-        gid = F.lit(i).cast("bigint").alias("graph_id")
-        gn, ge = gn.select(gid, "id"), ge.select(gid, "src", "dst")
-        nodes = gn if nodes is None else nodes.unionByName(gn)
-        edges = ge if edges is None else edges.unionByName(ge)
-    return nodes, edges
+    overlap = cmp.overlap if keys else cmp.overlap.withColumn("_one", F.lit(1))
+    out = lists(STANDARD, "std_top_k").join(lists(PERSONALIZED, "ppr_top_k"), on, "full").join(overlap, on, "full")
+    return out.select(*keys, "std_top_k", "ppr_top_k", F.col("overlap").alias("overlap_score"))
 
 
 def run_experiment(
@@ -173,11 +137,10 @@ def run_experiment(
     n_seeds: int = SEEDS_PER_GRAPH,
     first_seed: int = SAMPLE_SEED,
     **rank_options,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Standard against personalized ranking on ``num_graphs`` generated graphs, in one batched loop.
 
-    Returns ``(details, summary)`` as :func:`experiment_details` and
-    :func:`linkrank.operators.compare.mean_overlap`; write them with
+    Returns ``(details, summary, seeds)``; write them with
     :func:`linkrank.sources.writers.write_experiment`.
     """
     if num_graphs <= 0:
@@ -186,4 +149,4 @@ def run_experiment(
     cmp = compare_rankings(
         nodes, edges, keys=["graph_id"], k=k, n_seeds=n_seeds, seed=first_seed, **rank_options
     )
-    return experiment_details(cmp, ["graph_id"]), cmp.summary
+    return experiment_details(cmp, ["graph_id"]), cmp.summary, cmp.seeds

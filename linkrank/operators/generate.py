@@ -1,34 +1,31 @@
 """Deterministic random directed graphs and edge samples, as Spark jobs.
 
 A graph on ``n`` nodes has ``m = n(n-1)`` possible edges without self-loops.
-Pair index ``k`` in ``[0, m)`` decodes to ``src = k div (n-1)``,
-``c = k mod (n-1)``, ``dst = c + (c >= src)``, so a self-loop cannot occur.
-
-* sparse (``e <= m/2``): draw ``k_i = hash(i) mod m`` for ``i = 0, 1, 2, ...`` and
-  keep the first ``e`` distinct pair indices, i.e. the ``e`` indices whose first
-  draw is earliest;
-* dense (``e > m/2``): order all ``m`` pairs by ``hash(k)`` and keep the first ``e``.
-
-``hash`` is :func:`linkrank.functions.hash_order` with the generator seed. Both
-branches end in an exact "``e`` smallest keys" cut that never gathers ``e`` rows
-in one task: keys are counted per value range, whole ranges below the cut are
-kept, and only the range holding the cut is refined (recursively).
+
+* sparse (``e <= m/2``): draw ``(src, dst)`` from hashes of ``i = 0, 1, 2, ...`` and keep the
+  first ``e`` distinct pairs, i.e. the ``e`` pairs whose first draw is earliest;
+* dense (``e > m/2``): order all ``m`` pairs by a hash of their number and keep the first ``e``.
+
+``dst`` is drawn among ``n - 1`` values and moved up by one from ``src`` on, so a self-loop
+cannot occur. Both branches end in an exact "``e`` smallest keys" cut that never gathers
+``e`` rows in one task: keys are counted per value range, whole ranges below the cut
+are kept, and only the range holding the cut is refined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkrank.functions.columns import hash_order
+from linkrank.session import ensure_checkpoint_dir
 
-# Default generator seed, and the sizes steering the exact cut.
+# Default generator seed, bits of a hash key, value ranges per counting pass.
 DEFAULT_SEED = 42
 HASH_BITS = 60
 _BUCKETS = 1024
-_SMALL = 200_000
 
 
 def smallest(
@@ -41,43 +38,60 @@ def smallest(
 ) -> DataFrame:
     """The ``n`` rows with the smallest ``(key, *tie)``; ``key`` is a BIGINT in ``[lo, hi]``.
 
-    One counting pass per level; each level narrows the key range by ``_BUCKETS``.
-    The final candidate set is at most ``_SMALL`` rows before its ordered limit.
+    ``df`` is written once; every counting pass narrows the range of the cut by
+    ``_BUCKETS`` until it is a single key value, whose rows are ordered by ``tie``.
     """
     if n <= 0:
         return df.limit(0)
-    width = max(1, -(-(hi - lo + 1) // _BUCKETS))
-    # Integer division: bucket bounds must agree exactly with the filters below.
-    bucket = F.expr(f"(`{key}` - {int(lo)}) div {int(width)}")
-    counts = sorted(
-        (r["b"], r["c"]) for r in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()
-    )
-    total = sum(c for _, c in counts)
-    if total <= n:
-        return df
-    if total <= _SMALL or width == 1:
-        return df.orderBy(F.col(key), *[F.col(t) for t in tie]).limit(n)
-    before = 0
-    for b, c in counts:
-        if before + c >= n:
-            cut_lo = lo + b * width
-            cut_hi = min(hi, cut_lo + width - 1)
-            below = df.filter(F.col(key) < F.lit(cut_lo))
-            inside = df.filter((F.col(key) >= F.lit(cut_lo)) & (F.col(key) <= F.lit(cut_hi)))
-            if before + c == n:
-                return below.unionByName(inside)
-            return below.unionByName(smallest(inside, key, n - before, cut_lo, cut_hi, tie))
-        before += c
-    raise AssertionError("unreachable: total > n")
-
-
-def decode_pairs(pairs: DataFrame, n: int, index: str = "k") -> DataFrame:
-    """Pair index -> ``(src, dst)`` without self-loops (integer arithmetic, exact for any BIGINT)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
+    taken = 0
+    while True:
+        width = max(1, -(-(hi - lo + 1) // _BUCKETS))
+        inside = df.filter((F.col(key) >= F.lit(lo)) & (F.col(key) <= F.lit(hi)))
+        # Integer division: the bounds must agree exactly with the filters.
+        bucket = F.expr(f"(`{key}` - {int(lo)}) div {int(width)}")
+        counts = inside.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()
+        for b, c in sorted((r["b"], r["c"]) for r in counts):
+            if taken + c >= n:
+                break
+            taken += c
+        else:
+            return df.filter(F.col(key) <= F.lit(hi))
+        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+        if taken + c == n:
+            return df.filter(F.col(key) <= F.lit(hi))
+        if lo == hi:
+            same = df.filter(F.col(key) == F.lit(lo)).orderBy(*[F.col(t) for t in tie] or [F.col(key)])
+            return df.filter(F.col(key) < F.lit(lo)).unionByName(same.limit(n - taken))
+
+
+def _draws(i: str, seed, n: int) -> list:
+    """``src`` and ``dst`` of draw ``i``, from two independent hashes."""
+    src = F.pmod(hash_order(i, F.lit("src"), seed=seed), F.lit(n))
+    dst = F.pmod(hash_order(i, F.lit("dst"), seed=seed), F.lit(n - 1))
+    return [src.alias("src"), (dst + F.when(dst >= src, 1).otherwise(0)).alias("dst")]
+
+
+def _numbered(pairs: DataFrame, n: int, index: str, *keep: str) -> DataFrame:
+    """Pair number ``k`` in ``[0, n(n-1))`` to ``(src, dst)``."""
     src = F.expr(f"`{index}` div {int(n - 1)}")
-    c = F.pmod(F.col(index), F.lit(n - 1))
-    return pairs.select(
-        src.alias("src"), (c + F.when(c >= src, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias("dst")
-    )
+    dst = F.pmod(F.col(index), F.lit(n - 1))
+    moved = (dst + F.when(dst >= src, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    return pairs.select(*keep, src.alias("src"), moved.alias("dst"))
+
+
+def _checked(n: int, e: int) -> tuple[int, int]:
+    if n <= 0:
+        raise ValueError(f"number of nodes must be positive, got {n}")
+    if e < 0:
+        raise ValueError(f"number of edges must not be negative, got {e}")
+    if n >= 1 << HASH_BITS:
+        raise ValueError(f"number of nodes must be below 2^{HASH_BITS}, got {n}")
+    m = n * (n - 1)
+    if min(e, m) > m // 2 and m >= 1 << HASH_BITS:
+        raise ValueError("a dense graph of this size has more pairs than the generator numbers")
+    return m, min(e, m)
 
 
 def random_graph(
@@ -87,30 +101,49 @@ def random_graph(
 
     Isolated nodes are kept in ``nodes``.
     """
-    if n <= 0:
-        raise ValueError(f"number of nodes must be positive, got {n}")
-    if e < 0:
-        raise ValueError(f"number of edges must not be negative, got {e}")
-    m = n * (n - 1)
-    e = min(e, m)
+    m, e = _checked(n, e)
     nodes = spark.range(n).select(F.col("id"))
     if e == 0:
         return nodes, spark.range(0).select(F.col("id").alias("src"), F.col("id").alias("dst"))
-    if e <= m * 0.5:
-        draws_n = e + e // 4 + 64
+    if e <= m // 2:
+        count = e + e // 4 + 64
         while True:
-            draws = spark.range(draws_n).select(
-                F.col("id").alias("i"), F.pmod(hash_order("id", seed=seed), F.lit(m)).alias("k")
-            )
-            firsts = draws.groupBy("k").agg(F.min("i").alias("first"))
+            draws = spark.range(count).select(F.col("id").alias("i"), *_draws("id", seed, n))
+            firsts = draws.groupBy("src", "dst").agg(F.min("i").alias("first"))
             if firsts.count() >= e:
-                break
-            draws_n *= 2
-        chosen = smallest(firsts, "first", e, 0, draws_n - 1)
-    else:
-        pairs = spark.range(m).select(F.col("id").alias("k"), hash_order("id", seed=seed).alias("h"))
-        chosen = smallest(pairs, "h", e, 0, (1 << HASH_BITS) - 1, tie=["k"])
-    return nodes, decode_pairs(chosen, n)
+                return nodes, smallest(firsts, "first", e, 0, count - 1).select("src", "dst")
+            count *= 2
+    pairs = spark.range(m).select(F.col("id").alias("k"), hash_order("id", seed=seed).alias("h"))
+    return nodes, _numbered(smallest(pairs, "h", e, 0, (1 << HASH_BITS) - 1, tie=["k"]), n, "k")
+
+
+def random_graphs(
+    spark: SparkSession, count: int, n: int, e: int, first_seed: int = DEFAULT_SEED
+) -> tuple[DataFrame, DataFrame]:
+    """``count`` graphs as :func:`random_graph` makes them, keyed by ``graph_id`` 0..count-1, in one job.
+
+    Graph ``i`` has seed ``first_seed + i``. The cut is a window per graph, so this is meant for
+    many graphs of moderate size; make a large one with :func:`random_graph`.
+    """
+    m, e = _checked(n, e)
+    graph = F.expr(f"id div {n}").alias("graph_id")
+    nodes = spark.range(count * n).select(graph, F.pmod("id", F.lit(n)).alias("id"))
+    seed = F.col("graph_id") + F.lit(first_seed)
+    draws = m if e > m // 2 else 2 * e + 64
+    while True:
+        rows = spark.range(count * draws).select(
+            F.expr(f"id div {draws}").alias("graph_id"), F.pmod("id", F.lit(draws)).alias("i")
+        )
+        if e > m // 2:
+            pairs = _numbered(rows.withColumn("first", hash_order("i", seed=seed)), n, "i", "graph_id", "first", "i")
+        else:
+            pairs = rows.select("graph_id", "i", *_draws("i", seed, n))
+            pairs = pairs.groupBy("graph_id", "src", "dst").agg(F.min("i").alias("i")).withColumn("first", F.col("i"))
+        turn = F.row_number().over(Window.partitionBy("graph_id").orderBy("first", "i"))
+        edges = pairs.withColumn("turn", turn).filter(F.col("turn") <= e).select("graph_id", "src", "dst")
+        if e > m // 2 or edges.count() == count * e:
+            return nodes, edges
+        draws *= 2
 
 
 def edge_sample(edges: DataFrame, e: int, seed: int = DEFAULT_SEED) -> DataFrame:

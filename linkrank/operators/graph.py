@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkrank.session import default_partitions
+
 
 def _k(keys: Sequence[str] | None) -> list[str]:
     return list(keys or ())
@@ -71,18 +73,34 @@ def clean_edges(edges: DataFrame, keys: Sequence[str] | None = None) -> DataFram
     return edges.filter(F.col("src") != F.col("dst")).select(*k, "src", "dst").distinct()
 
 
+def join_by_source(many: DataFrame, sources: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """Join rows per edge with the one row per source ``sources(keys..., src, fanout, ...)``.
+
+    ``fanout`` is the number of rows of ``many`` that a source has. Sources with more
+    rows than a mean partition, fewer than there are partitions, are joined by
+    broadcast and so never meet in one task; all others by shuffle.
+    """
+    k = _k(keys)
+    rows = sources.agg(F.sum("fanout")).first()[0] or 0
+    limit = -(-rows // default_partitions(many.sparkSession))
+    hubs = F.broadcast(sources.filter(F.col("fanout") > limit))
+    rest = many.join(hubs.select(*k, "src"), [*k, "src"], "left_anti")
+    return many.join(hubs, [*k, "src"]).unionByName(
+        rest.join(sources.filter(F.col("fanout") <= limit), [*k, "src"])
+    )
+
+
 def weighted_edges(edges: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """``(keys..., src, dst, multiplicity, weight)`` with ``weight = multiplicity / out_degree``.
 
-    Parallel edges collapse into one row, so later work scales with distinct
-    edges. The degree join is on ``src``; a source holding a large share of all
-    edges is split by adaptive skew-join handling (this runs outside the rank
-    loop, where adaptive execution stays on).
+    Parallel edges collapse into one row, so later work scales with distinct edges.
     """
     k = _k(keys)
     pairs = edges.groupBy(*k, "src", "dst").agg(F.count(F.lit(1)).alias("multiplicity"))
-    deg = pairs.groupBy(*k, "src").agg(F.sum("multiplicity").alias("_deg"))
-    return pairs.join(deg, [*k, "src"]).select(
+    deg = pairs.groupBy(*k, "src").agg(
+        F.sum("multiplicity").alias("_deg"), F.count(F.lit(1)).alias("fanout")
+    )
+    return join_by_source(pairs, deg, k).select(
         *k,
         "src",
         "dst",
@@ -101,22 +119,36 @@ def adjacency(
 
     Every node appears, with an empty list when it has no out-edges. Neighbor
     lists are sorted and keep parallel edges. A node with more than ``max_list``
-    out-edges is split over ``ceil(out_degree / max_list)`` rows (``part`` 0, 1,
-    ...; neighbors spread by hash), so no single row or task has to hold the
-    list of a hub. Ordinary nodes have one row with ``part = 0``.
+    out-edges has ``ceil(out_degree / max_list)`` rows, ``part`` 0, 1, ..., none
+    longer than ``max_list``.
+
+    A source's edges are spread over hash cells of a fraction of ``max_list`` and
+    numbered cell by cell, so neither the numbering nor a list gathers a hub in
+    one task.
     """
     k = _k(keys)
-    deg = edges.groupBy(*k, "src").agg(F.count(F.lit(1)).alias("_deg"))
-    deg = deg.withColumn("_parts", F.ceil(F.col("_deg") / F.lit(max_list)).cast("int"))
-    tagged = edges.select(*k, "src", "dst").join(deg, [*k, "src"]).withColumn(
-        "part",
-        F.when(F.col("_parts") <= 1, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("dst"), F.col("_parts")).cast("int")
-        ),
+    pairs = edges.groupBy(*k, "src", "dst").agg(F.count(F.lit(1)).alias("multiplicity"))
+    deg = pairs.groupBy(*k, "src").agg(
+        F.sum("multiplicity").alias("_deg"), F.count(F.lit(1)).alias("fanout")
+    )
+    bag = join_by_source(pairs, deg, k).select(
+        *k, "src", "dst", "_deg", F.explode(F.sequence(F.lit(1), F.col("multiplicity"))).alias("_copy")
     )
-    lists = tagged.groupBy(*k, F.col("src").alias("id"), "part").agg(
-        F.sort_array(F.collect_list("dst")).alias("out_neighbors"),
-        F.first("_deg").alias("_deg"),
+    cells = F.when(F.col("_deg") <= max_list, 1).otherwise(F.ceil(F.col("_deg") / F.lit(max_list)) * 4)
+    cell = F.pmod(F.xxhash64("dst", "_copy"), cells)
+    # Explicit: the layout by source would satisfy the window and keep a hub in one task.
+    bag = bag.withColumn("_cell", cell).repartition(*k, "src", "_cell")
+    inside = Window.partitionBy(*k, "src", "_cell")
+    bag = bag.withColumn("_at", F.row_number().over(inside.orderBy("dst", "_copy")) - 1)
+    sizes = bag.groupBy(*k, "src", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*k, "src").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    part = F.floor((F.col("_before") + F.col("_at")) / F.lit(max_list)).cast("int")
+    tagged = bag.join(sizes.drop("_n"), [*k, "src", "_cell"]).withColumn("part", part)
+    lists = (
+        tagged.repartition(*k, "src", "part")
+        .groupBy(*k, F.col("src").alias("id"), "part")
+        .agg(F.sort_array(F.collect_list("dst")).alias("out_neighbors"), F.first("_deg").alias("_deg"))
     )
     return (
         nodes.select(*k, "id")

@@ -10,29 +10,31 @@ node, or ``1/|S|`` on the seed set ``S`` and 0 elsewhere. The start vector is
 ``1/N`` in both cases. The loop stops after the first update whose L1 change is
 strictly below ``epsilon``, or after ``max_iter`` updates.
 
-Physical layout (one shuffle per iteration):
+One loop ranks any number of graphs (``keys``) and, for a comparison, several
+vectors per graph over one edge table (one teleport column and one rank column
+each).
 
-* ``prop``, built once: one row per distinct edge ``(id=src, dst, w)`` plus one
-  "node row" per node ``(id, dst=id, w=0)`` carrying the node's static
-  attributes (teleport, dangling flag). Hash-partitioned by ``(keys, id)`` and
-  persisted.
+Physical layout (one shuffle of contributions per iteration):
+
+* ``prop``, written once: one row per distinct edge ``(id=src, dst, w)`` plus one
+  "node row" per node ``(id, dst=id, w=0)`` carrying the node's static attributes
+  (teleport, dangling flag). A Parquet table bucketed by ``(keys, id)``.
 * the rank table ``(keys, id, rank)`` comes out of the previous iteration's
   aggregation, hash-partitioned by the same key and width, so the join with
   ``prop`` is partition-local. The aggregation by ``dst`` (partial, then final)
-  is the only exchange. Because the node rows travel through the same join and
-  aggregation, the rank table is read once per iteration and the plan grows
-  linearly; a reliable checkpoint every ``checkpoint_interval`` iterations cuts
-  it and bounds recomputation after an executor loss.
-* sources with more distinct out-edges than the hub threshold (by default the
-  average partition size, so fewer hubs than partitions) are kept out of
-  ``prop``: their edges sit in a separate table spread over all partitions and
-  receive the hub ranks through a broadcast whose size is bounded by the number
-  of hubs. A hub therefore never makes one task process its whole edge list.
-* one small aggregate per iteration returns, per graph, the L1 change, the
-  dangling mass for the next update and the hub ranks.
-
-Many graphs (``keys``) run in one loop; a graph that has converged is set aside
-(checkpointed) and dropped from later iterations.
+  is the only large exchange. The node rows travel through the same join and
+  aggregation, so the rank table is read once per iteration and the plan grows
+  linearly; a reliable checkpoint every ``checkpoint_interval`` iterations cuts it
+  and bounds recomputation after an executor loss.
+* the numbers of a single graph (dangling mass, L1 change) are observed while its new
+  vector is cached, so an iteration is one job. With ``keys`` they are a table with a
+  row per graph, written every iteration as the log and joined by key; the driver
+  sees only how many graphs are still running. The join is a broadcast up to
+  ``MAX_BROADCAST_GRAPHS`` rows and a shuffle join beyond.
+* sources with more distinct out-edges than the mean partition size (so fewer
+  than there are partitions) are hubs: their edges sit in a table of their own,
+  spread over all partitions, and receive the hub ranks through a broadcast of
+  less than ``num_partitions`` rows.
 """
 
 from __future__ import annotations
@@ -43,62 +45,60 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linkrank.operators.graph import node_set
-from linkrank.session import default_partitions, ensure_checkpoint_dir, loop_settings
+from linkrank.session import (
+    Scratch,
+    default_partitions,
+    delete_checkpoint,
+    delete_path,
+    ensure_checkpoint_dir,
+    loop_settings,
+)
 
 # Defaults of the algorithm.
 DAMPING = 0.85
 MAX_ITER = 100
 EPSILON = 1e-6
 CHECKPOINT_INTERVAL = 3
-# A source needs at least this many distinct out-edges to be treated as a hub.
-MIN_HUB_FANOUT = 10_000
-# Up to this many graphs, per-graph scalars are inlined as a CASE expression.
-MAX_CASE_GRAPHS = 64
-# Up to this many graphs, per-iteration sums are observed (one conditional sum per
-# graph, evaluated on every row); beyond it they are one grouped aggregate.
-MAX_OBSERVED_GRAPHS = 8
+# Up to this many graphs the table with a row per graph is broadcast (a few MB).
+MAX_BROADCAST_GRAPHS = 50_000
+# Key column of a run without keys.
+SINGLE = "_graph"
+STANDARD = "standard"
+PERSONALIZED = "personalized"
 
 
 @dataclass
 class RankResult:
-    """Outcome of :func:`pagerank`.
-
-    ``ranks``: ``(keys..., id, rank)`` for every node, read from reliable
-    storage. ``iterations``: ``(keys..., iteration, l1_diff, dangling_mass,
-    seconds)``, where ``dangling_mass`` is the mass of the vector the update
-    started from. ``runs``: ``(keys..., n_nodes, iterations, converged)``.
-    ``phase_seconds``: wall time of setup, iterations and result on the driver.
+    """Outcome of a ranking.
+
+    ``ranks``: ``(keys..., id, rank)`` for every node. ``iterations``: ``(keys...,
+    iteration, l1_diff, dangling_mass, seconds)``, where ``dangling_mass`` is the
+    mass of the vector the update started from. ``runs``: ``(keys..., n_nodes,
+    iterations, converged)``. ``keys`` names the key columns (``mode`` is the last
+    one where several vectors were ranked). ``unknown_seeds`` counts seeds that are
+    not nodes, which are ignored. The tables live in the checkpoint folder until
+    :meth:`release`.
     """
 
     ranks: DataFrame
     iterations: DataFrame
     runs: DataFrame
+    keys: list[str]
     n_iterations: int
     converged: bool
     total_seconds: float
+    unknown_seeds: int = 0
     phase_seconds: dict = field(default_factory=dict)
-    _held: list = field(default_factory=list, repr=False)
-
-    def unpersist(self) -> None:
-        for df in self._held:
-            df.unpersist()
-        self._held.clear()
-
+    store: Scratch | None = field(default=None, repr=False)
 
-def _check_args(damping, max_iter, epsilon, checkpoint_interval):
-    if not 0.0 <= damping <= 1.0:
-        raise ValueError(f"damping must be in [0, 1], got {damping}")
-    if max_iter < 0:
-        raise ValueError(f"max_iter must be >= 0, got {max_iter}")
-    if epsilon < 0:
-        raise ValueError(f"epsilon must be >= 0, got {epsilon}")
-    if checkpoint_interval < 1:
-        raise ValueError(f"checkpoint_interval must be >= 1, got {checkpoint_interval}")
+    def release(self) -> None:
+        """Delete the result's tables."""
+        if self.store is not None:
+            self.store.release()
 
 
 def pagerank(
@@ -111,528 +111,436 @@ def pagerank(
     epsilon: float = EPSILON,
     checkpoint_interval: int = CHECKPOINT_INTERVAL,
     num_partitions: int | None = None,
-    hub_threshold: int | None = None,
+    hub_threshold: int = 0,
     validate: bool = True,
 ) -> RankResult:
     """Rank every node of one graph, or of many graphs keyed by ``keys``.
 
     ``edges(keys..., src, dst)``; ``nodes(keys..., id)`` defaults to the edge
     endpoints and is needed for isolated nodes. ``seeds(keys..., id)`` turns a
-    graph personalized: seeds that are not nodes are ignored, and a graph whose
-    seeds are all unknown (or an empty seed table for a single graph) is an
-    error. With ``keys``, a graph without seed rows is ranked with uniform
-    teleport. ``validate`` rejects duplicate node ids and edges whose endpoints
-    are not nodes (only checked when ``nodes`` is given).
+    graph personalized: seeds that are not nodes are ignored and counted, and a
+    graph whose seeds are all unknown (or an empty seed table for a single graph)
+    is an error. With ``keys``, a graph without seed rows is ranked with uniform
+    teleport. NULL endpoints, NULL or repeated node ids and, with ``validate``,
+    edges whose endpoints are not nodes are errors.
 
     ``num_partitions`` (default ``spark.sql.shuffle.partitions``) is the loop's
     width: the edge table is bucketed and the rank table hashed into that many
-    partitions. ``hub_threshold`` (default: distinct edges / width, at least
-    ``MIN_HUB_FANOUT``) is the out-fanout above which a source is a hub.
+    partitions. ``hub_threshold`` raises the out-fanout above which a source is a
+    hub; it never falls below distinct edges / width, which bounds the hubs.
     """
-    _check_args(damping, max_iter, epsilon, checkpoint_interval)
+    return _rank(
+        edges, nodes, seeds, keys, {None: seeds is not None}, damping, max_iter, epsilon,
+        checkpoint_interval, num_partitions, hub_threshold, validate,
+    )
+
+
+def pagerank_both(
+    edges: DataFrame,
+    nodes: DataFrame | None,
+    seeds: DataFrame,
+    keys: Sequence[str] = (),
+    damping: float = DAMPING,
+    max_iter: int = MAX_ITER,
+    epsilon: float = EPSILON,
+    checkpoint_interval: int = CHECKPOINT_INTERVAL,
+    num_partitions: int | None = None,
+    hub_threshold: int = 0,
+    validate: bool = True,
+) -> RankResult:
+    """Standard and personalized ranks over one edge table; results have a key column ``mode``."""
+    return _rank(
+        edges, nodes, seeds, keys, {STANDARD: False, PERSONALIZED: True}, damping, max_iter, epsilon,
+        checkpoint_interval, num_partitions, hub_threshold, validate,
+    )
+
+
+def _rank(
+    edges, nodes, seeds, keys, vectors, damping, max_iter, epsilon, interval, num_partitions, hub_threshold, validate
+) -> RankResult:
+    if not 0.0 <= damping <= 1.0:
+        raise ValueError(f"damping must be in [0, 1], got {damping}")
+    if max_iter < 0:
+        raise ValueError(f"max_iter must be >= 0, got {max_iter}")
+    if epsilon < 0:
+        raise ValueError(f"epsilon must be >= 0, got {epsilon}")
+    if interval < 1:
+        raise ValueError(f"checkpoint_interval must be >= 1, got {interval}")
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     width = num_partitions or default_partitions(spark)
-    with loop_settings(spark, width):
-        return _Loop(
-            edges, nodes, seeds, list(keys), float(damping), int(max_iter), float(epsilon),
-            int(checkpoint_interval), width, hub_threshold, validate,
-        ).run()
+    loop = _Loop(
+        edges, nodes, seeds, list(keys), vectors, float(damping), int(max_iter), float(epsilon), int(interval),
+        width, int(hub_threshold or 0), validate,
+    )
+    try:
+        # Adaptive execution stays on while the input is derived.
+        loop.setup()
+        with loop_settings(spark, width):
+            return loop.run()
+    except BaseException:
+        loop.result.release()
+        raise
+    finally:
+        loop.clean_up()
 
 
 class _Loop:
-    def __init__(self, edges, nodes, seeds, keys, d, max_iter, eps, interval, width, hub_threshold, validate):
+    def __init__(self, edges, nodes, seeds, keys, vectors, d, max_iter, eps, interval, width, hub_threshold, validate):
         self.spark = edges.sparkSession
-        self.k = keys
+        self.given, self.k = keys, keys or [SINGLE]
+        self.names, self.personalized = list(vectors), list(vectors.values())
+        self.m = range(len(self.names))
         self.d, self.max_iter, self.eps, self.interval = d, max_iter, eps, interval
-        self.width = width
-        self.hub_threshold = hub_threshold
+        self.width, self.hub_threshold = width, hub_threshold
         self.validate = validate and nodes is not None
-        e = edges.select(*keys, F.col("src").cast("bigint"), F.col("dst").cast("bigint"))
-        self.edges = e
-        self.nodes = (nodes if nodes is not None else node_set(e, keys)).select(
-            *keys, F.col("id").cast("bigint")
-        )
-        self.seeds = seeds
-        self.held: list[DataFrame] = []
+        self.edges = self._keyed(edges, "src", "dst")
+        self.nodes = None if nodes is None else self._keyed(nodes, "id")
+        self.seeds = None if seeds is None else self._keyed(seeds, "id").distinct()
+        self.scratch, self.result = Scratch(self.spark), Scratch(self.spark)
+        self.tables: list[tuple[str, str]] = []
+        self.checkpoints: list[DataFrame] = []
+        self.cached: list[DataFrame] = []
+        self.rows: list[dict] = []  # the log of a single graph, a row per iteration
         self.phases: dict[str, float] = {}
-        self._clock = time.time()
-        self.tables: list[str] = []
+        self.started = self._clock = time.time()
+
+    def _keyed(self, df: DataFrame, *ids: str) -> DataFrame:
+        single = [] if self.given else [F.lit(0).alias(SINGLE)]
+        return df.select(*single, *self.given, *[F.col(c).cast("bigint").alias(c) for c in ids])
 
     def _lap(self, name: str) -> None:
         now = time.time()
         self.phases[name] = round(self.phases.get(name, 0.0) + now - self._clock, 4)
         self._clock = now
 
-    # ----------------------------------------------------------------- setup
-    def _key(self, row) -> tuple:
-        return tuple(row[c] for c in self.k)
-
-    def _grouped(self, df):
-        return df.groupBy(*self.k) if self.k else df
+    def _per_graph(self, df: DataFrame) -> DataFrame:
+        """A table with a row per graph, broadcast where its size is known to be small."""
+        return F.broadcast(df) if self.n_graphs <= MAX_BROADCAST_GRAPHS else df
 
-    def _setup(self):
+    # ----------------------------------------------------------------- setup
+    def setup(self) -> None:
         k = self.k
-        pairs = self.edges.groupBy(*k, "src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-        deg = pairs.groupBy(*k, "src").agg(
-            F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("fanout")
+        pairs = self.scratch.store(
+            self.edges.groupBy(*k, "src", "dst").agg(F.count(F.lit(1)).alias("mult"))
         )
-        # With validation the join is full outer, so sources missing from the node
-        # table are counted in the same pass as the statistics below.
-        known = self.nodes.withColumn("_known", F.lit(True))
-        info = known.join(
-            deg.withColumnRenamed("src", "id"), [*k, "id"], "full" if self.validate else "left"
+        if not pairs.filter("src is null or dst is null").isEmpty():
+            raise ValueError("edges have NULL endpoints")
+        nodes = node_set(pairs, k) if self.nodes is None else self.nodes
+        info = nodes.groupBy(*k, "id").agg(F.count(F.lit(1)).alias("copies"))
+        deg = pairs.groupBy(*k, F.col("src").alias("id")).agg(
+            F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("fanout")
         )
-        personalized = self.seeds is not None
-        if personalized:
-            s = (
-                self.seeds.select(*k, F.col("id").cast("bigint"))
-                .distinct()
-                .withColumn("is_seed", F.lit(True))
+        # With validation the join is full outer: sources that are not nodes show up.
+        info = info.join(deg, [*k, "id"], "full" if self.validate else "left")
+        is_seed = F.lit(False)
+        if self.seeds is not None:
+            info = info.join(self.seeds.withColumn("seed", F.lit(True)), [*k, "id"], "left")
+            is_seed = F.coalesce("seed", F.lit(False))
+        zero = F.lit(0).cast("bigint")
+        info = self.scratch.store(
+            info.select(
+                *k, "id", F.coalesce("copies", zero).alias("copies"), F.coalesce("outdeg", zero).alias("outdeg"),
+                F.coalesce("fanout", zero).alias("fanout"), is_seed.alias("is_seed"),
             )
-            info = info.join(s, [*k, "id"], "left")
-        info = info.select(
-            *k,
-            "id",
-            F.coalesce("outdeg", F.lit(0)).cast("bigint").alias("outdeg"),
-            F.coalesce("fanout", F.lit(0)).cast("bigint").alias("fanout"),
-            (F.coalesce("is_seed", F.lit(False)) if personalized else F.lit(False)).alias("is_seed"),
-            F.coalesce("_known", F.lit(False)).alias("_known"),
-        )
-        pairs, info = pairs.persist(), info.persist()
-        self.setup_cache = [pairs, info]
-
-        is_node = F.col("_known")
-        stats = self._grouped(info).agg(
+        )
+        is_node = F.col("copies") > 0
+        graphs = info.groupBy(*k).agg(
             F.count_if(is_node).alias("n"),
             F.count_if(is_node & (F.col("outdeg") == 0)).alias("n_dangling"),
             F.count_if(is_node & F.col("is_seed")).alias("n_seeds"),
             F.sum("fanout").alias("n_pairs"),
             F.max("fanout").alias("max_fanout"),
-            F.count_if(~is_node).alias("unknown_src"),
-        ).collect()
+            F.count_if(~is_node).alias("unknown"),
+            F.count_if(F.col("copies") > 1).alias("repeated"),
+            F.count_if(is_node & F.col("id").isNull()).alias("null_ids"),
+        )
+        if self.seeds is not None:
+            wanted = self.seeds.groupBy(*k).agg(F.count(F.lit(1)).alias("wanted"))
+            graphs = graphs.join(wanted, k, "left").withColumn("wanted", F.coalesce("wanted", zero))
+        else:
+            graphs = graphs.withColumn("wanted", zero)
+        self.graphs = self.result.store(graphs)
+        total = self.graphs.agg(
+            F.count(F.lit(1)).alias("graphs"), F.min("n").alias("least"), F.sum("n_pairs").alias("pairs"),
+            F.max("max_fanout").alias("max_fanout"), F.sum("unknown").alias("unknown"),
+            F.sum("repeated").alias("repeated"), F.sum("null_ids").alias("null_ids"),
+            F.sum("wanted").alias("wanted"), F.sum("n_seeds").alias("seeds"),
+            F.count_if((F.col("wanted") > 0) & (F.col("n_seeds") == 0)).alias("lost"),
+        ).first()
+        self._check(total, pairs, nodes)
+        self.n_graphs, self.unknown_seeds = total["graphs"], (total["wanted"] or 0) - (total["seeds"] or 0)
+        threshold = max(self.hub_threshold, math.ceil((total["pairs"] or 0) / self.width), 1)
+        self.has_hubs = (total["max_fanout"] or 0) > threshold
         self._lap("setup_stats")
-        if any(r["unknown_src"] for r in stats):
+        self._build(pairs, info.filter(is_node), threshold)
+        self._lap("setup")
+
+    def _check(self, total, pairs: DataFrame, nodes: DataFrame) -> None:
+        if total["unknown"]:
             raise ValueError("edges start at ids that are not in the node table")
-        if not stats or any(r["n"] == 0 for r in stats):
+        if not total["graphs"] or not total["least"]:
             raise ValueError("graph has no nodes")
-        info = info.filter(is_node)
-
-        raw_seeds: dict[tuple, int] = {}
-        if personalized:
-            for r in self._grouped(self.seeds).agg(F.count(F.lit(1)).alias("c")).collect():
-                raw_seeds[self._key(r)] = r["c"]
-            if not k and raw_seeds.get((), 0) == 0:
-                raise ValueError("seed set is empty")
-
-        self.runs = {}
-        for r in stats:
-            key = self._key(r)
-            n = r["n"]
-            inv_n = 1.0 / n
-            inv_s = None
-            if raw_seeds.get(key, 0) > 0:
-                if r["n_seeds"] == 0:
-                    raise ValueError(f"none of the seeds of graph {key or ''} is a node")
-                inv_s = 1.0 / r["n_seeds"]
-            self.runs[key] = {
-                "n": n,
-                "inv_n": inv_n,
-                "inv_s": inv_s,
-                "dmass": r["n_dangling"] * inv_n,
-                "iterations": 0,
-                "converged": False,
-            }
-        total_pairs = sum(r["n_pairs"] or 0 for r in stats)
-        max_fanout = max(r["max_fanout"] or 0 for r in stats)
-        threshold = self.hub_threshold
-        if threshold is None:
-            threshold = max(math.ceil(total_pairs / self.width), MIN_HUB_FANOUT)
-        self.has_hubs = max_fanout > threshold
-        self._build_prop(pairs, info, threshold)
-
-    def _key_fields(self):
-        return [f for f in self.nodes.schema.fields if f.name in self.k]
-
-    def _runs_frame(self, rows, extra: list[T.StructField]) -> DataFrame:
-        schema = T.StructType(
-            [T.StructField(f.name, f.dataType, True) for f in self._key_fields()] + extra
-        )
-        return self.spark.createDataFrame(rows, schema)
-
-    def _build_prop(self, pairs, info, threshold):
+        if total["null_ids"]:
+            raise ValueError("node table has NULL ids")
+        if total["repeated"]:
+            raise ValueError("node table has duplicate ids")
+        if self.validate:
+            ends = pairs.select(*self.k, F.col("dst").alias("id")).distinct()
+            if not ends.join(nodes, [*self.k, "id"], "left_anti").isEmpty():
+                raise ValueError("edges end at ids that are not in the node table")
+        if self.seeds is not None and not self.given and not total["wanted"]:
+            raise ValueError("seed set is empty")
+        if total["lost"]:
+            raise ValueError("none of the seeds of a graph is a node")
+
+    def _build(self, pairs: DataFrame, info: DataFrame, threshold: int) -> None:
         k = self.k
-        regular = pairs
+        hub = F.col("fanout") > threshold
+        weight = (F.col("mult") / F.col("outdeg")).alias("w")
+        regular = pairs.withColumnRenamed("src", "id")
         if self.has_hubs:
-            # Fewer hubs than partitions when the threshold is the mean partition size.
-            hubs = info.filter(F.col("fanout") > threshold).select(
-                *k, F.col("id").alias("src"), "outdeg"
-            )
-            regular = pairs.join(F.broadcast(hubs.select(*k, "src")), [*k, "src"], "left_anti")
-            prop_hub = pairs.join(F.broadcast(hubs), [*k, "src"]).select(
-                *k,
-                F.col("src").alias("id"),
-                "dst",
-                (F.col("mult") / F.col("outdeg")).alias("w"),
-            )
-            self.prop_hub = self._write_table(prop_hub, "hub", bucketed=False).persist()
-            self.held.append(self.prop_hub)
-
-        rows = regular.select(
-            *k, F.col("src").alias("id"), "dst", "mult", F.lit(False).alias("node_row")
-        ).unionByName(
-            info.select(
-                *k,
-                "id",
-                F.col("id").alias("dst"),
-                F.lit(0).cast("bigint").alias("mult"),
-                F.lit(True).alias("node_row"),
-            )
-        )
-        attrs = info.select(
-            *k, "id", "outdeg", "is_seed", (F.col("fanout") > threshold).alias("is_hub")
+            # More distinct edges each than a mean partition holds: fewer hubs than partitions.
+            hubs = F.broadcast(info.filter(hub).select(*k, "id", "outdeg"))
+            of_hubs = regular.join(hubs, [*k, "id"]).select(*k, "id", "dst", weight)
+            self.prop_hub = self._write(of_hubs.repartition(self.width), "hub", bucketed=False)
+            regular = regular.join(hubs.select(*k, "id"), [*k, "id"], "left_anti")
+        edge_rows = regular.join(info.filter(~hub).select(*k, "id", "outdeg"), [*k, "id"]).select(
+            *k, "id", "dst", weight
         )
-        if k:
-            run_rows = [
-                (*key, r["inv_n"], r["inv_s"]) for key, r in self.runs.items()
-            ]
-            run_df = self._runs_frame(
-                run_rows,
-                [T.StructField("inv_n", T.DoubleType()), T.StructField("inv_s", T.DoubleType())],
-            )
-            # One row per graph: bounded by the number of graphs.
-            attrs = attrs.join(F.broadcast(run_df), k)
-            inv_n, inv_s = F.col("inv_n"), F.col("inv_s")
-            teleport = F.when(inv_s.isNull(), inv_n).otherwise(
-                F.when(F.col("is_seed"), inv_s).otherwise(F.lit(0.0))
-            )
-        else:
-            r = self.runs[()]
-            inv_n = F.lit(r["inv_n"])
-            teleport = (
-                inv_n
-                if r["inv_s"] is None
-                else F.when(F.col("is_seed"), F.lit(r["inv_s"])).otherwise(F.lit(0.0))
-            )
-        node_row = F.col("node_row")
-        # A shuffle join (never broadcast) so that prop comes out hash-partitioned
-        # by (keys, id), the layout the loop's join relies on.
-        prop = rows.join(attrs.hint("shuffle_hash"), [*k, "id"]).select(
-            *k,
-            "id",
-            "dst",
-            F.when(node_row, F.lit(0.0)).otherwise(F.col("mult") / F.col("outdeg")).alias("w"),
-            F.when(node_row, teleport).alias("t"),
-            F.when(node_row, inv_n).alias("r0"),
-            F.when(node_row, F.col("outdeg") == 0).alias("dangling"),
-            F.when(node_row, F.col("is_hub")).alias("hub"),
-            "node_row",
-        )
-        self.prop = self._write_table(prop, "prop", bucketed=True).persist()
-        self.held.append(self.prop)
-        for c in self.setup_cache:
-            c.unpersist()
-        self.setup_cache = []
-
-    def _write_table(self, df: DataFrame, role: str, bucketed: bool) -> DataFrame:
-        """Write a loop input once to the checkpoint folder and read it back.
+        sizes = self._per_graph(self.graphs.select(*k, "n", "n_seeds"))
+        uniform = F.lit(1.0) / F.col("n")
+        seeded = F.when(F.col("n_seeds") == 0, uniform).when(F.col("is_seed"), F.lit(1.0) / F.col("n_seeds"))
+        node_rows = info.join(sizes, k).select(
+            *k, "id", F.col("id").alias("dst"), F.lit(0.0).alias("w"),
+            *[(seeded.otherwise(0.0) if p else uniform).alias(f"t{i}") for i, p in enumerate(self.personalized)],
+            uniform.alias("r0"), (F.col("outdeg") == 0).alias("dangling"), hub.alias("hub"),
+        )
+        prop = node_rows.unionByName(edge_rows, allowMissingColumns=True)
+        prop = prop.withColumn("node_row", F.col("r0").isNotNull())
+        self.prop = self._write(prop.repartition(self.width, *k, "id"), "prop", bucketed=True)
+        self.scratch.release()
+
+    def _write(self, df: DataFrame, role: str, bucketed: bool) -> DataFrame:
+        """Write a loop input once and read it back.
 
         The read-back table is a short plan (each iteration re-analyzes it), does not
         depend on the inputs any more, and survives executor loss. ``bucketed``
-        keeps the hash layout by ``(keys, id)`` with the loop's width, so the join
-        with the rank table needs no exchange.
+        keeps the hash layout by ``(keys, id)``, so the join with the rank table
+        needs no exchange.
         """
         name = f"linkrank_{role}_{uuid.uuid4().hex[:16]}"
-        path = ensure_checkpoint_dir(self.spark).rstrip("/") + "/" + name
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}"
         writer = df.write.format("parquet").option("path", path)
         if bucketed:
             writer = writer.bucketBy(self.width, *self.k, "id")
+        self.tables.append((name, path))
         writer.saveAsTable(name)
-        self.tables.append(name)
         return self.spark.table(name)
 
-    def drop_tables(self) -> None:
-        for name in self.tables:
+    def clean_up(self) -> None:
+        """Free caches, and delete the loop's tables and checkpoints with their files."""
+        for df in self.cached:
+            df.unpersist()
+        for df in self.checkpoints:
+            delete_checkpoint(df)
+        for name, path in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.tables = []
+            delete_path(self.spark, path)
+        self.scratch.release()
+        self.cached, self.checkpoints, self.tables = [], [], []
 
     # ------------------------------------------------------------------ loop
-    def _base(self) -> Column | None:
-        """Per-graph ``(1 - d) + d * D`` as an expression, or None when a join is needed.
+    def _all(self, name: str) -> Column:
+        out = F.col(f"{name}0")
+        for i in self.m[1:]:
+            out = out & F.col(f"{name}{i}")
+        return out
+
+    def start(self) -> tuple[DataFrame, DataFrame]:
+        """The start vectors and the per-graph numbers of the first update."""
+        state = self.prop.filter("node_row").select(
+            *self.k, "id", *[F.col("r0").alias(f"rank{i}") for i in self.m], F.col("hub").alias("hb")
+        )
+        numbers = self.graphs.select(
+            *self.k, *[(F.col("n_dangling") / F.col("n")).alias(f"mass{i}") for i in self.m],
+            *[F.lit(False).alias(f"done{i}") for i in self.m],
+        )
+        return state, numbers if self.given else numbers.first().asDict()
 
-        One graph: a literal. Up to ``MAX_CASE_GRAPHS`` graphs: a CASE over the key
-        columns. More graphs: None, and the values travel in a broadcast table with
-        one row per graph.
-        """
-        d = self.d
-        active = [(key, r) for key, r in self.runs.items() if not r["converged"]]
-        if not self.k:
-            return F.lit((1.0 - d) + d * self.runs[()]["dmass"])
-        if len(active) > MAX_CASE_GRAPHS:
-            return None
-        expr = None
-        for key, r in active:
-            cond = F.lit(True)
-            for c, v in zip(self.k, key):
-                cond = cond & (F.col(c) == F.lit(v))
-            value = F.lit((1.0 - d) + d * r["dmass"])
-            expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-        return expr
-
-    def _step(self, state: DataFrame, hub_ranks: DataFrame | None, keep_unknown: bool) -> DataFrame:
-        """One update, in as few DataFrame operations as possible (each one is analyzed).
-
-        Output columns avoid the names of ``prop`` so the result can be joined again
-        without a projection: ``(keys..., id, rank, prev, tp, dng, hb)``.
+    def step(self, state: DataFrame, numbers: DataFrame | dict) -> DataFrame:
+        """One update: ``(keys..., id, rank0.., prev0.., dng, hb)``; graphs without ``numbers`` drop out.
+
+        ``numbers`` is a dict for a single graph, a table with keys otherwise.
         """
-        k, d = self.k, self.d
-        left = state
-        base = self._base()
-        if base is None:
-            base_rows = [
-                (*key, (1.0 - d) + d * r["dmass"])
-                for key, r in self.runs.items()
-                if not r["converged"]
-            ]
-            base_df = self._runs_frame(base_rows, [T.StructField("base", T.DoubleType())])
-            # One row per graph still running; the inner join also drops finished graphs.
-            left = state.join(F.broadcast(base_df), k)
-        j = left.hint("shuffle_hash").join(self.prop, [*k, "id"])
-        node_row = F.col("node_row")
-        if self.has_hubs and hub_ranks is not None:
-            cols = [
-                *k,
-                "dst",
-                (F.col("w") * F.col("rank")).alias("c"),
-                F.when(node_row, F.col("rank")).alias("rank"),
-                "t",
-                "dangling",
-                "hub",
-            ]
-            if base is None:
-                cols.append(F.when(node_row, F.col("base")).alias("base"))
-            hub_c = self.prop_hub.join(F.broadcast(hub_ranks), [*k, "id"]).select(
-                *k,
-                "dst",
-                (F.col("w") * F.col("rank")).alias("c"),
-                F.lit(None).cast("double").alias("rank"),
-                F.lit(None).cast("double").alias("t"),
-                F.lit(None).cast("boolean").alias("dangling"),
-                F.lit(None).cast("boolean").alias("hub"),
-                *([F.lit(None).cast("double").alias("base")] if base is None else []),
+        k, m = self.k, self.m
+        joined = state.hint("shuffle_hash").join(self.prop, [*k, "id"]).select(
+            *k, "dst", *[(F.col("w") * F.col(f"rank{i}")).alias(f"c{i}") for i in m],
+            *[F.when(F.col("node_row"), F.col(f"rank{i}")).alias(f"own{i}") for i in m],
+            *[f"t{i}" for i in m], "dangling", "hub",
+        )
+        if self.has_hubs:
+            ranks = F.broadcast(state.filter("hb").select(*k, "id", *[f"rank{i}" for i in m]))
+            joined = joined.unionByName(
+                self.prop_hub.join(ranks, [*k, "id"]).select(
+                    *k, "dst", *[(F.col("w") * F.col(f"rank{i}")).alias(f"c{i}") for i in m]
+                ),
+                allowMissingColumns=True,
             )
-            j = j.select(*cols).unionByName(hub_c)
-            contribution, own = F.col("c"), F.col("rank")
-        else:
-            contribution = F.col("w") * F.col("rank")
-            own = F.when(node_row, F.col("rank"))
-        aggs = [
-            F.sum(contribution).alias("inc"),
-            F.max(own).alias("prev"),
-            F.max("t").alias("tp"),
-            F.max("dangling").alias("dng"),
-            F.max("hub").alias("hb"),
-        ]
-        if base is None:
-            aggs.append(F.max("base").alias("base"))
-            base = F.col("base")
-        g = j.groupBy(*k, "dst").agg(*aggs)
-        if not keep_unknown:
-            # Contributions to ids that are not nodes are lost, as in the update rule.
-            g = g.filter(F.col("tp").isNotNull())
-        return g.select(
-            *k,
-            F.col("dst").alias("id"),
-            (F.col("tp") * base + F.lit(d) * F.col("inc")).alias("rank"),
-            "prev",
-            "tp",
-            "dng",
-            "hb",
+        sums = joined.groupBy(*k, "dst").agg(
+            *[F.sum(f"c{i}").alias(f"in{i}") for i in m], *[F.max(f"own{i}").alias(f"prev{i}") for i in m],
+            *[F.max(f"t{i}").alias(f"t{i}") for i in m], F.max("dangling").alias("dng"), F.max("hub").alias("hb"),
+        )
+        # Without validation, contributions to ids that are not nodes are lost.
+        moved = sums.filter(F.col("dng").isNotNull())
+        if self.given:
+            moved = moved.join(self._per_graph(numbers), k)
+        of = F.col if self.given else lambda name: F.lit(numbers[name])
+
+        def rank(i: int) -> Column:
+            base = F.lit(1.0 - self.d) + F.lit(self.d) * of(f"mass{i}")
+            new = F.col(f"t{i}") * base + F.lit(self.d) * F.col(f"in{i}")
+            return F.when(of(f"done{i}"), F.col(f"prev{i}")).otherwise(new).alias(f"rank{i}")
+
+        return moved.select(
+            *k, F.col("dst").alias("id"), *[rank(i) for i in m], *[f"prev{i}" for i in m], "dng", "hb"
         )
 
-    def _observe(self, step: DataFrame, keys: list[tuple]) -> tuple[list[dict], list[tuple]]:
-        """Cache ``step`` and collect per-graph sums with one observed no-op write."""
-        k = self.k
-        rank, prev = F.col("rank"), F.col("prev")
-        aggs = []
-        for i, key in enumerate(keys):
-            cond = F.lit(True)
-            for c, v in zip(k, key):
-                cond = cond & (F.col(c) == F.lit(v))
-            aggs += [
-                F.sum(F.when(cond, F.abs(rank - prev))).alias(f"diff_{i}"),
-                F.coalesce(F.sum(F.when(cond & F.col("dng"), rank)), F.lit(0.0)).alias(f"dmass_{i}"),
-                F.count_if(cond).alias(f"n_{i}"),
-                F.count_if(cond & F.col("tp").isNull()).alias(f"unknown_{i}"),
-            ]
-        if self.has_hubs:
-            aggs.append(
-                F.collect_list(F.when(F.col("hb"), F.struct(*k, "id", "rank"))).alias("hubs")
-            )
-        obs = Observation(f"linkrank_{uuid.uuid4().hex}")
-        self._observed = step.observe(obs, *aggs).persist()
-        self._observed.write.format("noop").mode("overwrite").save()
-        m = obs.get
-        rows = []
-        for i, key in enumerate(keys):
-            row = {c: v for c, v in zip(k, key)}
-            for name in ("diff", "dmass", "n", "unknown"):
-                row[name] = m[f"{name}_{i}"]
-            rows.append(row)
-        hubs = [tuple(h[c] for c in k) + (h["id"], h["rank"]) for h in (m.get("hubs") or [])]
-        return rows, hubs
-
-    def _hub_frame(self, hub_rows: list[tuple]) -> DataFrame:
-        return self._runs_frame(
-            hub_rows,
-            [T.StructField("id", T.LongType()), T.StructField("rank", T.DoubleType())],
+    def _sums(self) -> list[Column]:
+        change = [F.sum(F.abs(F.col(f"rank{i}") - F.col(f"prev{i}"))).alias(f"diff{i}") for i in self.m]
+        held = [F.coalesce(F.sum(F.when(F.col("dng"), F.col(f"rank{i}"))), F.lit(0.0)).alias(f"mass{i}") for i in self.m]
+        return change + held
+
+    def _move(self, state: DataFrame, numbers: DataFrame | dict, iteration: int):
+        """The cached new vectors, the numbers after the update, how many graphs run on and how many just ended."""
+        seen = Observation(f"linkrank_{uuid.uuid4().hex}")
+        new = self.step(state, numbers)
+        if not self.given:
+            new = new.observe(seen, *self._sums()).persist()
+            self.cached.append(new)
+            new.write.format("noop").mode("overwrite").save()
+            row = {SINGLE: 0, "iteration": iteration}
+            for i in self.m:
+                diff, mass = seen.get[f"diff{i}"] or 0.0, seen.get[f"mass{i}"]
+                was, before = numbers[f"done{i}"], numbers[f"mass{i}"]
+                row |= {f"diff{i}": diff, f"mass{i}": mass, f"from{i}": before, f"was{i}": was, f"done{i}": was or diff < self.eps}
+            self.rows.append(row)
+            running = int(not all(row[f"done{i}"] for i in self.m))
+            return new, row, running, 1 - running
+        k, m = self.k, self.m
+        new = new.persist()
+        self.cached.append(new)
+        before = numbers.select(
+            *k, *[F.col(f"mass{i}").alias(f"from{i}") for i in m], *[F.col(f"done{i}").alias(f"was{i}") for i in m]
         )
+        rows = new.groupBy(*k).agg(*self._sums()).join(self._per_graph(before), k).select(
+            *k, F.lit(iteration).alias("iteration"),
+            *[c for i in m for c in (f"diff{i}", f"mass{i}", f"from{i}", f"was{i}")],
+            *[(F.col(f"was{i}") | (F.col(f"diff{i}") < self.eps)).alias(f"done{i}") for i in m],
+        )
+        rows = rows.observe(seen, F.count_if(~self._all("done")).alias("running"), F.count(F.lit(1)).alias("all"))
+        if self.n_graphs <= MAX_BROADCAST_GRAPHS:
+            rows = rows.coalesce(1)
+        path = self.result.path(f"log/{iteration}")
+        rows.write.parquet(path)
+        counts = seen.get
+        log = self.spark.read.schema(rows.schema).parquet(path)
+        return new, log, counts["running"], counts["all"] - counts["running"]
 
     def run(self) -> RankResult:
-        try:
-            return self._run()
-        finally:
-            # Results are checkpointed, so the written loop inputs can go.
-            for df in self.held:
-                df.unpersist()
-            self.drop_tables()
-
-    def _run(self) -> RankResult:
-        started = time.time()
-        self._setup()
-        k = self.k
-        state = self.prop.filter("node_row").select(*k, "id", F.col("r0").alias("rank"))
-        hub_ranks = (
-            self.prop.filter(F.col("node_row") & F.col("hub")).select(
-                *k, "id", F.col("r0").alias("rank")
-            )
-            if self.has_hubs
-            else None
-        )
-        cached_state: DataFrame | None = None
-        frozen: list[DataFrame] = []
-        log = []
-        self._lap("setup")
-        for it in range(1, self.max_iter + 1):
-            t0 = time.time()
-            check = self.validate and it == 1
-            # With validation, unknown targets stop the run at iteration 1, so
-            # later iterations need no filter.
-            step = self._step(state, hub_ranks, keep_unknown=self.validate)
-            aggs = [
-                F.sum(F.abs(F.col("rank") - F.col("prev"))).alias("diff"),
-                F.coalesce(F.sum(F.when(F.col("dng"), F.col("rank"))), F.lit(0.0)).alias("dmass"),
-                F.count(F.lit(1)).alias("n"),
-                F.count_if(F.col("tp").isNull()).alias("unknown"),
-            ]
-            if self.has_hubs:
-                aggs.append(
-                    F.collect_list(F.when(F.col("hb"), F.struct("id", "rank"))).alias("hubs")
-                )
-            active_keys = [key for key, r in self.runs.items() if not r["converged"]]
-            if k and len(active_keys) > MAX_OBSERVED_GRAPHS:
-                new = step.persist()
-                rows = self._grouped(new).agg(*aggs).collect()
-                hubs = [
-                    (*self._key(r), h["id"], h["rank"]) for r in rows for h in (r["hubs"] or [])
-                ]
-            else:
-                # The sums are observed while the new vector is cached (a no-op write
-                # materializes it), so no separate aggregate job runs. With a few
-                # graphs every sum is conditional on the graph's key.
-                rows, hubs = self._observe(step, active_keys)
-                new = self._observed
-            if it == 1:
-                for c in self.setup_cache:
-                    c.unpersist()
-            if check:
-                if any(r["unknown"] for r in rows):
-                    new.unpersist()
-                    raise ValueError("edges end at ids that are not in the node table")
-                if any(r["n"] != self.runs[self._key(r)]["n"] for r in rows):
-                    new.unpersist()
-                    raise ValueError("node table has duplicate ids")
-            seconds = time.time() - t0
-            done = []
-            for r in rows:
-                key = self._key(r)
-                run = self.runs[key]
-                log.append((*key, it, float(r["diff"] or 0.0), run["dmass"], seconds))
-                run["dmass"] = r["dmass"]
-                run["iterations"] = it
-                if (r["diff"] or 0.0) < self.eps:
-                    run["converged"] = True
-                    done.append(key)
-            if cached_state is not None:
-                cached_state.unpersist()
-            cached_state = new
-            active = [key for key, r in self.runs.items() if not r["converged"]]
-            if not active or it == self.max_iter:
-                state = new
+        state, numbers = self.start()
+        held: DataFrame | None = None
+        running, iteration, seconds = self.n_graphs, 0, []
+        for iteration in range(1, self.max_iter + 1):
+            began = time.time()
+            new, log, running, ended = self._move(state, numbers, iteration)
+            seconds.append((iteration, time.time() - began))
+            if held is not None:
+                held.unpersist()
+                self.cached.remove(held)
+            state, held = new, new
+            if not running or iteration == self.max_iter:
                 break
-            state = new
-            if done:
-                # Finished graphs go to reliable storage and leave the loop; the
-                # filter tables have one row per graph.
-                done_df = self._runs_frame(list(done), [])
-                frozen.append(
-                    new.join(F.broadcast(done_df), k).select(*k, "id", "rank").checkpoint(eager=True)
+            if ended:
+                # They leave the loop: the next update joins running graphs only.
+                over = log.filter(self._all("done")).select(*self.k)
+                self._save(new.join(self._per_graph(over), self.k))
+            numbers = log
+            if self.given:
+                numbers = log.filter(~self._all("done")).select(
+                    *self.k, *[f"mass{i}" for i in self.m], *[f"done{i}" for i in self.m]
                 )
-                state = new.join(F.broadcast(done_df), k, "left_anti")
-            if it % self.interval == 0:
-                state = state.select(*k, "id", "rank").checkpoint(eager=True)
+            if iteration % self.interval == 0:
+                state = new.select(*self.k, "id", *[f"rank{i}" for i in self.m], "hb").checkpoint()
                 new.unpersist()
-                cached_state = None
-            if self.has_hubs:
-                hub_ranks = self._hub_frame(hubs)
-        # The result goes to reliable storage: it survives executor loss, frees the
-        # cache, and later joins or unions with tables of the same lineage cannot
-        # fall back to recomputing the loop.
+                self.cached.remove(new)
+                held = None
+                for old in self.checkpoints:
+                    delete_checkpoint(old)
+                self.checkpoints = [state]
         self._lap("iterations")
-        ranks = state.select(*k, "id", "rank").checkpoint(eager=True)
-        for part in frozen:
-            ranks = ranks.unionByName(part)
-        if cached_state is not None:
-            cached_state.unpersist()
-        for df in (self.prop, getattr(self, "prop_hub", None), *self.setup_cache):
-            if df is not None:
-                df.unpersist()
-        self.held = []
+        self._save(state)
         self._lap("result")
-        return self._result(ranks, log, time.time() - started)
+        return self._outcome(iteration, running == 0, seconds)
+
+    def _long(self, df: DataFrame, shared: list[str], per_vector: dict[str, str]) -> DataFrame:
+        """Per-vector columns as rows with a ``mode``, or plain columns for a single vector."""
+        if self.names == [None]:
+            return df.select(*self.given, *shared, *[F.expr(e.format(i=0)).alias(c) for c, e in per_vector.items()])
+        rows = [
+            F.struct(F.lit(name).alias("mode"), *[F.expr(e.format(i=i)).alias(c) for c, e in per_vector.items()])
+            for i, name in enumerate(self.names)
+        ]
+        names = ["mode", *per_vector]
+        return df.select(*self.given, *shared, F.inline(F.array(*rows))).select(*self.given, "mode", *shared, *names[1:])
+
+    def _save(self, state: DataFrame) -> None:
+        self._long(state, ["id"], {"rank": "rank{i}"}).write.mode("append").parquet(self.result.path("ranks"))
 
-    def _result(self, ranks, log, seconds) -> RankResult:
+    def _outcome(self, iteration: int, converged: bool, seconds: list) -> RankResult:
         k = self.k
-        kf = [T.StructField(f.name, f.dataType, True) for f in self._key_fields()]
-        it_schema = T.StructType(
-            kf
-            + [
-                T.StructField("iteration", T.IntegerType()),
-                T.StructField("l1_diff", T.DoubleType()),
-                T.StructField("dangling_mass", T.DoubleType()),
-                T.StructField("seconds", T.DoubleType()),
-            ]
-        )
-        run_schema = T.StructType(
-            kf
-            + [
-                T.StructField("n_nodes", T.LongType()),
-                T.StructField("iterations", T.IntegerType()),
-                T.StructField("converged", T.BooleanType()),
-            ]
-        )
-        run_rows = [
-            (*key, r["n"], r["iterations"], r["converged"]) for key, r in self.runs.items()
-        ]
+        if seconds:
+            if self.given:
+                log = self.spark.read.parquet(*[self.result.path(f"log/{i}") for i, _ in seconds])
+            else:
+                log = self.spark.createDataFrame([Row(**r) for r in self.rows])
+            times = self.spark.createDataFrame(seconds, "iteration int, seconds double")
+            steps = self._long(
+                log.join(F.broadcast(times), "iteration"), ["iteration", "seconds"],
+                {"l1_diff": "diff{i}", "dangling_mass": "from{i}", "was": "was{i}"},
+            ).filter("not was")
+            last = log.groupBy(*k).agg(
+                *[F.count_if(~F.col(f"was{i}")).alias(f"its{i}") for i in self.m],
+                *[F.max(f"done{i}").alias(f"done{i}") for i in self.m],
+            )
+            graphs = self.graphs.join(last, k, "left")
+        else:
+            empty = "iteration int, seconds double, l1_diff double, dangling_mass double"
+            steps = self._long(self.graphs, [], {"x": "0"}).drop("x").limit(0)
+            for c in empty.split(", "):
+                name, kind = c.split(" ")
+                steps = steps.withColumn(name, F.lit(None).cast(kind))
+            graphs = self.graphs
+            for i in self.m:
+                graphs = graphs.withColumn(f"its{i}", F.lit(0)).withColumn(f"done{i}", F.lit(False))
+        keys = [*self.given, *([] if self.names == [None] else ["mode"])]
+        runs = self._long(
+            graphs.withColumnRenamed("n", "n_nodes"), ["n_nodes"],
+            {"iterations": "int(coalesce(its{i}, 0))", "converged": "coalesce(done{i}, false)"},
+        )
         return RankResult(
-            ranks=ranks,
-            iterations=self.spark.createDataFrame(log, it_schema),
-            runs=self.spark.createDataFrame(run_rows, run_schema),
-            n_iterations=max((r["iterations"] for r in self.runs.values()), default=0),
-            converged=all(r["converged"] for r in self.runs.values()),
-            total_seconds=seconds,
+            ranks=self.spark.read.parquet(self.result.path("ranks")),
+            iterations=steps.select(
+                *keys, F.col("iteration").cast("int").alias("iteration"), "l1_diff", "dangling_mass", "seconds"
+            ),
+            runs=runs.select(*keys, "n_nodes", "iterations", "converged"),
+            keys=keys,
+            n_iterations=iteration if seconds else 0,
+            converged=converged and bool(seconds),
+            total_seconds=time.time() - self.started,
+            unknown_seeds=self.unknown_seeds,
             phase_seconds=dict(self.phases),
-            _held=list(self.held),
+            store=self.result,
         )
 
 
@@ -642,9 +550,12 @@ def contributions(ranks: DataFrame, wedges: DataFrame, keys: Sequence[str] = ())
     ``wedges`` as from :func:`linkrank.operators.graph.weighted_edges`; a source
     without out-edges sends nothing.
     """
+    from linkrank.operators.graph import join_by_source
+
     k = list(keys)
-    r = ranks.select(*k, F.col("id").alias("src"), "rank")
-    return wedges.join(r, [*k, "src"]).select(
+    fanout = wedges.groupBy(*k, "src").agg(F.count(F.lit(1)).alias("fanout"))
+    sources = fanout.join(ranks.select(*k, F.col("id").alias("src"), "rank"), [*k, "src"])
+    return join_by_source(wedges, sources, k).select(
         *k, "src", "dst", (F.col("weight") * F.col("rank")).alias("contribution")
     )
 

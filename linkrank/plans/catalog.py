@@ -1,20 +1,18 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
-Every query reads the warehouse tables under ``sf_dir`` (``part``, ``lineitem``,
-``orders``, ``supplier``) and runs over them whole. Column names and rounding
-match :mod:`linkrank.plans.oracle`.
-
-Several reports are views of the same ranking run (e.g. the ranks, their top-10
-and their validation). Within one session a run is computed once and shared by
-those reports; :func:`clear_shared_runs` drops the shared runs (the benchmark does
-this before every query so each is timed from the raw tables).
+Every query reads the warehouse tables under ``sf_dir`` (``part``, ``lineitem``, ``orders``)
+and runs over them whole; its rows depend on theirs. Column names and rounding
+match :mod:`linkrank.plans.oracle`. Ranks are reported as ``rank * N``, rounded: a mean
+rank is 1 at any scale, and ties within the rounding are broken by id.
+
+Queries keep no state between calls: each derives its graph and ranks it anew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.functions.columns import round_to
@@ -30,173 +28,126 @@ from linkrank.sources import edge_list as EL
 from linkrank.sources import graph_json as GJ
 from linkrank.sources import seeds as SD
 from linkrank.sources import tables as TB
-
-_shared: dict[tuple, object] = {}
-
-
-def clear_shared_runs() -> None:
-    for v in _shared.values():
-        res = getattr(v, "result", v)
-        if isinstance(res, R.RankResult):
-            res.unpersist()
-        elif isinstance(res, tuple):
-            for df in res:
-                df.unpersist()
-    _shared.clear()
-
-
-def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _shared:
-        _shared[key] = build()
-    return _shared[key]
-
-
-def _rounded(df: DataFrame, col: str = "rank", digits: int = O.RANK_DIGITS) -> DataFrame:
-    return df.withColumn(col, round_to(col, digits))
+from linkrank.sources import writers as WR
 
 
 # ------------------------------------------------------------------ graphs
-def _returns(spark, sf_dir):
-    return _once(spark, sf_dir, "returns_graph", lambda: _pin(TB.returns_graph(spark, sf_dir)))
-
-
-def _pin(graph):
-    """Keep a derived graph for the reports that share it (its edges cost a sort)."""
-    nodes, edges = graph
-    return nodes, edges.persist()
+def _edges(spark, sf_dir) -> DataFrame:
+    return TB.parts_graph(spark, sf_dir)[1]
 
 
-def _rank_returns(spark, sf_dir, personalized: bool = False, **kw) -> R.RankResult:
-    name = f"rank_returns:{personalized}:" + ",".join(f"{k}={v}" for k, v in sorted(kw.items()))
+def _rank(spark, sf_dir, personalized: bool = False, **kw) -> R.RankResult:
+    nodes, edges = TB.parts_graph(spark, sf_dir)
+    seeds = TB.seed_parts(spark, sf_dir) if personalized else None
+    return R.pagerank(edges, nodes, seeds=seeds, **kw)
 
-    def build():
-        nodes, edges = _returns(spark, sf_dir)
-        seeds = TB.seed_parts(spark, sf_dir) if personalized else None
-        return R.pagerank(edges, nodes, seeds=seeds, **kw)
 
-    return _once(spark, sf_dir, name, build)
+def _scaled(res: R.RankResult) -> DataFrame:
+    return B.scaled(res, O.RANK_DIGITS)
 
 
-def _compare_returns(spark, sf_dir) -> B.Comparison:
-    def build():
-        nodes, edges = _returns(spark, sf_dir)
-        return B.compare_rankings(
-            nodes, edges, seeds=TB.seed_parts(spark, sf_dir), k=10, digits=O.RANK_DIGITS
-        )
-
-    return _once(spark, sf_dir, "compare_returns", build)
+def _compare(spark, sf_dir) -> B.Comparison:
+    nodes, edges = TB.parts_graph(spark, sf_dir)
+    return B.compare_rankings(
+        nodes, edges, seeds=TB.seed_parts(spark, sf_dir), k=10, scale_digits=O.RANK_DIGITS
+    )
 
 
 def _compare_batch(spark, sf_dir) -> B.Comparison:
-    def build():
-        nodes, edges = TB.batch_graphs(spark, sf_dir)
-        return B.compare_rankings(
-            nodes, edges, keys=["graph_id"], k=10, n_seeds=5, seed=O.SEED, digits=O.RANK_DIGITS
-        )
-
-    return _once(spark, sf_dir, "compare_batch", build)
+    nodes, edges = TB.batch_graphs(spark, sf_dir)
+    return B.compare_rankings(
+        nodes, edges, keys=["graph_id"], k=10, n_seeds=5, seed=O.SEED, scale_digits=O.RANK_DIGITS
+    )
 
 
 # ------------------------------------------------------------ G: shaping
 def q_node_set(spark, sf_dir):
-    _, edges = _returns(spark, sf_dir)
-    return GR.node_set(edges)
+    return GR.node_set(_edges(spark, sf_dir))
 
 
 def q_adjacency(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
+    nodes, edges = TB.parts_graph(spark, sf_dir)
     return GR.adjacency(nodes, edges).select(
         "id", "part", "out_degree", F.array_join("out_neighbors", " ").alias("out_neighbors")
     )
 
 
+def q_adjacency_split(spark, sf_dir):
+    """Lists of at most 16: how the parts of every node are numbered and filled."""
+    nodes, edges = TB.parts_graph(spark, sf_dir)
+    lists = GR.adjacency(nodes, edges, max_list=16)
+    return lists.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_parts"), F.max("part").cast("bigint").alias("last_part"),
+        F.max(F.size("out_neighbors")).cast("bigint").alias("longest"),
+        F.array_join(F.array_sort(F.flatten(F.collect_list("out_neighbors"))), " ").alias("out_neighbors"),
+    )
+
+
 def q_adjacency_exploded(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
+    nodes, edges = TB.parts_graph(spark, sf_dir)
     return GR.explode_adjacency(GR.adjacency(nodes, edges))
 
 
 def q_out_degree(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
-    return GR.out_degree(nodes, edges)
+    return GR.out_degree(*TB.parts_graph(spark, sf_dir))
 
 
 def q_dangling_nodes(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
-    return GR.dangling_nodes(nodes, edges)
+    return GR.dangling_nodes(*TB.parts_graph(spark, sf_dir))
 
 
 def q_graph_summary(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
-    return GR.graph_summary(nodes, edges)
+    return GR.graph_summary(*TB.parts_graph(spark, sf_dir))
 
 
 def q_clean_edges(spark, sf_dir):
-    _, edges = _returns(spark, sf_dir)
-    return GR.clean_edges(edges)
+    return GR.clean_edges(_edges(spark, sf_dir))
 
 
 def q_weighted_edges(spark, sf_dir):
-    _, edges = _returns(spark, sf_dir)
-    return _rounded(GR.weighted_edges(edges), "weight", O.SMALL_DIGITS)
-
-
-# ---------------------------------------------------------- S6 / G9 / G10
-def q_random_graph_sparse(spark, sf_dir):
-    n = TB.table(spark, sf_dir, "part").count()
-    e = TB.table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").count()
-    _, edges = G.random_graph(spark, n, e, seed=O.SEED)
-    return edges
-
-
-def q_random_graph_dense(spark, sf_dir):
-    n = TB.table(spark, sf_dir, "supplier").count() // 4
-    m = n * (n - 1)
-    _, edges = G.random_graph(spark, n, (m * 3) // 4, seed=O.SEED)
-    return edges
+    wedges = GR.weighted_edges(_edges(spark, sf_dir))
+    return wedges.withColumn("weight", round_to("weight", O.WEIGHT_DIGITS))
 
 
 def q_edge_sample(spark, sf_dir):
-    _, edges = _returns(spark, sf_dir)
+    edges = _edges(spark, sf_dir)
     distinct = edges.select("src", "dst").distinct().count()
     return G.edge_sample(edges, distinct // 2, seed=O.SEED)
 
 
 # ------------------------------------------------------- P / J / A steps
 def q_initial_rank(spark, sf_dir):
-    return _rounded(_rank_returns(spark, sf_dir, max_iter=0).ranks)
+    return _scaled(_rank(spark, sf_dir, max_iter=0))
 
 
-def _wedges(spark, sf_dir):
-    _, edges = _returns(spark, sf_dir)
-    return GR.weighted_edges(edges)
+def _contributions(spark, sf_dir) -> DataFrame:
+    start = _rank(spark, sf_dir, max_iter=0)
+    ones = start.ranks.withColumn("rank", F.col("rank") * F.lit(float(start.runs.first()["n_nodes"])))
+    return R.contributions(ones, GR.weighted_edges(_edges(spark, sf_dir)))
 
 
 def q_contributions(spark, sf_dir):
-    ranks0 = _rank_returns(spark, sf_dir, max_iter=0).ranks
-    return _rounded(R.contributions(ranks0, _wedges(spark, sf_dir)), "contribution", O.SMALL_DIGITS)
+    sent = _contributions(spark, sf_dir)
+    return sent.withColumn("contribution", round_to("contribution", O.SMALL_DIGITS))
 
 
 def q_inflow(spark, sf_dir):
-    ranks0 = _rank_returns(spark, sf_dir, max_iter=0).ranks
-    flows = R.inflow(R.contributions(ranks0, _wedges(spark, sf_dir)))
-    return _rounded(flows, "inflow", O.SMALL_DIGITS)
+    flows = R.inflow(_contributions(spark, sf_dir))
+    return flows.withColumn("inflow", round_to("inflow", O.RANK_DIGITS))
 
 
 def q_rank_step(spark, sf_dir):
-    # One-step ranks are short exact decimals; 12 digits keeps them off rounding ties.
-    return _rounded(_rank_returns(spark, sf_dir, max_iter=1).ranks, digits=O.SMALL_DIGITS)
+    return _scaled(_rank(spark, sf_dir, max_iter=1))
 
 
 def q_l1_change(spark, sf_dir):
-    log = _rank_returns(spark, sf_dir, max_iter=1).iterations
+    log = _rank(spark, sf_dir, max_iter=1).iterations
     return log.select(round_to("l1_diff", O.SMALL_DIGITS).alias("l1_diff"))
 
 
 def q_dangling_mass(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
-    ranks1 = _rank_returns(spark, sf_dir, max_iter=1).ranks
-    dangling = V.dangling_ranks(ranks1, nodes, edges)
+    nodes, edges = TB.parts_graph(spark, sf_dir)
+    dangling = V.dangling_ranks(_rank(spark, sf_dir, max_iter=1).ranks, nodes, edges)
     return dangling.agg(
         round_to(F.coalesce(F.sum("rank"), F.lit(0.0)), O.SMALL_DIGITS).alias("dangling_mass")
     )
@@ -204,24 +155,29 @@ def q_dangling_mass(spark, sf_dir):
 
 # ------------------------------------------------------------ R / T / U
 def q_pagerank(spark, sf_dir):
-    return _rounded(_rank_returns(spark, sf_dir).ranks)
+    return _scaled(_rank(spark, sf_dir))
 
 
 def q_pagerank_fixed5(spark, sf_dir):
-    return _rounded(_rank_returns(spark, sf_dir, max_iter=5, epsilon=0.0).ranks)
+    return _scaled(_rank(spark, sf_dir, max_iter=5, epsilon=0.0))
+
+
+def q_pagerank_width(spark, sf_dir):
+    """Three partitions in the loop, and the ranks in the order of their ids."""
+    return _scaled(_rank(spark, sf_dir, num_partitions=3)).orderBy("id")
 
 
 def q_pagerank_top10(spark, sf_dir):
-    return C.top_k(_rank_returns(spark, sf_dir).ranks, 10, digits=O.RANK_DIGITS).select("id", "rank")
+    return C.top_k(_scaled(_rank(spark, sf_dir)), 10).select("id", "rank")
 
 
 def q_pagerank_positions(spark, sf_dir):
-    top = C.top_k(_rank_returns(spark, sf_dir).ranks, 10, digits=O.RANK_DIGITS)
+    top = C.top_k(_scaled(_rank(spark, sf_dir)), 10)
     return top.select(F.col("position").cast("bigint").alias("position"), "id", "rank")
 
 
 def q_iteration_log(spark, sf_dir):
-    log = _rank_returns(spark, sf_dir).iterations
+    log = _rank(spark, sf_dir).iterations
     return log.select(
         "iteration",
         round_to("l1_diff", O.LOG_DIGITS).alias("l1_diff"),
@@ -229,23 +185,31 @@ def q_iteration_log(spark, sf_dir):
     )
 
 
+def q_rank_summary(spark, sf_dir):
+    """The rank sink's row per graph, without its timings."""
+    nodes, edges = TB.batch_graphs(spark, sf_dir)
+    res = R.pagerank(edges, nodes, keys=["graph_id"])
+    res.ranks = _scaled(res)
+    rows = WR.rank_summary(res, 10)
+    ids = F.array_join(F.transform("top_k", lambda x: x["id"].cast("string")), " ")
+    return rows.select("graph_id", ids.alias("top_ids"), "iterations", "converged")
+
+
 def q_teleport(spark, sf_dir):
-    nodes, _ = _returns(spark, sf_dir)
+    nodes, _ = TB.parts_graph(spark, sf_dir)
     return SE.teleport(nodes, TB.seed_parts(spark, sf_dir))
 
 
 def q_seed_check(spark, sf_dir):
-    _, edges = _returns(spark, sf_dir)
-    return SE.seed_check(TB.seed_parts(spark, sf_dir), GR.node_set(edges))
+    return SE.seed_check(TB.seed_parts(spark, sf_dir), GR.node_set(_edges(spark, sf_dir)))
 
 
 def q_pagerank_personalized(spark, sf_dir):
-    return _rounded(_rank_returns(spark, sf_dir, personalized=True).ranks)
+    return _scaled(_rank(spark, sf_dir, personalized=True))
 
 
 def q_side_by_side(spark, sf_dir):
-    pairs = _compare_returns(spark, sf_dir).pairs
-    return pairs.select(
+    return _compare(spark, sf_dir).pairs.select(
         F.col("position").cast("bigint").alias("position"),
         F.col("left_id").alias("std_id"),
         F.col("left_rank").alias("std_rank"),
@@ -255,22 +219,28 @@ def q_side_by_side(spark, sf_dir):
 
 
 def q_topk_jaccard(spark, sf_dir):
-    return _compare_returns(spark, sf_dir).overlap
+    return _compare(spark, sf_dir).overlap
 
 
 def q_validation(spark, sf_dir):
-    nodes, _ = _returns(spark, sf_dir)
-    report = V.rank_report(_rank_returns(spark, sf_dir).ranks, nodes)
-    return _rounded(report, "sum_of_ranks", 6)
+    nodes, _ = TB.parts_graph(spark, sf_dir)
+    report = V.rank_report(_rank(spark, sf_dir).ranks, nodes)
+    return report.withColumn("sum_of_ranks", round_to("sum_of_ranks", 6))
 
 
 def q_dangling_ranks(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
-    return _rounded(V.dangling_ranks(_rank_returns(spark, sf_dir).ranks, nodes, edges))
+    nodes, edges = TB.parts_graph(spark, sf_dir)
+    return V.dangling_ranks(_scaled(_rank(spark, sf_dir)), nodes, edges)
 
 
 def q_batch_ranks(spark, sf_dir):
-    return _rounded(_compare_batch(spark, sf_dir).ranks)
+    return _compare_batch(spark, sf_dir).ranks
+
+
+def q_batch_many(spark, sf_dir):
+    """Up to 150 graphs in one loop."""
+    nodes, edges = TB.batch_graphs(spark, sf_dir, many=True)
+    return _scaled(R.pagerank(edges, nodes, keys=["graph_id"]))
 
 
 def q_batch_topk(spark, sf_dir):
@@ -279,7 +249,8 @@ def q_batch_topk(spark, sf_dir):
 
 
 def q_batch_seeds(spark, sf_dir):
-    return _compare_batch(spark, sf_dir).seeds
+    nodes, _ = TB.batch_graphs(spark, sf_dir)
+    return B.sample_seeds(nodes, ["graph_id"], 5, O.SEED)
 
 
 def q_batch_overlap(spark, sf_dir):
@@ -290,17 +261,20 @@ def q_mean_overlap(spark, sf_dir):
     return _compare_batch(spark, sf_dir).summary
 
 
-def q_pagerank_bipartite(spark, sf_dir):
-    def build():
-        nodes, edges = TB.bipartite_graph(spark, sf_dir)
-        return R.pagerank(edges, nodes)
+def q_experiment_details(spark, sf_dir):
+    """The experiment report's row per graph, its lists as text."""
+    rows = B.experiment_details(_compare_batch(spark, sf_dir), ["graph_id"])
+    ids = lambda c: F.array_join(F.transform(c, lambda x: x["id"].cast("string")), " ").alias(c)
+    return rows.select("graph_id", ids("std_top_k"), ids("ppr_top_k"), "overlap_score")
 
-    return _rounded(_once(spark, sf_dir, "rank_bipartite", build).ranks)
+
+def q_pagerank_bipartite(spark, sf_dir):
+    return _scaled(R.pagerank(TB.bipartite_graph(spark, sf_dir)))
 
 
 def q_pagerank_hub_split(spark, sf_dir):
-    """The returns graph with a low hub threshold: its busiest sources take the broadcast path."""
-    return _rounded(_rank_returns(spark, sf_dir, hub_threshold=8).ranks)
+    """Three nodes hold half of all edges: they take the hub path at every scale (ten updates)."""
+    return _scaled(R.pagerank(TB.flag_graph(spark, sf_dir), max_iter=10, epsilon=0.0))
 
 
 # ---------------------------------------------------------- S1-S4 / K1
@@ -330,78 +304,69 @@ def q_edge_list_rejects(spark, sf_dir):
     return rejects
 
 
-def q_graph_json_parse(spark, sf_dir):
+def _graph_texts(spark, sf_dir) -> DataFrame:
+    """A JSON text per order line: documents (``nodes`` first or not), nodes, and four kinds of bad rows."""
     li = TB.table(spark, sf_dir, "lineitem")
-    node = F.struct(F.col("l_orderkey").alias("id"), F.array("l_partkey", "l_suppkey").alias("outNeighbors"))
-    doc = F.struct(
-        F.array(
-            F.struct(F.col("l_orderkey").alias("id"), F.array("l_partkey").alias("outNeighbors")),
-            F.struct(F.col("l_partkey").alias("id"), F.array().cast("array<bigint>").alias("outNeighbors")),
-        ).alias("nodes")
+    o, p, s = (F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey"))
+    n = F.col("l_linenumber")
+
+    def text(pattern: str, *args) -> Column:
+        return F.format_string(pattern, *args)
+
+    value = (
+        F.when(n == 1, text('{"nodes": [{"id": %s, "outNeighbors": [%s]}, {"id": %s, "outNeighbors": []}]}', o, p, p))
+        .when(n == 2, text('{"meta": 1, "nodes": [{"id": %s, "outNeighbors": [%s, %s]}]}', o, p, s))
+        .when(n == 3, text('{"foo": %s}', o))
+        .when(n == 4, text('{"id": %s, "outNeighbors": [%s', o, p))
+        .when(n == 5, text('{"id": "x%s", "outNeighbors": []}', o))
+        .when(n == 6, text('{"id": %s, "outNeighbors": [%s, null]}', o, p))
+        .otherwise(text('{"outNeighbors": [%s, %s], "id": %s}', p, s, o))
     )
-    text = F.when(F.col("l_linenumber") == 1, F.to_json(doc)).otherwise(F.to_json(node))
-    _, edges = GJ.parse_graph_json(li.select(text.alias("value")))
-    return edges
+    return li.select(value.alias("value"))
 
 
-def q_seed_parse(spark, sf_dir):
+def q_graph_json_parse(spark, sf_dir):
+    return GJ.parse_graph_json(_graph_texts(spark, sf_dir))[1]
+
+
+def q_graph_json_nodes(spark, sf_dir):
+    return GJ.parse_graph_json(_graph_texts(spark, sf_dir))[0]
+
+
+def q_graph_json_rejects(spark, sf_dir):
+    return GJ.parse_graph_json(_graph_texts(spark, sf_dir))[2]
+
+
+def _seed_texts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Comma strings and lines; line numbers 5 to 7 bring bad entries."""
     li = TB.table(spark, sf_dir, "lineitem")
-    strings = li.select(
-        F.concat_ws(",", "l_partkey", "l_suppkey", F.concat(F.lit(" "), F.col("l_linenumber"))).alias("value")
+    n, part = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    last = (
+        F.when(n == 5, F.concat(F.lit("+-"), part))
+        .when(n == 6, F.concat(part, F.lit("99999999999999999999")))
+        .otherwise(F.concat(F.lit(" +"), n.cast("string")))
     )
-    lines = li.select(
-        F.when(F.col("l_linenumber") == 2, F.lit("   "))
-        .otherwise(F.concat(F.lit("  "), F.col("l_orderkey").cast("string")))
-        .alias("value")
-    )
-    return SD.parse_seed_string(strings).unionByName(SD.parse_seed_lines(lines)).distinct()
+    strings = li.select(F.concat_ws(",", part, "l_suppkey", last).alias("value"))
+    order = F.col("l_orderkey").cast("string")
+    line = F.when(n == 2, F.lit("   ")).when(n == 7, F.concat(order, F.lit(" 1"))).otherwise(F.concat(F.lit("  "), order))
+    return strings, li.select(line.alias("value"))
+
+
+def q_seed_parse(spark, sf_dir):
+    strings, lines = _seed_texts(spark, sf_dir)
+    return SD.parse_seed_string(strings)[0].unionByName(SD.parse_seed_lines(lines)[0]).distinct()
+
+
+def q_seed_rejects(spark, sf_dir):
+    strings, lines = _seed_texts(spark, sf_dir)
+    return SD.parse_seed_string(strings)[1].unionByName(SD.parse_seed_lines(lines)[1])
 
 
 def q_graph_json_rows(spark, sf_dir):
-    nodes, edges = _returns(spark, sf_dir)
-    return GJ.graph_json_rows(nodes, edges).select("id", "json")
+    nodes, edges = TB.parts_graph(spark, sf_dir)
+    return GJ.graph_json_rows(nodes, edges).select("id", F.col("part").cast("bigint").alias("part"), "json")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "node_set": q_node_set,
-    "adjacency": q_adjacency,
-    "adjacency_exploded": q_adjacency_exploded,
-    "out_degree": q_out_degree,
-    "dangling_nodes": q_dangling_nodes,
-    "graph_summary": q_graph_summary,
-    "clean_edges": q_clean_edges,
-    "weighted_edges": q_weighted_edges,
-    "random_graph_sparse": q_random_graph_sparse,
-    "random_graph_dense": q_random_graph_dense,
-    "edge_sample": q_edge_sample,
-    "initial_rank": q_initial_rank,
-    "contributions": q_contributions,
-    "inflow": q_inflow,
-    "rank_step": q_rank_step,
-    "l1_change": q_l1_change,
-    "dangling_mass": q_dangling_mass,
-    "pagerank": q_pagerank,
-    "pagerank_fixed5": q_pagerank_fixed5,
-    "pagerank_top10": q_pagerank_top10,
-    "pagerank_positions": q_pagerank_positions,
-    "iteration_log": q_iteration_log,
-    "teleport": q_teleport,
-    "seed_check": q_seed_check,
-    "pagerank_personalized": q_pagerank_personalized,
-    "side_by_side": q_side_by_side,
-    "topk_jaccard": q_topk_jaccard,
-    "validation": q_validation,
-    "dangling_ranks": q_dangling_ranks,
-    "batch_ranks": q_batch_ranks,
-    "batch_topk": q_batch_topk,
-    "batch_seeds": q_batch_seeds,
-    "batch_overlap": q_batch_overlap,
-    "mean_overlap": q_mean_overlap,
-    "pagerank_bipartite": q_pagerank_bipartite,
-    "pagerank_hub_split": q_pagerank_hub_split,
-    "edge_list_parse": q_edge_list_parse,
-    "edge_list_rejects": q_edge_list_rejects,
-    "graph_json_parse": q_graph_json_parse,
-    "seed_parse": q_seed_parse,
-    "graph_json_rows": q_graph_json_rows,
+    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_")
 }

@@ -4,8 +4,8 @@ Two layouts:
 
 * JSON lines, one node per line ``{"id": 1, "outNeighbors": [2, 3]}`` — splittable,
   the layout to use at scale (and what :func:`write_graph_json` writes);
-* one document ``{"nodes": [{"id": ..., "outNeighbors": [...]}, ...]}`` — read with
-  ``multiLine``; a document is a single record, so it only suits small graphs.
+* one document ``{"nodes": [{"id": ..., "outNeighbors": [...]}, ...]}``, the keys in any
+  order; a document is a single record, so it only suits small graphs.
 """
 
 from __future__ import annotations
@@ -14,69 +14,59 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linkrank.operators.graph import adjacency
 
-NODE_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("outNeighbors", T.ArrayType(T.LongType())),
-    ]
-)
-DOCUMENT_SCHEMA = T.StructType([T.StructField("nodes", T.ArrayType(NODE_SCHEMA))])
-
-
-def _to_graph(node_rows: DataFrame, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    keys = list(keys)
-    nodes = node_rows.select(*keys, "id").distinct()
-    edges = node_rows.select(
-        *keys, F.col("id").alias("src"), F.explode("outNeighbors").alias("dst")
-    )
-    return nodes, edges
+_NODE = "id BIGINT, outNeighbors ARRAY<BIGINT>"
+_SCHEMA = f"{_NODE}, nodes ARRAY<STRUCT<{_NODE}>>, _broken STRING"
 
 
 def parse_graph_json(
     docs: DataFrame, column: str = "value", keys: Sequence[str] = ()
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Parse JSON text per row; each row is a node object or a whole ``{"nodes": [...]}`` document.
 
-    Returns ``(nodes(id), edges(src, dst))``. A document without ``nodes`` raises
-    ``ValueError``.
+    Returns ``(nodes(id), edges(src, dst), rejects(line, reason))``. Rejected, each with its
+    whole row: text that is not such JSON, objects with neither ``id`` nor ``nodes``, nodes
+    without id, and NULL neighbors. Blank rows are skipped.
     """
     keys = list(keys)
-    doc = F.from_json(F.col(column), DOCUMENT_SCHEMA)
-    node = F.from_json(F.col(column), NODE_SCHEMA)
-    parsed = docs.select(*keys, F.col(column), doc.alias("_d"), node.alias("_n"))
-    is_doc = F.col(column).rlike(r'^\s*\{\s*"nodes"\s*:')
-    rows = parsed.filter(is_doc).select(*keys, F.inline("_d.nodes")).unionByName(
-        parsed.filter(~is_doc).select(*keys, "_n.*")
+    parsed = F.from_json(F.col(column), _SCHEMA, {"columnNameOfCorruptRecord": "_broken"})
+    rows = docs.filter(F.length(F.trim(F.col(column))) > 0).select(
+        *keys, F.col(column).alias("line"), parsed.alias("p")
+    )
+    single = F.struct(F.col("p.id").alias("id"), F.col("p.outNeighbors").alias("outNeighbors"))
+    listed = F.coalesce("p.nodes", F.when(F.col("p.id").isNotNull(), F.array(single)))
+    gap = F.exists(listed, lambda n: n["id"].isNull() | F.exists(F.coalesce(n["outNeighbors"], F.array()), lambda x: x.isNull()))
+    reason = (
+        F.when(F.col("p._broken").isNotNull() | F.col("p").isNull(), F.lit("not graph JSON"))
+        .when(listed.isNull(), F.lit("neither 'id' nor 'nodes'"))
+        .when(gap, F.lit("NULL node id or neighbor"))
     )
-    return _to_graph(rows.filter(F.col("id").isNotNull()), keys)
+    rows = rows.select(*keys, "line", listed.alias("listed"), reason.alias("reason"))
+    node_rows = rows.filter(F.col("reason").isNull()).select(*keys, F.inline("listed"))
+    nodes = node_rows.select(*keys, "id").distinct()
+    edges = node_rows.select(*keys, F.col("id").alias("src"), F.explode("outNeighbors").alias("dst"))
+    return nodes, edges, rows.filter(F.col("reason").isNotNull()).select(*keys, "line", "reason")
 
 
 def read_graph_json(spark: SparkSession, path: str, lines: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Read graph JSON files (JSON lines by default, or one document per file)."""
-    if lines:
-        rows = spark.read.schema(NODE_SCHEMA).json(path)
-        return _to_graph(rows.filter(F.col("id").isNotNull()))
-    docs = spark.read.schema(DOCUMENT_SCHEMA).option("multiLine", True).json(path)
-    if not docs.filter(F.col("nodes").isNull()).isEmpty():
-        raise ValueError(f"{path}: graph JSON must have a 'nodes' key")
-    return _to_graph(docs.select(F.inline("nodes")))
+    """Read graph JSON files (JSON lines by default, or one document per file); rejects raise ``ValueError``."""
+    nodes, edges, rejects = parse_graph_json(spark.read.text(path, wholetext=not lines))
+    bad = rejects.take(1)
+    if bad:
+        raise ValueError(f"{path}: {bad[0]['reason']} (a graph has a 'nodes' key, or nodes with an 'id'): {bad[0]['line'][:80]!r}")
+    return nodes, edges
 
 
 def graph_json_rows(
     nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = (), max_list: int = 1_000_000
 ) -> DataFrame:
-    """One JSON text per node (and list part): ``(keys..., id, json)``."""
+    """One JSON text per node and list part: ``(keys..., id, part, json)``."""
     keys = list(keys)
     adj = adjacency(nodes, edges, keys, max_list=max_list)
-    return adj.select(
-        *keys,
-        "id",
-        F.to_json(F.struct(F.col("id"), F.col("out_neighbors").alias("outNeighbors"))).alias("json"),
-    )
+    text = F.to_json(F.struct(F.col("id"), F.col("out_neighbors").alias("outNeighbors")))
+    return adj.select(*keys, "id", "part", text.alias("json"))
 
 
 def write_graph_json(

@@ -1,72 +1,76 @@
-"""Graphs built from the warehouse tables (``part``, ``lineitem``, ``orders``).
-
-* returns graph: nodes are all parts; an edge goes from a returned part to the
-  next part returned in the same order (order lines sorted by line number, then
-  part key). It has parallel edges, self-loops, isolated and dangling nodes.
-* batch graph: the same rule per return flag, one graph per ``l_returnflag``.
-* bipartite graph: customer -> supplier of every ordered line, suppliers offset
-  by 1,000,000; every supplier is dangling.
+"""Graphs built from the warehouse tables (``part``, ``lineitem``, ``orders``), whole and row by row.
+
+* parts graph: nodes are all parts; every order line gives one edge between its part and
+  the part with its supplier's number. The edge points away from the part on odd lines,
+  towards it on even lines and always for parts divisible by 3, so these are dangling
+  (unless they share a supplier's number). It has parallel edges and self-loops.
+* batch graphs: the same edges, one graph per return flag, or per flag and order number
+  modulo 50 (many small graphs).
+* bipartite graph: customer -> supplier of every ordered line, customers on even and
+  suppliers on odd ids; every supplier is dangling.
+* flag graph: every return flag is a node with edges to and from all its parts: three
+  hubs whatever the scale.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.operators.graph import node_set
-from linkrank.operators.sequence import next_in_group
-
-# Fixed value: suppliers are shifted into their own id range in the bipartite graph.
-SUPPLIER_OFFSET = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def returns_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(nodes(id), edges(src, dst))`` of the returns graph."""
-    nodes = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
-    lines = (
+def _lines(spark: SparkSession, sf_dir: str, *keys: Column) -> DataFrame:
+    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+    inward = (part % 3 == 0) | (F.col("l_linenumber") % 2 == 0)
+    return (
         table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_returnflag") == "R")
-        .filter(F.col("l_partkey").isNotNull())
-        .select("l_orderkey", "l_linenumber", "l_partkey")
+        .filter(part.isNotNull() & supplier.isNotNull())
+        .select(
+            *keys,
+            F.when(inward, supplier).otherwise(part).alias("src"),
+            F.when(inward, part).otherwise(supplier).alias("dst"),
+        )
     )
-    edges = next_in_group(lines, ["l_orderkey"], ["l_linenumber", "l_partkey"], "l_partkey")
-    return nodes, edges.select("src", "dst")
 
 
-def batch_graphs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """One returns-style graph per return flag: ``nodes(graph_id, id)``, ``edges(graph_id, src, dst)``.
+def parts_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(nodes(id), edges(src, dst))`` of the parts graph."""
+    nodes = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    return nodes, _lines(spark, sf_dir)
 
-    Nodes of a graph are the endpoints of its edges.
-    """
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_partkey").isNotNull())
-        .select(F.col("l_returnflag").alias("graph_id"), "l_orderkey", "l_linenumber", "l_partkey")
-    )
-    edges = next_in_group(
-        lines, ["graph_id", "l_orderkey"], ["l_linenumber", "l_partkey"], "l_partkey"
-    ).select("graph_id", "src", "dst")
+
+def batch_graphs(spark: SparkSession, sf_dir: str, many: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``nodes(graph_id, id)``, ``edges(graph_id, src, dst)``; nodes are the endpoints of the edges."""
+    graph = F.col("l_returnflag")
+    if many:
+        graph = F.concat_ws("-", graph, (F.col("l_orderkey") % 50).cast("string"))
+    edges = _lines(spark, sf_dir, graph.alias("graph_id"))
     return node_set(edges, ["graph_id"]), edges
 
 
-def bipartite_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct customer -> supplier edges; nodes are their endpoints."""
+def bipartite_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customer -> supplier edges; the nodes are their endpoints."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-    edges = (
+    return (
         items.join(orders, items.l_orderkey == orders.o_orderkey)
-        .select(
-            F.col("o_custkey").alias("src"),
-            (F.col("l_suppkey") + F.lit(SUPPLIER_OFFSET)).alias("dst"),
-        )
+        .select((F.col("o_custkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"))
         .filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
         .distinct()
     )
-    return node_set(edges), edges
+
+
+def flag_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges between the return flags (negative ids) and the parts returned under them, both ways."""
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_partkey").isNotNull() & F.col("l_returnflag").isNotNull())
+    flag = -F.ascii("l_returnflag").cast("bigint")
+    there = lines.select(flag.alias("src"), F.col("l_partkey").alias("dst"))
+    return there.unionByName(lines.select(F.col("l_partkey").alias("src"), flag.alias("dst")))
 
 
 def seed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return float(f"{v:.12g}")
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if isinstance(v, dict):

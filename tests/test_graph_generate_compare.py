@@ -6,7 +6,6 @@ from linkrank.operators import compare as C
 from linkrank.operators import generate as G
 from linkrank.operators import graph as GR
 from linkrank.operators.batch import experiment_details, compare_rankings, sample_seeds
-from linkrank.operators.sequence import next_in_group
 
 
 def test_shaping_on_a_small_graph(spark):
@@ -34,24 +33,21 @@ def test_adjacency_splits_a_hub_into_parts(spark):
     assert sorted(x for r in adj for x in r.out_neighbors) == list(range(1, 101))
 
 
-def test_next_in_group_matches_lead_with_a_hot_group(spark):
-    # One group holds most rows; the result must equal a per-group lead.
-    rows = [(1, i, i * 7 % 13) for i in range(300)] + [(g, i, g + i) for g in range(2, 40) for i in range(3)]
-    df = spark.createDataFrame(rows, "g long, o long, v long")
-    got = sorted(
-        (r.g, r.src, r.dst)
-        for r in next_in_group(df, ["g"], ["o"], "v", num_partitions=7, max_group_rows=50).collect()
-    )
-    plain = sorted((r.g, r.src, r.dst) for r in next_in_group(df, ["g"], ["o"], "v").collect())
-    assert plain == got
-    want = []
-    by = {}
-    for g, o, v in rows:
-        by.setdefault(g, []).append((o, v))
-    for g, xs in by.items():
-        xs.sort()
-        want += [(g, xs[i][1], xs[i + 1][1]) for i in range(len(xs) - 1)]
-    assert got == sorted(want)
+@pytest.mark.parametrize("pairs", [[(0, i) for i in range(1, 101)], [(0, 7)] * 100, [(0, 7)] * 60 + [(0, 0)] * 40])
+def test_no_adjacency_list_is_longer_than_asked(spark, pairs):
+    nodes = spark.range(101).select("id")
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    rows = GR.adjacency(nodes, edges, max_list=10).filter("id = 0").collect()
+    assert sorted(r.part for r in rows) == list(range(10))
+    assert {len(r.out_neighbors) for r in rows} == {10} and {r.out_degree for r in rows} == {100}
+    assert sorted(x for r in rows for x in r.out_neighbors) == sorted(d for _, d in pairs)
+
+
+def test_joins_by_source_split_hubs(spark):
+    edges = [(0, j) for j in range(200)] + [(j, 0) for j in range(1, 30)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    w = {(r.src, r.dst): r.weight for r in GR.weighted_edges(df).collect()}
+    assert w == {p: 1 / 200 if p[0] == 0 else 1.0 for p in edges}
 
 
 def test_random_graph_rules(spark):
@@ -74,12 +70,30 @@ def test_random_graph_rules(spark):
 
 
 def test_smallest_is_exact_against_sorting(spark, monkeypatch):
-    monkeypatch.setattr(G, "_SMALL", 50)
     monkeypatch.setattr(G, "_BUCKETS", 8)
     df = spark.range(5000).selectExpr("id", "(id * 7919) % 5003 as k")
     got = sorted(r.id for r in G.smallest(df, "k", 1234, 0, 5002).collect())
     want = sorted(r.id for r in df.orderBy("k").limit(1234).collect())
     assert got == want
+    ties = spark.range(100).selectExpr("id", "id % 2 as k")
+    assert sorted(r.id for r in G.smallest(ties, "k", 53, 0, 1, tie=["id"]).collect()) == sorted([*range(0, 100, 2), 1, 3, 5])
+
+
+def test_generator_covers_large_id_ranges(spark):
+    n = 4_000_000_000
+    _, edges = G.random_graph(spark, n, 400)
+    got = [(r.src, r.dst) for r in edges.collect()]
+    assert len(set(got)) == 400 and max(s for s, _ in got) > 0.9 * n and max(d for _, d in got) > 0.9 * n
+    with pytest.raises(ValueError):
+        G.random_graph(spark, 1 << 60, 5)
+
+
+def test_keyed_graphs_equal_single_ones(spark):
+    for n, e in ((30, 120), (8, 50)):
+        _, edges = G.random_graphs(spark, 3, n, e, 42)
+        for i in range(3):
+            one = sorted((r.src, r.dst) for r in G.random_graph(spark, n, e, seed=42 + i)[1].collect())
+            assert sorted((r.src, r.dst) for r in edges.filter(f"graph_id = {i}").collect()) == one
 
 
 def test_top_k_ties_side_by_side_and_jaccard(spark):
@@ -123,7 +137,7 @@ def test_run_experiment_matches_brute_force(spark):
     from linkrank.operators.batch import run_experiment
     from linkrank.operators.generate import random_graph
 
-    details, summary = run_experiment(spark, num_graphs=2, n=30, e=120, k=5)
+    details, summary, seeds = run_experiment(spark, num_graphs=2, n=30, e=120, k=5)
     rows = {r.graph_id: r for r in details.collect()}
     assert sorted(rows) == [0, 1]
     overlaps = []
@@ -131,7 +145,7 @@ def test_run_experiment_matches_brute_force(spark):
         _, ge = random_graph(spark, 30, 120, seed=42 + gid)
         edges = [(x.src, x.dst) for x in ge.collect()]
         std, _, _ = brute_rank(range(30), edges)
-        ppr, _, _ = brute_rank(range(30), edges, seeds=list(r.seeds))
+        ppr, _, _ = brute_rank(range(30), edges, seeds=[s.id for s in seeds.filter(f"graph_id = {gid}").collect()])
         top = lambda w: sorted(w, key=lambda i: (-round(w[i], 9), i))[:5]
         assert [x.id for x in r.std_top_k] == top(std)
         assert [x.id for x in r.ppr_top_k] == top(ppr)

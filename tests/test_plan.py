@@ -1,7 +1,5 @@
 """Plan shape of the rank loop: one exchange per iteration, no Python, bounded plans."""
 
-from pyspark.sql import functions as F
-
 from linkrank.operators import rank as R
 
 
@@ -25,19 +23,23 @@ def main_tree_lines(df) -> list[str]:
     return out
 
 
-def test_one_exchange_per_iteration_and_no_python(spark):
+def test_one_exchange_of_contributions_per_iteration_and_no_python(spark):
     edges = spark.range(400).selectExpr("id % 50 as src", "(id * 7 + 3) % 50 as dst")
     nodes = spark.range(55).select("id")
-    with R.loop_settings(spark, 8):
-        loop = R._Loop(edges, nodes, None, [], 0.85, 5, 1e-6, 3, 8, None, True)
-        loop._setup()
-        state = loop.prop.filter("node_row").select("id", F.col("r0").alias("rank"))
-        first = loop._step(state, None, True).persist()
-        first.count()
-        second = loop._step(first, None, True)
-        lines = main_tree_lines(second)
-    exchanges = [ln for ln in lines if "Exchange" in ln]
-    assert len(exchanges) == 1 and "hashpartitioning(dst" in exchanges[0]
+    loop = R._Loop(edges, nodes, None, [], {None: False}, 0.85, 5, 1e-6, 3, 8, 0, True)
+    try:
+        loop.setup()
+        with R.loop_settings(spark, 8):
+            state, numbers = loop.start()
+            first = loop.step(state, numbers).persist()
+            first.count()
+            lines = main_tree_lines(loop.step(first, numbers))
+            first.unpersist()
+    finally:
+        loop.clean_up()
+        loop.result.release()
+    exchanges = [ln for ln in lines if "Exchange" in ln and "BroadcastExchange" not in ln]
+    assert len(exchanges) == 1 and "dst" in exchanges[0]
     text = "\n".join(lines)
     assert "ShuffledHashJoin" in text
     assert "Python" not in text and "ArrowEval" not in text
@@ -48,4 +50,17 @@ def test_result_is_read_from_reliable_storage(spark):
     res = R.pagerank(edges)
     lines = main_tree_lines(res.ranks)
     assert not any("Exchange" in ln or "Join" in ln for ln in lines)
-    assert any("ExistingRDD" in ln for ln in lines)
+    assert any("FileScan parquet" in ln for ln in lines)
+
+
+def test_adjacency_lists_are_dealt_out_by_part(spark):
+    from linkrank.operators.graph import adjacency
+
+    edges = spark.range(100).selectExpr("0L as src", "id as dst")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = "\n".join(main_tree_lines(adjacency(spark.range(100).select("id"), edges, max_list=10)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_part = [ln for ln in plan.splitlines() if "hashpartitioning(src" in ln and "part#" in ln]
+    assert by_part, plan

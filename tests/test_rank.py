@@ -95,7 +95,7 @@ def test_random_graph_matches_brute_force_with_hubs_split(spark, seed):
     nodes = list(range(65))
     n, e = graph(spark, edges, nodes)
     want, iters, _ = brute_rank(nodes, edges)
-    for threshold in (None, 5):
+    for threshold in (0, 1000):
         res = pagerank(e, n, hub_threshold=threshold)
         got = ranks_of(res)
         assert max(abs(got[k] - want[k]) for k in want) < 1e-12
@@ -111,6 +111,7 @@ def test_personalized_random_graph_and_unknown_seeds(spark):
     res = pagerank(e, n, seeds=seeds)
     got = ranks_of(res)
     assert max(abs(got[k] - want[k]) for k in want) < 1e-12
+    assert res.unknown_seeds == 1
     assert min(got[3], got[5]) >= 0.15 / 2
 
 
@@ -183,20 +184,100 @@ def test_argument_and_graph_errors(spark):
             pagerank(e, n, **bad)
 
 
-def test_many_graphs_path_with_broadcast_scalars(spark, monkeypatch):
+def test_many_graphs_with_and_without_broadcast(spark, monkeypatch):
     from linkrank.operators import rank as R
 
-    monkeypatch.setattr(R, "MAX_CASE_GRAPHS", 0)
-    monkeypatch.setattr(R, "MAX_OBSERVED_GRAPHS", 0)
     graphs = {g: random_edges(20, 70, 10 + g) + [(1, j) for j in range(20)] for g in range(3)}
     e = spark.createDataFrame(
         [(g, s, t) for g, es in graphs.items() for s, t in es], "g long, src long, dst long"
     )
-    res = pagerank(e, keys=["g"], hub_threshold=6)
-    got = ranks_of(res, ["g"])
-    for g, es in graphs.items():
-        want, iters, _ = brute_rank({x for p in es for x in p}, es)
-        assert max(abs(got[(g, k)] - v) for k, v in want.items()) < 1e-12
+    for limit in (R.MAX_BROADCAST_GRAPHS, 0):
+        monkeypatch.setattr(R, "MAX_BROADCAST_GRAPHS", limit)
+        res = pagerank(e, keys=["g"])
+        got = ranks_of(res, ["g"])
+        runs = {r["g"]: r["iterations"] for r in res.runs.collect()}
+        for g, es in graphs.items():
+            want, iters, _ = brute_rank({x for p in es for x in p}, es)
+            assert max(abs(got[(g, k)] - v) for k, v in want.items()) < 1e-12
+            assert runs[g] == iters
+        res.release()
+
+
+def test_two_vectors_over_one_edge_table(spark):
+    from linkrank.operators.rank import pagerank_both
+
+    edges = random_edges(30, 120, 8)
+    n, e = graph(spark, edges, list(range(30)))
+    res = pagerank_both(e, n, spark.createDataFrame([(3,), (4,)], "id long"))
+    got = {(r["mode"], r["id"]): r["rank"] for r in res.ranks.collect()}
+    runs = {r["mode"]: r["iterations"] for r in res.runs.collect()}
+    for mode, seeds in (("standard", None), ("personalized", [3, 4])):
+        want, iters, _ = brute_rank(range(30), edges, seeds=seeds)
+        assert max(abs(got[(mode, k)] - v) for k, v in want.items()) < 1e-12
+        assert runs[mode] == iters
+        assert res.iterations.filter(F.col("mode") == mode).count() == iters
+
+
+def test_hub_path_is_taken_by_a_rule_that_is_always_on(spark):
+    from linkrank.operators import rank as R
+
+    edges = [(0, j) for j in range(1, 40)] + [(j, 0) for j in range(1, 40, 3)]
+    _, e = graph(spark, edges)
+    loop = R._Loop(e, None, None, [], {None: False}, 0.85, 5, 1e-6, 3, 8, 0, True)
+    try:
+        loop.setup()
+        assert loop.has_hubs
+        assert loop.prop_hub.select("id").distinct().count() == 1
+        assert loop.prop.filter("not node_row and id = 0").count() == 0
+    finally:
+        loop.clean_up()
+        loop.result.release()
+    want, _, _ = brute_rank(range(40), edges)
+    got = ranks_of(pagerank(e))
+    assert max(abs(got[k] - v) for k, v in want.items()) < 1e-12
+
+
+def test_null_endpoints_and_null_nodes_are_errors(spark):
+    e = spark.createDataFrame([(0, 1), (1, 0), (1, None)], "src long, dst long")
+    with pytest.raises(ValueError, match="NULL endpoints"):
+        pagerank(e)
+    with pytest.raises(ValueError, match="NULL ids"):
+        pagerank(e.filter("dst is not null"), spark.createDataFrame([(0,), (1,), (None,)], "id long"))
+
+
+def test_duplicate_nodes_are_found_without_an_iteration(spark):
+    e = spark.createDataFrame([(0, 1)], "src long, dst long")
+    with pytest.raises(ValueError, match="duplicate"):
+        pagerank(e, spark.createDataFrame([(0,), (1,), (1,)], "id long"), max_iter=0)
+
+
+def test_only_the_result_stays_in_the_checkpoint_folder(spark):
+    import os
+
+    def files():
+        root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if not f.startswith(".")}
+
+    before = files()
+    res = pagerank(spark.createDataFrame([(0, 1), (1, 2), (2, 0), (2, 1)], "src long, dst long"), max_iter=7)
+    left = files() - before
+    assert left and all("/tables-" in f for f in left)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("linkrank_")]
+    assert res.ranks.count() == 3
+    res.release()
+    assert not files() - before
+
+
+def test_adaptive_execution_is_on_while_the_input_is_derived(spark, monkeypatch):
+    from linkrank.operators import rank as R
+
+    seen = {}
+    build, step = R._Loop._build, R._Loop.step
+    monkeypatch.setattr(R._Loop, "_build", lambda self, *a: (seen.update(setup=spark.conf.get("spark.sql.adaptive.enabled")), build(self, *a))[1])
+    monkeypatch.setattr(R._Loop, "step", lambda self, *a: (seen.update(loop=spark.conf.get("spark.sql.adaptive.enabled")), step(self, *a))[1])
+    pagerank(spark.createDataFrame([(0, 1), (1, 0)], "src long, dst long"))
+    assert seen == {"setup": "true", "loop": "false"}
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
 def test_checkpoint_interval_does_not_change_results(spark):

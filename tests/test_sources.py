@@ -6,7 +6,7 @@ import pytest
 from linkrank.operators.rank import pagerank
 from linkrank.sources.edge_list import parse_edge_lines, read_edge_list
 from linkrank.sources.graph_json import parse_graph_json, read_graph_json, write_graph_json
-from linkrank.sources.seeds import read_seeds, seeds_from_string
+from linkrank.sources.seeds import read_seeds, resolve_seeds, seeds_from_string
 from linkrank.sources.writers import rank_summary, write_rank_result
 
 
@@ -75,15 +75,47 @@ def test_graph_json_document_and_lines(spark, tmp_dir):
 
 def test_parse_graph_json_rows_of_both_layouts(spark):
     texts = ['{"id": 5, "outNeighbors": [6]}', '{"nodes": [{"id": 7, "outNeighbors": [5, 6]}]}']
-    nodes, edges = parse_graph_json(lines_df(spark, texts))
+    nodes, edges, rejects = parse_graph_json(lines_df(spark, texts))
     assert sorted(r.id for r in nodes.collect()) == [5, 7]
     assert sorted((r.src, r.dst) for r in edges.collect()) == [(5, 6), (7, 5), (7, 6)]
+    assert rejects.count() == 0
+
+
+def test_graph_json_rejects_instead_of_dropping(spark, tmp_dir):
+    good = ['{"meta": 1, "nodes": [{"id": 1, "outNeighbors": [2]}]}', '{"outNeighbors": [], "id": 2}', "  "]
+    bad = {
+        '{"foo": 3}': "neither 'id' nor 'nodes'", '{"id": 1, "outNeighbors": [2': "not graph JSON", "nonsense": "not graph JSON",
+        '{"id": "x"}': "not graph JSON", '{"nodes": [{"outNeighbors": [1]}]}': "NULL node id or neighbor",
+        '{"id": 4, "outNeighbors": [null]}': "NULL node id or neighbor", '{"id": 99999999999999999999}': "not graph JSON",
+    }
+    nodes, edges, rejects = parse_graph_json(lines_df(spark, good + list(bad)))
+    assert sorted(r.id for r in nodes.collect()) == [1, 2] and [(r.src, r.dst) for r in edges.collect()] == [(1, 2)]
+    assert {r.line: r.reason for r in rejects.collect()} == bad
+    path = os.path.join(tmp_dir, "mixed.json")
+    with open(path, "w") as f:
+        f.write(good[1] + "\n" + '{"foo": 3}\n')
+    with pytest.raises(ValueError, match="foo"):
+        read_graph_json(spark, path)
 
 
 def test_seeds_from_string_and_file(spark, tmp_dir):
     assert sorted(r.id for r in seeds_from_string(spark, "3,17, 42").collect()) == [3, 17, 42]
+    for bad in ("3,x", "3,+-5,17", "3,99999999999999999999", "3,,4", ""):
+        with pytest.raises(ValueError):
+            seeds_from_string(spark, bad)
+    for bad in ("3\n+-5\n", "99999999999999999999\n"):
+        path = os.path.join(tmp_dir, f"bad{len(bad)}.txt")
+        with open(path, "w") as f:
+            f.write(bad)
+        with pytest.raises(ValueError, match="bad seed"):
+            read_seeds(spark, path)
+    nodes = spark.createDataFrame([(3,), (4,)], "id long")
+    known, unknown = resolve_seeds(spark, nodes, text="3,9", path="/nowhere")
+    assert [r.id for r in known.collect()] == [3] and [r.id for r in unknown.collect()] == [9]
     with pytest.raises(ValueError):
-        seeds_from_string(spark, "3,x")
+        resolve_seeds(spark, nodes)
+    with pytest.raises(ValueError, match="none of the seeds"):
+        resolve_seeds(spark, nodes, text="8")
     path = os.path.join(tmp_dir, "seeds.txt")
     with open(path, "w") as f:
         f.write("3\n\n 17 \n3\n")
@@ -104,16 +136,27 @@ def test_rank_summary_and_writer(spark, tmp_dir):
     assert back.count() == 3
 
 
+def test_rank_summary_keeps_graphs_apart(spark):
+    e = spark.createDataFrame([("a", 0, 1), ("a", 1, 0), ("b", 0, 1), ("b", 2, 1)], "g string, src long, dst long")
+    res = pagerank(e, keys=["g"])
+    rows = {r.g: r for r in rank_summary(res, 2).collect()}
+    assert set(rows) == {"a", "b"}
+    assert [x.id for x in rows["a"].top_k] == [0, 1] and rows["b"].top_k[0].id == 1
+    for r in res.runs.collect():
+        assert rows[r.g].iterations == r.iterations == len(rows[r.g].iteration_times)
+
+
 def test_experiment_report_round_trip(spark, tmp_dir):
     from linkrank.operators.batch import run_experiment
     from linkrank.sources.writers import write_experiment
 
-    details, summary = run_experiment(spark, num_graphs=2, n=20, e=60, k=3)
+    details, summary, seeds = run_experiment(spark, num_graphs=2, n=20, e=60, k=3)
     out = os.path.join(tmp_dir, "experiment")
-    write_experiment(details, summary, out)
+    write_experiment(details, summary, seeds, out)
+    assert spark.read.json(os.path.join(out, "seeds")).groupBy("graph_id").count().filter("count = 5").count() == 2
     back = spark.read.json(os.path.join(out, "details")).collect()
     assert sorted(r.graph_id for r in back) == [0, 1]
-    assert all(len(r.std_top_k) == 3 and len(r.seeds) == 5 for r in back)
+    assert all(len(r.std_top_k) == 3 for r in back)
     s = spark.read.json(os.path.join(out, "summary")).collect()[0]
     assert s.num_graphs == 2
     assert abs(s.average_overlap - sum(r.overlap_score for r in back) / 2) < 1e-12
