@@ -53,8 +53,9 @@ def ngram_classes(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     digests = texts.mapInArrow(_digests, "doc_id long, digest binary")
     # One digest per id, one representative per digest.
-    digests = cut(digests.groupBy("doc_id").agg(F.min("digest").alias("digest")))
-    copies = digests.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+    digest = F.when(F.col("doc_id").isNotNull(), F.col("digest"))
+    digests = cut(digests.groupBy("doc_id").agg(F.min(digest).alias("digest")))
+    copies = digests.filter(F.col("digest").isNotNull())
     copies = cut(
         copies.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
     )
