@@ -7,7 +7,8 @@ clustered by connected components. As shared passages often begin and end inside
 line, the sentences of a line count as units too, by equality. Of every cluster the
 earliest occurrence (by document, then position) stays; the others are removed where
 runs of neighbouring removed units reach ``min_words`` words, so short phrases that
-recur by chance stay.
+recur by chance stay. Sentences of fewer words than a shingle are no units; one between two
+removed units goes with them.
 
 Hot units: a task reduces its own occurrences first. Those after its earliest are
 removed for certain and go on under keys of their own, so a unit has at most one row
@@ -170,7 +171,8 @@ def repeated_spans(
     out = occ.filter("later").select(cols).unionByName(moved.select(cols))
     order = W.partitionBy("doc_id").orderBy("w0", F.desc("w1"))
     reach = F.max("w1").over(order.rowsBetween(W.unboundedPreceding, -1))
-    gap = F.when(F.col("w0") <= F.col("reach"), 0).otherwise(1)
+    # Sentences too short to be units may lie between two removed ones.
+    gap = F.when(F.col("w0") < F.col("reach") + SIZE, 0).otherwise(1)
     runs = out.withColumn("reach", reach).withColumn("gap", gap)
     runs = runs.withColumn("run", F.sum("gap").over(order.rowsBetween(W.unboundedPreceding, 0)))
     runs = runs.groupBy("doc_id", "run").agg(
