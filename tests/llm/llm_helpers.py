@@ -35,6 +35,6 @@ def prose(rng, n, vocabulary=400):
     out = []
     for _ in range(n):
         w = f"w{rng.randrange(vocabulary)}"
-        w += rng.choice(["", "", "", "", "", "", ".", "."])
+        w += rng.choice([""] * 14 + ["."])
         out.append(w + ("\n" if rng.random() < 0.05 else " "))
     return "".join(out).strip()
