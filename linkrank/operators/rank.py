@@ -402,8 +402,9 @@ class _Loop:
             new = F.col(f"t{i}") * base + F.lit(self.d) * F.col(f"in{i}")
             return F.when(of(f"done{i}"), F.col(f"prev{i}")).otherwise(new).alias(f"rank{i}")
 
+        given = [c for i in m for c in (f"mass{i}", f"done{i}")] if self.given else []
         return moved.select(
-            *k, F.col("dst").alias("id"), *[rank(i) for i in m], *[f"prev{i}" for i in m], "dng", "hb"
+            *k, F.col("dst").alias("id"), *[rank(i) for i in m], *[f"prev{i}" for i in m], "dng", "hb", *given
         )
 
     def _sums(self) -> list[Column]:
@@ -430,10 +431,9 @@ class _Loop:
         k, m = self.k, self.m
         new = new.persist()
         self.cached.append(new)
-        before = numbers.select(
-            *k, *[F.col(f"mass{i}").alias(f"from{i}") for i in m], *[F.col(f"done{i}").alias(f"was{i}") for i in m]
-        )
-        rows = new.groupBy(*k).agg(*self._sums()).join(self._per_graph(before), k).select(
+        # The numbers that the update started from came along with every row.
+        start = [c for i in m for c in (F.first(f"mass{i}").alias(f"from{i}"), F.first(f"done{i}").alias(f"was{i}"))]
+        rows = new.groupBy(*k).agg(*self._sums(), *start).select(
             *k, F.lit(iteration).alias("iteration"),
             *[c for i in m for c in (f"diff{i}", f"mass{i}", f"from{i}", f"was{i}")],
             *[(F.col(f"was{i}") | (F.col(f"diff{i}") < self.eps)).alias(f"done{i}") for i in m],
