@@ -24,7 +24,7 @@ HEADLINE = [
     "side_by_side",
     "batch_overlap",
     "pagerank_bipartite",
-    "batch_many",
+    "weighted_edges",
     "adjacency",
     "graph_summary",
 ]
