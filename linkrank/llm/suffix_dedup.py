@@ -281,30 +281,42 @@ def substring_dedup(docs: DataFrame, batches: int = 3, slice_rows: int = 2048, w
         window = range_hash(prefix, begin[of] + off, begin[of] + off + LENGTH, BYTES)
         _, place, count = np.unique(window, return_inverse=True, return_counts=True)
         again = count[place] > 1
-        mine = np.flatnonzero(again & (equal[of] == 0))
-        new = np.append(True, (of[mine][1:] != of[mine][:-1]) | (off[mine][1:] != off[mine][:-1] + 1))[: len(mine)]
-        s = np.flatnonzero(new)
-        e = np.append(s[1:], len(mine))[: len(s)] - 1
-        found = pd.DataFrame({
-            "window": 0, "known": True, "chunk": chunk[of[mine[s]]], "run": run[of[mine[s]]],
-            "start": off[mine[s]], "end": off[mine[e]] + 1,
-        })
+        found = ranges_of(np.flatnonzero(again & (equal[of] == 0)), of, off, chunk, run).assign(kind=0, bucket=0, windows=b"")
         told = np.flatnonzero(split[of] == 1)
         _, one = np.unique(window[told], return_index=True)
         told = told[one]
-        rest = pd.DataFrame({
-            "window": window[told].view("i8"), "known": again[told] | (equal[of[told]] == 1), "chunk": chunk[of[told]],
-            "run": run[of[told]], "start": off[told], "end": off[told] + 1,
-        })
-        return pd.concat([found, rest.assign(kind=1)]).assign(kind=lambda x: x["kind"].fillna(0).astype("i4"))
+        known = again[told] | (equal[of[told]] == 1)
+        facts = np.stack([window[told].view("i8"), known, chunk[of[told]], run[of[told]], off[told]])
+        to = (window[told] % U(buckets)).astype("i8")
+        packs = [(k, facts[:, to == k].tobytes()) for k in np.unique(to).tolist()]
+        sent = pd.DataFrame(packs, columns=["bucket", "windows"]).assign(kind=1, chunk=0, run=0, start=0, end=0)
+        return pd.concat([found, sent])[["kind", "bucket", "windows", "chunk", "run", "start", "end"]]
+
+    def compare_slices(group: pd.DataFrame) -> pd.DataFrame:
+        """Windows that two slices have, packed by window hash; each slice tells a window once."""
+        facts = np.concatenate([np.frombuffer(x, "i8").reshape(5, -1) for x in group["windows"]], axis=1)
+        window, known, chunk, run, off = facts
+        _, place, count = np.unique(window, return_inverse=True, return_counts=True)
+        late = np.flatnonzero((count[place] > 1) & (known == 0))
+        everyone = np.arange(len(window))
+        return ranges_of(late, everyone, off, chunk, run)
+
+    def ranges_of(at: np.ndarray, of: np.ndarray, off: np.ndarray, chunk: np.ndarray, run: np.ndarray) -> pd.DataFrame:
+        """Windows at ``at`` as ranges of neighbouring ones of the same run."""
+        new = np.append(True, (of[at][1:] != of[at][:-1]) | (off[at][1:] != off[at][:-1] + 1))[: len(at)]
+        s = np.flatnonzero(new)
+        e = np.append(s[1:], len(at))[: len(s)] - 1
+        return pd.DataFrame({"chunk": chunk[of[at[s]]], "run": run[of[at[s]]], "start": off[at[s]], "end": off[at[e]] + 1})
 
     contexts = first.filter("kind = 1").select("bucket", "chunk", "runs", "texts")
     compared = cut(contexts.groupBy("bucket").applyInPandas(
-        compare, "kind int, window long, known boolean, chunk int, run long, start int, end int"
+        compare, "kind int, bucket long, windows binary, chunk int, run long, start int, end int"
     ))
-    ranges = compared.filter("kind = 0").select("chunk", "run", "start", "end")
-    slices = compared.filter("kind = 1").withColumn("seen", F.count(F.lit(1)).over(W.partitionBy("window")))
-    late = slices.filter("seen > 1 and not known").select("chunk", "run", "start", "end")
+    columns = ["chunk", "run", "start", "end"]
+    ranges = compared.filter("kind = 0").select(columns)
+    late = compared.filter("kind = 1").select("bucket", "windows").groupBy("bucket").applyInPandas(
+        compare_slices, "chunk int, run long, start int, end int"
+    )
 
     def last_cut(found: pd.DataFrame, waiting: pd.DataFrame) -> pd.DataFrame:
         by_run = {k: (g["start"].to_numpy("i8"), g["end"].to_numpy("i8")) for k, g in found.groupby("run")}
