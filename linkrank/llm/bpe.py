@@ -293,6 +293,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             numbers.append(x)
             pieces.append(y)
         count = count[order]
+        del table, flat, end, order
         out = {"doc_id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for own, offsets, packed in zip(blocks["ids"], blocks["offsets"], blocks["texts"], strict=True):
             data = np.frombuffer(zstandard.decompress(packed), "u1")

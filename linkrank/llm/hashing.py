@@ -1,6 +1,6 @@
 """Word, shingle and MinHash arithmetic over columns of UTF-8 text, vectorized with NumPy.
 
-Texts are taken from Arrow buffers as they are and worked on in blocks of a few MB.
+Texts are taken from Arrow buffers as they are and worked on in blocks of half a MB.
 Hashes are polynomials modulo 2^64 over a fixed random table of byte values, divided
 by the power of their start, so a string has the same hash wherever it stands.
 """
@@ -72,11 +72,13 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, powers: P
     return mixed((prefix[end] - prefix[start]) * down[start] + (end - start).astype("u8"))
 
 
-def text_blocks(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, bytes, offsets)`` of runs of rows of about ``limit`` bytes; null counts as empty."""
     column = column.fill_null("") if column.null_count else column
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], "i8")[column.offset : column.offset + len(column) + 1]
+    kind = "i8" if pa.types.is_large_string(column.type) else "i4"
+    offsets = column.buffers()[1]
+    offsets = np.zeros(1, kind) if offsets is None else np.frombuffer(offsets, kind)
+    offsets = offsets[column.offset : column.offset + len(column) + 1].astype("i8")
     data = column.buffers()[2]
     data = np.frombuffer(data, "u1") if data is not None else np.zeros(0, "u1")
     row = 0
