@@ -1,7 +1,7 @@
 """Substring dedup by paragraphs: MinHash banding, exact Jaccard, removal of all but the earliest.
 
 Paragraphs are lines. Equal ones fall together by hash; lines of enough shingles for two
-different ones to reach the threshold are also joined by MinHash bands tuned for high
+different sets to reach the threshold (t / (1 - t): 4 at 0.8, 8 words) are also joined by MinHash bands tuned for high
 recall, verified with the exact Jaccard similarity of their full shingle sets, and
 clustered by connected components. As shared passages often begin and end inside a
 line, the sentences of a line count as units too, by equality. Of every cluster the
@@ -123,8 +123,8 @@ def repeated_spans(
 ) -> DataFrame:
     """``(doc_id, start, end, words)``: the byte ranges to remove, every row a maximal run of units."""
     bands = bands_for(threshold, rows, recall)
-    # Different sets can only reach the threshold from this many shingles on.
-    enough = int(np.ceil((1 + threshold) / (1 - threshold) - 1e-9)) + SIZE - 1
+    # Different sets share at most all of the smaller one, of a union that has one more.
+    enough = int(np.ceil(threshold / (1 - threshold) - 1e-9)) + SIZE - 1
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def keys(batch):

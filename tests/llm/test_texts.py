@@ -183,6 +183,24 @@ def test_suffix_index_levels_merge_geometrically(spark, make_docs):
     index.scratch.release()
 
 
+def test_near_short_lines(spark, make_docs):
+    lines, rows = {}, []  # more recall than by default: about the bound, not the chance of the bands
+    for n in range(8, 14):  # a word added at either end, or one replaced in the middle
+        for k in range(8):
+            line = [f"n{n}k{k}w{i}" for i in range(n)]
+            other = [[*line, "more"], ["more", *line], [*line[: n // 2], "other", *line[n // 2 + 1 :]]][k % 3]
+            i = len(rows)
+            lines[i + 1] = (line, other)
+            fresh = "\n".join(" ".join(f"f{i}r{r}w{w}" for w in range(6)) for r in range(2))
+            rows += [(i, " ".join(line) + "\n" + fresh), (i + 1, " ".join(other) + "\n" + fresh.replace("r", "s"))]
+    got = {r.doc_id: r for r in paragraph_dedup(make_docs(rows), recall=0.999999, min_words=8).collect()}
+    for i, (line, other) in lines.items():
+        a, b = shingles(" ".join(line)), shingles(" ".join(other))
+        near = len(a & b) >= 0.8 * len(a | b)
+        assert not got[i - 1].n_removed
+        assert got[i].n_removed == near * len(" ".join(other)), (line, other)
+
+
 def test_paragraphs(spark, make_docs):
     rng = random.Random(6)
     fresh = [prose(rng, 120, 100000) for _ in range(20)]
