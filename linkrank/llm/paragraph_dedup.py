@@ -3,12 +3,19 @@
 Paragraphs are lines. Equal ones fall together by hash; lines of enough shingles for two
 different sets to reach the threshold (t / (1 - t): 4 at 0.8, 8 words) are also joined by MinHash bands tuned for high
 recall, verified with the exact Jaccard similarity of their full shingle sets, and
-clustered by connected components. As shared passages often begin and end inside a
-line, the sentences of a line count as units too, by equality. Of every cluster the
-earliest occurrence (by document, then position) stays; the others are removed where
-runs of neighbouring removed units reach ``min_words`` words, so short phrases that
-recur by chance stay. Sentences of fewer words than a shingle are no units; one between two
-removed units goes with them.
+clustered by connected components. The sentences of a line count as units too, by
+equality. Of every cluster the earliest occurrence (by document, then position) stays;
+the others are removed where runs of neighbouring removed units reach ``min_words``
+words, so short phrases that recur by chance stay. Sentences of fewer words than a
+shingle are no units; one between two removed units goes with them.
+
+Passages. As shared text often begins and ends inside a sentence, every window of
+``min_words`` words that stands earlier too is removed as well, wherever it begins, and
+runs of units grow by the windows that touch them. Windows are kept as spans: neighbours
+whose least hash of ``min_words / 2`` words stands at the same place. Spans equal as a whole need
+no more; those that share that least hash (the key) and differ are read again, window by
+window. Equal windows have their least hash at the same place, so none is missed. Of
+windows that overlap their own first occurrence only the words after it go.
 
 Hot units: a task reduces its own occurrences first. Those after its earliest are
 removed for certain and go on under keys of their own, so a unit has at most one row
@@ -23,13 +30,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkrank.llm.common import cut
 from linkrank.llm.hashing import (
-    SENTENCE_END, WORDS, Words, as_long, band_keys, bands_for, mixed, prefix_hash, range_hash, text_blocks,
+    SENTENCE_END, U, WORDS, Words, as_long, band_keys, bands_for, mixed, prefix_hash, range_hash, text_blocks,
 )
 from linkrank.llm.similar import arrow_rows, candidate_components, classes, verified
 
@@ -118,6 +125,151 @@ def _occurrences(flush: int = 1 << 21):
     return run
 
 
+SPAN = pa.schema(
+    [("key", pa.int64()), ("span", pa.int64()), ("doc_id", pa.int64()), ("w0", pa.int32()), ("w1", pa.int32()),
+     ("b0", pa.int32()), ("b1", pa.int32()), ("next", pa.int32()), ("open", pa.bool_()), ("later", pa.bool_())]
+)
+SPAN_DDL = (
+    "key long, span long, doc_id long, w0 int, w1 int, b0 int, b1 int, next int, open boolean, later boolean"
+)
+
+
+def spans(words: Words, offsets: np.ndarray, size: int) -> dict[str, np.ndarray]:
+    """Spans of neighbouring windows of ``size`` words with the same least hash: bounds, text, key and hash."""
+    n, gram = len(words.start), max(1, size // 2)
+    text = np.repeat(np.arange(len(offsets) - 1), words.last - words.first)
+    start = np.flatnonzero(text[: max(0, n - size + 1)] == text[size - 1 :])
+    if not len(start):
+        return {k: np.zeros(0, "i8") for k in ("first", "last", "text")} | {k: np.zeros(0, "u8") for k in ("key", "hash")}
+    prefix = prefix_hash(words.hash, WORDS)
+    place = np.arange(n - gram + 1)
+    grams = range_hash(prefix, place, place + gram, WORDS)
+    # Least hash first, then leftmost: the place rides in the low half.
+    least = (grams & U(0xFFFFFFFF00000000)) | place.astype("u8")
+    least = np.lib.stride_tricks.sliding_window_view(least, size - gram + 1).min(axis=1)
+    at = (least[start] & U(0xFFFFFFFF)).astype("i8")
+    new = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (text[start][1:] != text[start][:-1])))
+    first, last = start[new], start[np.append(new[1:], len(start)) - 1] + size
+    return {"first": first, "last": last, "text": text[first], "key": grams[at[new]],
+            "hash": range_hash(prefix, first, last, WORDS)}
+
+
+def _earlier(held: list[dict[str, np.ndarray]], size: int):
+    """Spans of a task as rows: at most one per key under the key itself, the others under keys of their own.
+
+    Those after an equal one are ``later`` for certain; where a key has different spans, all are ``open``.
+    """
+    t = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
+    order = np.lexsort((t["w0"], t["doc_id"], t["span"], t["key"]))
+    t = {k: v[order] for k, v in t.items()}
+    n = len(order)
+    if not n:
+        return
+    same = np.append(False, (t["span"][1:] == t["span"][:-1]) & (t["key"][1:] == t["key"][:-1]))
+    at = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
+    again = (t["doc_id"] == t["doc_id"][at]) & (t["w0"] == t["w0"][at])  # a repeated row
+    later = same & ~again
+    head = np.flatnonzero(np.append(True, t["key"][1:] != t["key"][:-1]))
+    count = np.diff(np.append(head, n))
+    extra = t["span"] != np.repeat(t["span"][head], count)
+    open_ = np.repeat(np.logical_or.reduceat(extra, head), count)
+    place = t["doc_id"].view("u8") * U(0x9E3779B97F4A7C15) + t["w0"].astype("u8")
+    own = as_long(mixed(place ^ mixed(t["span"].view("u8"))))
+    # What overlaps the first occurrence stays.
+    over = later & (t["doc_id"] == t["doc_id"][at]) & (t["w0"] < t["w0"][at] + size)
+    b0 = np.where(over, t["next"][at], t["b0"])
+    w0 = np.where(over, t["w0"][at] + size, t["w0"])
+    t |= {"key": np.where(later | extra, own, t["key"]), "later": later, "open": open_, "w0": w0, "b0": b0}
+    keep = np.flatnonzero(~(same & again))
+    for i in range(0, len(keep), 1 << 16):
+        part = keep[i : i + (1 << 16)]
+        yield pa.record_batch([pa.array(t[f.name][part], f.type) for f in SPAN], schema=SPAN)
+
+
+def _span_rows(words: Words, offsets: np.ndarray, ids: np.ndarray, s: dict, size: int) -> dict[str, np.ndarray]:
+    """Places of spans; ``next`` is the byte where the word after a span's first window begins, if it has one."""
+    first, last, text = s["first"], s["last"], s["text"]
+    end = words.end[last - 1] - offsets[text]
+    after = first + size
+    following = words.start[np.minimum(after, len(words.start) - 1)] - offsets[text]
+    return {"key": as_long(s["key"]), "span": as_long(s["hash"]), "doc_id": ids[text],
+            "w0": first - words.first[text], "w1": last - words.first[text],
+            "b0": words.start[first] - offsets[text], "b1": end,
+            "next": np.where(after < words.last[text], following, end)}
+
+
+def _held(rows, size: int, flush: int = 1 << 20):
+    """``rows`` reduced by :func:`_earlier`, about ``flush`` of them at a time."""
+    held, n = [], 0
+    for row in rows:
+        held.append(row)
+        n += len(row["key"])
+        if n >= flush:
+            yield from _earlier(held, size)
+            held, n = [], 0
+    if n:
+        yield from _earlier(held, size)
+
+
+def _first(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` with ``later``, their first words and bytes moved behind an overlapping first occurrence."""
+    key = W.partitionBy("key")
+    rows = rows.withColumn("open", F.max("open").over(key) | (F.min("span").over(key) != F.max("span").over(key)))
+    rows = rows.withColumn("at", F.min(F.struct("doc_id", "w0", "next")).over(W.partitionBy("key", "span")))
+    found = (F.col("doc_id") != F.col("at.doc_id")) | (F.col("w0") != F.col("at.w0"))
+    over = ~F.col("later") & (F.col("doc_id") == F.col("at.doc_id")) & found & (F.col("w0") < F.col("at.w0") + size)
+    return rows.select(
+        "span", "doc_id", F.when(over, F.col("at.w0") + size).otherwise(F.col("w0")).alias("w0"), "w1",
+        F.when(over, F.col("at.next")).otherwise(F.col("b0")).alias("b0"), "b1",
+        (F.col("later") | found).alias("later"), "open",
+    )
+
+
+def repeated_windows(texts: DataFrame, size: int) -> DataFrame:
+    """``(doc_id, w0, w1, b0, b1)``: ranges that cover all windows of ``size`` words that stand earlier, too."""
+
+    def collect(batches):
+        def rows():
+            for batch in batches:
+                ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("i8")
+                known = ~np.asarray(batch.column(0).is_null())
+                for row, data, offsets in text_blocks(batch.column(1)):
+                    words = Words(data, offsets)
+                    s = spans(words, offsets, size)
+                    keep = known[row + s["text"]]
+                    s = {k: v[keep] for k, v in s.items()}
+                    yield _span_rows(words, offsets, ids[row : row + len(offsets) - 1], s, size)
+
+        yield from _held(rows(), size)
+
+    def windows(batches):
+        def rows():
+            for batch in batches:
+                columns = (batch.column(i).to_pylist() for i in range(3))
+                for doc_id, text, wanted in zip(*columns, strict=True):
+                    data = np.frombuffer((text or "").encode(), "u1")
+                    offsets = np.array([0, len(data)])
+                    words = Words(data, offsets)
+                    at = np.array([(w["w0"], w["w1"]) for w in wanted], "i8")
+                    at = at[at[:, 1] <= len(words.start)]  # another text under the same id may be shorter
+                    n = at[:, 1] - at[:, 0] - size + 1
+                    first = np.repeat(at[:, 0] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
+                    if not len(first):
+                        continue
+                    text_hash = range_hash(prefix_hash(words.hash, WORDS), first, first + size, WORDS)
+                    s = {"first": first, "last": first + size, "text": np.zeros(len(first), "i8"),
+                         "key": text_hash, "hash": text_hash}
+                    yield _span_rows(words, offsets, np.array([doc_id], "i8"), s, size)
+
+        yield from _held(rows(), size)
+
+    cols = ["doc_id", "w0", "w1", "b0", "b1"]
+    seen = cut(_first(texts.mapInArrow(collect, SPAN_DDL), size).filter("later or open"))
+    wanted = seen.filter("not later").groupBy("doc_id").agg(F.collect_list(F.struct("w0", "w1")).alias("at"))
+    again = _first(texts.join(wanted, "doc_id").mapInArrow(windows, SPAN_DDL), size).filter("later")
+    return seen.filter("later").select(cols).unionByName(again.select(cols)).filter("w0 < w1")
+
+
 def repeated_spans(
     docs: DataFrame, threshold: float = 0.8, rows: int = 3, recall: float = 0.995, min_words: int = 20, seed: int = 17,
 ) -> DataFrame:
@@ -168,19 +320,28 @@ def repeated_spans(
     moved = in_class.join(earliest, "class").filter(place != F.col("first"))
 
     cols = ["doc_id", "w0", "w1", "b0", "b1"]
-    out = occ.filter("later").select(cols).unionByName(moved.select(cols))
-    order = W.partitionBy("doc_id").orderBy("w0", F.desc("w1"))
-    reach = F.max("w1").over(order.rowsBetween(W.unboundedPreceding, -1))
+    out = occ.filter("later").select(cols).unionByName(moved.select(cols)).withColumn("unit", F.lit(True))
     # Sentences too short to be units may lie between two removed ones.
-    gap = F.when(F.col("w0") < F.col("reach") + SIZE, 0).otherwise(1)
-    runs = out.withColumn("reach", reach).withColumn("gap", gap)
-    runs = runs.withColumn("run", F.sum("gap").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    runs = runs.groupBy("doc_id", "run").agg(
-        F.min("b0").alias("start"), F.max("b1").alias("end"), (F.max("w1") - F.min("w0")).alias("words")
+    windows = repeated_windows(texts, max(1, min_words)).withColumn("unit", F.lit(False))
+    runs = _runs(out.unionByName(windows), ["unit"], F.when(F.col("unit"), SIZE).otherwise(1))
+    runs = _runs(runs, [], F.lit(1))
+    runs = runs.select(
+        "doc_id", F.col("b0").alias("start"), F.col("b1").alias("end"), (F.col("w1") - F.col("w0")).alias("words")
     )
     return runs.filter(F.col("words") >= min_words).select("doc_id", "start", "end", "words")
 
 
+def _runs(ranges: DataFrame, also: list[str], gap: Column) -> DataFrame:
+    """Ranges of a document (and ``also``) with fewer than ``gap`` words between them as one."""
+    order = W.partitionBy("doc_id", *also).orderBy("w0", F.desc("w1"))
+    reach = F.max("w1").over(order.rowsBetween(W.unboundedPreceding, -1))
+    new = F.when(F.col("w0") < F.col("reach") + gap, 0).otherwise(1)
+    runs = ranges.withColumn("reach", reach).withColumn("new", new)
+    runs = runs.withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    bounds = (F.min("w0").alias("w0"), F.max("w1").alias("w1"), F.min("b0").alias("b0"), F.max("b1").alias("b1"))
+    return runs.groupBy("doc_id", *also, "run").agg(*bounds).drop("run")
+
+
 def _unit_sets(batches):
     schema = pa.schema([("component", pa.int64()), ("node", pa.int64()), ("weight", pa.int64()), ("shingles", pa.binary())])
     for batch in batches:

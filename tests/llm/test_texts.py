@@ -201,6 +201,52 @@ def test_near_short_lines(spark, make_docs):
         assert got[i].n_removed == near * len(" ".join(other)), (line, other)
 
 
+def brute_passages(rows, size=20):
+    """``{id: removed words}``: windows of ``size`` words that stand earlier, too, but for the words of that earlier one."""
+    first, out = {}, {}
+    for i, text in sorted(rows):
+        w = words(text)
+        gone = [False] * len(w)
+        for a in range(len(w) - size + 1):
+            d, b = first.setdefault(tuple(w[a : a + size]), (i, a))
+            if (d, b) != (i, a):
+                begin = max(a, b + size) if d == i else a
+                gone[begin : a + size] = [True] * (a + size - begin)
+        out[i], run = [], []
+        for word, g in zip([*w, None], [*gone, False], strict=True):
+            if g:
+                run.append(word)
+            else:
+                out[i] += run if len(run) >= size else []
+                run = []
+    return out
+
+
+def test_passages_inside_sentences(spark, make_docs):
+    rng = random.Random(26)
+    fresh = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    rows = []
+    for n in [19, 20, 21, 25, 35, 50, 60, 88] * 3:  # no sentence or line begins or ends with the passage
+        passage = fresh(n)
+        for _ in range(rng.randrange(2, 5)):
+            rows.append((len(rows), f"{fresh(60 + rng.randrange(40))} {passage} {fresh(90)}"))
+    long = fresh(300).split()
+    for _ in range(30):  # cuts that overlap each other
+        a = rng.randrange(270)
+        rows.append((len(rows), f"{fresh(130)} {' '.join(long[a : a + rng.randrange(15, 120)])} {fresh(130)}"))
+    rows += [(len(rows) + i, f"{fresh(99)} {'and ' * n}{fresh(99)}") for i, n in enumerate((30, 50, 70, 41))]
+    rows += [(len(rows), f"{fresh(80)} {'one two three ' * 30}{fresh(50)}"), (len(rows) + 1, f"{fresh(70)} {fresh(30)} é")]
+    rows += [(len(rows), f"{fresh(9)} {(p := fresh(40))} {fresh(60)} {p} {fresh(9)}")]  # twice in one document
+    rows += [rows[5], (None, rows[7][1]), (len(rows) + 5, None)]
+    want = brute_passages({r for r in rows if r[0] is not None and r[1]})
+    got = {r.doc_id: r for r in paragraph_dedup(make_docs(rows, partitions=7)).collect()}
+    for i, text in rows:
+        if i is not None and text:
+            taken = b" ".join(text.encode()[s.start : s.end] for s in got[i].spans).decode()
+            assert words(taken) == want[i], i
+    assert not got[None].n_removed and sum(map(len, want.values())) > 2000
+
+
 def test_paragraphs(spark, make_docs):
     rng = random.Random(6)
     fresh = [prose(rng, 120, 100000) for _ in range(20)]
