@@ -38,6 +38,7 @@ from linkrank.llm.common import cut
 from linkrank.llm.hashing import (
     SENTENCE_END, U, WORDS, Words, as_long, band_keys, bands_for, mixed, prefix_hash, range_hash, text_blocks,
 )
+from linkrank.llm.line_dedup import _may_contain
 from linkrank.llm.similar import arrow_rows, candidate_components, classes, verified
 
 SIZE = 5  # words of a shingle
@@ -125,13 +126,14 @@ def _occurrences(flush: int = 1 << 21):
     return run
 
 
-SPAN = pa.schema(
-    [("key", pa.int64()), ("span", pa.int64()), ("doc_id", pa.int64()), ("w0", pa.int32()), ("w1", pa.int32()),
-     ("b0", pa.int32()), ("b1", pa.int32()), ("next", pa.int32()), ("open", pa.bool_()), ("later", pa.bool_())]
+# ``at``: first word, number of words (18 bits), later, open.
+SPAN = pa.schema([("key", pa.int64()), ("span", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
+SPAN_DDL = "key long, span long, doc_id long, at long"
+WINDOW = pa.schema(
+    [("key", pa.int64()), ("doc_id", pa.int64()), ("w0", pa.int32()), ("w1", pa.int32()), ("b0", pa.int32()),
+     ("b1", pa.int32()), ("next", pa.int32()), ("later", pa.bool_())]
 )
-SPAN_DDL = (
-    "key long, span long, doc_id long, w0 int, w1 int, b0 int, b1 int, next int, open boolean, later boolean"
-)
+WINDOW_DDL = "key long, doc_id long, w0 int, w1 int, b0 int, b1 int, next int, later boolean"
 
 
 def spans(words: Words, offsets: np.ndarray, size: int) -> dict[str, np.ndarray]:
@@ -154,8 +156,8 @@ def spans(words: Words, offsets: np.ndarray, size: int) -> dict[str, np.ndarray]
             "hash": range_hash(prefix, first, last, WORDS)}
 
 
-def _earlier(held: list[dict[str, np.ndarray]], size: int):
-    """Spans of a task as rows: at most one per key under the key itself, the others under keys of their own.
+def _earlier(held: list[dict[str, np.ndarray]], size: int) -> dict[str, np.ndarray]:
+    """Spans of a task, at most one per key under the key itself, the others under keys of their own.
 
     Those after an equal one are ``later`` for certain; where a key has different spans, all are ``open``.
     """
@@ -163,66 +165,70 @@ def _earlier(held: list[dict[str, np.ndarray]], size: int):
     order = np.lexsort((t["w0"], t["doc_id"], t["span"], t["key"]))
     t = {k: v[order] for k, v in t.items()}
     n = len(order)
-    if not n:
-        return
     same = np.append(False, (t["span"][1:] == t["span"][:-1]) & (t["key"][1:] == t["key"][:-1]))
     at = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
-    again = (t["doc_id"] == t["doc_id"][at]) & (t["w0"] == t["w0"][at])  # a repeated row
+    again = same & (t["doc_id"] == t["doc_id"][at]) & (t["w0"] == t["w0"][at])  # a repeated row
     later = same & ~again
     head = np.flatnonzero(np.append(True, t["key"][1:] != t["key"][:-1]))
-    count = np.diff(np.append(head, n))
-    extra = t["span"] != np.repeat(t["span"][head], count)
-    open_ = np.repeat(np.logical_or.reduceat(extra, head), count)
-    place = t["doc_id"].view("u8") * U(0x9E3779B97F4A7C15) + t["w0"].astype("u8")
-    own = as_long(mixed(place ^ mixed(t["span"].view("u8"))))
+    extra = t["span"] != np.repeat(t["span"][head], np.diff(np.append(head, n)))
+    open_ = np.repeat(np.logical_or.reduceat(extra, head), np.diff(np.append(head, n)))
+    own = _own(t["doc_id"], t["w0"], t["span"])
     # What overlaps the first occurrence stays.
     over = later & (t["doc_id"] == t["doc_id"][at]) & (t["w0"] < t["w0"][at] + size)
-    b0 = np.where(over, t["next"][at], t["b0"])
+    if "next" in t:
+        t["b0"] = np.where(over, t["next"][at], t["b0"])
     w0 = np.where(over, t["w0"][at] + size, t["w0"])
-    t |= {"key": np.where(later | extra, own, t["key"]), "later": later, "open": open_, "w0": w0, "b0": b0}
-    keep = np.flatnonzero(~(same & again))
-    for i in range(0, len(keep), 1 << 16):
-        part = keep[i : i + (1 << 16)]
-        yield pa.record_batch([pa.array(t[f.name][part], f.type) for f in SPAN], schema=SPAN)
-
-
-def _span_rows(words: Words, offsets: np.ndarray, ids: np.ndarray, s: dict, size: int) -> dict[str, np.ndarray]:
-    """Places of spans; ``next`` is the byte where the word after a span's first window begins, if it has one."""
-    first, last, text = s["first"], s["last"], s["text"]
-    end = words.end[last - 1] - offsets[text]
-    after = first + size
-    following = words.start[np.minimum(after, len(words.start) - 1)] - offsets[text]
-    return {"key": as_long(s["key"]), "span": as_long(s["hash"]), "doc_id": ids[text],
-            "w0": first - words.first[text], "w1": last - words.first[text],
-            "b0": words.start[first] - offsets[text], "b1": end,
-            "next": np.where(after < words.last[text], following, end)}
-
-
-def _held(rows, size: int, flush: int = 1 << 20):
-    """``rows`` reduced by :func:`_earlier`, about ``flush`` of them at a time."""
+    later |= t.pop("done", False)
+    t |= {"key": np.where(later | extra, own, t["key"]), "later": later, "open": open_, "w0": w0}
+    return {k: v[~again] for k, v in t.items()}
+
+
+def _own(doc_id: np.ndarray, w0: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """A key of a place's own."""
+    place = doc_id.view("u8") * U(0x9E3779B97F4A7C15) + w0.astype("u8")
+    return as_long(mixed(place ^ mixed(span.view("u8"))))
+
+
+def _held(rows, size: int, schema: pa.Schema, flush: int = 1 << 18):
+    """``rows`` reduced by :func:`_earlier`, about ``flush`` of them at a time, as record batches."""
     held, n = [], 0
+
+    def reduced():
+        t = _earlier(held, size)
+        if "at" in schema.names:
+            t["at"] = t["w0"] << 20 | (t["w1"] - t["w0"]) << 2 | t["later"].astype("i8") << 1 | t["open"].astype("i8")
+        for i in range(0, len(t["key"]), 1 << 16):
+            yield pa.record_batch([pa.array(t[f.name][i : i + (1 << 16)], f.type) for f in schema], schema=schema)
+
     for row in rows:
-        held.append(row)
-        n += len(row["key"])
+        if len(row["key"]):
+            held.append(row)
+            n += len(row["key"])
         if n >= flush:
-            yield from _earlier(held, size)
+            yield from reduced()
             held, n = [], 0
     if n:
-        yield from _earlier(held, size)
-
-
-def _first(rows: DataFrame, size: int) -> DataFrame:
-    """``rows`` with ``later``, their first words and bytes moved behind an overlapping first occurrence."""
-    key = W.partitionBy("key")
-    rows = rows.withColumn("open", F.max("open").over(key) | (F.min("span").over(key) != F.max("span").over(key)))
-    rows = rows.withColumn("at", F.min(F.struct("doc_id", "w0", "next")).over(W.partitionBy("key", "span")))
-    found = (F.col("doc_id") != F.col("at.doc_id")) | (F.col("w0") != F.col("at.w0"))
-    over = ~F.col("later") & (F.col("doc_id") == F.col("at.doc_id")) & found & (F.col("w0") < F.col("at.w0") + size)
-    return rows.select(
-        "span", "doc_id", F.when(over, F.col("at.w0") + size).otherwise(F.col("w0")).alias("w0"), "w1",
-        F.when(over, F.col("at.next")).otherwise(F.col("b0")).alias("b0"), "b1",
-        (F.col("later") | found).alias("later"), "open",
-    )
+        yield from reduced()
+
+
+def _windows_of(words: Words, doc_id: int, at: np.ndarray, later: np.ndarray, size: int):
+    """The windows of open spans ``at`` of a document, and the ranges that the ``later`` spans cover."""
+    a, b = at[later].T
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], np.maximum.accumulate(b[order])
+    new = np.flatnonzero(np.append(True, a[1:] > b[:-1])[: len(a)])
+    a, b = a[new], b[np.append(new[1:], len(a))[: len(new)] - 1]
+    n = at[~later, 1] - at[~later, 0] - size + 1
+    first = np.repeat(at[~later, 0] - np.append(0, np.cumsum(n))[: len(n)], n) + np.arange(n.sum())
+    key = as_long(range_hash(prefix_hash(words.hash, WORDS), first, first + size, WORDS))
+    place = np.full(len(first) + len(a), doc_id)
+    w0, w1 = np.append(first, a), np.append(first + size, b)
+    key = np.append(key, _own(place[len(first) :], a, b))
+    # The byte where the word after the window begins, if there is one.
+    after = np.append(words.start, words.end[-1:])[np.minimum(w0 + size, len(words.start))]
+    done = np.arange(len(place)) >= len(first)
+    return {"key": key, "span": key, "doc_id": place, "w0": w0, "w1": w1, "b0": words.start[w0],
+            "b1": words.end[w1 - 1], "next": after, "done": done}
 
 
 def repeated_windows(texts: DataFrame, size: int) -> DataFrame:
@@ -236,38 +242,53 @@ def repeated_windows(texts: DataFrame, size: int) -> DataFrame:
                 for row, data, offsets in text_blocks(batch.column(1)):
                     words = Words(data, offsets)
                     s = spans(words, offsets, size)
-                    keep = known[row + s["text"]]
-                    s = {k: v[keep] for k, v in s.items()}
-                    yield _span_rows(words, offsets, ids[row : row + len(offsets) - 1], s, size)
+                    s = {k: v[known[row + s["text"]]] for k, v in s.items()}
+                    base = words.first[s["text"]]
+                    yield {"key": as_long(s["key"]), "span": as_long(s["hash"]), "doc_id": ids[row + s["text"]],
+                           "w0": s["first"] - base, "w1": s["last"] - base}
 
-        yield from _held(rows(), size)
+        yield from _held(rows(), size, SPAN)
 
     def windows(batches):
         def rows():
-            for batch in batches:
+            for batch in _slices(batches):
                 columns = (batch.column(i).to_pylist() for i in range(3))
                 for doc_id, text, wanted in zip(*columns, strict=True):
                     data = np.frombuffer((text or "").encode(), "u1")
-                    offsets = np.array([0, len(data)])
-                    words = Words(data, offsets)
-                    at = np.array([(w["w0"], w["w1"]) for w in wanted], "i8")
+                    words = Words(data, np.array([0, len(data)]))
+                    at = np.array([(w["w0"], w["w1"], w["later"]) for w in wanted], "i8")
                     at = at[at[:, 1] <= len(words.start)]  # another text under the same id may be shorter
-                    n = at[:, 1] - at[:, 0] - size + 1
-                    first = np.repeat(at[:, 0] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
-                    if not len(first):
-                        continue
-                    text_hash = range_hash(prefix_hash(words.hash, WORDS), first, first + size, WORDS)
-                    s = {"first": first, "last": first + size, "text": np.zeros(len(first), "i8"),
-                         "key": text_hash, "hash": text_hash}
-                    yield _span_rows(words, offsets, np.array([doc_id], "i8"), s, size)
+                    if len(at):
+                        yield _windows_of(words, doc_id, at[:, :2], at[:, 2] == 1, size)
 
-        yield from _held(rows(), size)
+        yield from _held(rows(), size, WINDOW)
 
-    cols = ["doc_id", "w0", "w1", "b0", "b1"]
-    seen = cut(_first(texts.mapInArrow(collect, SPAN_DDL), size).filter("later or open"))
-    wanted = seen.filter("not later").groupBy("doc_id").agg(F.collect_list(F.struct("w0", "w1")).alias("at"))
-    again = _first(texts.join(wanted, "doc_id").mapInArrow(windows, SPAN_DDL), size).filter("later")
-    return seen.filter("later").select(cols).unionByName(again.select(cols)).filter("w0 < w1")
+    # Unpacked only after the shuffle.
+    s = texts.mapInArrow(collect, SPAN_DDL).repartition("key")
+    s = s.withColumn("w0", F.shiftright("at", 20)).withColumn("later", F.col("at").bitwiseAND(F.lit(2)) != 0)
+    s = s.withColumn("w1", F.col("w0") + F.shiftright("at", 2).bitwiseAND(F.lit((1 << 18) - 1)))
+    key = W.partitionBy("key")
+    s = s.withColumn("open", F.max(F.col("at").bitwiseAND(F.lit(1))).over(key))
+    s = s.withColumn("open", (F.col("open") == 1) | (F.min("span").over(key) != F.max("span").over(key)))
+    seen = cut(_moved(s, W.partitionBy("key", "span"), size).filter("later or open").select("doc_id", "w0", "w1", "later"))
+    wanted = seen.groupBy("doc_id").agg(F.collect_list(F.struct("w0", "w1", "later")).alias("at"))
+    again = _may_contain(texts, seen, "doc_id").join(wanted, "doc_id").mapInArrow(windows, WINDOW_DDL)
+    again = _moved(again, key, size, F.col("next")).filter("later")
+    return again.select("doc_id", *(F.col(c).cast("int") for c in ("w0", "w1")), "b0", "b1")
+
+
+def _moved(rows: DataFrame, equal, size: int, following: Column | None = None) -> DataFrame:
+    """``rows`` with ``later`` for all but the first of ``equal``; those that overlap it begin behind it."""
+    first = [F.col("doc_id"), F.col("w0")] + ([following.alias("next")] if following is not None else [])
+    rows = rows.withColumn("first", F.min(F.struct(*first)).over(equal))
+    same = F.col("doc_id") == F.col("first.doc_id")
+    found = ~same | (F.col("w0") != F.col("first.w0"))
+    over = same & found & (F.col("w0") < F.col("first.w0") + size)
+    if following is not None:
+        rows = rows.withColumn("b0", F.when(over, F.col("first.next")).otherwise(F.col("b0")))
+    return rows.withColumn("later", F.col("later") | found).withColumn(
+        "w0", F.when(over, F.col("first.w0") + size).otherwise(F.col("w0"))
+    )
 
 
 def repeated_spans(
@@ -310,7 +331,7 @@ def repeated_spans(
     firsts = cut(firsts.join(near.withColumnRenamed("node", "unit"), "unit").drop("later", "wide"))
 
     wanted = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("component", "unit", "b0", "b1")).alias("at"))
-    one = texts.join(wanted, "doc_id")
+    one = _may_contain(texts, firsts, "doc_id").join(wanted, "doc_id")
     members = one.mapInArrow(
         _unit_sets, "component long, node long, weight long, shingles binary"
     ).dropDuplicates(["node"])
@@ -342,9 +363,16 @@ def _runs(ranges: DataFrame, also: list[str], gap: Column) -> DataFrame:
     return runs.groupBy("doc_id", *also, "run").agg(*bounds).drop("run")
 
 
+def _slices(batches, rows: int = 128):
+    """Batches of few rows, as those turned into Python objects take many times their size."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _unit_sets(batches):
     schema = pa.schema([("component", pa.int64()), ("node", pa.int64()), ("weight", pa.int64()), ("shingles", pa.binary())])
-    for batch in batches:
+    for batch in _slices(batches):
         texts, lists = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         component, node, sets = [], [], []
         for text, wanted in zip(texts, lists, strict=True):
