@@ -5,7 +5,8 @@ among equally long ones. Pages that no rule fits take the method's verdict: URLs
 linked by redirect (``<meta http-equiv="refresh">``), by ``<link rel="canonical">`` or
 by a row of ``redirects`` are aliases of each other, and a block on any alias blocks
 the component. An explicit allow on the page itself takes precedence over such a
-block. Everything else is allowed.
+block. Everything else is allowed. Relative targets are resolved against the page's
+URL: its host and folder, without dot segments.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no
 rule and has no alias, so it is allowed; a null page has no links; repeated rows get
@@ -56,8 +57,34 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[
     return rule, verdict
 
 
+def resolved(url: Column, to: Column) -> Column:
+    """The reference ``to`` on the page ``url`` made absolute; null for schemes without ``//`` (``mailto:``)."""
+    path = F.regexp_extract(to, "^[^?#]*", 0)
+    rest = to.substr(F.length(path) + 1, F.length(to))
+    folder = F.concat(F.lit("/"), F.regexp_extract(path_of(url), "(?s)^/(.*/)?", 1))
+    whole = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
+    segments = F.split(whole.substr(F.lit(2), F.length(whole)), "/", -1)
+    last = F.element_at(segments, -1)
+    segments = F.when(last.isin(".", ".."), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    kept = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda up, x: F.when(x == "..", F.slice(up, F.lit(1), F.greatest(F.size(up) - 1, F.lit(0))))
+        .when(x == ".", up).otherwise(F.concat(up, F.array(x))),
+    )
+    place = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    site = F.concat(F.lit("x://"), host_of(url))
+    return (
+        F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(to.startswith("//"), F.concat(F.lit("x:"), to))
+        .when(path != "", F.concat(site, place, rest))
+        .when(to.startswith("?"), F.concat(site, path_of(url), rest))
+        .otherwise(F.concat(site, path_of(url), _part(url, 3), rest))
+    )
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """``(url, target)``: canonical links and refresh redirects that pages declare, made absolute."""
+    """``(url, target)``: canonical links and refresh redirects that pages declare, relative ones resolved."""
     marked = pages.filter(
         F.col("html").rlike("(?i)canonical|http-equiv") & F.col("url").isNotNull()
     )
@@ -72,11 +99,7 @@ def page_links(pages: DataFrame) -> DataFrame:
         F.regexp_extract("tag", "(?i)\\burl\\s*=\\s*[\"']?([^\"'\\s>]+)", 1),
     )
     to = tag.select("url", F.coalesce(canonical, refresh).alias("to")).filter(F.col("to") != "")
-    absolute = (
-        F.when(F.col("to").contains("://"), F.col("to"))
-        .when(F.col("to").startswith("//"), F.concat(F.lit("x:"), F.col("to")))
-        .when(F.col("to").startswith("/"), F.concat(F.lit("x://"), host_of(F.col("url")), F.col("to")))
-    )
+    absolute = resolved(F.col("url"), F.col("to"))
     return to.select("url", absolute.alias("target")).filter(F.col("target").isNotNull())
 
 

@@ -179,6 +179,31 @@ def test_urls(spark):
     assert url_verdicts(pages.limit(0), RULES).count() == 0
 
 
+def test_urls_relative_targets(spark):
+    from urllib.parse import urljoin
+
+    from linkrank.llm.url_filter import resolved
+
+    bases = ["http://h.io/a/b/c?q=1", "http://h.io", "http://h.io/", "http://h.io/a/", "http://h.io/a?u=x/y"]
+    targets = ["i.php", "../a", "../../../z/", "?id=3", "./", "..", ".", "a/./b/../c?x=../y", "/r/../s", "//o.org/p", "x/y",
+               "http://o.org/q", "i?u=http://o.org/", "#top"]
+    pairs = spark.createDataFrame([(b, t) for b in bases for t in targets], "url string, to string")
+    for r in pairs.withColumn("got", resolved(F.col("url"), F.col("to"))).collect():
+        want = urljoin(r.url, r.to).split("://", 1)[1]
+        assert r.got.split("://", 1)[1].rstrip("/") == want.rstrip("/"), r
+    assert pairs.select(resolved(F.col("url"), F.lit("mailto:a@h.io")).alias("x")).distinct().collect() == [(None,)]
+
+    link = '<link rel="canonical" href="{}">'.format
+    rows = [
+        (1, "http://h.io/good/p", link("../bad/x")), (2, "http://h.io/good/bad/q", link("p")),
+        (3, "http://h.io/q?id=1", link("?id=3")), (4, "http://h.io/q?id=3", link("bad/y?u=http://o.org/")),
+        (5, "http://h.io/good/r", link("s")), (6, "http://h.io/good/s", ""),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_verdicts(pages, [("block", "h.io/bad/")]).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "allow"}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_pipeline_stages_against_brute_force(spark, tmp_path):
     public = pytest.importorskip("public_tokenizers")
