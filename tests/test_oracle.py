@@ -17,12 +17,7 @@ def con():
     return duck(SF)
 
 
-# Queries that rank the same graphs as others do; ``ALL_QUERIES=1`` runs them too, as does oracle_check.py.
-SAME_RUNS = {
-    "batch_many", "batch_overlap", "batch_ranks", "mean_overlap", "experiment_details", "topk_jaccard", "pagerank_top10",
-    "dangling_ranks", "validation", "pagerank_bipartite", "pagerank_width", "iteration_log", "contributions",
-}
-NAMES = sorted(set(catalog.QUERIES) - (set() if os.environ.get("ALL_QUERIES") else SAME_RUNS))
+NAMES = sorted(catalog.QUERIES)
 
 
 @tables
