@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+import sys
+import types
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from linkrank.session import Scratch, ensure_checkpoint_dir
 
-__all__ = ["Scratch", "components", "cut", "fresh", "null_safe_key", "table", "width"]
+__all__ = ["Scratch", "components", "cut", "fresh", "null_safe_key", "once_per_worker", "table", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +40,22 @@ def null_safe_key(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit(""))
 
 
+def once_per_worker(key: str, make: Callable[[], object], most: int = 2) -> object:
+    """What ``make`` returns, kept for later tasks of the same Python process (the ``most`` last keys).
+
+    Functions of this subpackage reach workers by value, each task with globals of its own, so the
+    objects are held by a module that only names them.
+    """
+    home = sys.modules.setdefault("linkrank_worker_state", types.ModuleType("linkrank_worker_state"))
+    held = home.__dict__.setdefault("held", {})
+    found = held.pop(key, None)
+    found = make() if found is None else found
+    held[key] = found
+    while len(held) > most:
+        del held[next(iter(held))]
+    return found
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
