@@ -1,5 +1,6 @@
 """The alignment of two tokenizers against a plain count over every pair of tokens."""
 
+import functools
 import hashlib
 import os
 import random
@@ -15,13 +16,18 @@ BYTES, PIECES = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_3
 SF = "/root/testdata/sf0.001"
 
 
-def ids_of(text):
+@functools.cache
+def loaded():
     import sentencepiece
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BYTES)
     t.encode_special_tokens = True
-    s = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    return t, sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+def ids_of(text):
+    t, s = loaded()
     return t.encode(" " + text, add_special_tokens=False).ids, s.encode(text)
 
 
