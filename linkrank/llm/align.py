@@ -11,15 +11,16 @@ looks like inside depends on its ids alone:
 * its *links*, the pairs of an A and a B token whose byte ranges overlap, one for every stretch
   between neighbouring ends of either side.
 
-So a chunk of documents (about ``chunk_bytes`` of text) keeps each distinct window once, aligns
-it once, and writes its documents as window numbers. A pair of ids is counted over the corpus from
-the chunks' pair counts; the counts go back to the chunks that hold the pair, are summed
-per distinct window and from there per document. A chunk is bounded in bytes and has its
-number written beside its rows, so no task depends on how often it is rerun.
+Neither tokenizer has a token across a single space between two other characters (the regular
+expression of A starts anew there, and no piece of B goes on after a letter with a space), so the
+text is tokenized in full segment by segment between such places, each with its space before
+it, and a segment met again is not tokenized again. Windows are then cut inside the segments.
 
-Texts beyond ``LONG`` bytes are tokenized in parts cut before single spaces between two other
-characters: neither tokenizer has a token across such a place, and each part starts with the
-space that both put or find there.
+A chunk of documents (about ``chunk_bytes`` of text) keeps each distinct segment and window once,
+aligns a window once, and writes its documents as segment numbers. A pair of ids is counted over the
+corpus from the chunks' pair counts; the counts go back to the chunks that hold the pair, are
+summed per distinct window and from there per document. A chunk is bounded in bytes and has
+its number written beside its rows, so nothing depends on how often a task is run.
 
 Defined results: a text that is null, empty or not spelled back by both tokenizers (it holds
 U+2581, say) has no tokens: counts 0 and groups ''. Strings of special tokens are plain text.
@@ -29,9 +30,11 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +49,7 @@ from linkrank.llm.common import Scratch, cut, once_per_worker
 from linkrank.llm.hashing import Powers, mixed, prefix_hash, range_hash
 
 CHUNK_BYTES = 8 << 20
-BLOCK_BYTES = 1 << 19
-LONG = 1 << 20
+BLOCK_BYTES, PART_BYTES = 1 << 19, 1 << 17
 IDS = Powers(0xC2B2AE3D27D4EB4F)
 
 
@@ -121,40 +123,6 @@ def id_values(ids: np.ndarray) -> np.ndarray:
     return mixed((ids.astype("u8") + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-def parts_of(text: str) -> list[str]:
-    """A long text in parts of about a block, cut at (and without) single spaces between other characters."""
-    if len(text) <= LONG:
-        return [text]
-    parts, begin = [], 0
-    while len(text) - begin > LONG:
-        found = CUT.search(text, begin + BLOCK_BYTES)
-        if not found:
-            break
-        parts.append(text[begin : found.start()])
-        begin = found.end()
-    return [*parts, text[begin:]]
-
-
-def tokens(texts: list[str], a: Side, b: Side) -> list[tuple[list[int], list[int]] | None]:
-    """The ids of both sides for each text; None where one of them does not spell the text."""
-    cuts = [parts_of(t) for t in texts]
-    flat = [p for c in cuts for p in c]
-    x, y = a.encode(flat), b.encode(flat)
-    out, at = [], 0
-    for text, c in zip(texts, cuts, strict=True):
-        n = len(c)
-        ids_a = x[at] if n == 1 else [i for p in x[at : at + n] for i in p]
-        ids_b = y[at] if n == 1 else [i for p in y[at : at + n] for i in p]
-        at += n
-        want = (" " + text).encode()
-        same = b"".join([a.token_bytes[i] for i in ids_a]) == want == b"".join([b.token_bytes[i] for i in ids_b])
-        out.append((ids_a, ids_b) if same and text else None)
-    return out
-
-
 class Windows:
     """Distinct windows in flat arrays: ids of both sides and their numbers per window."""
 
@@ -195,26 +163,107 @@ class Windows:
         return [";".join(text[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
 
 
-def windows_of(found: list, a: Side, b: Side):
-    """Windows of a block: ``(ids a, start a, end a, ids b, start b, end b, windows per text)``."""
-    n_a = np.array([len(t[0]) if t else 0 for t in found], "i8")
-    n_b = np.array([len(t[1]) if t else 0 for t in found], "i8")
-    ids_a = np.array([i for t in found if t for i in t[0]], "i8")
-    ids_b = np.array([i for t in found if t for i in t[1]], "i8")
-    end_a, end_b = np.cumsum(a.length[ids_a]), np.cumsum(b.length[ids_b])
-    marks = np.zeros((int(end_a[-1]) if len(end_a) else 0) + 1, "i1")
-    marks[end_a] |= 1
-    marks[end_b] |= 2
-    # The token after an end must begin with a space on both sides; a text's end is an end as well.
-    next_a, next_b = np.append(a.spaced[ids_a][1:], True), np.append(b.spaced[ids_b][1:], True)
-    at_a = np.flatnonzero((marks[end_a] == 3) & next_a)
-    at_b = np.flatnonzero((marks[end_b] == 3) & next_b)
-    # A shared end is an anchor if it qualifies on both sides.
-    _, i, j = np.intersect1d(end_a[at_a], end_b[at_b], assume_unique=True, return_indices=True)
-    stop_a, stop_b = at_a[i] + 1, at_b[j] + 1
-    start_a, start_b = np.append(0, stop_a)[:-1], np.append(0, stop_b)[:-1]
-    per_text = np.diff(np.searchsorted(start_a, np.append(0, np.cumsum(n_a))))
-    return ids_a, start_a, stop_a, ids_b, start_b, stop_b, per_text, n_a, n_b
+# U+180E counts as a space in some versions of Unicode.
+CUT = re.compile("(?<=[^\\s\u180e]) (?=[^\\s\u180e])")
+
+
+def spells(ids: list[list[int]], texts: list[str], of: Side) -> np.ndarray:
+    """Whether the tokens of each text are its bytes with a space before them."""
+    flat = b"".join([of.token_bytes[i] for x in ids for i in x])
+    if flat == "".join([" " + t for t in texts]).encode():
+        return np.ones(len(texts), bool)
+    pairs = zip(ids, texts, strict=True)
+    return np.array([b"".join([of.token_bytes[i] for i in x]) == (" " + t).encode() for x, t in pairs], bool)
+
+
+class Tokens:
+    """Token ids of texts laid out one after the other."""
+
+    def __init__(self):
+        self.ids, self.n = array("I"), array("I")
+
+    def add(self, found: list[list[int]]) -> None:
+        self.n.extend(map(len, found))
+        for ids in found:
+            self.ids.extend(ids)
+
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(self.ids, "i8"), np.array(self.n, "i8")
+
+
+class Segments:
+    """A chunk's distinct segments with their tokens on both sides, numbered in order of appearance."""
+
+    def __init__(self, a: Side, b: Side):
+        self.a, self.b = a, b
+        self.number: dict[str, int] = {}
+        self.tokens_a, self.tokens_b, self.spelled = Tokens(), Tokens(), bytearray()
+
+    def add(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(segment numbers, segments per text)``; a text that is not spelled back has none."""
+        cuts = [CUT.split(t) if t else [] for t in texts]
+        new = [s for s in dict.fromkeys(itertools.chain.from_iterable(cuts)) if s not in self.number]
+        begin, size = 0, 0
+        for i, s in enumerate(new, 1):
+            size += len(s)
+            if size >= PART_BYTES or i == len(new):
+                self._tokenize(new[begin:i])
+                begin, size = i, 0
+        n = np.array([len(c) for c in cuts], "i8")
+        flat = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(cuts)), "i8", int(n.sum()))
+        lost = np.append(0, np.cumsum(np.frombuffer(bytes(self.spelled), "u1")[flat] == 0))
+        ends = np.cumsum(n)
+        whole = lost[ends] == lost[ends - n]
+        return flat[np.repeat(whole, n)], np.where(whole, n, 0)
+
+    def _tokenize(self, new: list[str]) -> None:
+        x, y = self.a.encode(new), self.b.encode(new)
+        self.tokens_a.add(x)
+        self.tokens_b.add(y)
+        self.spelled += (spells(x, new, self.a) & spells(y, new, self.b)).astype("u1").tobytes()
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+
+    def windows(self) -> tuple[Windows, np.ndarray, np.ndarray]:
+        """``(distinct windows, window numbers, windows per segment)``; segments not spelled have none."""
+        a, b = self.a, self.b
+        ok = np.frombuffer(bytes(self.spelled), "u1") == 1
+        (ids_a, n_a), (ids_b, n_b) = self.tokens_a.flat(), self.tokens_b.flat()
+        ids_a, ids_b = ids_a[np.repeat(ok, n_a)], ids_b[np.repeat(ok, n_b)]
+        n_a = np.where(ok, n_a, 0)
+        end_a, end_b = np.cumsum(a.length[ids_a]), np.cumsum(b.length[ids_b])
+        # A shared end is an anchor if both sides go on with a space; every segment begins with one.
+        at_a = np.flatnonzero(np.append(a.spaced[ids_a], True)[1:])
+        at_b = np.flatnonzero(np.append(b.spaced[ids_b], True)[1:])
+        _, i, j = np.intersect1d(end_a[at_a], end_b[at_b], assume_unique=True, return_indices=True)
+        stop_a, stop_b = at_a[i] + 1, at_b[j] + 1
+        start_a, start_b = np.append(0, stop_a)[:-1], np.append(0, stop_b)[:-1]
+        per_segment = np.diff(np.searchsorted(start_a, np.append(0, np.cumsum(n_a))))
+        first, of = distinct(ids_a, start_a, stop_a, ids_b, start_b, stop_b)
+        x, y = flat_ranges(start_a[first], stop_a[first]), flat_ranges(start_b[first], stop_b[first])
+        found = Windows(ids_a[x], (stop_a - start_a)[first], ids_b[y], (stop_b - start_b)[first])
+        return found, of, per_segment
+
+
+def distinct(ids_a, start_a, stop_a, ids_b, start_b, stop_b) -> tuple[np.ndarray, np.ndarray]:
+    """``(a position of each distinct pair of id tuples, its number for every window)``.
+
+    Hashes bring equal windows together, and the id tuples decide.
+    """
+    ha = range_hash(prefix_hash(id_values(ids_a), IDS), start_a, stop_a, IDS)
+    hb = range_hash(prefix_hash(id_values(ids_b), IDS), start_b, stop_b, IDS)
+    _, first, of = np.unique(ha * np.uint64(31) + hb, return_index=True, return_inverse=True)
+    like = first[of]
+    same = all(
+        np.array_equal(stop - start, (stop - start)[like])
+        and np.array_equal(ids[flat_ranges(start, stop)], ids[flat_ranges(start[like], stop[like])])
+        for ids, start, stop in ((ids_a, start_a, stop_a), (ids_b, start_b, stop_b))
+    )
+    if same:
+        return first, of
+    seen: dict[tuple[bytes, bytes], int] = {}
+    spans = zip(start_a.tolist(), stop_a.tolist(), start_b.tolist(), stop_b.tolist(), strict=True)
+    of = np.array([seen.setdefault((ids_a[i:j].tobytes(), ids_b[k:m].tobytes()), len(seen)) for i, j, k, m in spans])
+    return np.unique(of, return_index=True)[1], of
 
 
 def flat_ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -223,44 +272,11 @@ def flat_ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.arange(int(n.sum())) + np.repeat(start - np.append(0, np.cumsum(n))[:-1], n)
 
 
-class Memo:
-    """A chunk's distinct windows, numbered by their id tuples in order of appearance."""
-
-    def __init__(self):
-        self.number: dict[tuple[bytes, bytes], int] = {}
-        self.uses = np.zeros(0, "i8")
-
-    def add(self, ids_a, start_a, end_a, ids_b, start_b, end_b) -> np.ndarray:
-        """The numbers of a block's windows; hashes group equal ones, id tuples decide."""
-        ha = range_hash(prefix_hash(id_values(ids_a), IDS), start_a, end_a, IDS)
-        hb = range_hash(prefix_hash(id_values(ids_b), IDS), start_b, end_b, IDS)
-        _, first, of = np.unique(ha * np.uint64(31) + hb, return_index=True, return_inverse=True)
-        like = first[of]
-        same = (
-            np.array_equal(end_a - start_a, (end_a - start_a)[like])
-            and np.array_equal(end_b - start_b, (end_b - start_b)[like])
-            and np.array_equal(ids_a[flat_ranges(start_a, end_a)], ids_a[flat_ranges(start_a[like], end_a[like])])
-            and np.array_equal(ids_b[flat_ranges(start_b, end_b)], ids_b[flat_ranges(start_b[like], end_b[like])])
-        )
-        if not same:  # two different windows with one hash: every window speaks for itself
-            first = of = np.arange(len(start_a))
-        x, y = ids_a.astype("u4"), ids_b.astype("u4")
-        spans = zip(start_a[first].tolist(), end_a[first].tolist(), start_b[first].tolist(), end_b[first].tolist(), strict=True)
-        numbers = np.array(
-            [self.number.setdefault((x[i:j].tobytes(), y[k:m].tobytes()), len(self.number)) for i, j, k, m in spans], "i8"
-        )
-        new = len(self.number) - len(self.uses)
-        self.uses = np.append(self.uses, np.zeros(new, "i8"))
-        np.add.at(self.uses, numbers, np.bincount(of, minlength=len(first)))
-        return numbers[of]
-
-    def windows(self) -> Windows:
-        keys = list(self.number)
-        ids_a = np.frombuffer(b"".join(k[0] for k in keys), "u4").astype("i8")
-        ids_b = np.frombuffer(b"".join(k[1] for k in keys), "u4").astype("i8")
-        n_a = np.array([len(k[0]) // 4 for k in keys], "i8")
-        n_b = np.array([len(k[1]) // 4 for k in keys], "i8")
-        return Windows(ids_a, n_a, ids_b, n_b)
+def sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``n`` values."""
+    total = np.append(0, np.cumsum(values))
+    ends = np.cumsum(n)
+    return total[ends] - total[ends - n]
 
 
 CHUNKS = pa.schema(
@@ -301,77 +317,79 @@ def _unpack(data: bytes, kind: str = "u4") -> np.ndarray:
 
 
 def _chunks(path_a: str, path_b: str, chunk_bytes: int):
-    """Rows of documents as window numbers, and at each chunk's end a row with its windows and pair counts."""
+    """Rows of documents as segment numbers, and at each chunk's end a row with its windows and pair counts."""
 
     def run(batches):
         a, b = side(path_a), side(path_b)
-        chunk, memo, held = TaskContext.get().partitionId() << 32, Memo(), 0
+        chunk, segments, uses, held = TaskContext.get().partitionId() << 32, Segments(a, b), [], 0
 
         def closing() -> pa.RecordBatch:
-            w = memo.windows()
+            w, numbers, per_segment = segments.windows()
+            times = np.bincount(np.concatenate(uses), minlength=len(per_segment))
+            times = np.bincount(numbers, np.repeat(times, per_segment), len(w.n_a)).astype("i8")
             x, y, links, _, _, _ = w.align(a, b)
             pair, at = np.unique(x << 32 | y, return_inverse=True)
-            n = np.bincount(at, np.repeat(memo.uses, links), len(pair)).astype("i8")
-            sizes = json.dumps([len(w.n_a), len(w.ids_a), len(w.ids_b)]).encode()
-            ids = _pack(np.concatenate([w.n_a, w.n_b, w.ids_a, w.ids_b]))
-            return pa.record_batch([[chunk], [sizes], [None], [ids], [pair], [n]], schema=CHUNKS)
+            n = np.bincount(at, np.repeat(times, links), len(pair)).astype("i8")
+            parts = [per_segment, numbers, w.n_a, w.n_b, w.ids_a, w.ids_b]
+            sizes = json.dumps([len(p) for p in parts]).encode()
+            packed = _pack(np.concatenate(parts))
+            return pa.record_batch([[chunk], [sizes], [None], [packed], [pair[n > 0]], [n[n > 0]]], schema=CHUNKS)
 
         for batch in batches:
             doc, column = batch.column(0), batch.column(1)
             for row, stop in blocks(column):
                 texts = [t or "" for t in column.slice(row, stop - row).to_pylist()]
-                found = tokens(texts, a, b)
-                ids_a, sa, ea, ids_b, sb, eb, per_text, n_a, n_b = windows_of(found, a, b)
-                numbers = memo.add(ids_a, sa, ea, ids_b, sb, eb)
-                own = json.dumps(
-                    [doc.slice(row, stop - row).to_pylist(), n_a.tolist(), n_b.tolist(), per_text.tolist()]
-                ).encode()
+                numbers, n = segments.add(texts)
+                uses.append(numbers.astype("u4"))
+                own = json.dumps([doc.slice(row, stop - row).to_pylist(), n.tolist()]).encode()
                 yield pa.record_batch([[chunk], [own], [_pack(numbers)], [None], [None], [None]], schema=CHUNKS)
                 held += sum(map(len, texts))
                 if held >= chunk_bytes:
-                    if memo.number:
-                        yield closing()
-                    chunk, memo, held = chunk + 1, Memo(), 0
-        if memo.number:
+                    yield closing()
+                    chunk, segments, uses, held = chunk + 1, Segments(a, b), [], 0
+        if uses:
             yield closing()
 
     return run
 
 
 def _documents(path_a: str, path_b: str):
-    """Documents of a chunk from its window numbers and the corpus counts of its pairs."""
+    """Documents of a chunk from its segment numbers and the corpus counts of its pairs."""
 
     def run(key, counts: pa.Table, rows: pa.Table) -> pa.Table:
         a, b = side(path_a), side(path_b)
         kept = rows.to_pylist()
-        closing = next((r for r in kept if r["ids"] is not None), None)
-        score = best = groups = links = np.zeros(0, "i8")
-        strings: list[str] = []
-        if closing:
-            n, na, _ = json.loads(closing["docs"])
-            n_a, n_b, ids_a, ids_b = np.split(_unpack(closing["ids"]), np.cumsum([n, n, na]))
-            w = Windows(ids_a, n_a, ids_b, n_b)
-            x, y, links, groups, _, _ = w.align(a, b)
-            order = np.argsort(pair := counts.column("pair").to_numpy())
-            at = order[np.searchsorted(pair, x << 32 | y, sorter=order)]
-            of = np.repeat(np.arange(n), links)
-            score = np.zeros(n, "i8")
-            best = np.zeros(n, "i8")
-            np.add.at(score, of, counts.column("total").to_numpy()[at])
-            np.add.at(best, of, counts.column("is_best").to_numpy(zero_copy_only=False)[at].astype("i8"))
-            strings = w.strings(a, b)
+        closing = next(r for r in kept if r["ids"] is not None)
+        sizes = json.loads(closing["docs"])
+        per_segment, numbers, n_a, n_b, ids_a, ids_b = np.split(_unpack(closing["ids"]), np.cumsum(sizes)[:-1])
+        w = Windows(ids_a, n_a, ids_b, n_b)
+        x, y, links, groups, _, _ = w.align(a, b)
+        pair = counts.column("pair").to_numpy()
+        order = np.argsort(pair)
+        at = np.searchsorted(pair, x << 32 | y, sorter=order)
+        # Windows of texts that were left out may hold pairs that count nowhere.
+        at = np.append(order, len(pair))[at]
+        total = np.append(counts.column("total").to_numpy(), 0)[at]
+        best = np.append(counts.column("is_best").to_numpy(), False)[at].astype("i8")
+        of_window = [n_a, n_b, groups, links, sums(best, links), sums(total, links)]
+        of_segment = [sums(v[numbers], per_segment) for v in of_window]
+        strings = w.strings(a, b)
+        cuts = np.append(0, np.cumsum(per_segment)).tolist()
+        numbers = numbers.tolist()
+        strings = [";".join([strings[j] for j in numbers[i:k]]) for i, k in zip(cuts[:-1], cuts[1:], strict=True)]
         out = []
         for r in kept:
             if r["windows"] is None:
                 continue
-            ids, n_a, n_b, per_text = json.loads(r["docs"])
-            numbers = _unpack(r["windows"])
-            cuts = np.append(0, np.cumsum(per_text))
-            sums = [np.append(0, np.cumsum(v[numbers])) for v in (groups, links, best, score)] if len(numbers) else []
-            sums = [s[cuts[1:]] - s[cuts[:-1]] for s in sums] or [np.zeros(len(ids), "i8")] * 4
-            texts = [";".join([strings[j] for j in numbers[i:k].tolist()]) for i, k in zip(cuts[:-1], cuts[1:], strict=True)]
-            out.append(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip([ids, n_a, n_b, *sums, texts], ALIGNED, strict=True)], schema=ALIGNED))
-        return pa.concat_tables(out) if out else ALIGNED.empty_table()
+            ids, n = json.loads(r["docs"])
+            n = np.array(n, "i8")
+            own = _unpack(r["windows"])
+            found = [sums(v[own], n) for v in of_segment]
+            own, ends = own.tolist(), np.cumsum(n).tolist()
+            text = [";".join([strings[j] for j in own[e - k : e]]) for e, k in zip(ends, n.tolist(), strict=True)]
+            columns = [pa.array(c, f.type) for c, f in zip([ids, *found, text], ALIGNED, strict=True)]
+            out.append(pa.Table.from_arrays(columns, schema=ALIGNED))
+        return pa.concat_tables(out)
 
     return run
 

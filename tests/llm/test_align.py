@@ -6,6 +6,7 @@ import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from linkrank.llm import align as A
@@ -113,51 +114,56 @@ def test_alignment_is_brute_force(spark, make_docs, chunk_bytes):
 
 def test_windows_begin_at_anchors():
     a, b = A.side(BYTES), A.side(PIECES)
-    text = "Unbelievable tokenizations of   strange words,don't they split"
-    found = A.tokens([text], a, b)
-    ids_a, sa, ea, ids_b, sb, eb, per_text, _, _ = A.windows_of(found, a, b)
-    assert per_text.tolist() == [len(sa)] and len(sa) > 4
-    for i in range(len(sa)):
-        spelled = b"".join(a.token_bytes[j] for j in ids_a[sa[i] : ea[i]])
-        assert spelled == b"".join(b.token_bytes[j] for j in ids_b[sb[i] : eb[i]])
-        assert spelled[:1] == b" "
-    # A window met again is not aligned again.
-    memo = A.Memo()
-    first = memo.add(ids_a, sa, ea, ids_b, sb, eb)
-    again = memo.add(ids_a, sa, ea, ids_b, sb, eb)
-    assert first.tolist() == again.tolist() and len(memo.number) == len(set(first.tolist()))
-    assert memo.uses.sum() == 2 * len(sa)
+    text = "Unbelievable tokenizations of   strange  words,don't  they split   of strange"
+    segments = A.Segments(a, b)
+    numbers, n = segments.add([text, text, "of", "U+2581 \u2581 here"])
+    w, of, per_segment = segments.windows()
+    assert n.tolist() == [5, 5, 1, 0]
+    spelled = []
+    at_a = at_b = 0
+    for x, y in zip(w.n_a.tolist(), w.n_b.tolist(), strict=True):
+        one = b"".join(a.token_bytes[j] for j in w.ids_a[at_a : at_a + x])
+        assert one == b"".join(b.token_bytes[j] for j in w.ids_b[at_b : at_b + y])
+        spelled.append(one.decode())
+        at_a, at_b = at_a + x, at_b + y
+    assert all(s[0] == " " for s in spelled) and len(set(spelled)) == len(spelled)
+    cuts = np.append(0, np.cumsum(per_segment))
+    whole = "".join(spelled[i] for s in numbers[:5] for i in of[cuts[s] : cuts[s + 1]])
+    assert whole == " " + text
+    # Anchors also lie inside a segment, where several spaces meet.
+    assert per_segment.max() > 1
 
 
 def test_windows_with_one_hash_are_told_apart(monkeypatch):
-    import numpy as np
-
     a, b = A.side(BYTES), A.side(PIECES)
-    args = A.windows_of(A.tokens(["several quite different words here and quite different"], a, b), a, b)[:6]
+    segments = A.Segments(a, b)
+    segments.add(["several quite different words here  and  quite  different"])
 
-    def classes(numbers):
-        return [numbers.tolist().index(n) for n in numbers]
+    def classes():
+        w, of, _ = segments.windows()
+        assert len(set(of.tolist())) == len(w.n_a)
+        return [of.tolist().index(n) for n in of]
 
-    want = classes(A.Memo().add(*args))
+    want = classes()
     monkeypatch.setattr(A, "range_hash", lambda p, s, e, powers: np.zeros(len(s), "u8"))
-    assert classes(A.Memo().add(*args)) == want and len(set(want)) == 6
+    assert classes() == want and len(set(want)) < len(want)
 
 
-def test_long_texts_are_cut_without_a_trace(monkeypatch):
+def test_segments_are_cut_without_a_trace():
     rng = random.Random(8)
-    text = prose(rng, 3000, 900) + "  two   three\n\nx " + "ñandú über 東京 " * 50
     a, b = A.side(BYTES), A.side(PIECES)
-    whole = A.tokens([text], a, b)
-    monkeypatch.setattr(A, "LONG", 300)
-    monkeypatch.setattr(A, "BLOCK_BYTES", 100)
-    assert len(A.parts_of(text)) > 50
-    assert A.tokens([text], a, b) == whole
-    assert A.parts_of("x" * 2000) == ["x" * 2000]
+    odd = ["\n", "\t", "\u00a0", "\u0085", "\u180e", "\u200b", "\x1c", "\u3000", "é", "東", "🙂", "\u0301"]
+    alphabet = [*"aB7,.'", " ", " ", " ", *odd]
+    for _ in range(3000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(1, 25)))
+        parts = A.CUT.split(text)
+        assert [i for p in a.encode(parts) for i in p] == a.encode([text])[0], text
+        assert [i for p in b.encode(parts) for i in p] == b.encode([text])[0], text
 
 
 def test_several_megabytes(spark, make_docs):
     text = prose(random.Random(3), 400_000, 5000)
-    assert len(text) > 2 * A.LONG
+    assert len(text) > 2_000_000
     row = A.align(make_docs([(1, text), (2, "short text")]), BYTES, PIECES).filter("doc_id = 1").first()
     x, y = ids_of(text)
     assert (row.n_a, row.n_b) == (len(x), len(y)) and row.n_groups == row.groups.count("|")
