@@ -45,10 +45,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import Scratch, cut, once_per_worker
+from linkrank.llm.common import Scratch, bounded_batches, once_per_worker
 from linkrank.llm.hashing import Powers, mixed, prefix_hash, range_hash
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BLOCK_BYTES, PART_BYTES = 1 << 19, 1 << 17
 IDS = Powers(0xC2B2AE3D27D4EB4F)
 
@@ -129,13 +129,14 @@ class Windows:
     def __init__(self, ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray):
         self.ids_a, self.n_a, self.ids_b, self.n_b = ids_a, n_a, ids_b, n_b
 
-    def align(self, a: Side, b: Side):
+    def align(self, length_a: np.ndarray, length_b: np.ndarray):
         """``(links a, links b, links per window, groups per window, group of each A and B token)``.
 
         All windows are laid out one after the other over their bytes. A stretch between
-        neighbouring ends lies in one token of each side: that pair is a link.
+        neighbouring ends lies in one token of each side: that pair is a link. ``length_a`` and
+        ``length_b`` are the bytes of each id's token.
         """
-        end_a, end_b = np.cumsum(a.length[self.ids_a]), np.cumsum(b.length[self.ids_b])
+        end_a, end_b = np.cumsum(length_a[self.ids_a]), np.cumsum(length_b[self.ids_b])
         size = int(end_a[-1]) if len(end_a) else 0
         marks = np.zeros(size + 1, "i1")
         marks[end_a] |= 1
@@ -150,9 +151,9 @@ class Windows:
         both = ends[shared]
         return self.ids_a[of_a], self.ids_b[of_b], links, groups, np.searchsorted(both, end_a), np.searchsorted(both, end_b)
 
-    def strings(self, a: Side, b: Side) -> list[str]:
+    def strings(self, length_a: np.ndarray, length_b: np.ndarray) -> list[str]:
         """The groups of each window: ``a1,a2|b1;a3|b2,b3``."""
-        _, _, _, groups, of_a, of_b = self.align(a, b)
+        _, _, _, groups, of_a, of_b = self.align(length_a, length_b)
         n = int(groups.sum())
         cut_a, cut_b = np.searchsorted(of_a, np.arange(n + 1)).tolist(), np.searchsorted(of_b, np.arange(n + 1)).tolist()
         x, y = list(map(str, self.ids_a.tolist())), list(map(str, self.ids_b.tolist()))
@@ -327,7 +328,7 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int):
             w, numbers, per_segment = segments.windows()
             times = np.bincount(np.concatenate(uses), minlength=len(per_segment))
             times = np.bincount(numbers, np.repeat(times, per_segment), len(w.n_a)).astype("i8")
-            x, y, links, _, _, _ = w.align(a, b)
+            x, y, links, _, _, _ = w.align(a.length, b.length)
             pair, at = np.unique(x << 32 | y, return_inverse=True)
             n = np.bincount(at, np.repeat(times, links), len(pair)).astype("i8")
             parts = [per_segment, numbers, w.n_a, w.n_b, w.ids_a, w.ids_b]
@@ -353,17 +354,16 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int):
     return run
 
 
-def _documents(path_a: str, path_b: str):
+def _documents(length_a: np.ndarray, length_b: np.ndarray):
     """Documents of a chunk from its segment numbers and the corpus counts of its pairs."""
 
     def run(key, counts: pa.Table, rows: pa.Table) -> pa.Table:
-        a, b = side(path_a), side(path_b)
         kept = rows.to_pylist()
         closing = next(r for r in kept if r["ids"] is not None)
         sizes = json.loads(closing["docs"])
         per_segment, numbers, n_a, n_b, ids_a, ids_b = np.split(_unpack(closing["ids"]), np.cumsum(sizes)[:-1])
         w = Windows(ids_a, n_a, ids_b, n_b)
-        x, y, links, groups, _, _ = w.align(a, b)
+        x, y, links, groups, _, _ = w.align(length_a, length_b)
         pair = counts.column("pair").to_numpy()
         order = np.argsort(pair)
         at = np.searchsorted(pair, x << 32 | y, sorter=order)
@@ -373,7 +373,7 @@ def _documents(path_a: str, path_b: str):
         best = np.append(counts.column("is_best").to_numpy(), False)[at].astype("i8")
         of_window = [n_a, n_b, groups, links, sums(best, links), sums(total, links)]
         of_segment = [sums(v[numbers], per_segment) for v in of_window]
-        strings = w.strings(a, b)
+        strings = w.strings(length_a, length_b)
         cuts = np.append(0, np.cumsum(per_segment)).tolist()
         numbers = numbers.tolist()
         strings = [";".join([strings[j] for j in numbers[i:k]]) for i, k in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -404,18 +404,23 @@ def pair_counts(want: DataFrame) -> DataFrame:
     return counts.withColumn("is_best", F.col("total") == F.max("total").over(of_b))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def align(
+    docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BYTES, scratch: Scratch | None = None
+) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)``, a row per document.
 
     ``path_a``: a byte-level tokenizer (``.json``); ``path_b``: a sentencepiece model.
-    ``groups`` is ``a1,a2|b1;a3|b2,b3``: decimal A and B ids between shared ends.
+    ``groups`` is ``a1,a2|b1;a3|b2,b3``: decimal A and B ids between shared ends. The result reads
+    tables in ``scratch``, which the caller may release once it is written.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunks = Scratch(docs.sparkSession).store(texts.mapInArrow(_chunks(path_a, path_b, chunk_bytes), CHUNKS_DDL))
+    scratch = scratch or Scratch(docs.sparkSession)
+    chunks = scratch.store(texts.mapInArrow(_chunks(path_a, path_b, chunk_bytes), CHUNKS_DDL))
     want = chunks.filter("pair is not null").select("chunk", F.inline(F.arrays_zip("pair", "n")))
-    counts = cut(pair_counts(want))
+    counts = scratch.store(pair_counts(want))
     back = want.drop("n").join(counts, "pair").withColumnRenamed("chunk", "of")
     rows = chunks.select("chunk", "docs", "windows", "ids")
     return back.groupBy("of").cogroup(rows.groupBy("chunk")).applyInArrow(
-        _documents(path_a, path_b), ALIGNED_DDL
+        _documents(side(path_a).length, side(path_b).length), ALIGNED_DDL
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from linkrank.session import Scratch, ensure_checkpoint_dir
 
-__all__ = ["Scratch", "components", "cut", "fresh", "null_safe_key", "once_per_worker", "table", "width"]
+__all__ = ["Scratch", "bounded_batches", "components", "cut", "fresh", "null_safe_key", "once_per_worker", "table", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,18 @@ def once_per_worker(key: str, make: Callable[[], object], most: int = 2) -> obje
     return found
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, size: int = 2 << 20) -> None:
+    """Bound the bytes of a batch that goes to a Python worker, unless the session has a bound of its own.
+
+    Spark counts rows only by default, so 10,000 long texts make one batch, held by the JVM and by Python.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(size))
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

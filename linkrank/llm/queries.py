@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import table
+from linkrank.llm.common import Scratch, cut, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -90,11 +90,13 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.align import align
 
-    found = align(
-        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
-    )
+    scratch = Scratch(spark)
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    found = align(table(spark, sf_dir, "documents"), *paths, scratch=scratch)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
-    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+    result = cut(found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest))
+    scratch.release()
+    return result
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
