@@ -16,8 +16,8 @@ expression of A starts anew there, and no piece of B goes on after a letter with
 text is tokenized in full segment by segment between such places, each with its space before
 it, and a segment met again is not tokenized again. Windows are then cut inside the segments.
 
-A chunk of documents (about ``chunk_bytes`` of text) keeps each distinct segment and window once,
-aligns a window once, and writes its documents as segment numbers. A pair of ids is counted over the
+A chunk of documents (about ``chunk_bytes`` of text) keeps each distinct segment and window once, aligns
+a window once, and writes its documents as segment numbers. A pair of ids is counted over the
 corpus from the chunks' pair counts; the counts go back to the chunks that hold the pair, are
 summed per distinct window and from there per document. A chunk is bounded in bytes and has
 its number written beside its rows, so nothing depends on how often a task is run.
@@ -49,6 +49,7 @@ from linkrank.llm.common import Scratch, bounded_batches, once_per_worker
 from linkrank.llm.hashing import Powers, mixed, prefix_hash, range_hash
 
 CHUNK_BYTES = 4 << 20
+MOST_SEGMENTS = 300_000  # a task forgets its segments beyond, at a chunk's end
 BLOCK_BYTES, PART_BYTES = 1 << 19, 1 << 17
 IDS = Powers(0xC2B2AE3D27D4EB4F)
 
@@ -152,16 +153,37 @@ class Windows:
         return self.ids_a[of_a], self.ids_b[of_b], links, groups, np.searchsorted(both, end_a), np.searchsorted(both, end_b)
 
     def strings(self, length_a: np.ndarray, length_b: np.ndarray) -> list[str]:
-        """The groups of each window: ``a1,a2|b1;a3|b2,b3``."""
+        """The groups of each window: ``a1,a2|b1;a3|b2,b3``.
+
+        Every token becomes its decimal digits and the sign after it, in the order of the groups.
+        """
         _, _, _, groups, of_a, of_b = self.align(length_a, length_b)
         n = int(groups.sum())
-        cut_a, cut_b = np.searchsorted(of_a, np.arange(n + 1)).tolist(), np.searchsorted(of_b, np.arange(n + 1)).tolist()
-        x, y = list(map(str, self.ids_a.tolist())), list(map(str, self.ids_b.tolist()))
-        text = [
-            ",".join(x[cut_a[i] : cut_a[i + 1]]) + "|" + ",".join(y[cut_b[i] : cut_b[i + 1]]) for i in range(n)
-        ]
-        at = np.append(0, np.cumsum(groups)).tolist()
-        return [";".join(text[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
+        upto_a, upto_b = np.cumsum(np.bincount(of_a, minlength=n)), np.cumsum(np.bincount(of_b, minlength=n))
+        ids = np.empty(len(of_a) + len(of_b), "i8")
+        ids[np.arange(len(of_a)) + np.append(0, upto_b)[of_a]] = self.ids_a
+        ids[np.arange(len(of_b)) + upto_a[of_b]] = self.ids_b
+        after = np.full(len(ids), ord(","), "u1")
+        after[upto_a + np.append(0, upto_b)[:-1] - 1] = ord("|")
+        after[upto_a + upto_b - 1] = ord(";")
+        signs, digits = decimal(int(ids.max(initial=0)) + 1)
+        rows, digits = signs[ids], digits[ids]
+        rows[np.arange(len(ids)), digits] = after
+        text = rows[np.arange(rows.shape[1]) <= digits[:, None]].tobytes().decode()
+        ends = np.append(0, np.cumsum(digits + 1))[np.append(0, np.cumsum(self.n_a + self.n_b))].tolist()
+        return [text[i : j - 1] for i, j in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def decimal(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(digits, a column left over; how many digits)`` of the numbers below ``n``."""
+    number, wide = np.arange(n), len(str(n))
+    count = 1 + sum((number >= 10**k).astype("i8") for k in range(1, wide + 1))
+    signs = np.zeros((n, wide + 1), "u1")
+    for k in range(wide):
+        at = count - 1 - k
+        some = np.flatnonzero(at >= 0)
+        signs[some, at[some]] = ord("0") + number[some] // 10**k % 10
+    return signs, count
 
 
 # U+180E counts as a space in some versions of Unicode.
@@ -188,12 +210,16 @@ class Tokens:
         for ids in found:
             self.ids.extend(ids)
 
-    def flat(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.array(self.ids, "i8"), np.array(self.n, "i8")
+    def take(self, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, tokens per text)`` of some texts."""
+        n = np.array(self.n, "i8")
+        ends = np.cumsum(n)[texts]
+        ids = np.array(self.ids, "u4")[flat_ranges(ends - n[texts], ends)]
+        return ids.astype("i8"), n[texts]
 
 
 class Segments:
-    """A chunk's distinct segments with their tokens on both sides, numbered in order of appearance."""
+    """A task's distinct segments with their tokens on both sides, numbered in order of appearance."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
@@ -224,13 +250,10 @@ class Segments:
         self.spelled += (spells(x, new, self.a) & spells(y, new, self.b)).astype("u1").tobytes()
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
 
-    def windows(self) -> tuple[Windows, np.ndarray, np.ndarray]:
-        """``(distinct windows, window numbers, windows per segment)``; segments not spelled have none."""
+    def windows(self, known: np.ndarray) -> tuple[Windows, np.ndarray, np.ndarray]:
+        """``(distinct windows, window numbers, windows per segment)`` of the segments ``known``, all spelled."""
         a, b = self.a, self.b
-        ok = np.frombuffer(bytes(self.spelled), "u1") == 1
-        (ids_a, n_a), (ids_b, n_b) = self.tokens_a.flat(), self.tokens_b.flat()
-        ids_a, ids_b = ids_a[np.repeat(ok, n_a)], ids_b[np.repeat(ok, n_b)]
-        n_a = np.where(ok, n_a, 0)
+        (ids_a, n_a), (ids_b, n_b) = self.tokens_a.take(known), self.tokens_b.take(known)
         end_a, end_b = np.cumsum(a.length[ids_a]), np.cumsum(b.length[ids_b])
         # A shared end is an anchor if both sides go on with a space; every segment begins with one.
         at_a = np.flatnonzero(np.append(a.spaced[ids_a], True)[1:])
@@ -325,16 +348,15 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int):
         chunk, segments, uses, held = TaskContext.get().partitionId() << 32, Segments(a, b), [], 0
 
         def closing() -> pa.RecordBatch:
-            w, numbers, per_segment = segments.windows()
-            times = np.bincount(np.concatenate(uses), minlength=len(per_segment))
+            known, times = np.unique(np.concatenate(uses), return_counts=True)
+            w, numbers, per_segment = segments.windows(known.astype("i8"))
             times = np.bincount(numbers, np.repeat(times, per_segment), len(w.n_a)).astype("i8")
             x, y, links, _, _, _ = w.align(a.length, b.length)
             pair, at = np.unique(x << 32 | y, return_inverse=True)
             n = np.bincount(at, np.repeat(times, links), len(pair)).astype("i8")
-            parts = [per_segment, numbers, w.n_a, w.n_b, w.ids_a, w.ids_b]
+            parts = [known, per_segment, numbers, w.n_a, w.n_b, w.ids_a, w.ids_b]
             sizes = json.dumps([len(p) for p in parts]).encode()
-            packed = _pack(np.concatenate(parts))
-            return pa.record_batch([[chunk], [sizes], [None], [packed], [pair[n > 0]], [n[n > 0]]], schema=CHUNKS)
+            return pa.record_batch([[chunk], [sizes], [None], [_pack(np.concatenate(parts))], [pair], [n]], schema=CHUNKS)
 
         for batch in batches:
             doc, column = batch.column(0), batch.column(1)
@@ -347,7 +369,9 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int):
                 held += sum(map(len, texts))
                 if held >= chunk_bytes:
                     yield closing()
-                    chunk, segments, uses, held = chunk + 1, Segments(a, b), [], 0
+                    chunk, uses, held = chunk + 1, [], 0
+                    if len(segments.number) > MOST_SEGMENTS:
+                        segments = Segments(a, b)
         if uses:
             yield closing()
 
@@ -361,29 +385,32 @@ def _documents(length_a: np.ndarray, length_b: np.ndarray):
         kept = rows.to_pylist()
         closing = next(r for r in kept if r["ids"] is not None)
         sizes = json.loads(closing["docs"])
-        per_segment, numbers, n_a, n_b, ids_a, ids_b = np.split(_unpack(closing["ids"]), np.cumsum(sizes)[:-1])
+        known, per_segment, numbers, n_a, n_b, ids_a, ids_b = np.split(_unpack(closing["ids"]), np.cumsum(sizes)[:-1])
+        place = np.zeros(int(known.max(initial=-1)) + 1, "i8")
+        place[known] = np.arange(len(known))
         w = Windows(ids_a, n_a, ids_b, n_b)
         x, y, links, groups, _, _ = w.align(length_a, length_b)
         pair = counts.column("pair").to_numpy()
         order = np.argsort(pair)
         at = np.searchsorted(pair, x << 32 | y, sorter=order)
-        # Windows of texts that were left out may hold pairs that count nowhere.
-        at = np.append(order, len(pair))[at]
-        total = np.append(counts.column("total").to_numpy(), 0)[at]
-        best = np.append(counts.column("is_best").to_numpy(), False)[at].astype("i8")
+        at = order[at] if len(order) else at
+        total = counts.column("total").to_numpy()[at]
+        best = counts.column("is_best").to_numpy()[at].astype("i8")
         of_window = [n_a, n_b, groups, links, sums(best, links), sums(total, links)]
         of_segment = [sums(v[numbers], per_segment) for v in of_window]
         strings = w.strings(length_a, length_b)
-        cuts = np.append(0, np.cumsum(per_segment)).tolist()
-        numbers = numbers.tolist()
-        strings = [";".join([strings[j] for j in numbers[i:k]]) for i, k in zip(cuts[:-1], cuts[1:], strict=True)]
+        cuts, numbers = np.append(0, np.cumsum(per_segment)).tolist(), numbers.tolist()
+        strings = [
+            strings[numbers[i]] if k == i + 1 else ";".join([strings[j] for j in numbers[i:k]])
+            for i, k in zip(cuts[:-1], cuts[1:], strict=True)
+        ]
         out = []
         for r in kept:
             if r["windows"] is None:
                 continue
             ids, n = json.loads(r["docs"])
             n = np.array(n, "i8")
-            own = _unpack(r["windows"])
+            own = place[_unpack(r["windows"])]
             found = [sums(v[own], n) for v in of_segment]
             own, ends = own.tolist(), np.cumsum(n).tolist()
             text = [";".join([strings[j] for j in own[e - k : e]]) for e, k in zip(ends, n.tolist(), strict=True)]

@@ -99,6 +99,12 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.language import identify
+
+    return identify(table(spark, sf_dir, "documents"), max_docs=500, max_windows=4)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_language_id": op12_language_id,
     "pipeline": pipeline,
 }
 
