@@ -105,6 +105,13 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), max_docs=500, max_windows=4)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkrank.llm.spelling import spelling_groups
+
+    found = spelling_groups(table(spark, sf_dir, "documents"), drop_every=97, min_length=5, min_count=3)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -124,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_language_id": op12_language_id,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": pipeline,
 }
 
