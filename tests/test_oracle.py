@@ -37,7 +37,7 @@ def test_queries_keep_no_state(spark, tmp_path):
     import shutil
 
     for name in ("part", "lineitem"):
-        shutil.copy(f"{SF}/{name}.parquet", tmp_path)
+        shutil.copyfile(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
     first = catalog.q_graph_summary(spark, str(tmp_path)).collect()
     half = spark.read.parquet(f"{SF}/lineitem.parquet").filter("l_orderkey % 2 = 0").toPandas()
     half.to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
