@@ -4,7 +4,7 @@ A tokenizer that splits texts into words before its merges gives a word the same
 wherever it stands. So texts are split into words, every distinct word is encoded once,
 and ids and pieces are joined back to the words' positions:
 
-1. each input partition (a chunk) lists its distinct words;
+1. each chunk (``CHUNK_BYTES`` of an input partition's texts) lists its distinct words;
 2. the lists are shuffled by word and every word is encoded with the tokenizer, once;
 3. ids go back to the chunks that asked for them and meet the chunk's texts, which are
    split again; ids and, through the vocabulary's id-to-piece table, pieces are placed
@@ -40,10 +40,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import width
+from linkrank.llm.common import bounded_batches, once_per_worker, width
 from linkrank.llm.hashing import Powers, prefix_hash, range_hash, text_blocks
 
 SPACE, LETTER, NUMBER, OTHER, SLOW = range(5)
+CHUNK_BYTES = 12 << 20
 PLANES = 0x30000  # code points beyond are left to the tokenizer
 SHORT, LONG = [ord(c) for c in "stmd"], [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
 
@@ -133,8 +134,8 @@ class Splitter:
         ``strings(i)`` gives the text of the words at the positions ``i``.
         """
         block = data.tobytes().decode()
-        points = self.lower[np.frombuffer(block.encode("utf-32-le"), "u4")]
-        kind = self.kind[np.frombuffer(block.encode("utf-32-le"), "u4")]
+        given = np.frombuffer(block.encode("utf-32-le"), "u4")
+        points, kind = self.lower[given], self.kind[given]
         begins = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
         slow = self._slow(block, kind, begins)
         n = len(points)
@@ -202,9 +203,18 @@ class Splitter:
         return slow
 
 
-WORD = pa.schema([("chunk", pa.int32()), ("word", pa.string())])
-TEXTS = pa.schema([("chunk", pa.int32()), ("ids", pa.binary()), ("offsets", pa.binary()), ("texts", pa.binary())])
-IDS = pa.schema([("chunk", pa.int32()), ("hash", pa.binary()), ("count", pa.binary()), ("ids", pa.binary())])
+WORD = pa.schema([("chunk", pa.int64()), ("word", pa.string())])
+TEXTS = pa.schema([("chunk", pa.int64()), ("ids", pa.binary()), ("offsets", pa.binary()), ("texts", pa.binary())])
+IDS = pa.schema([("chunk", pa.int64()), ("hash", pa.binary()), ("count", pa.binary()), ("ids", pa.binary())])
+
+
+def chunk_blocks(batches, size: int = CHUNK_BYTES):
+    """``(chunk, ids, bytes, offsets)`` of the blocks of a task; a chunk is ``size`` bytes of a partition's texts."""
+    first, done = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        for row, data, offsets in text_blocks(batch.column(1)):
+            yield first + done // size, batch.column(0).slice(row, len(offsets) - 1), data, offsets
+            done += len(data)
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -213,6 +223,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
+    bounded_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         source = f.read()
     check_supported(json.loads(source))
@@ -223,23 +234,31 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
+    name = hashlib.sha256(source.encode()).hexdigest()
+
     def splitter() -> Splitter:
+        return once_per_worker(name, build)
+
+    def build() -> Splitter:
         source, packed, changed, to = shared.value
         low = np.arange(0x110000, dtype="u4")
         low[changed] = to
         return Splitter(source, np.frombuffer(zstandard.decompress(packed), "u1"), low)
 
     def list_words(batches):
-        split, chunk, seen = splitter(), TaskContext.get().partitionId(), np.zeros(0, "u8")
-        for batch in batches:
-            for _, data, offsets in text_blocks(batch.column(1)):
-                hashes, _, strings = split.split(data, offsets)
-                new, at = np.unique(hashes, return_index=True)
-                fresh = ~np.isin(new, seen, assume_unique=True)
-                seen = np.union1d(seen, new[fresh])
-                words = strings(at[fresh])
-                if words:
-                    yield pa.record_batch([pa.array([chunk] * len(words), pa.int32()), pa.array(words)], schema=WORD)
+        split, last, seen = splitter(), None, np.zeros(0, "u8")
+        for chunk, _, data, offsets in chunk_blocks(batches):
+            if chunk != last:
+                last, seen = chunk, np.zeros(0, "u8")
+            hashes, _, strings = split.split(data, offsets)
+            new, at = np.unique(hashes, return_index=True)
+            place = np.searchsorted(seen, new)
+            fresh = np.append(seen, 0)[place] != new
+            fresh |= place == len(seen)
+            seen = np.insert(seen, place[fresh], new[fresh])
+            words = strings(at[fresh])
+            if words:
+                yield pa.record_batch([pa.array([chunk] * len(words), pa.int64()), pa.array(words)], schema=WORD)
 
     def encode_words(batches):
         split = splitter()
@@ -264,15 +283,11 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), IDS, strict=True)], schema=IDS)
 
     def pack_texts(batches):
-        chunk = TaskContext.get().partitionId()
-        for batch in batches:
-            ids = batch.column(0)
-            for row, data, offsets in text_blocks(batch.column(1)):
-                own = json.dumps(ids.slice(row, len(offsets) - 1).to_pylist()).encode()
-                yield pa.record_batch(
-                    [pa.array([chunk], pa.int32()), pa.array([own]), pa.array([offsets.tobytes()]),
-                     pa.array([zstandard.compress(data.tobytes(), 3)])], schema=TEXTS
-                )
+        for chunk, ids, data, offsets in chunk_blocks(batches):
+            yield pa.record_batch(
+                [pa.array([chunk], pa.int64()), pa.array([json.dumps(ids.to_pylist()).encode()]),
+                 pa.array([offsets.tobytes()]), pa.array([zstandard.compress(data.tobytes(), 3)])], schema=TEXTS
+            )
 
     def place(table: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
         split = splitter()
@@ -325,10 +340,10 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         return pd.DataFrame(out).astype({"doc_id": "Int64", "n_tokens": "i8"})
 
     n = width(spark)
-    words = texts.mapInArrow(list_words, "chunk int, word string")
+    words = texts.mapInArrow(list_words, "chunk long, word string")
     words = words.repartition(n, "word").sortWithinPartitions("word")
-    encoded = words.mapInArrow(encode_words, "chunk int, hash binary, count binary, ids binary")
-    packed = texts.mapInArrow(pack_texts, "chunk int, ids binary, offsets binary, texts binary")
+    encoded = words.mapInArrow(encode_words, "chunk long, hash binary, count binary, ids binary")
+    packed = texts.mapInArrow(pack_texts, "chunk long, ids binary, offsets binary, texts binary")
     return encoded.groupBy("chunk").cogroup(packed.groupBy("chunk")).applyInPandas(
         place, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

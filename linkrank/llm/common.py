@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from linkrank.session import Scratch, ensure_checkpoint_dir
 
-__all__ = ["Scratch", "bounded_batches", "components", "cut", "fresh", "null_safe_key", "once_per_worker", "table", "width"]
+__all__ = ["Scratch", "bounded_batches", "components", "cut", "fresh", "null_safe_key", "once_per_worker", "one_text_per_id", "table", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,20 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def one_text_per_id(texts: DataFrame) -> DataFrame:
+    """``texts(doc_id, text)`` with one row per doc_id, the one of the least text; null ids keep their rows.
+
+    Only rows of repeated ids are shuffled; without any the table comes back as it is.
+    """
+    repeated = texts.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    repeated = cut(repeated.filter("rows > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return texts
+    alone = texts.join(repeated, "doc_id", "left_anti")
+    least = texts.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return cut(alone.unionByName(least))
+
+
 FINISH_EDGES = 200_000
 
 

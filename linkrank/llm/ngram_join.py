@@ -12,7 +12,8 @@ threshold) and its number of links, copies included.
 
 Defined results: a null, empty or blank text and a null doc_id link with nothing and are
 classes of their own; rows with the same doc_id are one document, and if their texts
-differ one of them counts (the least); an empty table gives an empty result; extra
+differ the least counts, for its digest and its n-grams alike; :func:`keep_one` also keeps a row of
+every other text of such an id, unless a document that counts has the same text; an empty table gives an empty result; extra
 columns are ignored.
 """
 
@@ -23,9 +24,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import cut, fresh
+from linkrank.llm.common import bounded_batches, cut, fresh, one_text_per_id
 from linkrank.llm.hashing import Words, as_long, band_keys, bands_for, text_blocks
 from linkrank.llm.similar import arrow_rows, candidate_components, classes, verified
 
@@ -49,10 +51,11 @@ def ngram_classes(
     docs: DataFrame, threshold: float = 0.8, n: int = 5, rows: int = 4, recall: float = 0.999, seed: int = 3,
 ) -> DataFrame:
     """``(doc_id, class_id, n_links, n_copies, kept)``, a row per document."""
+    bounded_batches(docs.sparkSession)
     bands = bands_for(threshold, rows, recall)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = one_text_per_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     digests = texts.mapInArrow(_digests, "doc_id long, digest binary")
-    # One digest per id, one representative per digest.
+    # Rows without an id are classes of their own, told as one.
     digest = F.when(F.col("doc_id").isNotNull(), F.col("digest"))
     digests = cut(digests.groupBy("doc_id").agg(F.min(digest).alias("digest")))
     copies = digests.filter(F.col("digest").isNotNull())
@@ -87,7 +90,6 @@ def ngram_classes(
     # Copies share all keys of their representative, so dropping them here loses no candidate.
     reps = cut(candidate_components(star).join(copies.select("node", "copies"), "node"))
     one = texts.join(reps.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    one = one.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeated(digests, docs) else one
     members = one.mapInArrow(sets, "doc_id long, shingles binary").withColumnRenamed("doc_id", "node")
     members = members.join(reps, "node").select(
         "component", "node", F.col("copies").alias("weight"), "shingles"
@@ -106,15 +108,32 @@ def ngram_classes(
     )
 
 
-def _repeated(digests: DataFrame, docs: DataFrame) -> bool:
-    """Whether some doc_id stands on several rows."""
-    return digests.count() != docs.count()
-
-
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document stays: one of each class; a repeated doc_id keeps one row."""
-    own = fresh(docs, "kept_id")
+    """The rows of ``docs`` whose document stays: one of each class, and no text is lost.
+
+    A repeated doc_id stands for its least text; its other texts stay too, one row each, unless a
+    document that counts has the same text.
+    """
+    own, mark = fresh(docs, "kept_id"), fresh(docs, "kept_digest")
     kept = ngram_classes(docs, **options).filter(F.col("kept") & F.col("doc_id").isNotNull())
     kept = kept.select(F.col("doc_id").alias(own))
-    known = docs.join(kept, docs["doc_id"] == kept[own]).drop(own).dropDuplicates(["doc_id"])
-    return known.unionByName(docs.filter(F.col("doc_id").isNull()))
+    known, unknown = docs.filter(F.col("doc_id").isNotNull()), docs.filter(F.col("doc_id").isNull())
+    least = F.min("text").alias(mark)
+    repeated = known.groupBy(F.col("doc_id").alias(own)).agg(F.count(F.lit(1)).alias("rows"), least)
+    repeated = cut(repeated.filter("rows > 1").drop("rows"))
+    if repeated.isEmpty():
+        return known.join(kept, known["doc_id"] == kept[own], "left_semi").unionByName(unknown)
+    alone = known.join(repeated, known["doc_id"] == repeated[own], "left_anti")
+    several = known.join(repeated, known["doc_id"] == repeated[own])
+    counted = F.col("text").eqNullSafe(F.col(mark))
+    first = several.filter(counted).dropDuplicates(["doc_id"]).drop(mark)
+    first = first.drop(own).unionByName(alone)
+    first = first.join(kept, first["doc_id"] == kept[own], "left_semi")
+    # Blank texts are no texts that could be lost.
+    others = several.filter(~counted & (F.trim("text", F.lit(BLANK)) != "")).drop(own, mark)
+    counts = repeated.select(F.col(mark)).unionByName(alone.select(F.col("text").alias(mark)))
+    turn = fresh(others, "kept_turn")
+    of_text = W.partitionBy(F.sha2("text", 256)).orderBy("doc_id")
+    others = others.withColumn(turn, F.row_number().over(of_text)).filter(F.col(turn) == 1).drop(turn)
+    others = others.join(counts, F.sha2(others["text"], 256) == F.sha2(counts[mark], 256), "left_anti")
+    return first.unionByName(others).unionByName(unknown)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import cut
+from linkrank.llm.common import cut, one_text_per_id
 from linkrank.llm.hashing import (
     SENTENCE_END, U, WORDS, Words, as_long, band_keys, bands_for, mixed, prefix_hash, range_hash, text_blocks,
 )
@@ -393,8 +393,9 @@ def _unit_sets(batches):
 
 def paragraph_dedup(docs: DataFrame, **options) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, spans)``, a row per document."""
-    least = F.min(F.coalesce(F.octet_length("text"), F.lit(0))).cast("long")
-    everyone = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(least.alias("n_bytes"))
+    docs = one_text_per_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    size = F.min(F.coalesce(F.octet_length("text"), F.lit(0))).cast("long")
+    everyone = docs.groupBy("doc_id").agg(size.alias("n_bytes"))
     spans = repeated_spans(docs, **options)
     span = F.struct("start", "end")
     per = spans.groupBy("doc_id").agg(

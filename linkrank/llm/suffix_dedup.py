@@ -9,7 +9,7 @@ the window. Equal windows have their minimizer at the same place, so a repeat of
 ``LENGTH`` bytes is always seen from a kept suffix, though only about one in 80 is kept. An
 array row stands for a run, the neighbouring windows with the same minimizer: the hash of
 the suffix's first ``GRAM`` bytes (its sort key), the hash of the run's whole text, the
-chunk (input partition) it lies in, and how often it does. Arrays are sorted by key, so
+chunk (some rows of a file that follow each other) it lies in, and how often it does. Arrays are sorted by key, so
 equal prefixes are neighbours, which is all that a scan for long matches asks of the order.
 
 Index family. A new batch's array is merge-scanned with the existing levels, which finds
@@ -36,18 +36,18 @@ import json
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import Scratch, cut, width
+from linkrank.llm.common import Scratch, bounded_batches, cut, width
 from linkrank.llm.hashing import BASE, BYTE_VALUE, BYTES, as_long, mixed, prefix_hash, range_hash, text_blocks
 
 U = np.uint64
 LENGTH, GRAM = 200, 40
-ARRAY = pa.schema([("key", pa.int64()), ("run", pa.int64()), ("chunk", pa.int32()), ("n", pa.int32())])
-ARRAY_DDL = "key long, run long, chunk int, n int"
+CHUNK_ROWS = 2048
+ARRAY = pa.schema([("key", pa.int64()), ("run", pa.int64()), ("chunk", pa.int64()), ("n", pa.int32())])
+ARRAY_DDL = "key long, run long, chunk long, n int"
 NO_RUNS = {k: np.zeros(0, t) for k, t in (("doc", "i8"), ("a", "i8"), ("b", "i8"), ("key", "u8"), ("run", "u8"))}
 
 
@@ -82,12 +82,24 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def suffix_array(docs: DataFrame) -> DataFrame:
-    """``(key, run, chunk, n)``: the sampled suffixes of every input partition, sorted by key."""
+    """``(key, run, chunk, n)``: the sampled suffixes of every chunk of ``docs(chunk, text)``, sorted by key."""
 
     def collect(batches):
-        chunk, key, run, n = TaskContext.get().partitionId(), np.zeros(0, "u8"), np.zeros(0, "u8"), np.zeros(0, "i8")
-        for batch in batches:
-            found = [runs(data, offsets) for _, data, offsets in text_blocks(batch.column(0))]
+        key, run, n, last = np.zeros(0, "u8"), np.zeros(0, "u8"), np.zeros(0, "i8"), None
+
+        def told():
+            for i in range(0, len(key), 1 << 16):
+                part = slice(i, i + (1 << 16))
+                size = len(key[part])
+                yield pa.record_batch(
+                    [as_long(key[part]), as_long(run[part]), np.full(size, last, "i8"), n[part].astype("i4")], schema=ARRAY
+                )
+
+        for chunk, batch in by_chunk(batches):
+            if chunk != last:
+                yield from told()
+                key, run, n, last = np.zeros(0, "u8"), np.zeros(0, "u8"), np.zeros(0, "i8"), chunk
+            found = [runs(data, offsets) for _, data, offsets in text_blocks(batch.column(1))]
             key = np.concatenate([key, *(f["key"] for f in found)])
             run = np.concatenate([run, *(f["run"] for f in found)])
             n = np.append(n, np.ones(len(key) - len(n), "i8"))
@@ -96,14 +108,30 @@ def suffix_array(docs: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (run[1:] != run[:-1])))[: len(key)]
             n = np.add.reduceat(n, first) if len(first) else n
             key, run = key[first], run[first]
-        for i in range(0, len(key), 1 << 16):
-            part = slice(i, i + (1 << 16))
-            size = len(key[part])
-            yield pa.record_batch(
-                [as_long(key[part]), as_long(run[part]), np.full(size, chunk, "i4"), n[part].astype("i4")], schema=ARRAY
-            )
+        yield from told()
+
+    return docs.select("chunk", "text").mapInArrow(collect, ARRAY_DDL)
+
 
-    return docs.select("text").mapInArrow(collect, ARRAY_DDL)
+def by_chunk(batches):
+    """``(chunk, rows)`` of batches whose first column is the chunk."""
+    for batch in batches:
+        chunk = batch.column(0).to_numpy()
+        ends = [*(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), len(chunk)]
+        begin = 0
+        for end in ends if len(chunk) else []:
+            yield int(chunk[begin]), batch.slice(begin, end - begin)
+            begin = end
+
+
+def chunked(docs: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(chunk, doc_id, text)`` of a table of files: ``rows`` rows of a file that follow each other are a chunk.
+
+    A row's file and number do not depend on how a scan is split, so two scans agree on the chunks.
+    """
+    nth = F.expr(f"_metadata.row_index div {int(rows)}")
+    chunk = F.xxhash64(F.col("_metadata.file_path"), nth).alias("chunk")
+    return docs.select(chunk, F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 class SuffixIndex:
@@ -174,32 +202,31 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def substring_dedup(docs: DataFrame, batches: int = 3, slice_rows: int = 2048, written: bool = False) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)``, a row per row of ``docs``.
 
-    ``spans`` packs the removed ranges as pairs of 64-bit offsets. ``docs`` is read twice in
-    the same partitions, so anything but a plain table (``written``) is written first.
+    ``spans`` packs the removed ranges as pairs of 64-bit offsets. ``docs`` is read twice, so
+    anything but a table of files (``written``) is written first. A chunk whose suffixes and texts
+    do not come from the same rows is an error.
     """
     import zstandard
 
     spark = docs.sparkSession
+    bounded_batches(spark)
     index = SuffixIndex(spark)
     scratch = index.scratch
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if not written:
-        texts = scratch.store(texts)
+    texts = chunked(docs if written else scratch.store(docs.select("doc_id", "text")))
 
-    array = suffix_array(texts).withColumn("batch", F.col("chunk") % batches)
+    array = suffix_array(texts).withColumn("batch", F.pmod("chunk", F.lit(batches)))
     array = scratch.store(array, partition_by="batch")
     columns = ["key", "run", "chunk", "n"]
     for batch in range(batches):
         matches = index.add(array.filter(F.col("batch") == batch).select(columns))
 
     def pack(rows):
-        chunk = TaskContext.get().partitionId()
-        for batch in rows:
-            ids = batch.column(0)
-            for row, data, offsets in text_blocks(batch.column(1)):
+        for chunk, batch in by_chunk(rows):
+            ids = batch.column(1)
+            for row, data, offsets in text_blocks(batch.column(2)):
                 own = json.dumps(ids.slice(row, len(offsets) - 1).to_pylist()).encode()
                 yield pa.record_batch(
-                    [pa.array([chunk], pa.int32()), pa.array([own]), pa.array([offsets.tobytes()]),
+                    [pa.array([chunk], pa.int64()), pa.array([own]), pa.array([offsets.tobytes()]),
                      pa.array([zstandard.compress(data.tobytes(), 3)])],
                     names=["chunk", "ids", "offsets", "texts"],
                 )
@@ -212,7 +239,7 @@ def substring_dedup(docs: DataFrame, batches: int = 3, slice_rows: int = 2048, w
         hashes = known["run"].to_numpy("i8").view("u8")
         equal, others = known["equal"].to_numpy(bool), known["others"].to_numpy()
         speaker = known["speaker"].to_numpy(bool)
-        out, spoken = [], set()
+        out, spoken, met = [], set(), np.zeros(len(hashes), bool)
         packs: dict[int, list] = {}
         for own, offsets, packed in zip(blocks["ids"], blocks["offsets"], blocks["texts"], strict=True):
             raw = zstandard.decompress(packed)
@@ -222,6 +249,7 @@ def substring_dedup(docs: DataFrame, batches: int = 3, slice_rows: int = 2048, w
             hit = np.flatnonzero(at < len(hashes))
             hit = hit[hashes[at[hit]] == r["run"][hit]]
             at = at[hit]
+            met[at] = True
             whole = hit[equal[at]]
             # One byte of distance per document: ranges of two documents never join.
             start, end = union_of(r["a"][whole] + r["doc"][whole], r["b"][whole] + LENGTH + r["doc"][whole])
@@ -249,6 +277,8 @@ def substring_dedup(docs: DataFrame, batches: int = 3, slice_rows: int = 2048, w
                     })
                 else:
                     out.append({"kind": 0} | result_row(doc, raw[lo:hi], s, e))
+        if not met[np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]].all():
+            raise RuntimeError("a chunk's texts are not those that its suffixes were taken from")
         for bucket, rows in packs.items():
             run, n, flag, split, text = zip(*rows, strict=True)
             out.append({
@@ -261,10 +291,10 @@ def substring_dedup(docs: DataFrame, batches: int = 3, slice_rows: int = 2048, w
         ]).assign(chunk=int(chunk))
         return frame.astype({c: "Int64" for c in ("kind", "bucket", "doc_id", "n_bytes", "n_removed", "n_spans")})
 
-    packed = texts.mapInArrow(pack, "chunk int, ids binary, offsets binary, texts binary")
+    packed = texts.mapInArrow(pack, "chunk long, ids binary, offsets binary, texts binary")
     statuses = matches.select("chunk", "run", "equal", "others", "speaker")
     first = statuses.groupBy("chunk").cogroup(packed.groupBy("chunk")).applyInPandas(
-        first_cut, f"kind int, chunk int, bucket int, {RESULT}, texts binary, runs binary"
+        first_cut, f"kind int, chunk long, bucket int, {RESULT}, texts binary, runs binary"
     )
     first = scratch.store(first)
 
@@ -310,12 +340,12 @@ def substring_dedup(docs: DataFrame, batches: int = 3, slice_rows: int = 2048, w
 
     contexts = first.filter("kind = 1").select("bucket", "chunk", "runs", "texts")
     compared = cut(contexts.groupBy("bucket").applyInPandas(
-        compare, "kind int, bucket long, windows binary, chunk int, run long, start int, end int"
+        compare, "kind int, bucket long, windows binary, chunk long, run long, start int, end int"
     ))
     columns = ["chunk", "run", "start", "end"]
     ranges = compared.filter("kind = 0").select(columns)
     late = compared.filter("kind = 1").select("bucket", "windows").groupBy("bucket").applyInPandas(
-        compare_slices, "chunk int, run long, start int, end int"
+        compare_slices, "chunk long, run long, start int, end int"
     )
 
     def last_cut(found: pd.DataFrame, waiting: pd.DataFrame) -> pd.DataFrame:

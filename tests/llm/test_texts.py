@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from llm_helpers import Union, prose, shingles, words
 
 from linkrank.llm.line_dedup import drop_repeated_lines, line_dedup
@@ -174,7 +175,8 @@ def test_suffix_index_levels_merge_geometrically(spark, make_docs):
     sizes = []
     text = prose(rng, 200)
     for i in range(5):
-        array = suffix_array(make_docs([(i, prose(rng, 300) + text)], partitions=1)).cache()
+        docs = make_docs([(i, prose(rng, 300) + text)], partitions=1).withColumn("chunk", F.lit(i).cast("long"))
+        array = suffix_array(docs).cache()
         matches = index.add(array)
         sizes.append([n for n, _ in index.levels])
     assert sizes == [[1], [2], [2, 1], [4], [4, 1]]
@@ -270,3 +272,66 @@ def test_paragraphs(spark, make_docs):
     assert got[70].n_removed > 0.8 * got[70].n_bytes
     assert not got[80].n_removed and not got[81].n_removed and not got[82].n_removed and not got[None].n_removed
     assert paragraph_dedup(make_docs([])).count() == 0
+
+
+def test_keep_one_loses_no_text(spark, make_docs):
+    """Repeated ids with different texts: each distinct text has a row, or a near text that counts."""
+    from linkrank.llm import ngram_join
+
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 60, 3000) for _ in range(3))
+    rows = [(3, a + " tail"), (5, a), (5, b), (7, b), (8, c), (8, c), (8, None), (9, ""), (9, " "), (None, c)]
+    for k in range(4):
+        kept = ngram_join.keep_one(make_docs(rows, clash=True, partitions=1 + k)).collect()
+        texts = [(r.doc_id, r.text) for r in kept]
+        # Of id 5 the lesser of both texts counts; the other one stands on 7 or stays on its own.
+        assert (3, a + " tail") in texts and any(t == b for _, t in texts) and (None, c) in texts
+        assert [t for t in texts if t[0] == 8] == [(8, c)]
+        assert len(texts) == len(set(texts))
+    odd = [(1, a), (1, b), (1, c), (2, c)]
+    kept = [(r.doc_id, r.text) for r in ngram_join.keep_one(make_docs(odd)).collect()]
+    assert sorted(t for _, t in kept) == sorted([a, b, c])
+
+
+def test_repeated_ids_count_one_text(spark, make_docs):
+    from linkrank.llm import ngram_join, paragraph_dedup
+
+    rng = random.Random(32)
+    a, b, tail = prose(rng, 40, 3000), prose(rng, 40, 3000), prose(rng, 30, 3000)
+    low, high = sorted([a + "\n" + tail, b])
+    rows = [(1, a + "\n" + tail), (1, b), (2, tail), (3, a + "\n" + tail)]
+    one = [(1, low), (2, tail), (3, a + "\n" + tail)]
+    for operator in (paragraph_dedup.paragraph_dedup, ngram_join.ngram_classes):
+        assert sorted(map(str, operator(make_docs(rows)).collect())) == sorted(map(str, operator(make_docs(one)).collect()))
+
+
+def test_suffix_chunks_do_not_depend_on_the_split(spark, make_docs, tmp_path):
+    """Both scans of op2 agree on the chunks when files are split differently in between."""
+    from linkrank.llm import suffix_dedup
+
+    rng = random.Random(33)
+    shared = prose(rng, 80, 3000)
+    rows = [(i, prose(rng, 40, 3000) + (" " + shared if i % 3 == 0 else "")) for i in range(400)]
+    path = str(tmp_path / "docs")
+    make_docs(rows, partitions=2).write.option("parquet.block.size", 1 << 14).parquet(path)
+    docs = spark.read.parquet(path)
+    want = None
+    key = "spark.sql.files.maxPartitionBytes"
+    kept, original = spark.conf.get(key), suffix_dedup.SuffixIndex.add
+    try:
+        for second in ("16k", "128m"):
+            spark.conf.set(key, "128m")
+
+            def add(self, array, second=second):
+                spark.conf.set(key, second)
+                return original(self, array)
+
+            suffix_dedup.SuffixIndex.add = add
+            got = suffix_dedup.substring_dedup(docs, written=True).select("doc_id", "n_removed", "kept_sha256")
+            got = sorted(map(tuple, got.collect()))
+            assert sum(r[1] for r in got) > 0
+            assert want in (None, got)
+            want = got
+    finally:
+        suffix_dedup.SuffixIndex.add = original
+        spark.conf.set(key, kept)
