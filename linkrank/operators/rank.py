@@ -30,7 +30,7 @@ Physical layout (one shuffle of contributions per iteration):
   vector is cached, so an iteration is one job. With ``keys`` they are a table with a
   row per graph, written every iteration as the log and joined by key; the driver
   sees only how many graphs are still running. The join is a broadcast up to
-  ``MAX_BROADCAST_GRAPHS`` rows and a shuffle join beyond.
+  ``MAX_BROADCAST_GRAPHS`` rows; beyond, a shuffle join that deals large graphs to salts.
 * sources with more distinct out-edges than the mean partition size (so fewer
   than there are partitions) are hubs: their edges sit in a table of their own,
   spread over all partitions, and receive the hub ranks through a broadcast of
@@ -48,7 +48,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from linkrank.operators.graph import node_set
 from linkrank.session import (
     Scratch,
     default_partitions,
@@ -67,6 +66,7 @@ CHECKPOINT_INTERVAL = 3
 MAX_BROADCAST_GRAPHS = 50_000
 # Key column of a run without keys.
 SINGLE = "_graph"
+SALT, SALTS = "_salt", "_salts"
 STANDARD = "standard"
 PERSONALIZED = "personalized"
 
@@ -214,70 +214,113 @@ class _Loop:
         self.phases[name] = round(self.phases.get(name, 0.0) + now - self._clock, 4)
         self._clock = now
 
-    def _per_graph(self, df: DataFrame) -> DataFrame:
-        """A table with a row per graph, broadcast where its size is known to be small."""
-        return F.broadcast(df) if self.n_graphs <= MAX_BROADCAST_GRAPHS else df
+    def _with_numbers(self, rows: DataFrame, numbers: DataFrame) -> DataFrame:
+        """``rows(keys..., id, ...)`` joined with the one row of their graph.
+
+        Few graphs are broadcast. Beyond that it is a shuffle join in which a graph of more nodes than a
+        mean partition is dealt to salts, and its row is copied to each of them. There are fewer such
+        graphs than partitions, so their list is small however many graphs there are, and the copies
+        add at most two rows per partition.
+        """
+        k = self.k
+        if self.n_graphs <= MAX_BROADCAST_GRAPHS:
+            return rows.join(F.broadcast(numbers), k)
+        large = F.broadcast(
+            self.graphs.filter(F.col("n") > self.share).select(*k, F.ceil(F.col("n") / self.share).cast("int").alias(SALTS))
+        )
+        salts = F.coalesce(SALTS, F.lit(1))
+        dealt = rows.join(large, k, "left").withColumn(SALT, F.pmod(F.xxhash64("id"), salts).cast("int")).drop(SALTS)
+        copies = numbers.join(large, k, "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1))).drop(SALTS)
+        return dealt.join(copies, [*k, SALT]).drop(SALT)
 
     # ----------------------------------------------------------------- setup
     def setup(self) -> None:
+        """Distinct edges, then one row per id from a single aggregation over all its roles."""
         k = self.k
         pairs = self.scratch.store(
             self.edges.groupBy(*k, "src", "dst").agg(F.count(F.lit(1)).alias("mult"))
         )
-        if not pairs.filter("src is null or dst is null").isEmpty():
-            raise ValueError("edges have NULL endpoints")
-        nodes = node_set(pairs, k) if self.nodes is None else self.nodes
-        info = nodes.groupBy(*k, "id").agg(F.count(F.lit(1)).alias("copies"))
-        deg = pairs.groupBy(*k, F.col("src").alias("id")).agg(
-            F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("fanout")
-        )
-        # With validation the join is full outer: sources that are not nodes show up.
-        info = info.join(deg, [*k, "id"], "full" if self.validate else "left")
-        is_seed = F.lit(False)
-        if self.seeds is not None:
-            info = info.join(self.seeds.withColumn("seed", F.lit(True)), [*k, "id"], "left")
-            is_seed = F.coalesce("seed", F.lit(False))
-        zero = F.lit(0).cast("bigint")
-        info = self.scratch.store(
-            info.select(
-                *k, "id", F.coalesce("copies", zero).alias("copies"), F.coalesce("outdeg", zero).alias("outdeg"),
-                F.coalesce("fanout", zero).alias("fanout"), is_seed.alias("is_seed"),
-            )
-        )
+        roles = self._roles(pairs)
+        if self.given:
+            info = self.scratch.store(roles)
+            self.graphs = self.result.store(info.groupBy(*k).agg(*self._counts()))
+            sums = [F.sum(c).alias(c) for c in self.graphs.columns if c not in (*k, "max_fanout")]
+            total = self.graphs.agg(
+                F.count(F.lit(1)).alias("graphs"), F.min("n").alias("least"), F.max("max_fanout").alias("max_fanout"),
+                F.count_if((F.col("wanted") > 0) & (F.col("n_seeds") == 0)).alias("lost"), *sums,
+            ).first().asDict()
+            total["nodes"] = total["n"]
+        else:
+            # A single graph's numbers are observed while its nodes are written.
+            seen = Observation(f"linkrank_{uuid.uuid4().hex}")
+            info = self.scratch.store(roles.observe(seen, *self._counts()))
+            total = {c: v or 0 for c, v in seen.get.items()}
+            self.graphs = self.spark.createDataFrame([Row(**{SINGLE: 0}, **total)])
+            lost = total["wanted"] > 0 and total["n_seeds"] == 0
+            total |= {"graphs": 1, "least": total["n"], "nodes": total["n"], "lost": int(lost)}
         is_node = F.col("copies") > 0
-        graphs = info.groupBy(*k).agg(
+        self._check({c: v or 0 for c, v in total.items()})
+        self.n_graphs, self.unknown_seeds = total["graphs"], total["wanted"] - total["n_seeds"]
+        # More nodes than a mean partition: fewer graphs than there are partitions.
+        self.share = max(1, -(-total["nodes"] // self.width))
+        threshold = max(self.hub_threshold, math.ceil(total["n_pairs"] / self.width), 1)
+        self.has_hubs = total["max_fanout"] > threshold
+        self._lap("setup_stats")
+        self._build(pairs, info.filter(is_node), threshold)
+        self._lap("setup")
+
+    @staticmethod
+    def _counts() -> list[Column]:
+        """What is counted per graph over its rows of :meth:`_roles`."""
+        is_node, has_out, null_id = F.col("copies") > 0, F.col("outdeg") > 0, F.col("id").isNull()
+        return [
             F.count_if(is_node).alias("n"),
-            F.count_if(is_node & (F.col("outdeg") == 0)).alias("n_dangling"),
+            F.count_if(is_node & ~has_out).alias("n_dangling"),
             F.count_if(is_node & F.col("is_seed")).alias("n_seeds"),
+            F.count_if(F.col("is_seed")).alias("wanted"),
             F.sum("fanout").alias("n_pairs"),
             F.max("fanout").alias("max_fanout"),
-            F.count_if(~is_node).alias("unknown"),
+            F.count_if(~is_node & has_out).alias("unknown"),
+            F.count_if(~is_node & F.col("is_end")).alias("unknown_ends"),
             F.count_if(F.col("copies") > 1).alias("repeated"),
-            F.count_if(is_node & F.col("id").isNull()).alias("null_ids"),
+            F.count_if(is_node & null_id).alias("null_ids"),
+            F.count_if(null_id & (has_out | F.col("is_end"))).alias("null_ends"),
+        ]
+
+    def _roles(self, pairs: DataFrame) -> DataFrame:
+        """``(keys..., id, copies, outdeg, fanout, is_end, is_seed)`` for every id in any role.
+
+        The node rows, both ends of the distinct edges and the seeds are one stream of rows with a
+        column per role, so counting, degrees and all checks of unknown ids need one shuffle and no join.
+        """
+        k, zero, no = self.k, F.lit(0).cast("bigint"), F.lit(False)
+
+        def role(df: DataFrame, id_: str, copies=zero, outdeg=zero, fanout=zero, end=no, seed=no) -> DataFrame:
+            return df.select(
+                *k, F.col(id_).alias("id"), copies.alias("copies"), outdeg.alias("outdeg"),
+                fanout.alias("fanout"), end.alias("is_end"), seed.alias("is_seed"),
+            )
+
+        one = F.lit(1).cast("bigint")
+        rows = role(pairs, "src", outdeg=F.col("mult"), fanout=one).unionByName(
+            role(pairs, "dst", end=F.lit(True))
         )
+        if self.nodes is not None:
+            rows = rows.unionByName(role(self.nodes, "id", copies=one))
         if self.seeds is not None:
-            wanted = self.seeds.groupBy(*k).agg(F.count(F.lit(1)).alias("wanted"))
-            graphs = graphs.join(wanted, k, "left").withColumn("wanted", F.coalesce("wanted", zero))
-        else:
-            graphs = graphs.withColumn("wanted", zero)
-        self.graphs = self.result.store(graphs)
-        total = self.graphs.agg(
-            F.count(F.lit(1)).alias("graphs"), F.min("n").alias("least"), F.sum("n_pairs").alias("pairs"),
-            F.max("max_fanout").alias("max_fanout"), F.sum("unknown").alias("unknown"),
-            F.sum("repeated").alias("repeated"), F.sum("null_ids").alias("null_ids"),
-            F.sum("wanted").alias("wanted"), F.sum("n_seeds").alias("seeds"),
-            F.count_if((F.col("wanted") > 0) & (F.col("n_seeds") == 0)).alias("lost"),
-        ).first()
-        self._check(total, pairs, nodes)
-        self.n_graphs, self.unknown_seeds = total["graphs"], (total["wanted"] or 0) - (total["seeds"] or 0)
-        threshold = max(self.hub_threshold, math.ceil((total["pairs"] or 0) / self.width), 1)
-        self.has_hubs = (total["max_fanout"] or 0) > threshold
-        self._lap("setup_stats")
-        self._build(pairs, info.filter(is_node), threshold)
-        self._lap("setup")
+            rows = rows.unionByName(role(self.seeds, "id", seed=F.lit(True)))
+        info = rows.groupBy(*k, "id").agg(
+            *[F.sum(c).alias(c) for c in ("copies", "outdeg", "fanout")], *[F.max(c).alias(c) for c in ("is_end", "is_seed")]
+        )
+        if self.nodes is None:  # the nodes are the ends of the edges
+            known = F.col("is_end") | (F.col("outdeg") > 0)
+            info = info.withColumn("copies", F.when(known, one).otherwise(zero))
+        return info
 
-    def _check(self, total, pairs: DataFrame, nodes: DataFrame) -> None:
-        if total["unknown"]:
+    def _check(self, total) -> None:
+        if total["null_ends"]:
+            raise ValueError("edges have NULL endpoints")
+        if total["unknown"] and self.validate:
             raise ValueError("edges start at ids that are not in the node table")
         if not total["graphs"] or not total["least"]:
             raise ValueError("graph has no nodes")
@@ -285,10 +328,8 @@ class _Loop:
             raise ValueError("node table has NULL ids")
         if total["repeated"]:
             raise ValueError("node table has duplicate ids")
-        if self.validate:
-            ends = pairs.select(*self.k, F.col("dst").alias("id")).distinct()
-            if not ends.join(nodes, [*self.k, "id"], "left_anti").isEmpty():
-                raise ValueError("edges end at ids that are not in the node table")
+        if total["unknown_ends"] and self.validate:
+            raise ValueError("edges end at ids that are not in the node table")
         if self.seeds is not None and not self.given and not total["wanted"]:
             raise ValueError("seed set is empty")
         if total["lost"]:
@@ -308,10 +349,10 @@ class _Loop:
         edge_rows = regular.join(info.filter(~hub).select(*k, "id", "outdeg"), [*k, "id"]).select(
             *k, "id", "dst", weight
         )
-        sizes = self._per_graph(self.graphs.select(*k, "n", "n_seeds"))
+        sizes = self.graphs.select(*k, "n", "n_seeds")
         uniform = F.lit(1.0) / F.col("n")
         seeded = F.when(F.col("n_seeds") == 0, uniform).when(F.col("is_seed"), F.lit(1.0) / F.col("n_seeds"))
-        node_rows = info.join(sizes, k).select(
+        node_rows = self._with_numbers(info, sizes).select(
             *k, "id", F.col("id").alias("dst"), F.lit(0.0).alias("w"),
             *[(seeded.otherwise(0.0) if p else uniform).alias(f"t{i}") for i, p in enumerate(self.personalized)],
             uniform.alias("r0"), (F.col("outdeg") == 0).alias("dangling"), hub.alias("hub"),
@@ -392,9 +433,9 @@ class _Loop:
             *[F.max(f"t{i}").alias(f"t{i}") for i in m], F.max("dangling").alias("dng"), F.max("hub").alias("hb"),
         )
         # Without validation, contributions to ids that are not nodes are lost.
-        moved = sums.filter(F.col("dng").isNotNull())
+        moved = sums.filter(F.col("dng").isNotNull()).withColumnRenamed("dst", "id")
         if self.given:
-            moved = moved.join(self._per_graph(numbers), k)
+            moved = self._with_numbers(moved, numbers)
         of = F.col if self.given else lambda name: F.lit(numbers[name])
 
         def rank(i: int) -> Column:
@@ -404,7 +445,7 @@ class _Loop:
 
         given = [c for i in m for c in (f"mass{i}", f"done{i}")] if self.given else []
         return moved.select(
-            *k, F.col("dst").alias("id"), *[rank(i) for i in m], *[f"prev{i}" for i in m], "dng", "hb", *given
+            *k, "id", *[rank(i) for i in m], *[f"prev{i}" for i in m], "dng", "hb", *given
         )
 
     def _sums(self) -> list[Column]:
@@ -464,7 +505,7 @@ class _Loop:
             if ended:
                 # They leave the loop: the next update joins running graphs only.
                 over = log.filter(self._all("done")).select(*self.k)
-                self._save(new.join(self._per_graph(over), self.k))
+                self._save(self._with_numbers(new, over))
             numbers = log
             if self.given:
                 numbers = log.filter(~self._all("done")).select(
