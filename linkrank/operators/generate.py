@@ -8,8 +8,8 @@ A graph on ``n`` nodes has ``m = n(n-1)`` possible edges without self-loops.
 
 ``dst`` is drawn among ``n - 1`` values and moved up by one from ``src`` on, so a self-loop
 cannot occur. Both branches end in an exact "``e`` smallest keys" cut that never gathers
-``e`` rows in one task: keys are counted per value range, whole ranges below the cut
-are kept, and only the range holding the cut is refined.
+``e`` rows in one task: a sketch guesses the range that holds the cut, its keys are counted per
+piece, whole pieces below the cut are kept, and only the piece holding it is ordered.
 """
 
 from __future__ import annotations
@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 from linkrank.functions.columns import hash_order
 from linkrank.session import ensure_checkpoint_dir
 
-# Default generator seed, bits of a hash key, value ranges per counting pass.
+# Default generator seed, bits of a hash key; value ranges per counting pass, quantiles of the
+# sketch, rows that are ordered at the cut.
 DEFAULT_SEED = 42
 HASH_BITS = 60
-_BUCKETS = 1024
+_BUCKETS = 1 << 14
+_GRID = 500
+_ORDERED = 1_000_000
 
 
 def smallest(
@@ -38,32 +41,58 @@ def smallest(
 ) -> DataFrame:
     """The ``n`` rows with the smallest ``(key, *tie)``; ``key`` is a BIGINT in ``[lo, hi]``.
 
-    ``df`` is written once; every counting pass narrows the range of the cut by
-    ``_BUCKETS`` until it is a single key value, whose rows are ordered by ``tie``.
+    ``df`` is written once and then passed over three times as a rule: a quantile sketch guesses a narrow
+    range that holds the cut, one exact count of that range in ``_BUCKETS`` pieces (and of all below it)
+    finds the piece, and the last pass takes what is below the piece and orders the piece alone. A guess
+    that misses, or a piece of more than ``_ORDERED`` rows, costs a further count; the result is exact.
     """
     if n <= 0:
         return df.limit(0)
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint()
-    taken = 0
+    least, most = lo, hi
+    guess = _around(df, key, n)
+    if guess is None:
+        return df
+    lo, hi = max(lo, guess[0]), min(hi, guess[1])
+    k = F.col(key)
     while True:
         width = max(1, -(-(hi - lo + 1) // _BUCKETS))
-        inside = df.filter((F.col(key) >= F.lit(lo)) & (F.col(key) <= F.lit(hi)))
         # Integer division: the bounds must agree exactly with the filters.
-        bucket = F.expr(f"(`{key}` - {int(lo)}) div {int(width)}")
-        counts = inside.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()
+        bucket = F.when(k < F.lit(lo), F.lit(-1)).otherwise(F.expr(f"(`{key}` - {int(lo)}) div {int(width)}"))
+        counts = df.filter(k <= F.lit(hi)).groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()
+        taken, at = 0, None
         for b, c in sorted((r["b"], r["c"]) for r in counts):
             if taken + c >= n:
+                at = b
                 break
             taken += c
-        else:
-            return df.filter(F.col(key) <= F.lit(hi))
-        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+        if at is None:  # the cut is above the range
+            if hi >= most:
+                return df
+            lo, hi = hi + 1, most
+            continue
+        if at < 0:  # the cut is below the range
+            lo, hi = least, lo - 1
+            continue
+        lo, hi = lo + at * width, min(hi, lo + (at + 1) * width - 1)
         if taken + c == n:
-            return df.filter(F.col(key) <= F.lit(hi))
-        if lo == hi:
-            same = df.filter(F.col(key) == F.lit(lo)).orderBy(*[F.col(t) for t in tie] or [F.col(key)])
-            return df.filter(F.col(key) < F.lit(lo)).unionByName(same.limit(n - taken))
+            return df.filter(k <= F.lit(hi))
+        if c <= _ORDERED or lo == hi:
+            inside = df.filter((k >= F.lit(lo)) & (k <= F.lit(hi))).orderBy(key, *tie)
+            return df.filter(k < F.lit(lo)).unionByName(inside.limit(n - taken))
+
+
+def _around(df: DataFrame, key: str, n: int) -> tuple[int, int] | None:
+    """Two keys that the ``n``-th smallest very likely lies between, None if there are no more than ``n`` rows."""
+    grid = ", ".join(str(i / _GRID) for i in range(_GRID + 1))
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"percentile_approx(`{key}`, array({grid}), {_GRID * 20})").alias("q")
+    ).first()
+    if row["n"] <= n:
+        return None
+    at = n * _GRID // row["n"]
+    return row["q"][max(0, at - 1)], row["q"][min(_GRID, at + 2)]
 
 
 def _draws(i: str, seed, n: int) -> list:

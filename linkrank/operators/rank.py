@@ -594,8 +594,7 @@ def contributions(ranks: DataFrame, wedges: DataFrame, keys: Sequence[str] = ())
     from linkrank.operators.graph import join_by_source
 
     k = list(keys)
-    fanout = wedges.groupBy(*k, "src").agg(F.count(F.lit(1)).alias("fanout"))
-    sources = fanout.join(ranks.select(*k, F.col("id").alias("src"), "rank"), [*k, "src"])
+    sources = ranks.select(*k, F.col("id").alias("src"), "rank")
     return join_by_source(wedges, sources, k).select(
         *k, "src", "dst", (F.col("weight") * F.col("rank")).alias("contribution")
     )

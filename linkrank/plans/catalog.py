@@ -29,6 +29,7 @@ from linkrank.sources import graph_json as GJ
 from linkrank.sources import seeds as SD
 from linkrank.sources import tables as TB
 from linkrank.sources import writers as WR
+from linkrank.session import Scratch
 
 
 # ------------------------------------------------------------------ graphs
@@ -367,6 +368,29 @@ def q_graph_json_rows(spark, sf_dir):
     return GJ.graph_json_rows(nodes, edges).select("id", F.col("part").cast("bigint").alias("part"), "json")
 
 
+def q_graph_document(spark, sf_dir):
+    """The graph written as one JSON document of ordered parts and read again in splits: edges with multiplicity."""
+    nodes, edges = TB.parts_graph(spark, sf_dir)
+    scratch = Scratch(spark)
+    GJ.write_graph_document(nodes, edges, scratch.path("graph.json"))
+    back, again = GJ.read_graph_document(spark, scratch.path("graph.json"))
+    pairs = again.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("multiplicity"))
+    alone = GR.dangling_nodes(back, again).select(F.col("id").alias("src"))
+    empty = alone.select("src", F.lit(None).cast("bigint").alias("dst"), F.lit(0).cast("bigint").alias("multiplicity"))
+    result = pairs.unionByName(empty).checkpoint()
+    scratch.release()
+    return result
+
+
+def q_adjacency_runs(spark, sf_dir):
+    """Run-length lists of at most 16 edges: sums over the parts of each node."""
+    runs = GR.adjacency_runs(_edges(spark, sf_dir), max_list=16)
+    filled = F.aggregate("runs", F.lit(0).cast("bigint"), lambda a, r: a + r["multiplicity"])
+    return runs.select("id", "out_degree", filled.alias("filled"), F.inline("runs")).groupBy("id", "dst").agg(
+        F.first("out_degree").alias("out_degree"), F.sum("multiplicity").alias("multiplicity"), F.max("filled").alias("most")
+    ).select("id", "dst", "out_degree", "multiplicity", (F.col("most") <= 16).alias("bounded"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_")
 }

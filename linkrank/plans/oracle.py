@@ -286,6 +286,8 @@ select s.id, exists (select 1 from nodes n where n.id = s.id) as known
        (floor(sum(rank) * 1e6 + 0.5) / 1e6) as sum_of_ranks,
        abs(sum(rank) - 1.0) < 1e-4 as sum_valid,
        count(*) = (select count(*) from ({r_n}) n) as count_matches,
+       (select count(*) from ((select id from final except all select id from ({r_n}) n)
+         union all (select id from ({r_n}) n except all select id from final)) x) = 0 as ids_match,
        count(*) filter (where rank < 0) = 0 and abs(sum(rank) - 1.0) < 1e-4
          and count(*) = (select count(*) from ({r_n}) n) as all_checks_passed
   from final"""
@@ -351,4 +353,9 @@ select graph_id, a.ids as std_top_k, b.ids as ppr_top_k, ov.overlap as overlap_s
   from ({r_n}) n left join (
     select src, array_to_string(list_sort(list(dst)), ',') as nb from ({r_e}) e group by src) a
   on a.src = n.id"""
+    q["graph_document"] = f"""select src, dst, count(*) as multiplicity from ({r_e}) e group by src, dst
+union all select id as src, null as dst, 0::BIGINT as multiplicity from ({r_n}) n
+  where id not in (select src from ({r_e}) e)"""
+    q["adjacency_runs"] = f"""select p.src as id, p.dst, d.c as out_degree, p.m as multiplicity, true as bounded
+  from (select src, dst, count(*) as m from ({r_e}) e group by src, dst) p join ({deg}) d on d.src = p.src"""
     return q

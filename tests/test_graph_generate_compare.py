@@ -50,6 +50,49 @@ def test_joins_by_source_split_hubs(spark):
     assert w == {p: 1 / 200 if p[0] == 0 else 1.0 for p in edges}
 
 
+def test_frequent_keys_misses_none_above_its_share(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(60_000).selectExpr("CASE WHEN id % 5 = 0 THEN -1 WHEN id % 7 = 0 THEN 3 ELSE id END AS k")
+    assert sorted(GR.frequent_keys(rows, F.col("k"), 1 / 16)) == [-1, 3]
+    assert GR.frequent_keys(rows.limit(0), F.col("k"), 1 / 16) == []
+    assert GR.frequent_keys(spark.range(5000), F.col("id"), 1 / 16) == []
+
+
+def test_a_hub_is_dealt_to_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    edges = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN -5 ELSE id % 300 END AS src", "id AS dst")
+    sources = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    kept = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], "-1")
+        spark.conf.set(keys[1], "false")
+        joined = GR.join_by_source(edges, sources)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in zip(keys, kept, strict=True):
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in sizes) == 40_000 and max(r["count"] for r in sizes) < 15_000
+    assert joined.filter("n != if(src = -5, 20000, n)").isEmpty()
+
+
+def test_parallel_edges_are_one_run(spark):
+    from pyspark.sql import functions as F
+
+    many = 10_000_000
+    edges = spark.range(many).selectExpr("1L AS src", "2L AS dst").union(spark.createDataFrame([(1, 0), (1, 5), (2, 2)], "src long, dst long"))
+    runs = GR.adjacency_runs(edges, max_list=1000).cache()
+    longest = F.max(F.size("runs")).alias("longest")
+    filled = F.aggregate("runs", F.lit(0).cast("bigint"), lambda a, r: a + r["multiplicity"])
+    got = runs.filter("id = 1").agg(F.count(F.lit(1)), F.sum(filled), F.max(filled), F.min("part"), F.max("part"), longest).first()
+    assert tuple(got) == (10_001, many + 2, 1000, 0, 10_000, got.longest) and got.longest <= 3
+    lists = GR.adjacency(spark.range(4).select("id"), edges, max_list=1000)
+    sizes = lists.agg(F.sum(F.size("out_neighbors")), F.max(F.size("out_neighbors")), F.count(F.lit(1))).first()
+    assert tuple(sizes) == (many + 3, 1000, 10_001 + 3)
+
+
 def test_random_graph_rules(spark):
     nodes, edges = G.random_graph(spark, 50, 300, seed=7)
     e = [(r.src, r.dst) for r in edges.collect()]
@@ -173,3 +216,28 @@ def test_seed_membership_and_teleport(spark):
     t = {r.id: r.teleport for r in teleport(nodes, seeds).collect()}
     assert t == {0: 0.0, 1: 0.5, 2: 0.0, 3: 0.5}
     assert {r.teleport for r in teleport(nodes).collect()} == {0.25}
+
+
+@pytest.mark.parametrize("pieces, ordered", [(1 << 14, 1_000_000), (4, 3)])
+def test_smallest_is_exact_with_ties_and_skew(spark, monkeypatch, pieces, ordered):
+    monkeypatch.setattr(G, "_BUCKETS", pieces)
+    monkeypatch.setattr(G, "_ORDERED", ordered)
+    rows = [(i % 7 if i % 3 else 5, i) for i in range(300)] + [(10**15 + i, i) for i in range(50)] + [(0, -1)]
+    df = spark.createDataFrame(rows, "k long, t long")
+    for n in (0, 1, 50, 130, 200, 299, 301, 350, 351, 999):
+        got = sorted((r.k, r.t) for r in G.smallest(df, "k", n, 0, 1 << 60, tie=["t"]).collect())
+        assert got == sorted(rows)[:n], n
+
+
+def test_smallest_passes_three_times(spark, tmp_path):
+    """The sketch, one count and the result, whatever the number of rows asked for."""
+    df = spark.range(20_000).selectExpr("pmod(xxhash64(id), 1L << 60) as k")
+    for n in (10, 9_999, 19_000):
+        counts = []
+        original = type(df).groupBy
+        try:
+            type(df).groupBy = lambda self, *c, _o=original: (counts.append(c), _o(self, *c))[1]
+            assert G.smallest(df, "k", n, 0, 1 << 60).count() == n
+        finally:
+            type(df).groupBy = original
+        assert sum("b" in str(c) for c in counts) >= 1 and len(counts) <= 3

@@ -62,5 +62,22 @@ def test_adjacency_lists_are_dealt_out_by_part(spark):
         plan = "\n".join(main_tree_lines(adjacency(spark.range(100).select("id"), edges, max_list=10)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    by_part = [ln for ln in plan.splitlines() if "hashpartitioning(src" in ln and "part#" in ln]
+    by_part = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(" in ln and "part#" in ln]
     assert by_part, plan
+
+
+def test_edges_are_read_twice_for_weights(spark, tmp_path):
+    """Once by the sketch that finds hubs and once by the join: both its sides share one shuffle."""
+    from linkrank.operators.graph import weighted_edges
+
+    path = str(tmp_path / "edges")
+    spark.range(20_000).selectExpr("if(id % 2 = 0, -1, id % 50) as src", "id % 900 as dst").write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = weighted_edges(spark.read.parquet(path))
+        assert len(df.collect()) > 0
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = plan.split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("FileScan") == 1, plan

@@ -287,3 +287,39 @@ def test_checkpoint_interval_does_not_change_results(spark):
     for interval in (1, 50):
         res = pagerank(e, n, checkpoint_interval=interval)
         assert ranks_of(res) == base
+
+
+def test_numbers_per_graph_by_salted_join(spark, monkeypatch):
+    """Beyond the broadcast bound a graph of half of all nodes is dealt to many tasks, with equal results."""
+    from pyspark.sql import functions as F
+
+    from linkrank.operators import rank as R
+
+    edges = spark.range(1200).selectExpr("if(id < 600, 0, id % 40) AS g", "(id * 13) % 300 AS src", "(id * 7) % 290 AS dst")
+    want = {(r.g, r.id): r["rank"] for r in R.pagerank(edges, keys=["g"], max_iter=4).ranks.collect()}
+    monkeypatch.setattr(R, "MAX_BROADCAST_GRAPHS", 0)
+    seen = []
+    original = R._Loop._with_numbers
+
+    def watched(self, rows, numbers):
+        joined = original(self, rows, numbers)
+        if "dng" in rows.columns and not seen:
+            seen.append(joined.filter("g = 0").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect())
+        return joined
+
+    monkeypatch.setattr(R._Loop, "_with_numbers", watched)
+    got = {(r.g, r.id): r["rank"] for r in R.pagerank(edges, keys=["g"], max_iter=4).ranks.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    counts = [r["count"] for r in seen[0]]
+    assert len(counts) > 2 and max(counts) < 0.7 * sum(counts)
+
+
+def test_a_vector_with_one_id_twice_fails(spark):
+    from linkrank.operators.validate import rank_report
+
+    nodes = spark.range(4).select("id")
+    good = spark.createDataFrame([(i, 0.25) for i in range(4)], "id long, rank double")
+    bad = spark.createDataFrame([(0, 0.25), (1, 0.25), (2, 0.25), (2, 0.25)], "id long, rank double")
+    one, other = rank_report(good, nodes).first(), rank_report(bad, nodes).first()
+    assert one.all_checks_passed and one.ids_match
+    assert other.count_matches and not other.ids_match and not other.all_checks_passed

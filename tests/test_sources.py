@@ -1,3 +1,4 @@
+import contextlib
 import json
 import os
 
@@ -5,6 +6,7 @@ import pytest
 
 from linkrank.operators.rank import pagerank
 from linkrank.sources.edge_list import parse_edge_lines, read_edge_list
+from linkrank.sources import graph_json as GJ
 from linkrank.sources.graph_json import parse_graph_json, read_graph_json, write_graph_json
 from linkrank.sources.seeds import read_seeds, resolve_seeds, seeds_from_string
 from linkrank.sources.writers import rank_summary, write_rank_result
@@ -14,6 +16,20 @@ def lines_df(spark, lines):
     return spark.createDataFrame([(x,) for x in lines], "value string")
 
 
+@contextlib.contextmanager
+def split_of(spark, size):
+    """Scans in splits of at most ``size`` bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    kept = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_edge_lines_accepted_and_skipped(spark):
     lines = ["# comment", "  # comment", "", "   ", "  1 2 ", "3\t4", "+5 -6"]
     edges, rejects = parse_edge_lines(lines_df(spark, lines))
@@ -160,3 +176,62 @@ def test_experiment_report_round_trip(spark, tmp_dir):
     s = spark.read.json(os.path.join(out, "summary")).collect()[0]
     assert s.num_graphs == 2
     assert abs(s.average_overlap - sum(r.overlap_score for r in back) / 2) < 1e-12
+
+
+def test_a_document_of_several_splits_round_trips(spark, tmp_path):
+    import json
+    import os
+
+    nodes = spark.range(400).select("id")
+    edges = spark.range(3000).selectExpr("id % 350 AS src", "(id * 7) % 400 AS dst")
+    path = str(tmp_path / "graph.json")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would write so few rows in one part
+    try:
+        GJ.write_graph_document(nodes, edges, path, max_list=5)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    text = "".join(open(os.path.join(path, f)).read() for f in files)
+    assert len(files) > 1 and {n["id"] for n in json.loads(text)["nodes"]} == set(range(400))
+    with split_of(spark, 2000):
+        back, again = GJ.read_graph_document(spark, path)
+        assert spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions() > len(files)
+        assert sorted(r.id for r in back.collect()) == list(range(400))
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, edges.collect()))
+    empty = str(tmp_path / "empty.json")
+    GJ.write_graph_document(nodes.limit(0), edges.limit(0), empty)
+    assert [d.count() for d in GJ.read_graph_document(spark, empty)] == [0, 0]
+
+
+@pytest.mark.parametrize("size", [40, 300, 100_000])
+@pytest.mark.parametrize("indent", [None, 1])
+def test_quotes_and_depth_are_carried_over_splits(spark, tmp_path, size, indent):
+    import json
+    import random
+
+    rng = random.Random(size)
+    odd = [*'{}{}{}[]":,', "\\", "\n", "ü", "x", '"}', "\\}"]
+
+    def node(i):
+        out = {"id": i, "outNeighbors": [rng.randrange(50) for _ in range(rng.randrange(4))]}
+        if rng.random() < 0.5:
+            out["label"] = "".join(rng.choices(odd, k=rng.randrange(12)))
+        if rng.random() < 0.3:
+            out = {"meta": {"a}": {"b": "".join(rng.choices(odd, k=5))}, "c": {}}, **out}
+        return out
+
+    document = {"nodes": [node(i) for i in range(80)], "tail": "}{"}
+    path = tmp_path / "doc.json"
+    path.write_text(json.dumps(document, indent=indent, ensure_ascii=False) + "\n")
+    with split_of(spark, size):
+        nodes, edges = GJ.read_graph_document(spark, str(path))
+        assert sorted(r.id for r in nodes.collect()) == list(range(80))
+        want = sorted((n["id"], d) for n in document["nodes"] for d in n["outNeighbors"])
+        assert sorted(map(tuple, edges.collect())) == want
+
+
+def test_what_is_no_node_is_an_error(spark, tmp_path):
+    path = tmp_path / "bad.json"
+    path.write_text('{"nodes": [{"id": 1, "outNeighbors": [2]}, {"name": "x"}]}')
+    with pytest.raises(ValueError):
+        GJ.read_graph_document(spark, str(path))
