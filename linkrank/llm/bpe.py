@@ -279,7 +279,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 w = at[part]
                 n = count[w].astype("i8")
                 spread = np.repeat(start[w] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
-                out.append((chunks[part[0]], hashes[w].tobytes(), count[w].tobytes(), flat[spread].tobytes()))
+                packed = [zstandard.compress(x[i].tobytes(), 3) for x, i in ((count, w), (flat, spread))]
+                out.append((chunks[part[0]], hashes[w].tobytes(), *packed))
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), IDS, strict=True)], schema=IDS)
 
     def pack_texts(batches):
@@ -298,8 +299,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             return " ".join(map(str, ids)).encode(), " ".join([piece[i] for i in ids]).encode()
 
         known = np.frombuffer(b"".join(table["hash"]), "u8")
-        count = np.frombuffer(b"".join(table["count"]), "u4").astype("i8")
-        flat = np.frombuffer(b"".join(table["ids"]), "u4").tolist()
+        count, flat = (np.frombuffer(b"".join(map(zstandard.decompress, table[c])), "u4") for c in ("count", "ids"))
+        count, flat = count.astype("i8"), flat.tolist()
         order = np.argsort(known, kind="stable")
         known, end = known[order], np.cumsum(count)
         numbers, pieces = [], []
