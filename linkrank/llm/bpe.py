@@ -44,7 +44,7 @@ from linkrank.llm.common import bounded_batches, once_per_worker, width
 from linkrank.llm.hashing import Powers, prefix_hash, range_hash, text_blocks
 
 SPACE, LETTER, NUMBER, OTHER, SLOW = range(5)
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 16 << 20
 PLANES = 0x30000  # code points beyond are left to the tokenizer
 SHORT, LONG = [ord(c) for c in "stmd"], [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
 
@@ -287,7 +287,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for chunk, ids, data, offsets in chunk_blocks(batches):
             yield pa.record_batch(
                 [pa.array([chunk], pa.int64()), pa.array([json.dumps(ids.to_pylist()).encode()]),
-                 pa.array([offsets.tobytes()]), pa.array([zstandard.compress(data.tobytes(), 3)])], schema=TEXTS
+                 pa.array([offsets.tobytes()]), pa.array([zstandard.compress(data.tobytes(), 6)])], schema=TEXTS
             )
 
     def place(table: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
