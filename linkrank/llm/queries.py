@@ -137,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _HOST = "translate(regexp_extract({u}, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract({u}, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
+_QUERY = "regexp_extract({u}, '^(?s:.*?)://[^/?#]*[^?#]*([^#]*)', 1)"
 _NODE = f"nullif({_HOST}, '') || {_PATH} || regexp_extract({{u}}, '^(?s:.*?)://[^/?#]*[^?#]*([^#]*)', 1)"
 
 
@@ -155,11 +156,21 @@ hrefs as (select url, case
     when regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?canonical\\b') then regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)
     when regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b') then regexp_extract(tag, '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)
     end as t from tags),
-links as (select url, case when contains(t, '://') then t when t like '//%' then 'x:' || t
-    when t like '/%' then 'x://' || {_HOST.format(u="url")} || t end as target from hrefs where t <> ''),
+refs as (select url, t, regexp_extract(t, '^[^?#]*') as p, {_HOST.format(u="url")} as h, {_PATH.format(u="url")} as up,
+    {_QUERY.format(u="url")} as uq from hrefs where t <> ''),
+wholes as (select *, substr(t, length(p) + 1) as rest, string_split(substr(case when p like '/%' then p
+    else '/' || regexp_extract(up, '(?s)^/(.*/)?', 1) || p end, 2), '/') as s from refs),
+dotted as (select *, list_reduce(list_prepend([]::varchar[], list_transform(
+    case when s[-1] in ('.', '..') then list_append(s, '') else s end, lambda x: [x])),
+    lambda u, x: case when x[1] = '..' then u[1:len(u) - 1] when x[1] = '.' then u else list_concat(u, x) end) as kept from wholes),
+links as (select url, case when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') then t
+    when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') then null when t like '//%' then 'x:' || t
+    when p <> '' then 'x://' || h || '/' || coalesce(array_to_string(kept, '/'), '') || rest
+    when t like '?%' then 'x://' || h || up || rest
+    else 'x://' || h || up || uq || rest end as target from dotted),
 edges as (select {_NODE.format(u="url")} as a, {_NODE.format(u="target")} as b from links where target is not null),
 known as (select {_NODE.format(u="u")} as node, {_HOST.format(u="u")} as host, {_PATH.format(u="u")} as path
-  from (select url as u from pages union all select target from links)),
+  from (select url as u from pages union all select target from links where target is not null)),
 blocked(node) as (
   select node from known where node is not null and {kind} = 'block'
   union select case when e.a = r.node then e.b else e.a end from blocked r join edges e on r.node in (e.a, e.b)

@@ -256,3 +256,30 @@ def test_url_query_matches_its_sql(spark):
     got = QUERIES["op8_url_filter"](spark, SF).select(rel.columns)
     assert sorted(repr(r.asDict()) for r in got.collect()) == want
     assert F is not None
+
+
+def test_url_sql_states_the_rules_of_links(spark, tmp_path):
+    """Relative, query-only, absolute and dotted targets through the registered query and its SQL."""
+    import duckdb
+
+    from linkrank.llm.queries import ORACLE_SQL, op8_url_filter
+
+    link, hop = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; URL={}">'
+    targets = [
+        "../bad", "./bad", "bad", "/bad/x", "?q=1", "?q=1#f", "#f", "//a.net/x", "http://a.net/x", "mailto:x@a.net", "../../../..", "a/./b/../c",
+        "a/b/..", ".", "..", "http://example.com/de/1", "https://b.org/fr/1", "x//y", "?", "/../bad/x",
+    ]
+    bases = ["http://h.io/p/q/page?z=1", "http://h.io", "http://H.io/p/", "no scheme", "http://a.net/p/q/r", "http://example.com/fr/x"]
+    rows = [(i, b, (link if i % 2 else hop).format(t)) for i, (b, t) in enumerate((b, t) for b in bases for t in targets)]
+    more = ["http://h.io/p/bad", "http://h.io/bad/x", "http://h.io/p/q/page?q=1", "http://a.net/x", "http://h.io/p/", "http://h.io/", "http://h.io/p/q/bad"]
+    rows += [(1000 + i, u, None) for i, u in enumerate(more)] + [(2000, None, link.format("http://a.net/x"))]
+    rows += [(3000, "http://h.io/p/bad", hop.format("http://z.net/1")), (3001, "http://c.org/de/1", link.format("../../de/2?x"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(map(tuple, op8_url_filter(spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted(con.sql(f"select page_id, host, path, rule, verdict from ({ORACLE_SQL['op8_url_filter']})").fetchall())
+    assert got == want
+    spread = [v for i, _, _, r, v in got if r is None]
+    assert spread.count("block") > 5 and spread.count("allow") > 5
