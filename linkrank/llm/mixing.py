@@ -1,10 +1,12 @@
 """Mixing sources to target weights by entropy balancing (DataFrame functions only).
 
-Of all rates ``r`` with ``sum(size * r) = target`` per source, the one nearest to
-"every document once" (least relative entropy over words) is an exponential tilt,
-``r = min(cap, exp(lambda * z))``: one multiplier per source, found by Newton steps on
-the convex dual. Gradient and curvature are grouped sums over a table that counts
-the documents of each source and size.
+Of all rates ``r`` with ``sum(size * r) = target`` per source and none above ``cap``, the ones
+nearest to "every document once" (least relative entropy, counted per document) are an exponential
+tilt, ``r = min(cap, exp(lambda * size))``: one multiplier per source, found by Newton steps on the
+convex dual. Gradient and curvature are grouped sums over a table that counts the documents of
+each source and size. A source that wants more words is taken more of in its long documents, one
+that wants fewer keeps its short ones. Where the entropy counts words instead (``tilt=0``), all
+documents of a source have one rate.
 
 The rates become whole copies by systematic rounding: within a source, documents are
 laid out by size and the running sum of rates is rounded, so the words taken differ
@@ -66,20 +68,23 @@ def source_targets(
 
 
 def tilted_rates(
-    counts: DataFrame, targets: DataFrame, cap: float = 2.0, tilt: float = 0.0,
+    counts: DataFrame, targets: DataFrame, cap: float = 2.0, tilt: float = 1.0,
     tolerance: float = 1e-9, max_iter: int = 60,
 ) -> DataFrame:
     """``(key, lambda, mean_size)`` with ``sum(n * size * min(cap, exp(lambda * z))) = target``.
 
-    ``counts(key, size, n)``. ``z = (size / mean size) ** tilt``: with 0 every word of
-    a source has the same rate, a positive tilt moves long documents more.
+    ``counts(key, size, n)``. ``z = (size / mean size) ** tilt``, the dual of an entropy in which a
+    document weighs ``size ** (1 - tilt)``: 1 counts documents, 0 words. The bracket ends where
+    the shortest document reaches the cap, and where it keeps ``exp(-60)`` of its words.
     """
-    mean = counts.groupBy("key").agg(
-        (F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean_size")
+    per = counts.groupBy("key").agg(
+        (F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean_size"),
+        F.min(F.when(F.col("size") > 0, F.col("size"))).alias("shortest"),
     )
-    start = targets.join(mean, "key").select(
+    least = F.coalesce(F.pow(F.col("shortest") / F.col("mean_size"), F.lit(float(tilt))), F.lit(1.0))
+    start = targets.join(per, "key").select(
         "key", "target", "source_size", "mean_size", F.lit(0.0).alias("lambda"),
-        F.lit(-60.0).alias("low"), F.lit(math.log(cap) if tilt == 0 else 60.0).alias("high"),
+        (F.lit(-60.0) / least).alias("low"), (F.lit(math.log(cap)) / least).alias("high"),
     )
     state = cut(start)
     for _ in range(max_iter):
@@ -95,9 +100,10 @@ def tilted_rates(
         high = F.when(over, F.col("lambda")).otherwise(F.col("high"))
         newton = F.col("lambda") + (F.col("target") - F.col("reached")) / F.col("slope")
         # A Newton step beyond the bracket goes to its untried upper end, or becomes a bisection.
-        above = (F.col("slope") > 0) & (newton >= high) & (F.col("lambda") < high) & (high < 60)
+        above = (F.col("slope") > 0) & (newton >= high) & (F.col("lambda") < high)
         inside = (F.col("slope") > 0) & (newton > low) & (newton < high)
         off = F.when(F.col("target") > 0, F.abs(F.col("reached") / F.col("target") - 1)).otherwise(0.0)
+        off = F.when(_full(cap), 0.0).otherwise(off)
         done = off <= tolerance
         state = cut(
             state.join(sums, "key").select(
@@ -120,15 +126,21 @@ def size_tilt(tilt: float) -> Column:
     return F.pow(F.col("size") / F.greatest(F.col("mean_size"), F.lit(1e-9)), F.lit(tilt))
 
 
+def _full(cap: float) -> Column:
+    """Whether a source's target is all that the cap allows, so that every document is taken ``cap`` times."""
+    return F.col("target") >= F.col("source_size") * F.lit(cap * (1 - 1e-12))
+
+
 def tilted_rate(cap: float, tilt: float) -> Column:
     """The rate of a document; a source whose target is 0 has rate 0."""
     r = F.exp(F.col("lambda") * size_tilt(tilt))
-    return F.when(F.col("target") <= 0, 0.0).otherwise(F.least(F.lit(cap), r))
+    capped = F.when(_full(cap), F.lit(float(cap))).otherwise(F.least(F.lit(float(cap)), r))
+    return F.when(F.col("target") <= 0, 0.0).otherwise(capped)
 
 
 def mix(
     docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5,
-    cap: float = 2.0, tilt: float = 0.0, slice_rows: int = 256,
+    cap: float = 2.0, tilt: float = 1.0, slice_rows: int = 256,
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, rate, copies, taken)``, a row per document."""
     sized = cut(docs.select("doc_id", "source", null_safe_key("source").alias("key"), text_size().alias("size")))

@@ -48,7 +48,7 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkrank.llm.mixing import mix
 
-    return mix(table(spark, sf_dir, "documents"), weights=(3.0, 1.0, 2.0), share=1.5, cap=2.0)
+    return mix(table(spark, sf_dir, "documents"), weights=(3.0, 1.0, 2.0), share=1.5, cap=2.0, tilt=1.0)
 
 
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import os
 import random
 
@@ -67,12 +68,47 @@ def test_mix(spark, make_docs):
     assert mix(make_docs([])).count() == 0 and apply_mix(make_docs([])).count() == 0
 
 
-def test_mix_with_a_tilt_and_without_python(spark, make_docs):
-    rng = random.Random(2)
+def test_rates_solve_the_dual(spark, make_docs):
+    """Rates against bisection: a capped source, one that shrinks, one that grows, very long documents."""
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randrange(0, 80)), "aaaabccc"[i % 8]) for i in range(240)]
+    rows += [(900, prose(rng, 6000), "a"), (901, prose(rng, 6000), "b"), (902, None, "c"), (903, "", "d")]
+    rates = {}
+    for r in mix(make_docs(rows)).collect():
+        rates.setdefault(r.source, []).append((r.size, r.rate, r.target, r.source_size))
+    kinds = set()
+    for found in rates.values():
+        target, total = found[0][2], found[0][3]
+        sizes = [s for s, *_ in found]
+        if not total:
+            assert all(rate == 0 for _, rate, *_ in found)
+            continue
+        if target >= 2 * total * (1 - 1e-9):
+            kinds.add("full")
+            assert all(rate == 2 for _, rate, *_ in found)
+            continue
+        kinds.add("more" if target > total else "fewer")
+        low, high = -100.0, 100.0
+        for _ in range(300):
+            at = (low + high) / 2
+            got = sum(s * min(2.0, math.exp(min(50.0, at * s))) for s in sizes)
+            low, high = (at, high) if got < target else (low, at)
+        for s, rate, *_ in found:
+            assert rate == pytest.approx(min(2.0, math.exp(min(50.0, at * s))), rel=1e-5, abs=1e-9)
+    assert kinds == {"full", "fewer", "more"}
+
+
+def test_mix_with_a_tilt_and_without_python(spark, make_docs, monkeypatch):
+    from linkrank.llm import mixing
+
+    rng, plans, cut = random.Random(2), [], mixing.cut
+    monkeypatch.setattr(mixing, "cut", lambda df: (plans.append(df), cut(df))[1])
     docs = make_docs([(i, prose(rng, 5 + i % 70), "ab"[i % 3 == 0]) for i in range(300)])
     out = mix(docs, tilt=0.5)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    assert len(plans) > 5
+    for df in [*plans, out]:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     taken, target = collections.Counter(), {}
     for r in out.collect():
         taken[r.source] += r.taken
