@@ -16,9 +16,11 @@ each).
 
 Physical layout (one shuffle of contributions per iteration):
 
-* ``prop``, written once: one row per distinct edge ``(id=src, dst, w)`` plus one
+* ``prop``, written once as Parquet: one row per distinct edge ``(id=src, dst, w)`` plus one
   "node row" per node ``(id, dst=id, w=0)`` carrying the node's static attributes
-  (teleport, dangling flag). A Parquet table bucketed by ``(keys, id)``.
+  (teleport, dangling flag). The loop holds it cached (memory, then disk) and hashed by
+  ``(keys, id)``; what an executor loses is dealt out again from the files. No table is
+  entered in a catalog.
 * the rank table ``(keys, id, rank)`` comes out of the previous iteration's
   aggregation, hash-partitioned by the same key and width, so the join with
   ``prop`` is partition-local. The aggregation by ``dst`` (partial, then final)
@@ -35,10 +37,17 @@ Physical layout (one shuffle of contributions per iteration):
   than there are partitions) are hubs: their edges sit in a table of their own,
   spread over all partitions, and receive the hub ranks through a broadcast of
   less than ``num_partitions`` rows.
+* sums over edges and nodes are fixed-point (:func:`exact_sum`), so ranks, log and number of
+  iterations are the same bit by bit whatever the width and the order of arrival.
+
+With ``run_dir`` a run leaves what it needs to go on: its inputs, and at every checkpoint
+the vectors and a manifest. The same call after the loss of the driver goes on from the last
+manifest.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import time
 import uuid
@@ -55,6 +64,8 @@ from linkrank.session import (
     delete_path,
     ensure_checkpoint_dir,
     loop_settings,
+    names_in,
+    put_text,
 )
 
 # Defaults of the algorithm.
@@ -69,6 +80,20 @@ SINGLE = "_graph"
 SALT, SALTS = "_salt", "_salts"
 STANDARD = "standard"
 PERSONALIZED = "personalized"
+# Bits after the point of a fixed-point sum, and further bits for what is left of each term.
+HIGH_BITS, LOW_BITS = 60, 24
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that is the same in any order: whole numbers are added, in two parts.
+
+    Totals stay below 8 and terms below 2**39 (sums of ranks are at most 2); beyond that the sum
+    is an overflow error in ANSI mode. Each term is exact to 2**-84.
+    """
+    scaled = value * F.lit(2.0**HIGH_BITS)
+    high = scaled.cast("bigint")
+    low = ((scaled - high) * F.lit(2.0**LOW_BITS)).cast("bigint")
+    return F.sum(high) * F.lit(2.0**-HIGH_BITS) + F.sum(low) * F.lit(2.0 ** -(HIGH_BITS + LOW_BITS))
 
 
 @dataclass
@@ -113,6 +138,7 @@ def pagerank(
     num_partitions: int | None = None,
     hub_threshold: int = 0,
     validate: bool = True,
+    run_dir: str | None = None,
 ) -> RankResult:
     """Rank every node of one graph, or of many graphs keyed by ``keys``.
 
@@ -128,10 +154,16 @@ def pagerank(
     width: the edge table is bucketed and the rank table hashed into that many
     partitions. ``hub_threshold`` raises the out-fanout above which a source is a
     hub; it never falls below distinct edges / width, which bounds the hubs.
+
+    ``run_dir`` names a folder, in a store that all machines share, for one run that can be
+    resumed: if an earlier call with the same arguments left it unfinished, this one goes on
+    from its last checkpoint and does not read ``edges``, ``nodes`` and ``seeds`` again (the folder
+    stands for them); if it ended, its result is returned. Other arguments are an error. The
+    folder stays until ``release()``.
     """
     return _rank(
         edges, nodes, seeds, keys, {None: seeds is not None}, damping, max_iter, epsilon,
-        checkpoint_interval, num_partitions, hub_threshold, validate,
+        checkpoint_interval, num_partitions, hub_threshold, validate, run_dir,
     )
 
 
@@ -147,16 +179,17 @@ def pagerank_both(
     num_partitions: int | None = None,
     hub_threshold: int = 0,
     validate: bool = True,
+    run_dir: str | None = None,
 ) -> RankResult:
     """Standard and personalized ranks over one edge table; results have a key column ``mode``."""
     return _rank(
         edges, nodes, seeds, keys, {STANDARD: False, PERSONALIZED: True}, damping, max_iter, epsilon,
-        checkpoint_interval, num_partitions, hub_threshold, validate,
+        checkpoint_interval, num_partitions, hub_threshold, validate, run_dir,
     )
 
 
 def _rank(
-    edges, nodes, seeds, keys, vectors, damping, max_iter, epsilon, interval, num_partitions, hub_threshold, validate
+    edges, nodes, seeds, keys, vectors, damping, max_iter, epsilon, interval, num_partitions, hub_threshold, validate, run_dir
 ) -> RankResult:
     if not 0.0 <= damping <= 1.0:
         raise ValueError(f"damping must be in [0, 1], got {damping}")
@@ -171,22 +204,28 @@ def _rank(
     width = num_partitions or default_partitions(spark)
     loop = _Loop(
         edges, nodes, seeds, list(keys), vectors, float(damping), int(max_iter), float(epsilon), int(interval),
-        width, int(hub_threshold or 0), validate,
+        width, int(hub_threshold or 0), validate, run_dir,
     )
+    ended = False
     try:
-        # Adaptive execution stays on while the input is derived.
-        loop.setup()
+        at = loop.found()
+        if at is None:
+            # Adaptive execution stays on while the input is derived.
+            loop.setup()
         with loop_settings(spark, width):
-            return loop.run()
+            result = loop.run(at)
+        ended = True
+        return result
     except BaseException:
-        loop.result.release()
+        if run_dir is None:
+            loop.result.release()
         raise
     finally:
-        loop.clean_up()
+        loop.clean_up(keep=not ended and run_dir is not None)
 
 
 class _Loop:
-    def __init__(self, edges, nodes, seeds, keys, vectors, d, max_iter, eps, interval, width, hub_threshold, validate):
+    def __init__(self, edges, nodes, seeds, keys, vectors, d, max_iter, eps, interval, width, hub_threshold, validate, run_dir=None):
         self.spark = edges.sparkSession
         self.given, self.k = keys, keys or [SINGLE]
         self.names, self.personalized = list(vectors), list(vectors.values())
@@ -197,8 +236,11 @@ class _Loop:
         self.edges = self._keyed(edges, "src", "dst")
         self.nodes = None if nodes is None else self._keyed(nodes, "id")
         self.seeds = None if seeds is None else self._keyed(seeds, "id").distinct()
-        self.scratch, self.result = Scratch(self.spark), Scratch(self.spark)
-        self.tables: list[tuple[str, str]] = []
+        self.run_dir = run_dir and f"{run_dir.rstrip('/')}/linkrank-run"
+        self.scratch, self.result = Scratch(self.spark), Scratch(self.spark, self.run_dir)
+        # What the loop reads; it outlives a run that stops, if that can be resumed.
+        self.inputs = Scratch(self.spark, self.run_dir and f"{self.run_dir}/loop")
+        self.saved: list[str] = []
         self.checkpoints: list[DataFrame] = []
         self.cached: list[DataFrame] = []
         self.rows: list[dict] = []  # the log of a single graph, a row per iteration
@@ -243,7 +285,9 @@ class _Loop:
         roles = self._roles(pairs)
         if self.given:
             info = self.scratch.store(roles)
-            self.graphs = self.result.store(info.groupBy(*k).agg(*self._counts()))
+            per_graph = info.groupBy(*k).agg(*self._counts())
+            per_graph.write.parquet(self.result.path("graphs"))
+            self.graphs = self.spark.read.schema(per_graph.schema).parquet(self.result.path("graphs"))
             sums = [F.sum(c).alias(c) for c in self.graphs.columns if c not in (*k, "max_fanout")]
             total = self.graphs.agg(
                 F.count(F.lit(1)).alias("graphs"), F.min("n").alias("least"), F.max("max_fanout").alias("max_fanout"),
@@ -255,7 +299,8 @@ class _Loop:
             seen = Observation(f"linkrank_{uuid.uuid4().hex}")
             info = self.scratch.store(roles.observe(seen, *self._counts()))
             total = {c: v or 0 for c, v in seen.get.items()}
-            self.graphs = self.spark.createDataFrame([Row(**{SINGLE: 0}, **total)])
+            self.single = {SINGLE: 0} | total
+            self.graphs = self.spark.createDataFrame([Row(**self.single)])
             lost = total["wanted"] > 0 and total["n_seeds"] == 0
             total |= {"graphs": 1, "least": total["n"], "nodes": total["n"], "lost": int(lost)}
         is_node = F.col("copies") > 0
@@ -344,7 +389,7 @@ class _Loop:
             # More distinct edges each than a mean partition holds: fewer hubs than partitions.
             hubs = F.broadcast(info.filter(hub).select(*k, "id", "outdeg"))
             of_hubs = regular.join(hubs, [*k, "id"]).select(*k, "id", "dst", weight)
-            self.prop_hub = self._write(of_hubs.repartition(self.width), "hub", bucketed=False)
+            self.prop_hub = self._write(of_hubs.repartition(self.width), "hub")
             regular = regular.join(hubs.select(*k, "id"), [*k, "id"], "left_anti")
         edge_rows = regular.join(info.filter(~hub).select(*k, "id", "outdeg"), [*k, "id"]).select(
             *k, "id", "dst", weight
@@ -359,37 +404,89 @@ class _Loop:
         )
         prop = node_rows.unionByName(edge_rows, allowMissingColumns=True)
         prop = prop.withColumn("node_row", F.col("r0").isNotNull())
-        self.prop = self._write(prop.repartition(self.width, *k, "id"), "prop", bucketed=True)
+        self._hold(self._write(prop, "prop"))
         self.scratch.release()
 
-    def _write(self, df: DataFrame, role: str, bucketed: bool) -> DataFrame:
-        """Write a loop input once and read it back.
+    def _write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a loop input once and read it back: it then depends on the given tables no more."""
+        path = self.inputs.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-        The read-back table is a short plan (each iteration re-analyzes it), does not
-        depend on the inputs any more, and survives executor loss. ``bucketed``
-        keeps the hash layout by ``(keys, id)``, so the join with the rank table
-        needs no exchange.
-        """
-        name = f"linkrank_{role}_{uuid.uuid4().hex[:16]}"
-        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}"
-        writer = df.write.format("parquet").option("path", path)
-        if bucketed:
-            writer = writer.bucketBy(self.width, *self.k, "id")
-        self.tables.append((name, path))
-        writer.saveAsTable(name)
-        return self.spark.table(name)
-
-    def clean_up(self) -> None:
-        """Free caches, and delete the loop's tables and checkpoints with their files."""
+    def _hold(self, rows: DataFrame) -> None:
+        """Keep the loop's rows cached and hashed by ``(keys, id)``, so the join with the rank table needs no exchange."""
+        with loop_settings(self.spark, self.width):
+            self.prop = rows.repartition(self.width, *self.k, "id").persist()
+        self.cached.append(self.prop)
+
+    def clean_up(self, keep: bool = False) -> None:
+        """Free caches, and delete the loop's tables and checkpoints; ``keep`` what a later call resumes from."""
         for df in self.cached:
             df.unpersist()
         for df in self.checkpoints:
             delete_checkpoint(df)
-        for name, path in self.tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            delete_path(self.spark, path)
         self.scratch.release()
-        self.cached, self.checkpoints, self.tables = [], [], []
+        if not keep:
+            self.inputs.release()
+        self.cached, self.checkpoints = [], []
+
+    # --------------------------------------------------------------- restart
+    def _arguments(self) -> dict:
+        return {
+            "keys": self.given, "vectors": self.names, "personalized": self.personalized, "damping": self.d,
+            "max_iter": self.max_iter, "epsilon": self.eps, "width": self.width, "hub_threshold": self.hub_threshold,
+        }
+
+    def _note(self, iteration: int, running: int, seconds: list, ended: bool = False) -> None:
+        """Write the manifest of an iteration, then delete what only earlier ones need."""
+        if not self.run_dir:
+            return
+        facts = {
+            "arguments": self._arguments(), "iteration": iteration, "running": running, "seconds": seconds,
+            "ended": ended, "rows": self.rows, "saved": self.saved, "n_graphs": self.n_graphs, "share": self.share,
+            "unknown_seeds": self.unknown_seeds, "has_hubs": self.has_hubs, "single": None if self.given else self.single,
+        }
+        put_text(self.spark, f"{self.run_dir}/manifest/{iteration}.{int(ended)}", json.dumps(facts))
+        for name in names_in(self.spark, f"{self.run_dir}/manifest"):
+            if name != f"{iteration}.{int(ended)}":
+                delete_path(self.spark, f"{self.run_dir}/manifest/{name}")
+        for name in names_in(self.spark, self.inputs.path("state")):
+            if name != str(iteration):
+                delete_path(self.spark, self.inputs.path(f"state/{name}"))
+
+    def found(self) -> dict | None:
+        """The last manifest of the run folder; without one the folder's leftovers are deleted."""
+        if not self.run_dir:
+            return None
+        names = names_in(self.spark, f"{self.run_dir}/manifest")
+        places = [tuple(map(int, n.split("."))) for n in names if not n.endswith(".unfinished")]
+        if not places:
+            self.result.release()
+            return None
+        last = ".".join(map(str, max(places)))
+        at = json.loads(self.spark.read.text(f"{self.run_dir}/manifest/{last}", wholetext=True).first()[0])
+        if at["arguments"] != self._arguments():
+            raise ValueError(f"{self.run_dir} is a run with other arguments: {at['arguments']}")
+        self.rows, self.saved, self.n_graphs, self.share = at["rows"], at["saved"], at["n_graphs"], at["share"]
+        self.unknown_seeds, self.has_hubs, self.single = at["unknown_seeds"], at["has_hubs"], at["single"]
+        read = self.spark.read
+        self.graphs = read.parquet(self.result.path("graphs")) if self.given else self.spark.createDataFrame([Row(**self.single)])
+        if not at["ended"]:
+            if self.has_hubs:
+                self.prop_hub = read.parquet(self.inputs.path("hub"))
+            self._hold(read.parquet(self.inputs.path("prop")))
+        return at
+
+    def _log_path(self, iteration: int) -> str:
+        return self.result.path(f"log/{iteration}")
+
+    def _going_on(self, log: DataFrame | dict) -> DataFrame | dict:
+        """The numbers of the next update, from the log of the last one."""
+        if not self.given:
+            return log
+        return log.filter(~self._all("done")).select(
+            *self.k, *[f"mass{i}" for i in self.m], *[f"done{i}" for i in self.m]
+        )
 
     # ------------------------------------------------------------------ loop
     def _all(self, name: str) -> Column:
@@ -429,7 +526,7 @@ class _Loop:
                 allowMissingColumns=True,
             )
         sums = joined.groupBy(*k, "dst").agg(
-            *[F.sum(f"c{i}").alias(f"in{i}") for i in m], *[F.max(f"own{i}").alias(f"prev{i}") for i in m],
+            *[exact_sum(F.col(f"c{i}")).alias(f"in{i}") for i in m], *[F.max(f"own{i}").alias(f"prev{i}") for i in m],
             *[F.max(f"t{i}").alias(f"t{i}") for i in m], F.max("dangling").alias("dng"), F.max("hub").alias("hb"),
         )
         # Without validation, contributions to ids that are not nodes are lost.
@@ -449,8 +546,10 @@ class _Loop:
         )
 
     def _sums(self) -> list[Column]:
-        change = [F.sum(F.abs(F.col(f"rank{i}") - F.col(f"prev{i}"))).alias(f"diff{i}") for i in self.m]
-        held = [F.coalesce(F.sum(F.when(F.col("dng"), F.col(f"rank{i}"))), F.lit(0.0)).alias(f"mass{i}") for i in self.m]
+        change = [exact_sum(F.abs(F.col(f"rank{i}") - F.col(f"prev{i}"))).alias(f"diff{i}") for i in self.m]
+        held = [
+            F.coalesce(exact_sum(F.when(F.col("dng"), F.col(f"rank{i}"))), F.lit(0.0)).alias(f"mass{i}") for i in self.m
+        ]
         return change + held
 
     def _move(self, state: DataFrame, numbers: DataFrame | dict, iteration: int):
@@ -482,17 +581,29 @@ class _Loop:
         rows = rows.observe(seen, F.count_if(~self._all("done")).alias("running"), F.count(F.lit(1)).alias("all"))
         if self.n_graphs <= MAX_BROADCAST_GRAPHS:
             rows = rows.coalesce(1)
-        path = self.result.path(f"log/{iteration}")
-        rows.write.parquet(path)
+        path = self._log_path(iteration)
+        rows.write.mode("overwrite").parquet(path)
         counts = seen.get
         log = self.spark.read.schema(rows.schema).parquet(path)
         return new, log, counts["running"], counts["all"] - counts["running"]
 
-    def run(self) -> RankResult:
-        state, numbers = self.start()
+    def run(self, at: dict | None = None) -> RankResult:
+        """All updates, or those after the manifest ``at``."""
         held: DataFrame | None = None
         running, iteration, seconds = self.n_graphs, 0, []
-        for iteration in range(1, self.max_iter + 1):
+        if at:
+            running, iteration, seconds = at["running"], at["iteration"], [tuple(x) for x in at["seconds"]]
+            if at["ended"]:
+                return self._outcome(iteration, running == 0, seconds)
+        if iteration:
+            state = self.spark.read.parquet(self.inputs.path(f"state/{iteration}"))
+            log = self.spark.read.parquet(self._log_path(iteration)) if self.given else self.rows[-1]
+            numbers = self._going_on(log)
+        else:
+            state, numbers = self.start()
+            if at is None:
+                self._note(0, running, seconds)
+        for iteration in range(iteration + 1, self.max_iter + 1):
             began = time.time()
             new, log, running, ended = self._move(state, numbers, iteration)
             seconds.append((iteration, time.time() - began))
@@ -505,12 +616,8 @@ class _Loop:
             if ended:
                 # They leave the loop: the next update joins running graphs only.
                 over = log.filter(self._all("done")).select(*self.k)
-                self._save(self._with_numbers(new, over))
-            numbers = log
-            if self.given:
-                numbers = log.filter(~self._all("done")).select(
-                    *self.k, *[f"mass{i}" for i in self.m], *[f"done{i}" for i in self.m]
-                )
+                self._save(self._with_numbers(new, over), str(iteration))
+            numbers = self._going_on(log)
             if iteration % self.interval == 0:
                 state = new.select(*self.k, "id", *[f"rank{i}" for i in self.m], "hb").checkpoint()
                 new.unpersist()
@@ -519,8 +626,12 @@ class _Loop:
                 for old in self.checkpoints:
                     delete_checkpoint(old)
                 self.checkpoints = [state]
+                if self.run_dir:
+                    state.write.mode("overwrite").parquet(self.inputs.path(f"state/{iteration}"))
+                    self._note(iteration, running, seconds)
         self._lap("iterations")
-        self._save(state)
+        self._save(state, "last")
+        self._note(iteration, running, seconds, ended=True)
         self._lap("result")
         return self._outcome(iteration, running == 0, seconds)
 
@@ -535,14 +646,16 @@ class _Loop:
         names = ["mode", *per_vector]
         return df.select(*self.given, *shared, F.inline(F.array(*rows))).select(*self.given, "mode", *shared, *names[1:])
 
-    def _save(self, state: DataFrame) -> None:
-        self._long(state, ["id"], {"rank": "rank{i}"}).write.mode("append").parquet(self.result.path("ranks"))
+    def _save(self, state: DataFrame, name: str) -> None:
+        ranks = self._long(state, ["id"], {"rank": "rank{i}"})
+        ranks.write.mode("overwrite").parquet(self.result.path(f"ranks/{name}"))
+        self.saved.append(name)
 
     def _outcome(self, iteration: int, converged: bool, seconds: list) -> RankResult:
         k = self.k
         if seconds:
             if self.given:
-                log = self.spark.read.parquet(*[self.result.path(f"log/{i}") for i, _ in seconds])
+                log = self.spark.read.parquet(*[self._log_path(i) for i, _ in seconds])
             else:
                 log = self.spark.createDataFrame([Row(**r) for r in self.rows])
             times = self.spark.createDataFrame(seconds, "iteration int, seconds double")
@@ -570,7 +683,7 @@ class _Loop:
             {"iterations": "int(coalesce(its{i}, 0))", "converged": "coalesce(done{i}, false)"},
         )
         return RankResult(
-            ranks=self.spark.read.parquet(self.result.path("ranks")),
+            ranks=self.spark.read.parquet(*[self.result.path(f"ranks/{name}") for name in self.saved]),
             iterations=steps.select(
                 *keys, F.col("iteration").cast("int").alias("iteration"), "l1_diff", "dangling_mass", "seconds"
             ),

@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 _AQE = "spark.sql.adaptive.enabled"
 _SHUFFLE = "spark.sql.shuffle.partitions"
-_BUCKETING = "spark.sql.sources.bucketing.enabled"
-_AUTO_BUCKETED_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -40,10 +38,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder in any store that Spark can write to."""
+def _at(spark: SparkSession, path: str):
+    """A path of any store that Spark can write to, and its file system."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder."""
+    target, store = _at(spark, path)
+    store.delete(target, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it does not exist."""
+    target, store = _at(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(target)] if store.exists(target) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there as a whole or not at all: it gets its name when it is complete."""
+    target, store = _at(spark, path)
+    unfinished, _ = _at(spark, f"{path}.unfinished")
+    out = store.create(unfinished, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not store.rename(unfinished, target):
+        raise RuntimeError(f"cannot write {path}")
 
 
 def delete_checkpoint(df: DataFrame) -> None:
@@ -54,11 +75,11 @@ def delete_checkpoint(df: DataFrame) -> None:
 
 
 class Scratch:
-    """Tables of one run as Parquet in the shared checkpoint folder, until :meth:`release`."""
+    """Tables of one run as Parquet in the shared checkpoint folder (or in ``root``), until :meth:`release`."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
+        self.root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
         self._n = 0
 
     def path(self, name: str) -> str:
@@ -86,17 +107,13 @@ def loop_settings(spark: SparkSession, num_partitions: int):
     The rank loop keeps the edge table and the rank table hash-partitioned the
     same way, so the propagation join needs no exchange. Adaptive execution would
     coalesce the aggregation output and break that co-partitioning; skew is
-    handled explicitly instead (hub sources, partial aggregation). The edge table
-    is a bucketed table whose bucketed scan must be kept even where Spark would
-    judge it useless (a plain cached scan). The caller's values are restored on
-    exit.
+    handled explicitly instead (hub sources, partial aggregation). The caller's
+    values are restored on exit.
     """
-    keys = (_AQE, _SHUFFLE, _BUCKETING, _AUTO_BUCKETED_SCAN)
+    keys = (_AQE, _SHUFFLE)
     saved = {k: spark.conf.get(k, None) for k in keys}
     spark.conf.set(_AQE, "false")
     spark.conf.set(_SHUFFLE, str(num_partitions))
-    spark.conf.set(_BUCKETING, "true")
-    spark.conf.set(_AUTO_BUCKETED_SCAN, "false")
     try:
         yield
     finally:

@@ -323,3 +323,119 @@ def test_a_vector_with_one_id_twice_fails(spark):
     one, other = rank_report(good, nodes).first(), rank_report(bad, nodes).first()
     assert one.all_checks_passed and one.ids_match
     assert other.count_matches and not other.ids_match and not other.all_checks_passed
+
+
+def log_of(res):
+    rows = res.iterations.drop("seconds").collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def test_width_and_order_do_not_change_a_bit(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(60) ** 2 % 60, rng.randrange(60)) for _ in range(400)] + [(7, j) for j in range(60)]
+    n, e = graph(spark, edges, list(range(64)))
+    seeds = spark.createDataFrame([(1,), (9,)], "id long")
+    for given, widths in ((None, (3, 8, 211)), (seeds, (3, 8))):
+        seen = []
+        for width in widths:
+            res = pagerank(e.repartition(width), n, seeds=given, num_partitions=width, max_iter=4)
+            seen.append((ranks_of(res), log_of(res)))
+            res.release()
+        assert all(x == seen[0] for x in seen)
+
+
+def test_exact_sum_keeps_small_terms(spark):
+    from fractions import Fraction
+
+    from linkrank.operators.rank import exact_sum
+
+    rng = random.Random(4)
+    values = [rng.random() * 10.0 ** -rng.randrange(3, 16) for _ in range(3000)] + [0.0, 1.0]
+    want = float(sum(map(Fraction, values)))
+    got = {
+        spark.createDataFrame([(v,) for v in rng.sample(values, len(values))], "v double").repartition(k)
+        .agg(exact_sum(F.col("v"))).first()[0] for k in (1, 5, 30)
+    }
+    assert len(got) == 1 and abs(got.pop() - want) < 1e-15
+    assert spark.createDataFrame([], "v double").agg(exact_sum(F.col("v"))).first()[0] is None
+
+
+KILLED = """
+import os, sys
+sys.path[:0] = {path!r}
+from pyspark.sql import SparkSession
+from linkrank.operators import rank as R
+spark = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {folder!r}).getOrCreate())
+move = R._Loop._move
+def stops(self, state, numbers, iteration):
+    if iteration == 6:
+        os._exit(9)
+    return move(self, state, numbers, iteration)
+R._Loop._move = stops
+e = spark.createDataFrame({edges!r}, "src long, dst long")
+R.pagerank(e, spark.range(42).select("id"), max_iter=8, run_dir={run!r})
+"""
+
+
+def test_a_run_goes_on_after_its_driver_was_killed(spark, tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    edges = random_edges(40, 160, 11) + [(5, j) for j in range(40)]
+    run = str(tmp_path / "run")
+    script = KILLED.format(path=sys.path[:3], folder=str(tmp_path / "ckpt"), edges=edges, run=run)
+    assert subprocess.run([sys.executable, "-c", script], capture_output=True, timeout=300).returncode == 9
+    assert "3.0" in os.listdir(f"{run}/linkrank-run/manifest")
+
+    nodes = spark.range(42).select("id")
+    whole = pagerank(spark.createDataFrame(edges, "src long, dst long"), nodes, max_iter=8)
+    # The folder stands for the input, which is not read again.
+    unread = spark.range(3).selectExpr("id as src", "cast(raise_error('read again') as bigint) as dst")
+    with pytest.raises(ValueError, match="other arguments"):
+        pagerank(unread, nodes, damping=0.5, max_iter=8, run_dir=run)
+    for _ in range(2):  # goes on; then returns what is there
+        res = pagerank(unread, nodes, max_iter=8, run_dir=run)
+        assert ranks_of(res) == ranks_of(whole)
+        assert log_of(res) == log_of(whole) and res.n_iterations == 8
+    assert sorted(os.listdir(f"{run}/linkrank-run")) == ["manifest", "ranks"]
+    res.release()
+    assert os.listdir(run) == []
+
+
+def test_many_graphs_go_on_after_a_failure(spark, tmp_path, monkeypatch):
+    from linkrank.operators import rank as R
+
+    e = spark.range(600).selectExpr("id % 5 as g", "(id * 13) % 41 as src", "(id * id) % (11 + id % 5) as dst")
+    seeds = spark.createDataFrame([(g, s) for g in range(5) for s in (1, 2)], "g long, id long")
+    whole = R.pagerank_both(e, None, seeds, keys=["g"], epsilon=2e-2, max_iter=9)
+    run, move = str(tmp_path / "run"), R._Loop._move
+
+    def fails(self, state, numbers, iteration):
+        if iteration in stops:
+            stops.remove(iteration)
+            raise RuntimeError("lost")
+        return move(self, state, numbers, iteration)
+
+    monkeypatch.setattr(R._Loop, "_move", fails)
+    stops = [2, min(5, whole.n_iterations)]
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="lost"):
+            R.pagerank_both(e, None, seeds, keys=["g"], epsilon=2e-2, max_iter=9, run_dir=run)
+    res = R.pagerank_both(e, None, seeds, keys=["g"], epsilon=2e-2, max_iter=9, run_dir=run)
+    assert not stops and ranks_of(res, ["g", "mode"]) == ranks_of(whole, ["g", "mode"])
+    assert log_of(res) == log_of(whole)
+    assert sorted(map(tuple, res.runs.collect())) == sorted(map(tuple, whole.runs.collect()))
+    res.release()
+
+
+def test_no_catalog_entry_is_ever_made(spark, monkeypatch):
+    from linkrank.operators import rank as R
+
+    before, seen, step = {t.name for t in spark.catalog.listTables()}, set(), R._Loop.step
+    monkeypatch.setattr(
+        R._Loop, "step", lambda self, *a: (seen.update(t.name for t in spark.catalog.listTables()), step(self, *a))[1]
+    )
+    R.pagerank(spark.createDataFrame([(0, 1), (1, 0), (1, 2)], "src long, dst long"), max_iter=2).release()
+    assert seen <= before
