@@ -439,3 +439,18 @@ def test_no_catalog_entry_is_ever_made(spark, monkeypatch):
     )
     R.pagerank(spark.createDataFrame([(0, 1), (1, 0), (1, 2)], "src long, dst long"), max_iter=2).release()
     assert seen <= before
+
+
+def test_a_rank_is_sent_once_a_block_and_no_partition_holds_too_many_rows(spark, monkeypatch):
+    from linkrank.operators import rank as R
+
+    monkeypatch.setattr(R, "MOST_ROWS", 400)
+    edges = spark.range(1600).selectExpr("id % 8 as src", "100 + id div 8 as dst")  # 8 sources, 200 targets each
+    loop = R._Loop(edges, None, None, [], {None: False}, 0.85, 5, 1e-6, 3, 3, 0, True)
+    try:
+        loop.setup()
+        assert loop.width == 5  # 1,808 rows
+        assert loop.links.count() == 8 * 5 and loop.pull.count() == 1600
+    finally:
+        loop.clean_up()
+        loop.result.release()
