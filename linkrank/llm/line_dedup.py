@@ -202,10 +202,12 @@ def _cleaned(docs: DataFrame, **options) -> tuple[DataFrame, str]:
     joined = docs.join(
         removed, (docs["doc_id"] == removed[own]) & (F.xxhash64(docs["text"]) == removed[version]), "left"
     )
-    lines = F.split(docs["text"], BREAK)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    # A column of its own: inside the function below a text would be split again for every line that stays.
+    split = fresh(joined, "line_split")
+    joined = joined.withColumn(split, F.when(F.col(gone).isNotNull(), F.split(docs["text"], BREAK)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone))
     # Sorting the kept numbers is not needed: array_except keeps their order.
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), BREAK)
+    kept = F.array_join(F.transform(stay, lambda i: F.get(split, i)), BREAK)
     text = F.when(F.col(gone).isNotNull(), kept).otherwise(docs["text"])
     columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
     count = F.when(F.col(gone).isNull(), 0).otherwise(F.size(F.col(gone))).cast("long")

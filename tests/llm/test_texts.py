@@ -335,3 +335,12 @@ def test_suffix_chunks_do_not_depend_on_the_split(spark, make_docs, tmp_path):
     finally:
         suffix_dedup.SuffixIndex.add = original
         spark.conf.set(key, kept)
+
+
+def test_a_text_is_split_once_not_for_every_line_that_stays(spark, make_docs):
+    """Inside the function that takes lines by number there is no split of the whole text."""
+    docs = line_dedup(make_docs([(1, "a b c d e\nx\ny"), (2, "a b c d e\nz")]))
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    taken = [part.split("lambdafunction(")[1] for part in plan.split("transform(")[1:]]
+    assert taken and not any(part.startswith("get(split(") for part in taken), plan
+    assert {r.doc_id: r.text for r in docs.collect()} == {1: "a b c d e\nx\ny", 2: "z"}
