@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import Scratch, bounded_batches, once_per_worker
+from linkrank.llm.common import Scratch, bounded_batches, give_back, once_per_worker
 from linkrank.llm.hashing import Powers, mixed, prefix_hash, range_hash
 
 CHUNK_BYTES = 4 << 20
@@ -372,8 +372,11 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int):
                     chunk, uses, held = chunk + 1, [], 0
                     if len(segments.number) > MOST_SEGMENTS:
                         segments = Segments(a, b)
+                    give_back()
         if uses:
             yield closing()
+        del segments, uses
+        give_back()
 
     return run
 
@@ -382,8 +385,9 @@ def _documents(length_a: np.ndarray, length_b: np.ndarray):
     """Documents of a chunk from its segment numbers and the corpus counts of its pairs."""
 
     def run(key, counts: pa.Table, rows: pa.Table) -> pa.Table:
-        kept = rows.to_pylist()
-        closing = next(r for r in kept if r["ids"] is not None)
+        give_back()  # what the group before this one took
+        is_closing = rows.column("ids").is_valid()
+        closing, kept = rows.filter(is_closing).to_pylist()[0], rows.filter(pc.invert(is_closing))
         sizes = json.loads(closing["docs"])
         known, per_segment, numbers, n_a, n_b, ids_a, ids_b = np.split(_unpack(closing["ids"]), np.cumsum(sizes)[:-1])
         place = np.zeros(int(known.max(initial=-1)) + 1, "i8")
@@ -405,9 +409,7 @@ def _documents(length_a: np.ndarray, length_b: np.ndarray):
             for i, k in zip(cuts[:-1], cuts[1:], strict=True)
         ]
         out = []
-        for r in kept:
-            if r["windows"] is None:
-                continue
+        for r in (kept.slice(i, 1).to_pylist()[0] for i in range(kept.num_rows)):
             ids, n = json.loads(r["docs"])
             n = np.array(n, "i8")
             own = place[_unpack(r["windows"])]

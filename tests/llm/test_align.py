@@ -186,3 +186,17 @@ def test_registered_query_is_brute_force(spark):
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     want = [(*r[:-1], hashlib.sha256(r[-1].encode()).hexdigest() if r[-1] else "") for r in brute(rows)]
     assert sorted(map(tuple, got.select(*names).collect())) == sorted(want)
+
+
+def test_memory_is_given_back_after_every_chunk_and_task(monkeypatch):
+    """A Python worker outlives its task: what it took for segments must not stay with it."""
+    import types
+
+    import pyarrow as pa
+
+    calls = []
+    monkeypatch.setattr(A, "give_back", lambda: calls.append(1), raising=False)
+    monkeypatch.setattr(A, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.record_batch([pa.array([1, 2], pa.int64()), pa.array(["one text", "another text"])], names=["doc_id", "text"])
+    rows = list(A._chunks(BYTES, PIECES, 1)([batch, batch]))
+    assert sum(r.column("ids").null_count == 0 for r in rows) == 2 and len(calls) == 3
