@@ -30,11 +30,11 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import collections
 import itertools
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +51,7 @@ from linkrank.llm.hashing import Powers, mixed, prefix_hash, range_hash
 CHUNK_BYTES = 4 << 20
 MOST_SEGMENTS = 300_000  # a task forgets its segments beyond, at a chunk's end
 BLOCK_BYTES, PART_BYTES = 1 << 19, 1 << 17
+JOINED = 256  # segments that are tokenized as one text
 IDS = Powers(0xC2B2AE3D27D4EB4F)
 
 
@@ -69,6 +70,12 @@ class Side:
     def encode(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
+    def tokens(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, tokens per segment, whether they spell the segment with a space before it)``."""
+        found = self.encode(segments)
+        ids = np.fromiter(itertools.chain.from_iterable(found), "u4", sum(map(len, found)))
+        return ids, np.array([len(x) for x in found], "u4"), spells(found, segments, self)
+
 
 def byte_letters() -> dict[str, int]:
     """The letter that byte-level vocabularies write for each byte: itself if printable, else from U+0100 on."""
@@ -96,6 +103,25 @@ class ByteLevelSide(Side):
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
+    def tokens(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As above; segments go in as texts of many, as most of the time of a short text is not its tokenizing.
+
+        Only those that begin and end without white space, where no token goes across the space between them;
+        the tokens must spell the segments, with an end at each of theirs, or all are tokenized one by one.
+        """
+        if any(map(EDGE.search, segments)):
+            return super().tokens(segments)
+        many = [" ".join(segments[i : i + JOINED]) for i in range(0, len(segments), JOINED)]
+        ids = list(itertools.chain.from_iterable(self.encode(many)))
+        if b"".join(map(self.token_bytes.__getitem__, ids)) != (" " + " ".join(many)).encode():
+            return super().tokens(segments)
+        ids = np.array(ids, "u4")
+        ends, wanted = np.cumsum(self.length[ids]), np.cumsum([len(s.encode()) + 1 for s in segments])
+        last = np.searchsorted(ends, wanted)
+        if not np.array_equal(ends[last], wanted):
+            return super().tokens(segments)
+        return ids, np.diff(last, prepend=-1).astype("u4"), np.ones(len(segments), bool)
+
 
 class PieceSide(Side):
     def load(self) -> list[bytes]:
@@ -143,22 +169,24 @@ class Windows:
         marks[end_a] |= 1
         marks[end_b] |= 2
         ends = np.flatnonzero(marks)
-        of_a, of_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        last = end_a[np.cumsum(self.n_a) - 1] if len(self.n_a) else np.zeros(0, "i8")
-        window = np.searchsorted(last, ends)
-        shared = marks[ends] == 3
-        n = len(self.n_a)
+        at = marks[ends]
+        of_a, of_b, shared = before(at & 1), before(at >> 1), at == 3
+        # Where each token ends; a token without bytes ends where the one before it does.
+        place_a, place_b = places(end_a, ends, at & 1), places(end_b, ends, at >> 1)
+        if len(end_a) and (of_a[-1] + 1 < len(end_a) or of_b[-1] + 1 < len(end_b)):
+            of_a, of_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        last = np.zeros(len(ends), "i1")
+        last[place_a[np.cumsum(self.n_a) - 1]] = 1
+        window, n = before(last), len(self.n_a)
         links, groups = np.bincount(window, minlength=n), np.bincount(window[shared], minlength=n)
-        both = ends[shared]
-        return self.ids_a[of_a], self.ids_b[of_b], links, groups, np.searchsorted(both, end_a), np.searchsorted(both, end_b)
+        group = before(shared)
+        return self.ids_a[of_a], self.ids_b[of_b], links, groups, group[place_a], group[place_b]
 
-    def strings(self, length_a: np.ndarray, length_b: np.ndarray) -> list[str]:
-        """The groups of each window: ``a1,a2|b1;a3|b2,b3``.
+    def strings(self, n: int, of_a: np.ndarray, of_b: np.ndarray) -> list[str]:
+        """The groups of each window: ``a1,a2|b1;a3|b2,b3``, from the ``n`` groups of all and those of their tokens.
 
         Every token becomes its decimal digits and the sign after it, in the order of the groups.
         """
-        _, _, _, groups, of_a, of_b = self.align(length_a, length_b)
-        n = int(groups.sum())
         upto_a, upto_b = np.cumsum(np.bincount(of_a, minlength=n)), np.cumsum(np.bincount(of_b, minlength=n))
         ids = np.empty(len(of_a) + len(of_b), "i8")
         ids[np.arange(len(of_a)) + np.append(0, upto_b)[of_a]] = self.ids_a
@@ -174,6 +202,17 @@ class Windows:
         return [text[i : j - 1] for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def before(marks: np.ndarray) -> np.ndarray:
+    """How many marks stand before each place."""
+    return np.cumsum(marks, dtype="i8") - marks
+
+
+def places(token_ends: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Where each of ``token_ends`` is in ``ends``, which ``marks`` tells if no two of them are equal."""
+    found = np.flatnonzero(marks)
+    return found if len(found) == len(token_ends) else np.searchsorted(ends, token_ends)
+
+
 def decimal(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``(digits, a column left over; how many digits)`` of the numbers below ``n``."""
     number, wide = np.arange(n), len(str(n))
@@ -187,12 +226,14 @@ def decimal(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 # U+180E counts as a space in some versions of Unicode.
-CUT = re.compile("(?<=[^\\s\u180e]) (?=[^\\s\u180e])")
+# The space stands first, so the search goes from space to space.
+CUT = re.compile(" (?<=[^\\s\u180e] )(?=[^\\s\u180e])")
+EDGE = re.compile("\\A[\\s\u180e]|[\\s\u180e]\\Z")
 
 
 def spells(ids: list[list[int]], texts: list[str], of: Side) -> np.ndarray:
     """Whether the tokens of each text are its bytes with a space before them."""
-    flat = b"".join([of.token_bytes[i] for x in ids for i in x])
+    flat = b"".join(map(of.token_bytes.__getitem__, itertools.chain.from_iterable(ids)))
     if flat == "".join([" " + t for t in texts]).encode():
         return np.ones(len(texts), bool)
     pairs = zip(ids, texts, strict=True)
@@ -203,19 +244,22 @@ class Tokens:
     """Token ids of texts laid out one after the other."""
 
     def __init__(self):
-        self.ids, self.n = array("I"), array("I")
+        self.ids, self.n = [], []
 
-    def add(self, found: list[list[int]]) -> None:
-        self.n.extend(map(len, found))
-        for ids in found:
-            self.ids.extend(ids)
+    def add(self, ids: np.ndarray, n: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.n.append(n)
 
     def take(self, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, tokens per text)`` of some texts."""
-        n = np.array(self.n, "i8")
-        ends = np.cumsum(n)[texts]
-        ids = np.array(self.ids, "u4")[flat_ranges(ends - n[texts], ends)]
-        return ids.astype("i8"), n[texts]
+        self.ids, self.n = [joined(self.ids)], [joined(self.n)]
+        n = self.n[0]
+        ends, n = np.cumsum(n, dtype="i8")[texts], n[texts].astype("i8")
+        return self.ids[0][flat_ranges(ends - n, ends)].astype("i8"), n
+
+
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, "u4")
 
 
 class Segments:
@@ -223,32 +267,32 @@ class Segments:
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
-        self.number: dict[str, int] = {}
+        # A text met for the first time gets the next number.
+        self.number: dict[str, int] = collections.defaultdict(itertools.count().__next__)
         self.tokens_a, self.tokens_b, self.spelled = Tokens(), Tokens(), bytearray()
 
     def add(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(segment numbers, segments per text)``; a text that is not spelled back has none."""
         cuts = [CUT.split(t) if t else [] for t in texts]
-        new = [s for s in dict.fromkeys(itertools.chain.from_iterable(cuts)) if s not in self.number]
+        n, before = np.array([len(c) for c in cuts], "i8"), len(self.number)
+        flat = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(cuts)), "i8", int(n.sum()))
+        new = list(itertools.islice(reversed(self.number), len(self.number) - before))[::-1]
         begin, size = 0, 0
         for i, s in enumerate(new, 1):
             size += len(s)
             if size >= PART_BYTES or i == len(new):
                 self._tokenize(new[begin:i])
                 begin, size = i, 0
-        n = np.array([len(c) for c in cuts], "i8")
-        flat = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(cuts)), "i8", int(n.sum()))
         lost = np.append(0, np.cumsum(np.frombuffer(bytes(self.spelled), "u1")[flat] == 0))
         ends = np.cumsum(n)
         whole = lost[ends] == lost[ends - n]
         return flat[np.repeat(whole, n)], np.where(whole, n, 0)
 
     def _tokenize(self, new: list[str]) -> None:
-        x, y = self.a.encode(new), self.b.encode(new)
-        self.tokens_a.add(x)
-        self.tokens_b.add(y)
-        self.spelled += (spells(x, new, self.a) & spells(y, new, self.b)).astype("u1").tobytes()
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        (ids_a, n_a, spelled_a), (ids_b, n_b, spelled_b) = self.a.tokens(new), self.b.tokens(new)
+        self.tokens_a.add(ids_a, n_a)
+        self.tokens_b.add(ids_b, n_b)
+        self.spelled += (spelled_a & spelled_b).astype("u1").tobytes()
 
     def windows(self, known: np.ndarray) -> tuple[Windows, np.ndarray, np.ndarray]:
         """``(distinct windows, window numbers, windows per segment)`` of the segments ``known``, all spelled."""
@@ -393,7 +437,7 @@ def _documents(length_a: np.ndarray, length_b: np.ndarray):
         place = np.zeros(int(known.max(initial=-1)) + 1, "i8")
         place[known] = np.arange(len(known))
         w = Windows(ids_a, n_a, ids_b, n_b)
-        x, y, links, groups, _, _ = w.align(length_a, length_b)
+        x, y, links, groups, of_a, of_b = w.align(length_a, length_b)
         pair = counts.column("pair").to_numpy()
         order = np.argsort(pair)
         at = np.searchsorted(pair, x << 32 | y, sorter=order)
@@ -402,10 +446,10 @@ def _documents(length_a: np.ndarray, length_b: np.ndarray):
         best = counts.column("is_best").to_numpy()[at].astype("i8")
         of_window = [n_a, n_b, groups, links, sums(best, links), sums(total, links)]
         of_segment = [sums(v[numbers], per_segment) for v in of_window]
-        strings = w.strings(length_a, length_b)
+        strings = w.strings(int(groups.sum()), of_a, of_b)
         cuts, numbers = np.append(0, np.cumsum(per_segment)).tolist(), numbers.tolist()
         strings = [
-            strings[numbers[i]] if k == i + 1 else ";".join([strings[j] for j in numbers[i:k]])
+            strings[numbers[i]] if k == i + 1 else ";".join(map(strings.__getitem__, numbers[i:k]))
             for i, k in zip(cuts[:-1], cuts[1:], strict=True)
         ]
         out = []
@@ -415,7 +459,7 @@ def _documents(length_a: np.ndarray, length_b: np.ndarray):
             own = place[_unpack(r["windows"])]
             found = [sums(v[own], n) for v in of_segment]
             own, ends = own.tolist(), np.cumsum(n).tolist()
-            text = [";".join([strings[j] for j in own[e - k : e]]) for e, k in zip(ends, n.tolist(), strict=True)]
+            text = [";".join(map(strings.__getitem__, own[e - k : e])) for e, k in zip(ends, n.tolist(), strict=True)]
             columns = [pa.array(c, f.type) for c, f in zip([ids, *found, text], ALIGNED, strict=True)]
             out.append(pa.Table.from_arrays(columns, schema=ALIGNED))
         return pa.concat_tables(out)

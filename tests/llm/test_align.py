@@ -200,3 +200,56 @@ def test_memory_is_given_back_after_every_chunk_and_task(monkeypatch):
     batch = pa.record_batch([pa.array([1, 2], pa.int64()), pa.array(["one text", "another text"])], names=["doc_id", "text"])
     rows = list(A._chunks(BYTES, PIECES, 1)([batch, batch]))
     assert sum(r.column("ids").null_count == 0 for r in rows) == 2 and len(calls) == 3
+
+
+def test_segments_are_tokenized_many_at_a_time(monkeypatch):
+    """A text of many segments gives each segment the tokens that it has alone, for a fraction of the calls' texts."""
+    a, texts = A.ByteLevelSide(BYTES), []
+    encode = a.encode
+    monkeypatch.setattr(a, "encode", lambda given: texts.extend(given) or encode(given))
+    rng = random.Random(5)
+    words = ["it's", "'s", "12", "x1y", "é", "é", "́", "a.\nB", "<|endoftext|>", "日本", "🙂", "--", "a\tb", "\x00"]
+    segments = [rng.choice(words) + rng.choice(words) for _ in range(3000)]
+    ids, n, spelled = a.tokens(segments)
+    assert len(texts) <= len(segments) / 100
+    alone = encode(segments)
+    assert ids.tolist() == [i for x in alone for i in x] and n.tolist() == list(map(len, alone)) and spelled.all()
+    # Beside white space a token may go across: one by one then.
+    odd = [*segments[:300], " x", "y\n", "z᠎", *segments[:300]]
+    ids, n, _ = a.tokens(odd)
+    alone = encode(odd)
+    assert ids.tolist() == [i for x in alone for i in x] and n.tolist() == list(map(len, alone))
+
+
+def test_windows_are_aligned_by_passes_as_by_searches():
+    """Links and groups against a plain search per window, tokens without bytes included."""
+    rng, length = random.Random(3), np.array([0, 1, 2, 3, 4])
+
+    def cut(size, zero):
+        out = []
+        while size:
+            k = rng.randint(1, min(4, size))
+            out.append(k)
+            size -= k
+            if zero and size and rng.random() < 0.3:
+                out.append(0)
+        return out
+
+    for zero in (False, True):
+        sizes = [rng.randint(1, 12) for _ in range(200)]
+        a, b = [cut(s, False) for s in sizes], [cut(s, zero) for s in sizes]
+        flat = [np.array([i for w in x for i in w]) for x in (a, b)]
+        w = A.Windows(flat[0], np.array([len(x) for x in a]), flat[1], np.array([len(x) for x in b]))
+        x, y, links, groups, of_a, of_b = w.align(length, length)
+        want, want_links, want_groups, group_a, group_b = [], [], [], [], []
+        for p, q in zip(a, b, strict=True):
+            ends_p, ends_q = np.cumsum(p), np.cumsum(q)
+            ends, shared = sorted({*ends_p, *ends_q}), sorted({*ends_p} & {*ends_q})
+            want += [(p[np.searchsorted(ends_p, e)], q[np.searchsorted(ends_q, e)]) for e in ends]
+            group_a += [len(shared[: np.searchsorted(shared, e)]) + sum(want_groups) for e in ends_p]
+            group_b += [len(shared[: np.searchsorted(shared, e)]) + sum(want_groups) for e in ends_q]
+            want_links.append(len(ends))
+            want_groups.append(len(shared))
+        assert list(zip(x.tolist(), y.tolist(), strict=True)) == want
+        assert links.tolist() == want_links and groups.tolist() == want_groups
+        assert of_a.tolist() == group_a and of_b.tolist() == group_b
