@@ -65,3 +65,26 @@ def test_the_loop_describes_its_plans_shortly_and_puts_the_setting_back(spark, b
         assert spark.conf.get(name) == (before or default)
     finally:
         spark.conf.unset(name)
+
+
+def test_the_width_follows_memory_not_the_number_of_edges():
+    """Every further block has ranks sent to it in every update, so what is sent would outgrow the input."""
+    assert R.wide_enough(12, 3_600_000, 36_000_000) == 12
+    assert R.wide_enough(12, 21_600_000, 215_000_000) == 20
+    assert R.wide_enough(12, 100_000_000, 100_000_000) == 25  # ranks in hash tables
+    assert R.wide_enough(12, 0, 0) == 12
+
+
+def test_blocks_are_told_after_the_edges_are_joined(spark):
+    """Nothing that follows from a row's own ids is sent with it to the joins with its ends."""
+    edges = spark.createDataFrame([(i % 7, i % 11 + 1) for i in range(200)], "src bigint, dst bigint")
+    loop, sent = R._Loop(edges, None, None, [], {None: False}, 0.85, 5, 1e-6, 3, 4, 0, True), []
+    by_end = loop._by_end
+    loop._by_end = lambda rows, *a: sent.append(set(rows.columns)) or by_end(rows, *a)
+    try:
+        loop.setup()
+        assert len(sent) == 2 and not any(c in {"block", "dst_block"} for columns in sent for c in columns)
+        assert loop.links.columns[:1] == ["block"] and loop.links.count() > 0
+    finally:
+        loop.clean_up()
+        loop.result.release()
