@@ -222,7 +222,7 @@ def near_pairs(
 ) -> DataFrame:
     """``(a, n_a, b, n_b)``, each pair of words of ``distinct(word, n)`` one edit apart once.
 
-    ``distinct`` should be a stored table: it is read three times.
+    ``distinct`` should be a stored table: it is read three times. No list is broadcast, however small its estimate.
     """
     spark = distinct.sparkSession
     bounded_batches(spark)
@@ -243,7 +243,8 @@ def near_pairs(
     of = listed.select(F.explode("key").alias("key"), F.col("word").alias("b"), F.col("n").alias("n_b"))
     probes = listed.select(F.explode("probe").alias("key"), F.col("word").alias("a"), F.col("n").alias("n_a"))
     more = F.char_length("b") - F.char_length("a")
-    met = probes.join(of, "key").filter((more == 1) | ((more == 0) & (F.col("a") < F.col("b"))))
+    # Spark sizes a table by what it was made from, so the lists seem as small as the words; broadcast they would fill the driver.
+    met = probes.hint("merge").join(of.hint("merge"), "key").filter((more == 1) | ((more == 0) & (F.col("a") < F.col("b"))))
     return met.filter(one_edit("a", "b")).select("a", "n_a", "b", "n_b").distinct()
 
 
@@ -255,7 +256,7 @@ def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.store(forms.select("word", F.col("form").alias("root")))
     while True:
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved = now.join(ahead, "root", "left").select(
+        moved = now.join(ahead.hint("merge"), "root", "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("on")
         )
         moved = scratch.store(moved)
@@ -286,7 +287,7 @@ def spelling_groups(
     )
     last = roots(near.filter("form is not null"), scratch)
     result = cut(
-        distinct.join(near, "word", "left").join(last, "word", "left").select(
+        distinct.join(near.hint("merge"), "word", "left").join(last.hint("merge"), "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), "form", "form_n",
             F.coalesce("root", "word").alias("root"),
         )

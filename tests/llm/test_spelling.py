@@ -158,6 +158,17 @@ def test_an_edit_changes_no_more_grams_than_the_bound(qmin, qmax):
             assert common >= sum(own.values()) - bound
 
 
+def test_no_list_is_broadcast(spark, tmp_path):
+    """The words are a small file, the lists made of them are not: estimates follow the file."""
+    words = spark.createDataFrame([(f"wordly{i:05}", 3) for i in range(500)], "word string, n long")
+    words.write.parquet(str(tmp_path / "words"))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 1 << 20
+    pairs = S.near_pairs(spark.read.parquet(str(tmp_path / "words")))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert pairs.count() == len([1 for i in range(500) for j in range(i) if one_edit(f"{i:05}", f"{j:05}")])
+
+
 def test_empty_tables(make_docs):
     assert S.spelling_groups(make_docs([]), 97).collect() == []
     assert S.spelling_groups(make_docs([(1, "few words"), (2, None)]), 97).collect() == []
