@@ -58,6 +58,28 @@ def test_near_vectors_match_brute_force(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_are_dealt_out_once(spark, monkeypatch):
+    """Each lives in one slice; slices that meet are read again, neither sent as copies nor broadcast."""
+    from linkrank.llm import vector_dedup
+
+    tables, plans = [], []
+
+    def kept(df, cut=vector_dedup.cut):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        tables.append(cut(df))
+        return tables[-1]
+
+    monkeypatch.setattr(vector_dedup, "cut", kept)
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((300, 32)).astype("f4")
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    assert near_vectors(df, cell_rows=20).count() == 300
+    dealt, found = plans
+    assert "Exchange" not in found and "CartesianProduct" in found, found
+    ids = np.concatenate([np.frombuffer(r.ids, "i8") for r in tables[0].collect()])
+    assert tables[0].count() >= 15 and sorted(ids.tolist()) == list(range(300))
+
+
 def test_nearest_reaches_the_recall(spark):
     rng = np.random.default_rng(2)
     v = rng.standard_normal((600, 64)).astype("f4")
