@@ -32,7 +32,8 @@ Physical layout:
   The state is written to the shared folder and read again every ``checkpoint_interval`` iterations, and at
   least every third: that cuts the plan and bounds recomputation after an executor loss.
 * the width is ``num_partitions``, by default the cluster's cores and ``spark.sql.shuffle.partitions`` at most; where a
-  partition would hold more than ``MOST_ROWS`` rows or ``MOST_NODES`` nodes, it is raised. Few wide partitions send less: a node's row per block.
+  partition would hold more than ``MOST_ROWS`` rows or ``MOST_NODES`` nodes (or ``MOST_NODES_APART``, where
+  graphs are many), it is raised. Few wide partitions send less: a node's row per block.
 * the numbers of a single graph (dangling mass, L1 change) are observed while its new
   vector is cached, so an iteration is one job. With ``keys`` they are a table with a
   row per graph, written every iteration as the log and joined by key; the driver
@@ -81,6 +82,8 @@ MAX_BROADCAST_GRAPHS = 50_000
 MOST_ROWS = 12_000_000
 # Nodes among them: their ranks are in a hash table.
 MOST_NODES = 4_000_000
+# Nodes in a partition where graphs are many: a graph lies in few blocks then, so narrow ones send hardly more.
+MOST_NODES_APART, BLOCKS_APART = 250_000, 4
 # An update's plan refers to the state twice, so it is cut after so many updates at the latest.
 MOST_UNCUT = 3
 # Key column of a run without keys.
@@ -92,9 +95,14 @@ PERSONALIZED = "personalized"
 HIGH_BITS, LOW_BITS = 60, 24
 
 
-def wide_enough(asked: int, n_nodes: int, n_pairs: int) -> int:
-    """The loop's width: ``asked``, or more where its partitions would hold too many rows."""
-    return max(asked, -(-(n_nodes + n_pairs) // MOST_ROWS), -(-n_nodes // MOST_NODES))
+def wide_enough(asked: int, n_nodes: int, n_pairs: int, n_graphs: int = 1) -> int:
+    """The loop's width: ``asked``, or more where its partitions would hold too many rows.
+
+    The tables of a partition's ranks cannot spill, and with many graphs most rows may be nodes. Up to
+    ``BLOCKS_APART`` blocks a graph the width follows ``MOST_NODES_APART``.
+    """
+    apart = min(BLOCKS_APART * n_graphs, -(-n_nodes // MOST_NODES_APART))
+    return max(asked, -(-(n_nodes + n_pairs) // MOST_ROWS), -(-n_nodes // MOST_NODES), apart)
 
 
 def exact_terms(value: Column) -> tuple[Column, Column]:
@@ -332,7 +340,7 @@ class _Loop:
         self._check({c: v or 0 for c, v in total.items()})
         self.n_graphs, self.unknown_seeds = total["graphs"], total["wanted"] - total["n_seeds"]
         self.n_rows = total["nodes"] + total["n_pairs"]
-        self.width = wide_enough(self.asked, total["nodes"], total["n_pairs"])
+        self.width = wide_enough(self.asked, total["nodes"], total["n_pairs"], self.n_graphs)
         # More nodes than a mean partition: fewer graphs than there are partitions.
         self.share = max(1, -(-total["nodes"] // self.width))
         self._lap("setup_stats")

@@ -75,6 +75,30 @@ def test_the_width_follows_memory_not_the_number_of_edges():
     assert R.wide_enough(12, 0, 0) == 12
 
 
+def test_many_graphs_have_narrow_blocks():
+    """Their rows are mostly nodes, and the hash tables of a block's ranks cannot spill."""
+    assert R.wide_enough(12, 40_000_000, 36_000_000, 150) == 160
+    assert R.wide_enough(12, 21_600_000, 215_000_000, 3) == 20  # three large graphs: ranks sent to every block cost more
+    assert R.wide_enough(12, 3_600_000, 36_000_000, 1) == 12
+
+
+def test_a_run_of_many_graphs_takes_that_width(spark, monkeypatch):
+    monkeypatch.setattr(R, "MOST_NODES_APART", 40)
+    edges = spark.range(900).selectExpr("id % 30 as g", "id % 20 as src", "(id * 7 + 3) % 20 as dst")
+    loop = R._Loop(edges, None, None, ["g"], {None: False}, 0.85, 5, 1e-6, 3, 2, 0, True)
+    try:
+        loop.setup()
+        nodes = loop.graphs.agg(F.sum("n")).first()[0]
+        assert loop.width == -(-nodes // 40) > 2
+    finally:
+        loop.clean_up()
+        loop.result.release()
+    few, many = (R.pagerank(edges, keys=["g"], num_partitions=n, max_iter=4) for n in (2, 40))
+    assert sorted(few.ranks.collect()) == sorted(many.ranks.collect())
+    few.release()
+    many.release()
+
+
 def test_blocks_are_told_after_the_edges_are_joined(spark):
     """Nothing that follows from a row's own ids is sent with it to the joins with its ends."""
     edges = spark.createDataFrame([(i % 7, i % 11 + 1) for i in range(200)], "src bigint, dst bigint")
