@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkrank.operators import rank as R
 from linkrank.session import local_table, loop_settings
+from test_plan import main_tree_lines
 
 
 def in_order(df, key) -> bool:
@@ -99,6 +100,36 @@ def test_a_run_of_many_graphs_takes_that_width(spark, monkeypatch):
     many.release()
 
 
+@pytest.mark.parametrize("keys", [[], ["g"]])
+def test_a_vector_that_has_ended_is_sent_no_more(spark, monkeypatch, keys):
+    """The standard vector ends first here; later updates neither send nor add up its ranks."""
+    rng, graphs = random.Random(8), 3 if keys else 1
+    # The ring is at rest under the standard vector, and the seed in it stirs it for long.
+    rows = [(g, rng.randrange(40), rng.randrange(40)) for g in range(graphs) for _ in range(300)]
+    rows += [(g, 0, i) for g in range(graphs) for i in range(40)] + [(g, 100 + i, 100 + (i + 1) % 6) for g in range(graphs) for i in range(6)]
+    edges = spark.createDataFrame(rows, "g int, src bigint, dst bigint").select(*keys, "src", "dst")
+    seeds = spark.createDataFrame([(g, 100) for g in range(graphs)], "g int, id bigint").select(*keys, "id")
+    sent, step = [], R._Loop.step
+
+    def watched(self, state, numbers):
+        new = step(self, state, numbers)
+        plan = "\n".join(main_tree_lines(new))
+        sent.append(tuple(i for i in self.m if f"high{i}#" in plan))
+        return new
+
+    monkeypatch.setattr(R._Loop, "step", watched)
+    res = R.pagerank_both(edges, None, seeds, keys, num_partitions=3, epsilon=0.02)
+    ended = [max(r["iterations"] for r in res.runs.collect() if r["mode"] == mode) for mode in (R.STANDARD, R.PERSONALIZED)]
+    assert ended[0] + 3 < ended[1] and res.converged
+    assert sent == [(0, 1)] * ended[0] + [(1,)] * (ended[1] - ended[0])
+    for mode, given in ((R.STANDARD, None), (R.PERSONALIZED, seeds)):
+        alone = R.pagerank(edges, seeds=given, keys=keys, num_partitions=3, epsilon=0.02)
+        mine = res.ranks.filter(F.col("mode") == mode).drop("mode")
+        assert sorted(mine.collect()) == sorted(alone.ranks.select(*mine.columns).collect())
+        alone.release()
+    res.release()
+
+
 def test_blocks_are_told_after_the_edges_are_joined(spark):
     """Nothing that follows from a row's own ids is sent with it to the joins with its ends."""
     edges = spark.createDataFrame([(i % 7, i % 11 + 1) for i in range(200)], "src bigint, dst bigint")
